@@ -248,9 +248,9 @@ def device_aggregate(t):
 
 
 @query("degree_days", """
-    select user_id as station, day, round(m, 6) as mean, round(greatest(18 - m, 0), 6) as hdd, round(greatest(m - 21, 0), 6) as cdd
+    select user_id as station, day::varchar as day, round(m, 6) as mean, round(greatest(18 - m, 0), 6) as hdd, round(greatest(m - 21, 0), 6) as cdd
     from (select user_id, cast(ts as date) as day, avg(value) as m from events group by 1, 2)""")
 def degree_days(t):
     rows = t.events.withColumnRenamed("user_id", "station")
     days = aggregate.degree_days(rows, "station", "ts", "value")
-    return days.withColumns({c: F.round(c, 6) for c in ("mean", "hdd", "cdd")})
+    return days.withColumns({"day": F.col("day").cast("string"), **{c: F.round(c, 6) for c in ("mean", "hdd", "cdd")}})

@@ -36,7 +36,7 @@ def scan_geojson(t):
         F.struct(F.lit("Point").alias("type"), F.array("s_acctbal", F.col("s_nationkey").cast("double")).alias("coordinates")).alias("geometry"))
     # One FeatureCollection per nation.
     t.supplier.groupBy("s_nationkey").agg(F.collect_list(feature).alias("features")).select(
-        F.lit("FeatureCollection").alias("type"), "features").write.json(path)
+        F.lit("FeatureCollection").alias("type"), "features").write.option("maxRecordsPerFile", 1).json(path)
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
     read = files.with_shapes(files.scan_geojson(t.spark, path, schema))
     return read.select("properties.*", F.col("geometry.type").alias("kind"), F.get("point", 0).alias("x"), F.get("point", 1).alias("y"))
@@ -123,12 +123,13 @@ def first_cells_per_device(t):
 
 
 @query("plan_missing_partitions", """
-    select c.c_custkey, strftime(m, '%Y-%m') as month, cast(m as date) as first_day, last_day(m) as last_day
+    select c.c_custkey, strftime(m, '%Y-%m') as month, cast(m as date)::varchar as first_day, last_day(m)::varchar as last_day
     from customer c, generate_series(timestamp '1996-01-01', timestamp '1996-12-01', interval 1 month) g(m)
     where not exists (select 1 from orders where o_custkey = c.c_custkey and date_trunc('month', o_orderdate) = m)""")
 def plan_missing_partitions(t):
     present = t.orders.select(F.col("o_custkey").alias("c_custkey"), F.date_format("o_orderdate", "yyyy-MM").alias("month"))
-    return messages.plan_missing_partitions(t.customer, present, "c_custkey", date(1996, 1, 1), date(1997, 1, 1))
+    plan = messages.plan_missing_partitions(t.customer, present, "c_custkey", date(1996, 1, 1), date(1997, 1, 1))
+    return plan.withColumns({c: F.col(c).cast("string") for c in ("first_day", "last_day")})
 
 
 @query("write_extracts", "select 'csv' as style, c_custkey, c_name from customer union all select 'json', c_custkey, c_name from customer")

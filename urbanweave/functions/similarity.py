@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# The functions below travel to the executors by value, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Cells of one vectorised comparison; longer batches are cut in slices so that memory stays bounded.
 SLICE_CELLS = 2_000_000
@@ -54,12 +61,17 @@ def ratios(left: list[str], right: list[str]) -> np.ndarray:
         return np.where(total > 0, 200.0 * lcs / total, 100.0)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def indel_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(ratios(left.tolist(), right.tolist()), index=left.index)
 
 
-@F.pandas_udf("array<struct<text:string,best:string,rank:bigint,score:double>>")
+_BEST = T.ArrayType(T.StructType([
+    T.StructField("text", T.StringType()), T.StructField("best", T.StringType()), T.StructField("score", T.DoubleType()),
+]))
+
+
+@F.pandas_udf(_BEST)
 def best_in_chunk(block: pd.Series, texts: pd.Series, ranks: pd.Series) -> pd.Series:
     """For each text of a block the best text of a chunk; the lower rank wins a tie."""
     rows = []
@@ -69,7 +81,6 @@ def best_in_chunk(block: pd.Series, texts: pd.Series, ranks: pd.Series) -> pd.Se
         for text in wanted:
             score = ratios([text] * len(offered), offered)
             pick = int(np.lexsort((order, -score))[0])
-            found.append({"text": text, "best": offered[pick], "rank": int(order[pick]),
-                          "score": float(score[pick])})
+            found.append({"text": text, "best": offered[pick], "score": float(score[pick])})
         rows.append(found)
     return pd.Series(rows, index=block.index)

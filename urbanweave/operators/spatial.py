@@ -210,8 +210,8 @@ def _nearest_by_grid(at: DataFrame, spots: DataFrame, point_id: str, size: float
         shifts = F.array(*[F.lit(k).cast("long") for k in (-1, 0, 1)])
         cells = spots
         for k in range(3):
-            cells = cells.withColumn(f"__c{k}", F.explode(F.transform(
-                shifts, lambda s, k=k: _cell(F.col(f"__s{k}"), size) + s)))
+            own = _cell(F.col(f"__s{k}"), size)
+            cells = cells.withColumn("__shift", F.explode(shifts)).withColumn(f"__c{k}", own + F.col("__shift"))
         placed = open_points.withColumns({f"__c{k}": _cell(F.col(f"__p{k}"), size) for k in range(3)})
         d2 = sum(((F.col(f"__p{k}") - F.col(f"__s{k}")) * (F.col(f"__p{k}") - F.col(f"__s{k}")) for k in range(3)),
                  F.lit(0.0))

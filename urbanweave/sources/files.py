@@ -41,7 +41,7 @@ def scan_delimited(spark: SparkSession, path: str, names: Sequence[str], sep: st
     lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path).select(
         "value", F.col("_metadata.file_path").alias("__file")
     )
-    fields = F.transform(F.split("value", F.lit(_literal_pattern(sep))), lambda f: F.trim(F.lit('"'), f))
+    fields = F.transform(F.split("value", F.lit(_literal_pattern(sep))), lambda f: F.trim(f, F.lit('"')))
     known = F.array(*[F.lit(n) for n in names])
     # A header line is one whose fields are mostly known column names.
     headers = lines.where(F.size(F.array_intersect(fields, known)) * 2 > F.least(F.size(fields), F.lit(len(names))))
