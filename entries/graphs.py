@@ -44,14 +44,13 @@ def graph_reach(t):
 
 
 @query("graph_reach_cycle", """
-    with recursive e as (select c_custkey as src, (c_custkey * 7 + 3) % (select count(*) from customer) as dst from customer),
-    reach(root, node) as (select src, dst from e where src % 50 = 1 union select root, dst from reach join e on src = node)
+    with recursive e as (select c_custkey as src, c_custkey - c_custkey % 10 + (c_custkey * 7 + 3) % 10 as dst from customer),
+    reach(root, node) as (select src, dst from e union select root, dst from reach join e on src = node)
     select root, node from reach""")
 def graph_reach_cycle(t):
-    count = t.customer.count()
-    edges = t.customer.select(F.col("c_custkey").alias("src"), F.lit("next").alias("rel"),
-                              ((F.col("c_custkey") * 7 + 3) % count).alias("dst"))
-    return graph.graph_reach(edges, t.customer.where("c_custkey % 50 = 1").select("c_custkey")).select("root", "node")
+    key = F.col("c_custkey")
+    edges = t.customer.select(key.alias("src"), F.lit("next").alias("rel"), (key - key % 10 + (key * 7 + 3) % 10).alias("dst"))
+    return graph.graph_reach(edges, t.customer.select("c_custkey")).select("root", "node")
 
 
 @query("merge_if_absent", """
@@ -67,12 +66,12 @@ def merge_if_absent(t):
 
 _SUPPLY = """
     e as (select 'c#' || c_custkey as space, 'p#' || c_custkey as point, case when c_acctbal > 2000 then 'gas' else 'power' end as utility,
-                 'n#' || c_nationkey as unit, c_nationkey, c_custkey from customer)"""
+                 c_mktsegment, c_nationkey from customer)"""
 
 
 @query("link_contracts", f"""
-    with {_SUPPLY}, hit as (select point from e join nation on n_nationkey = c_nationkey where n_regionkey = 1 and utility = 'power')
-    select point as src, 'contracted' as rel, point || '_tariff' as dst from hit where cast(split_part(point, '#', 2) as bigint) % 3 > 0
+    with {_SUPPLY}, hit as (select point, c_mktsegment from e join nation on n_nationkey = c_nationkey where n_regionkey = 1 and utility = 'power')
+    select point as src, 'contracted' as rel, point || '_tariff' as dst from hit where c_mktsegment <> 'MACHINERY'
     union all select point || '_tariff', 'tariff', 't#default' from hit""")
 def link_contracts(t):
     def link(df, a, rel, b):
@@ -86,7 +85,7 @@ def link_contracts(t):
         .union(link(t.customer, key("b#", "c_custkey"), "space", key("c#", "c_custkey")))
         .union(link(t.customer, key("c#", "c_custkey"), "point", point))
         .union(link(t.customer, point, "utility", F.when(F.col("c_acctbal") > 2000, "gas").otherwise("power")))
-        .union(link(t.customer.where("c_custkey % 3 = 0"), point, "contracted", F.concat(point, F.lit("_tariff"))))
+        .union(link(t.customer.where("c_mktsegment = 'MACHINERY'"), point, "contracted", F.concat(point, F.lit("_tariff"))))
     )
     names = {k: k for k in ("sub", "manages", "space", "point", "utility", "contracted", "tariff")}
     top = t.region.where("r_regionkey = 1").select(F.concat(F.lit("r#"), "r_regionkey").alias("root"))

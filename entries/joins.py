@@ -80,13 +80,13 @@ def join_matches(t):
 
 
 @query("postal_station_fallback", """
-    with s as (select s_suppkey * 3 as code, s_name from supplier where s_suppkey % 4 <> 1)
+    with s as (select s_suppkey * 3 as code, s_name from supplier)
     select c_custkey, coalesce(a.s_name, n.s_name, p.s_name) as station from customer
     left join s a on a.code = c_custkey
     left join s n on n.code = c_custkey + 1 and c_custkey % 10 <> 9
     left join s p on p.code = c_custkey - 1 and c_custkey % 10 <> 0""")
 def postal_station_fallback(t):
-    stations = t.supplier.where("s_suppkey % 4 <> 1").select((F.col("s_suppkey") * 3).cast("string").alias("code"), "s_name")
+    stations = t.supplier.select((F.col("s_suppkey") * 3).cast("string").alias("code"), "s_name")
     rows = t.customer.select("c_custkey", zero_pad(F.col("c_custkey"), 5).alias("postal"))
     return lookups.postal_station_fallback(rows, stations, "postal", "code", ["s_name"]).select(
         "c_custkey", F.col("s_name").alias("station"))
@@ -152,11 +152,11 @@ def pick_by_source_priority(t):
 
 
 @query("upsert_by_key", """
-    select o_orderkey, case when o_orderkey % 3 = 0 then 'new' else o_orderstatus end as status from orders
-    where o_orderkey % 2 = 0 or o_orderkey % 3 = 0""")
+    select o_orderkey, case when o_orderstatus = 'F' then 'new' else o_orderstatus end as status from orders
+    where o_orderpriority <> '5-LOW' or o_orderstatus = 'F'""")
 def upsert_by_key(t):
-    base = t.orders.where("o_orderkey % 2 = 0").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.lit(0).alias("seq"))
-    batch = t.orders.where("o_orderkey % 3 = 0").select(
+    base = t.orders.where("o_orderpriority <> '5-LOW'").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.lit(0).alias("seq"))
+    batch = t.orders.where("o_orderstatus = 'F'").select(
         "o_orderkey", F.explode(F.array(F.struct(F.lit("old").alias("status"), F.lit(1).alias("seq")),
                                         F.struct(F.lit("new").alias("status"), F.lit(2).alias("seq")))).alias("v")
     ).select("o_orderkey", "v.status", "v.seq")

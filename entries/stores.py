@@ -17,13 +17,13 @@ _ORDERS = ["o_custkey", "o_orderstatus", "o_totalprice"]
 
 @query("scan_delimited", """
     select o_orderkey as row_in_file, o_custkey::varchar as o_custkey, o_orderstatus,
-           case when o_orderkey % 2 = 0 then o_totalprice::varchar end as o_totalprice from orders""")
+           case when o_orderstatus <> 'F' then o_totalprice::varchar end as o_totalprice from orders""")
 def scan_delimited(t):
     path = scratch_path(t.spark, "tsv")
     text = t.orders.select(F.col("o_orderkey").alias("_c0"), *[F.col(c).cast("string") for c in _ORDERS])
     # Two layouts in one folder: reordered columns, and one column missing.
-    files.write_extract(text.where("_c0 % 2 = 0").select("_c0", "o_totalprice", "o_custkey", "o_orderstatus"), f"{path}/even", sep="\t")
-    files.write_extract(text.where("_c0 % 2 = 1").drop("o_totalprice"), f"{path}/odd", sep="\t")
+    files.write_extract(text.where("o_orderstatus <> 'F'").select("_c0", "o_totalprice", "o_custkey", "o_orderstatus"), f"{path}/full", sep="\t")
+    files.write_extract(text.where("o_orderstatus = 'F'").drop("o_totalprice"), f"{path}/short", sep="\t")
     return files.scan_delimited(t.spark, path, _ORDERS, mixed_layouts=True).drop("file_path")
 
 

@@ -59,8 +59,8 @@ def unpivot_rest(df: DataFrame, ids: Sequence[str], name: str = "date", value: s
 
 
 def not_equal_keep_null(df: DataFrame, column: str, value) -> DataFrame:
-    """Drop rows that hold ``value``; rows with null stay."""
-    return df.where(~F.col(column).eqNullSafe(F.lit(value)))
+    """Drop rows that hold ``value`` (taken as the column's type); rows with null stay."""
+    return df.where(~F.col(column).eqNullSafe(F.lit(value).cast(df.schema[column].dataType)))
 
 
 def columns_agree(df: DataFrame, left: str, right: str) -> DataFrame:

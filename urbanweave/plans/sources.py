@@ -1,7 +1,8 @@
 """The sources end to end: raw tables in, triples and harmonised series out.
 
-Each function only declares a plan. Frames that feed both outputs are small next to the raw input; persist
-or write them first if both outputs are taken and the input is large.
+Plans are lazy, but for the fuzzy match and for measured cadastre features: those are checkpointed in the
+shared folder, since points and shapes are both made from them. Where triples and series are both taken from
+a large raw input, write or persist the cleaned frame first.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from urbanweave.operators import lookups, mapping, reshape, spatial
 from urbanweave.operators.dedup import dedup_keep_first, dedup_keep_last
 from urbanweave.operators.fuzzy import fuzzy_best_match, match_one_to_one
 from urbanweave.plans import mappings as M
+from urbanweave.session import cut_lineage
 from urbanweave.sources.store import series_rows
 
 
@@ -202,7 +204,8 @@ def _measured_in_city(layers: Sequence[DataFrame], city: DataFrame, size: float)
     })
     inside = spatial.spatial_filter(merged, city, "gml_id", "parts", "parts", size)
     measured = spatial.polygon_measures(inside, "parts")
-    return _with_properties(measured, area=F.col("area"), perimeter=F.col("perimeter")).drop("area", "perimeter")
+    measured = _with_properties(measured, area=F.col("area"), perimeter=F.col("perimeter"))
+    return cut_lineage(measured.drop("area", "perimeter", "gml_id"))
 
 
 def _centroid_points(areas: DataFrame) -> DataFrame:
