@@ -120,7 +120,7 @@ _ANNUAL_SQL = """
 
 @query("harmonise_annual_building", f"""
     with {_ANNUAL_SQL}
-    select property, (1483228800 // 10000000) % 20 as bucket, device, 1483228800 as start, 1483228800 + 365 * 86400 as "end", true as "isReal", value
+    select property, (1483228800 // 10000000) % 20::bigint as bucket, device, 1483228800::bigint as start, (1483228800 + 365 * 86400)::bigint as "end", true as "isReal", value
     from (select 'EnergyConsumptionGridElectricity' as property, sha256(ref || '-Electricity') as device, o_totalprice / 1000 * m2 as value from k
           union all select 'EnergyConsumptionGas', sha256(ref || '-Gas'), o_totalprice / 500 * m2 from k)""")
 def harmonise_annual_building(t):
@@ -145,10 +145,10 @@ def _counted(triples: DataFrame) -> DataFrame:
 
 @query("harmonise_address_matching", """
     select p_partkey as meter, case when p_size <> 7 then p_partkey end as place,
-           case when p_size <> 7 then 'street ' || p_name || ' ' || (p_partkey * 7919 % 100003) end as match from part where p_size <> 5""")
+           case when p_size <> 7 then 'street ' || p_name || ' ' || (p_partkey * 7919 % 100003 + 1) end as match from part where p_size <> 5""")
 def harmonise_address_matching(t):
     """Every part is a meter with a street typo; parts of one size are missing from the register, others have number 0."""
-    number = F.col("p_partkey") * 7919 % 100003
+    number = F.col("p_partkey") * 7919 % 100003 + 1
     meters = t.part.select(
         F.col("p_partkey").alias("meter"), F.lit("street").alias("STREET_TYPE__C"),
         F.replace("p_name", F.lit("d"), F.lit("")).alias("STREET_DESCRIPTION__C"),
@@ -196,19 +196,19 @@ def _vegetation(t) -> sources.Harmonised:
     """One building per line item; zones from four of its numbers, one of them missing at times."""
     return sources.vegetation(t.lineitem.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("reference"), F.col("l_shipdate").alias("beginning"),
-        (F.col("l_quantity") - 3).alias("HISTO_-0.02"), F.col("l_extendedprice").alias("HISTO_0.2"),
+        (F.greatest(F.col("l_quantity") - 30, F.lit(0.0)) + 0.7).alias("HISTO_-0.02"), F.col("l_extendedprice").alias("HISTO_0.2"),
         F.nullif("l_linenumber", F.lit(2)).cast("double").alias("HISTO_0.3"), (F.col("l_tax") * 100).alias("HISTO_0.5"),
         F.col("l_suppkey").cast("double").alias("HISTO_0.74")))
 
 
 _VEGETATION_SQL = """
-    z as (select l_orderkey || '-' || l_linenumber || '-' || l_partkey as reference, trunc(l_quantity - 3)::bigint as darker,
+    z as (select l_orderkey || '-' || l_linenumber || '-' || l_partkey as reference, trunc(greatest(l_quantity - 30, 0) + 0.7)::bigint as darker,
                  coalesce(nullif(l_linenumber, 2), 0)::bigint as medium, trunc(l_tax * 100)::bigint as light, l_suppkey as lighter from lineitem)"""
 
 
 @query("harmonise_vegetation", f"""
     with {_VEGETATION_SQL}, w as (select *, nullif(darker + medium + light + lighter, 0) as total from z)
-    select (1640995200 // 10000000) % 20 as bucket, sha256(reference || '-ndvi') as device, 1640995200 as start, 1640995200 + 365 * 86400 as "end",
+    select (1640995200 // 10000000) % 20::bigint as bucket, sha256(reference || '-ndvi') as device, 1640995200::bigint as start, (1640995200 + 365 * 86400)::bigint as "end",
            round(darker / total * 100, 6) as darker, round(0 / total * 100, 6) as dark, round(medium / total * 100, 6) as medium,
            round(light / total * 100, 6) as light, round(lighter / total * 100, 6) as lighter from w""")
 def harmonise_vegetation(t):

@@ -53,27 +53,43 @@ def _cross(edge: Column, x0: Column, y0: Column) -> Column:
     return (edge.x1 - x0) * (edge.y2 - y0) - (edge.x2 - x0) * (edge.y1 - y0)
 
 
-def ring_moments(ring: Column) -> Column:
-    """Unsigned area and first moments of a ring, taken about its first point to keep digits."""
+_MOMENTS = ("area", "mx", "my")
+
+
+def _add(total: Column, item: Column) -> Column:
+    return F.struct(*[(total[name] + item[name]).alias(name) for name in _MOMENTS])
+
+
+def _zero() -> Column:
+    return F.struct(*[F.lit(0.0).alias(name) for name in _MOMENTS])
+
+
+def ring_moments(ring: Column, sign: Column) -> Column:
+    """Area and first moments of a ring times ``sign``, in one pass and taken about its first point to keep digits."""
     start = F.element_at(ring, 1)
     x0, y0 = F.get(start, 0), F.get(start, 1)
-    lines = ring_edges(ring)
-    twice = _sum(lines, lambda e: _cross(e, x0, y0))
-    sign = F.when(twice < 0, -1.0).otherwise(1.0)
-    mx = _sum(lines, lambda e: (e.x1 + e.x2 - x0 * 2) * _cross(e, x0, y0)) / 6 * sign
-    my = _sum(lines, lambda e: (e.y1 + e.y2 - y0 * 2) * _cross(e, x0, y0)) / 6 * sign
-    area = F.abs(twice) / 2
-    return F.struct(area.alias("area"), (mx + x0 * area).alias("mx"), (my + y0 * area).alias("my"))
 
+    def step(total: Column, e: Column) -> Column:
+        cross = _cross(e, x0, y0)
+        return F.struct((total.area + cross / 2).alias("area"), (total.mx + (e.x1 + e.x2 - x0 * 2) * cross / 6).alias("mx"),
+                        (total.my + (e.y1 + e.y2 - y0 * 2) * cross / 6).alias("my"))
 
-def _less_holes(rings: Column, field: str) -> Column:
-    """The border's value minus the values of the holes."""
-    values = F.transform(rings, lambda ring: ring_moments(ring)[field])
-    return F.element_at(values, 1) * 2 - _sum(values, lambda value: value)
+    def finish(total: Column) -> Column:
+        turn = F.when(total.area < 0, -sign).otherwise(sign)
+        return F.struct((turn * total.area).alias("area"), (turn * (total.mx + x0 * total.area)).alias("mx"),
+                        (turn * (total.my + y0 * total.area)).alias("my"))
+
+    return F.aggregate(ring_edges(ring), _zero(), step, finish)
+
+
+def part_moments(rings: Column) -> Column:
+    """``(area, mx, my)`` of one part: the border's less those of the holes."""
+    signed = F.transform(rings, lambda ring, i: ring_moments(ring, F.when(i == 0, 1.0).otherwise(-1.0)))
+    return F.aggregate(signed, _zero(), _add)
 
 
 def area(parts: Column) -> Column:
-    return _sum(parts, lambda rings: _less_holes(rings, "area"))
+    return _sum(parts, lambda rings: part_moments(rings)["area"])
 
 
 def perimeter(parts: Column) -> Column:
@@ -81,14 +97,6 @@ def perimeter(parts: Column) -> Column:
     return _sum(edges(parts), lambda e: F.sqrt((e.x2 - e.x1) * (e.x2 - e.x1) + (e.y2 - e.y1) * (e.y2 - e.y1)))
 
 
-def part_centroid(rings: Column) -> Column:
-    """Centroid of one part as ``[x, y]``; null for a part without area."""
-    total = _less_holes(rings, "area")
-    return F.when(
-        total > 0, F.array(_less_holes(rings, "mx") / total, _less_holes(rings, "my") / total)
-    )
-
-
 def crosses_right(edge: Column, x: Column, y: Column) -> Column:
     """Does the ray from ``(x, y)`` to the right cross the edge?"""
     at = edge.x1 + F.try_divide((edge.x2 - edge.x1) * (y - edge.y1), edge.y2 - edge.y1)

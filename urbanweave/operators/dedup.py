@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from urbanweave.session import settle
+
 _RANK = "__rank"
 
 
@@ -52,7 +54,7 @@ def pick_by_source_priority(df: DataFrame, entity: Sequence[str], source: str, p
     rank = F.coalesce(F.nullif(place, F.lit(0)), F.lit(len(priorities) + 1))
     key = F.struct(rank.alias("rank"), *[F.col(c) for c in tie])
     keyed = df.withColumn("__key", key)
-    best = keyed.groupBy(*entity).agg(F.min("__key").alias("__best"))
+    best = settle(keyed.groupBy(*entity).agg(F.min("__key").alias("__best")))
     return (
         keyed.join(best, list(entity), "left")
         .withColumn(flag, F.coalesce(F.col("__key") == F.col("__best"), F.lit(False)))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from urbanweave.functions.similarity import best_in_chunk, indel_ratio
 from urbanweave.operators.dedup import first_per_key, number_within
-from urbanweave.session import cut_lineage
+from urbanweave.session import cut_lineage, settle
 
 _PAD = "\u0001"
 _EPS = 1e-9
@@ -75,9 +75,9 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
     long_enough = _max_edits_column(F.length("text"), threshold) >= 1
     left_grams = _grams(left.where(long_enough), width)
     right_grams = _grams(right.where(long_enough), width)
-    frequency = left_grams.select("gram").unionByName(right_grams.select("gram")).groupBy("gram").agg(
+    frequency = settle(left_grams.select("gram").unionByName(right_grams.select("gram")).groupBy("gram").agg(
         F.count(F.lit(1)).alias("n")
-    )
+    ))
     a = _rarest(left_grams, frequency, width, threshold).withColumnRenamed("text", "left_text")
     b = _rarest(right_grams, frequency, width, threshold).withColumnRenamed("text", "right_text")
     allowed = F.floor(
@@ -90,7 +90,7 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
         F.levenshtein("left_text", "right_text") <= allowed
     )
     candidates = (
-        a.join(b, "gram").where((F.col("left_text") != F.col("right_text")) & (gap <= allowed) & near)
+        a.join(b.hint("merge"), "gram").where((F.col("left_text") != F.col("right_text")) & (gap <= allowed) & near)
         .select("left_text", "right_text").distinct()
     )
     scored = candidates.withColumn("score", indel_ratio("left_text", "right_text"))
@@ -169,7 +169,7 @@ def fuzzy_best_match(left: DataFrame, right: DataFrame, left_on: str, right_on:
 
 
 def match_one_to_one(left: DataFrame, right: DataFrame, left_id: str, left_text: str, right_id: str,
-                     right_text: str, threshold: float = 97.0, shards: int = 64) -> DataFrame:
+                     right_text: str, threshold: float = 97.0, shards: int = 1024) -> DataFrame:
     """Pair rows one to one by text similarity: ``(left_id, right_id, score)``.
 
     Pairs of at least ``threshold`` are taken greedily, best score first, then left text, then right text.

@@ -1,7 +1,7 @@
 """Dictionary lookups and joins.
 
-No join carries a broadcast hint: Spark broadcasts a side only when its known or measured size is below
-``spark.sql.autoBroadcastJoinThreshold``, and otherwise shuffles with skewed partitions split by AQE.
+Plain tables are left to Spark, which broadcasts a side below ``spark.sql.autoBroadcastJoinThreshold`` and
+otherwise shuffles, with skewed partitions split by AQE. Derived sides are measured first (``settle``).
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from urbanweave.functions.text import compose_key, zero_pad
 from urbanweave.operators.dedup import dedup_keep_last, first_per_key
+from urbanweave.session import settle
 
 
 def semi_join_known(df: DataFrame, known: DataFrame, on: str, known_on: str | None = None) -> DataFrame:
@@ -25,8 +26,8 @@ def _entries(dictionary: DataFrame, key: Column, value: Column, order: Sequence[
     """Dictionary with one value per key; the last of ``order`` wins. Without an order, keys must be unique."""
     columns = dictionary.select(key.alias("__key"), value.alias("__value"), *[F.col(c).alias(f"__o_{c}") for c in order])
     if order:
-        columns = dedup_keep_last(columns, ["__key"], [f"__o_{c}" for c in order])
-    return columns.select("__key", "__value")
+        return settle(dedup_keep_last(columns, ["__key"], [f"__o_{c}" for c in order]).select("__key", "__value", F.lit(True).alias("__hit")))
+    return columns.select("__key", "__value", F.lit(True).alias("__hit"))
 
 
 def lookup(df: DataFrame, dictionary: DataFrame, on: Column, key: str | Column, value: str, out: str,
@@ -37,7 +38,7 @@ def lookup(df: DataFrame, dictionary: DataFrame, on: Column, key: str | Column,
     ``'reject'`` keeps only the rows without a match (to be stored aside), ``'drop'`` only those with one.
     """
     key = F.col(key) if isinstance(key, str) else key
-    entries = _entries(dictionary, key, F.col(value), order).withColumn("__hit", F.lit(True))
+    entries = _entries(dictionary, key, F.col(value), order)
     marked = df.withColumn("__on", on)
     if on_missing == "reject":
         return marked.join(entries, F.col("__on") == F.col("__key"), "left_anti").drop("__on")

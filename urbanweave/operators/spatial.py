@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanweave.functions import geometry as G
-from urbanweave.session import cut_lineage
+from urbanweave.session import cut_lineage, settle
 
 #: Mean Earth radius in kilometres.
 EARTH_KM = 6371.0088
@@ -73,10 +73,10 @@ def spatial_join_within(points: DataFrame, zones: DataFrame, x: str, y: str, par
     """Attributes of every zone a point lies in; points outside all zones keep nulls (``how='left'``).
 
     ``size`` is the cell width: about the width of a small zone is a good choice. A point exactly on a
-    border may fall on either side.
+    border may fall on either side. The zone cells are written and measured before the join (``settle``).
     """
     keep = list(attributes) if how not in ("left_semi", "left_anti") else []
-    cells = ray_cells(zones, keep, parts, size).withColumnsRenamed({"cx": "__zx", "cy": "__zy"})
+    cells = settle(ray_cells(zones, keep, parts, size).withColumnsRenamed({"cx": "__zx", "cy": "__zy"}))
     placed = points.withColumns({"__px": _cell(F.col(x), size), "__py": _cell(F.col(y), size)})
     condition = (
         (F.col("__px") == F.col("__zx")) & (F.col("__py") == F.col("__zy"))
@@ -94,7 +94,7 @@ def spatial_filter(features: DataFrame, zones: DataFrame, feature_id: str, parts
     """
     zone = zones.select(F.col(zone_parts).alias("__zone_parts"))
     mine = border_cells(features, [feature_id], parts, size).withColumnRenamed("__lines", "__mine")
-    theirs = border_cells(zone, [], "__zone_parts", size)
+    theirs = settle(border_cells(zone, [], "__zone_parts", size))
     meets = F.exists("__mine", lambda a: F.exists("__lines", lambda b: G.segments_meet(a, b)))
     touching = mine.join(
         theirs, (mine["cx"] == theirs["cx"]) & (mine["cy"] == theirs["cy"]) & meets, "left_semi"
@@ -124,10 +124,10 @@ def polygon_measures(df: DataFrame, parts: str) -> DataFrame:
 def polygon_centroid(df: DataFrame, parts: str, x: str = "x", y: str = "y") -> DataFrame:
     """One row per part with its centroid and its number ``part``."""
     exploded = df.select("*", F.posexplode(parts).alias("part", "__rings"))
-    centre = G.part_centroid(F.col("__rings"))
-    return exploded.withColumn("__c", centre).withColumns(
-        {x: F.get("__c", 0), y: F.get("__c", 1)}
-    ).drop("__rings", "__c")
+    moments = exploded.withColumn("__m", G.part_moments(F.col("__rings")))
+    return moments.withColumns({
+        x: F.try_divide("__m.mx", "__m.area"), y: F.try_divide("__m.my", "__m.area"),
+    }).drop("__rings", "__m")
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

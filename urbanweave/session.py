@@ -7,10 +7,13 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-#: Settings every job of this library relies on. All times are stored as UTC instants, and AQE does the
-#: run-time work: it turns a join into a broadcast join only after the side was measured, and splits skewed
-#: partitions.
+#: Largest side, in bytes of its JSON text, that is broadcast after it was measured.
+BROADCAST_LIMIT = 32 * 1024 * 1024
+
+#: Settings every job of this library relies on: times are UTC instants, and AQE merges small partitions and splits
+#: skewed ones.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -59,3 +62,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so that later rounds neither recompute nor depend on one executor."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def settle(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """The smaller side of a join, written once and measured: broadcast within ``limit``, never beyond it.
+
+    Spark's own estimate is no bound for a side that was exploded. A larger side is joined by sort-merge; as
+    it is read back from the shared folder, its exchange feeds the join directly, which is what AQE needs to
+    split skewed partitions of the other side.
+    """
+    saved = cut_lineage(df)
+    size = saved.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(saved) if size <= limit else saved.hint("merge")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from urbanweave.functions.geometry import parse_parts, parse_point
 from urbanweave.operators.reshape import quoted, union_by_name
+from urbanweave.session import settle
 
 #: Most different header lines a folder may hold; more point to files of another kind.
 LAYOUT_LIMIT = 50
@@ -48,11 +49,14 @@ def scan_delimited(spark: SparkSession, path: str, names: Sequence[str], sep: st
     layouts = headers.select("value").distinct().limit(LAYOUT_LIMIT + 1).collect()
     if len(layouts) > LAYOUT_LIMIT:
         raise ValueError(f"more than {LAYOUT_LIMIT} different headers below {path}")
+    if len(layouts) == 1:
+        columns = [c.strip('"') for c in layouts[0][0].split(sep)]
+        return read(["_c0", *columns[1:]] if row_number else columns)
     parts = []
     for (header,) in layouts:
         columns = [c.strip('"') for c in header.split(sep)]
         columns = ["_c0" if position == 0 and row_number else c for position, c in enumerate(columns)]
-        files = headers.where(F.col("value") == header).select("__file").distinct()
+        files = settle(headers.where(F.col("value") == header).select("__file").distinct())
         # Header checks would stop at the other layouts' files, which the semi-join leaves out.
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
         raw = (
