@@ -30,7 +30,7 @@ _HOURLY_SQL = """
 
 
 def _hourly(t) -> tuple[DataFrame, DataFrame]:
-    """Raw meter rows (all text, one row per day with 24 hours) and the tariff dictionary."""
+    """Raw meter rows (one per day, with 24 hours side by side) and the tariff dictionary."""
     day = F.col("l_shipdate")
     tie = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
     raw = t.lineitem.select(
@@ -39,7 +39,7 @@ def _hourly(t) -> tuple[DataFrame, DataFrame]:
         zero_pad(F.col("l_suppkey") % 42, 5).alias("postalCode"), F.col("l_linestatus").alias("fare"),
         F.concat(F.lit("t"), F.col("l_linenumber") % 3).alias("timeDiscrimination"), F.lit(None).cast("string").alias("measurePointType"),
         F.col("l_returnflag").alias("economicSector"), F.nullif("l_linenumber", F.lit(4)).cast("string").alias("distributor"),
-        *[(F.col("l_quantity") + F.col("l_discount") * k).cast("string").alias(f"mi{k}") for k in range(1, 26)], *tie)
+        *[(F.col("l_quantity") + F.col("l_discount") * k).alias(f"mi{k}") for k in range(1, 26)], *tie)
     key = ["economicSector", "timeDiscrimination", "fare"]
     dictionary = raw.select(*key).distinct().select(
         F.concat_ws("~", *key).alias("SOURCE"), F.concat_ws("-", "fare", "timeDiscrimination").alias("Tariff"),

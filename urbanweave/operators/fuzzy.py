@@ -18,6 +18,8 @@ from urbanweave.session import cut_lineage, settle
 
 _PAD = "\u0001"
 _EPS = 1e-9
+#: Up to this many edits, candidates must share two rare grams instead of one (at most 55 keys per text).
+PAIR_EDITS = 3
 
 
 def _max_edits(length: int, threshold: float) -> int:
@@ -52,15 +54,37 @@ def _grams(texts: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _rarest(grams: DataFrame, frequency: DataFrame, width: int, threshold: float) -> DataFrame:
-    """The prefix of each text: its rarest grams, as many as one edit more than allowed can touch."""
+def _two_gram_keys(threshold: float, width: int) -> bool:
+    """Do texts within the threshold always share two grams, for up to ``PAIR_EDITS`` edits?"""
+    return all(n + width - 1 - width * min(_max_edits(n, threshold), PAIR_EDITS) >= 2 for n in range(1, 2000))
+
+
+def _join_keys(grams: DataFrame, frequency: DataFrame, width: int, threshold: float) -> DataFrame:
+    """Join keys ``(text, key)`` out of the rarest grams of each text.
+
+    ``e`` edits touch at most ``width * e`` grams, so two texts share one of their first ``width * e + 1``
+    grams, and two of their first ``width * e + 2``, in any common order; rarest first is the most telling.
+    Pairs that allow at most ``PAIR_EDITS`` edits meet on two grams at once, all others on one. A text has
+    keys of both kinds if its partners may fall on either side.
+    """
+    t = threshold / 100.0
     ordered = grams.join(frequency, "gram").groupBy("text").agg(
         F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("grams")
-    )
-    keep = _max_edits_column(F.length("text"), threshold) * width + 1
-    return ordered.select("text", F.explode(F.slice("grams", F.lit(1), keep.cast("int"))).alias("item")).select(
-        "text", F.col("item.gram").alias("gram")
-    )
+    ).withColumn("edits", _max_edits_column(F.length("text"), threshold).cast("int"))
+    two_limit = PAIR_EDITS if _two_gram_keys(threshold, width) else -1
+    least = _max_edits_column(F.length("text") * F.lit(t / (2 - t)), threshold)
+
+    def prefix(extra: int, edits: Column) -> Column:
+        return F.transform(F.slice("grams", F.lit(1), edits * width + extra), lambda item: item.gram)
+
+    def pairs(items: Column) -> Column:
+        return F.flatten(F.transform(items, lambda x, i: F.transform(
+            F.slice(items, i + 2, F.size(items)), lambda y: F.concat(x, F.lit(_PAD + _PAD), y))))
+
+    none = F.array().cast("array<string>")
+    singles = F.when(F.col("edits") > two_limit, prefix(1, F.col("edits"))).otherwise(none)
+    doubles = F.when(least <= two_limit, pairs(prefix(2, F.least("edits", F.lit(two_limit))))).otherwise(none)
+    return ordered.select("text", F.explode(F.concat(singles, doubles)).alias("key"))
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
@@ -78,8 +102,8 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
     frequency = settle(left_grams.select("gram").unionByName(right_grams.select("gram")).groupBy("gram").agg(
         F.count(F.lit(1)).alias("n")
     ))
-    a = _rarest(left_grams, frequency, width, threshold).withColumnRenamed("text", "left_text")
-    b = _rarest(right_grams, frequency, width, threshold).withColumnRenamed("text", "right_text")
+    a = _join_keys(left_grams, frequency, width, threshold).withColumnRenamed("text", "left_text")
+    b = _join_keys(right_grams, frequency, width, threshold).withColumnRenamed("text", "right_text")
     allowed = F.floor(
         (F.length("left_text") + F.length("right_text")) * F.lit(1 - threshold / 100.0) + F.lit(_EPS)
     ).cast("int")
@@ -90,7 +114,7 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
         F.levenshtein("left_text", "right_text") <= allowed
     )
     candidates = (
-        a.join(b.hint("merge"), "gram").where((F.col("left_text") != F.col("right_text")) & (gap <= allowed) & near)
+        a.join(b.hint("merge"), "key").where((F.col("left_text") != F.col("right_text")) & (gap <= allowed) & near)
         .select("left_text", "right_text").distinct()
     )
     scored = candidates.withColumn("score", indel_ratio("left_text", "right_text"))

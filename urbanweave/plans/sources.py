@@ -48,7 +48,8 @@ def hourly_postal(raw: DataFrame, dictionary: DataFrame, order: Sequence[str] =
     days = reshape.cast_columns(raw.drop("mi25"), HOURS).withColumn(
         "day", clock.assemble_timestamp(F.col("dataYear"), F.col("dataMonth"), F.col("dataDay"))
     ).where(F.col("day").isNotNull())
-    latest = dedup_keep_last(days, [*HOURLY_KEY, "day"], order)
+    # The day leads the key: sorts compare the first column by its prefix, and days differ more than regions.
+    latest = dedup_keep_last(days, ["day", *HOURLY_KEY], order)
     named = lookups.tariff_taxonomy(latest, dictionary, ["economicSector", "timeDiscrimination", "fare"],
                                     order=dictionary_order)
     series_key = ["postalCode", "economicSector", "tariff"]
@@ -56,9 +57,11 @@ def hourly_postal(raw: DataFrame, dictionary: DataFrame, order: Sequence[str] =
         *[F.coalesce(F.sum(hour), F.lit(0.0)).alias(hour) for hour in HOURS]
     )
     device = text.device_hash(text.compose_key(*series_key), "-Electricity")
-    hours = reshape.unpivot_periods(
-        sums.withColumn("electricityDeviceId", device), ["electricityDeviceId", *series_key, "day"], HOURS, "hour"
-    ).withColumn("local", F.col("day") + F.make_dt_interval(hours=text.period_index(F.col("hour"))))
+    # The id is made before the hours are expanded, or it would be hashed 24 times. The place in the array is
+    # the hour, so no column name has to be taken apart per row.
+    hours = sums.withColumn("electricityDeviceId", device).select(
+        "electricityDeviceId", "day", F.posexplode(F.array(*HOURS)).alias("hour", "value")
+    ).withColumn("local", F.timestamp_add("HOUR", F.col("hour"), F.col("day")))
     hours = hours.where(~clock.is_clock_change(F.col("local"))).withColumn(
         "instant", clock.localise(F.col("local"), zone))
     rows = series_rows(hours, F.col("electricityDeviceId"), F.col("instant"), "PT1H", F.col("value"))
