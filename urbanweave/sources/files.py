@@ -25,19 +25,20 @@ def scan_delimited(spark: SparkSession, path: str, names: Sequence[str], sep: st
     differs therefore fails here, unless ``mixed_layouts`` is set: then the headers are read first, each
     layout is scanned with its own schema, and missing columns become null.
     """
-    def read(columns: Sequence[str]) -> DataFrame:
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    def read(columns: Sequence[str], checked: bool) -> DataFrame:
+        # The header check compares names, so the row number keeps its empty name while files are read.
+        schema = T.StructType([T.StructField("" if c == row_number else c, T.StringType()) for c in columns])
         raw = (
-            spark.read.schema(schema).option("sep", sep).option("header", True).option("enforceSchema", False)
-            .option("recursiveFileLookup", True).option("pathGlobFilter", glob).csv(path)
+            spark.read.schema(schema).option("sep", sep).option("header", True).option("enforceSchema", not checked)
+            .option("recursiveFileLookup", True).option("pathGlobFilter", glob).csv(path).toDF(*columns)
         )
+        number = [F.col(row_number).cast("long").alias(row_number)] if row_number else []
         kept = [quoted(c) for c in columns if c in names]
-        number = [quoted(columns[0]).cast("long").alias(row_number)] if row_number else []
         return raw.select(*kept, *number, F.col("_metadata.file_path").alias("file_path"))
 
-    lead = ["_c0"] if row_number else []
+    lead = [row_number] if row_number else []
     if not mixed_layouts:
-        return read([*lead, *names])
+        return read([*lead, *names], checked=True)
 
     lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path).select(
         "value", F.col("_metadata.file_path").alias("__file")
@@ -49,24 +50,16 @@ def scan_delimited(spark: SparkSession, path: str, names: Sequence[str], sep: st
     layouts = headers.select("value").distinct().limit(LAYOUT_LIMIT + 1).collect()
     if len(layouts) > LAYOUT_LIMIT:
         raise ValueError(f"more than {LAYOUT_LIMIT} different headers below {path}")
-    if len(layouts) == 1:
-        columns = [c.strip('"') for c in layouts[0][0].split(sep)]
-        return read(["_c0", *columns[1:]] if row_number else columns)
     parts = []
     for (header,) in layouts:
         columns = [c.strip('"') for c in header.split(sep)]
-        columns = ["_c0" if position == 0 and row_number else c for position, c in enumerate(columns)]
-        files = settle(headers.where(F.col("value") == header).select("__file").distinct())
-        # Header checks would stop at the other layouts' files, which the semi-join leaves out.
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        raw = (
-            spark.read.schema(schema).option("sep", sep).option("header", True).option("enforceSchema", True)
-            .option("recursiveFileLookup", True).option("pathGlobFilter", glob).csv(path)
-        )
-        number = [quoted(columns[0]).cast("long").alias(row_number)] if row_number else []
-        own = raw.select(*[quoted(c) for c in columns if c in names], *number,
-                         F.col("_metadata.file_path").alias("file_path"))
-        parts.append(own.join(files, own["file_path"] == files["__file"], "left_semi"))
+        columns = [*lead, *columns[len(lead):]]
+        rows = read(columns, checked=False)
+        if len(layouts) > 1:
+            # Each layout is read from all files, and only the files with that header are kept.
+            files = settle(headers.where(F.col("value") == header).select("__file").distinct())
+            rows = rows.join(files, rows["file_path"] == files["__file"], "left_semi")
+        parts.append(rows)
     return union_by_name(parts)
 
 

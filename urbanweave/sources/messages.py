@@ -52,9 +52,8 @@ def plan_missing_partitions(ids: DataFrame, existing: DataFrame, id_col: str, st
     """
     first = F.lit(start.isoformat()).cast("date")
     stop = F.date_sub(F.lit(end.isoformat()).cast("date"), 1)
-    months = ids.select(id_col).distinct().where(F.lit(start < end)).select(
-        id_col, F.explode(F.sequence(first, stop, F.expr("interval 1 month"))).alias("first_day")
-    )
+    span = F.sequence(first, stop, F.expr("interval 1 month")) if start < end else F.array().cast("array<date>")
+    months = ids.select(id_col).distinct().select(id_col, F.explode(span).alias("first_day"))
     planned = months.select(
         id_col, F.date_format("first_day", "yyyy-MM").alias("month"), "first_day",
         F.date_sub(F.add_months("first_day", 1), 1).alias("last_day"),
