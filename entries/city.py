@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from entries.registry import query
 from entries.shapes import rectangle
 from urbanweave.functions.text import device_hash, zero_pad
+from urbanweave.operators.dedup import dedup_keep_last
 from urbanweave.plans import sources
 from urbanweave.session import scratch_path
 from urbanweave.sources.messages import build_envelopes
@@ -174,7 +175,7 @@ def harmonise_monthly_address(t):
 
 
 def _monthly(t) -> sources.Harmonised:
-    months = [F.when((F.col("l_linenumber") + i) % 6 > 0, F.col("l_quantity") * i).cast("string").alias(f"CONSUMO_M{i}") for i in range(1, 13)]
+    months = [F.when((F.col("l_linenumber") + i) % 6 > 0, F.col("l_quantity") * i).alias(f"CONSUMO_M{i}") for i in range(1, 13)]
     table = t.lineitem.select(
         F.lit("08").alias("PROVINCE__C"), F.col("l_orderkey").cast("string").alias("NUM_CONTRATOS"),
         F.concat(F.lit("B"), F.nullif("l_partkey", F.lit(5))).alias("reference"), F.col("l_returnflag").alias("CODPOS"),
@@ -466,6 +467,4 @@ def harmonize_stream(t):
     router.harmonize_stream(stream, harmonise, ["device", "start"], ["event_id"], f"{folder}/table", f"{folder}/state").awaitTermination()
     # Files are not read in event order, so the table is read by event id before arrival.
     rows = t.spark.read.schema(schema).parquet(f"{folder}/table")
-    from urbanweave.operators.dedup import dedup_keep_last
-
     return dedup_keep_last(rows, ["device", "start"], ["event_id"]).select("device", "start", "end", "bucket", "value")

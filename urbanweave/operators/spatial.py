@@ -109,9 +109,12 @@ def spatial_filter(features: DataFrame, zones: DataFrame, feature_id: str, parts
     contained = spatial_join_within(
         corners(features, parts, [feature_id]), zone, "__x", "__y", "__zone_parts", [], size, "left_semi"
     ).select(feature_id)
-    containing = spatial_join_within(
-        corners(zone, "__zone_parts", []), features, "__x", "__y", parts, [feature_id], size, "inner"
-    ).select(feature_id)
+    # Zones are the smaller side, so their corners are what is written and measured, not the features' cells.
+    zone_corners = settle(corners(zone, "__zone_parts", []).select(
+        "__x", "__y", _cell(F.col("__x"), size).alias("__px"), _cell(F.col("__y"), size).alias("__py")))
+    containing = ray_cells(features, [feature_id], parts, size).join(
+        zone_corners, (F.col("cx") == F.col("__px")) & (F.col("cy") == F.col("__py"))
+        & G.inside(F.col("__lines"), F.col("__x"), F.col("__y")), "left_semi").select(feature_id)
     ids = touching.union(contained).union(containing).distinct().withColumnRenamed(feature_id, "__id")
     return features.join(ids, features[feature_id] == ids["__id"], "left_semi")
 

@@ -127,10 +127,11 @@ MONTHLY_DROPPED = ("Unnamed: 0", "PROVINCE__C", "PROVINCE_DESCRIPTION__C", "BORO
 def monthly_address(matched: DataFrame, year: int = 2023, resource: str = M.RESOURCE) -> Harmonised:
     """Monthly electricity of matched addresses; the months are columns of the given year."""
     dated = reshape.rename_months(matched.drop(*MONTHLY_DROPPED), year)
-    long = reshape.unpivot_rest(dated, [c for c in MONTHLY_IDS if c in dated.columns])
-    kept = reshape.drop_null_rows(long, ["value", "reference"]).withColumn(
-        "start", F.try_to_timestamp("date", F.lit("yyyy-MM-dd"))
-    ).withColumn("endesaId", text.device_hash(F.col("reference"), "-endesa"))
+    # Hashed before the months become rows, once per meter.
+    named = reshape.drop_null_rows(dated, ["reference"]).withColumn("endesaId", text.device_hash(F.col("reference"), "-endesa"))
+    long = reshape.unpivot_rest(named, [c for c in named.columns if c in MONTHLY_IDS or c == "endesaId"])
+    month = F.when(F.length("date") == 10, F.col("date").try_cast("date")).cast("timestamp")
+    kept = reshape.drop_null_rows(long, ["value"]).withColumn("start", month)
     # A column that is no month has no start; it makes no row of the series.
     rows = series_rows(kept.where(F.col("start").isNotNull()), F.col("endesaId"), F.col("start"), "P1M", F.col("value"))
     triples = mapping.apply_mapping({"endesa": kept}, M.monthly_address_mapping(resource))
