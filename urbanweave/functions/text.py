@@ -66,9 +66,14 @@ def path_list(value: Column, sep: str = "/") -> Column:
     return F.split(value, sep)
 
 
+# The two patterns of camel-case word borders.
+CAMEL_BORDERS = ("(.)([A-Z][a-z]+)", "([a-z0-9])([A-Z])")
+
+
 def camel_to_snake(value: Column) -> Column:
-    words = F.regexp_replace(value, "(.)([A-Z][a-z]+)", "$1_$2")
-    return F.lower(F.regexp_replace(words, "([a-z0-9])([A-Z])", "$1_$2"))
+    for border in CAMEL_BORDERS:
+        value = F.regexp_replace(value, border, "$1_$2")
+    return F.lower(value)
 
 
 def period_index(name: Column, prefix: str = "mi") -> Column:

@@ -69,17 +69,15 @@ def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], out:
     ``shard`` is an integer expression in ``[0, shards)``. Rows are numbered inside ``(key, shard)`` and
     shifted by the sizes of the shards before, which come from one small aggregate.
     """
-    sharded = df.withColumn("__shard", shard.cast("int"))
-    sizes = sharded.groupBy(*keys, "__shard").agg(F.count(F.lit(1)).alias("__size"))
-    before = Window.partitionBy(*keys).orderBy("__shard").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("__offset", F.coalesce(F.sum("__size").over(before), F.lit(0)))
-    local = Window.partitionBy(*keys, "__shard").orderBy(*order)
-    numbered = sharded.withColumn("__local", F.row_number().over(local))
-    same = [numbered[c].eqNullSafe(offsets[c]) for c in [*keys, "__shard"]]
-    condition = same[0]
-    for part in same[1:]:
-        condition = condition & part
-    columns = [numbered[c] for c in df.columns]
-    return numbered.join(offsets, condition, "inner").select(
-        *columns, (F.col("__local") + F.col("__offset")).cast("long").alias(out)
+    # The struct is never null, and its null fields equal each other; joined on it, both sides keep the
+    # partitioning their window and aggregate already have.
+    group = F.struct(*[F.col(k) for k in keys], shard.cast("int").alias("__shard"))
+    sharded = df.withColumn("__group", group)
+    sizes = sharded.groupBy("__group").agg(F.count(F.lit(1)).alias("__size"))
+    before = Window.partitionBy(*[F.col(f"__group.{k}") for k in keys]).orderBy("__group.__shard").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = sizes.select("__group", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
+    local = Window.partitionBy("__group").orderBy(*order)
+    return sharded.withColumn("__local", F.row_number().over(local)).join(offsets, "__group").select(
+        *[F.col(c) for c in df.columns], (F.col("__local") + F.col("__offset")).cast("long").alias(out)
     )

@@ -35,6 +35,8 @@ HOURS = [f"mi{hour}" for hour in range(1, 25)]
 # Columns that identify a reading of the hourly source, besides its time.
 HOURLY_KEY = ("municipality", "distributor", "measurePointType", "postalCode", "economicSector", "fare",
               "timeDiscrimination")
+# Columns of the tariff key, sector first.
+TARIFF_KEY = ["economicSector", "timeDiscrimination", "fare"]
 
 
 def hourly_postal(raw: DataFrame, dictionary: DataFrame, order: Sequence[str] = ("file_path", "row_in_file"),
@@ -50,8 +52,7 @@ def hourly_postal(raw: DataFrame, dictionary: DataFrame, order: Sequence[str] =
     ).where(F.col("day").isNotNull())
     # The day leads the key: sorts compare the first column by its prefix, and days differ more than regions.
     latest = dedup_keep_last(days, ["day", *HOURLY_KEY], order)
-    named = lookups.tariff_taxonomy(latest, dictionary, ["economicSector", "timeDiscrimination", "fare"],
-                                    order=dictionary_order)
+    named = lookups.tariff_taxonomy(latest, dictionary, TARIFF_KEY, order=dictionary_order)
     series_key = ["postalCode", "economicSector", "tariff"]
     sums = named.dropna(subset=series_key).groupBy(*series_key, "day").agg(
         *[F.coalesce(F.sum(hour), F.lit(0.0)).alias(hour) for hour in HOURS]
@@ -65,9 +66,12 @@ def hourly_postal(raw: DataFrame, dictionary: DataFrame, order: Sequence[str] =
     hours = hours.where(~clock.is_clock_change(F.col("local"))).withColumn(
         "instant", clock.localise(F.col("local"), zone))
     rows = series_rows(hours, F.col("electricityDeviceId"), F.col("instant"), "PT1H", F.col("value"))
-    devices = named.dropna(subset=series_key).select(*series_key).distinct().withColumns({
-        "electricityDeviceId": device, "economicSectorUri": text.path_list(F.col("economicSector")),
-    })
+    # Duplicates agree in these columns, so devices are found without the deduplication.
+    found = days.select("postalCode", *TARIFF_KEY).distinct()
+    devices = lookups.tariff_taxonomy(found, dictionary, TARIFF_KEY, order=dictionary_order).dropna(
+        subset=series_key).select(*series_key).distinct().withColumns({
+            "electricityDeviceId": device, "economicSectorUri": text.path_list(F.col("economicSector")),
+        })
     triples = mapping.apply_mapping({"consumptions": devices}, M.hourly_postal_mapping(resource), collapse=False)
     return Harmonised(triples, {"EnergyConsumptionGridElectricityDatadis": rows})
 
@@ -106,7 +110,7 @@ def address_matching(meters: DataFrame, register: DataFrame, meter_id: str, regi
     """
     kept = reshape.not_equal_keep_null(reshape.not_equal_keep_null(meters, "STREET_NUMBER__C", 0), "NUM_CONTRATOS", 0)
     kept = kept.withColumn("street", text.compose_key("STREET_TYPE__C", "STREET_DESCRIPTION__C", sep=" "))
-    streets = fuzzy_best_match(kept, register, "street", "street_name", register_order, "street_name_mapped")
+    streets = cut_lineage(fuzzy_best_match(kept, register, "street", "street_name", register_order, "street_name_mapped"))
     mapped = kept.join(streets.select("street", "street_name_mapped"), "street", "left").withColumn(
         "address_x", text.normalise_text("street_name_mapped", "STREET_NUMBER__C"))
     places = register.withColumn("address_y", text.normalise_text("street_name", "street_number"))

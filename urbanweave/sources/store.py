@@ -25,6 +25,7 @@ def series_rows(df: DataFrame, device: Column, start: Column, freq: str, value:
     )
 
 
+# Fixed value: format of table names.
 def table_name(layout: str, prop: str, freq: str, user: str) -> str:
     return f"harmonized_{layout}_{prop}_100_SUM_{freq}_{user}"
 
@@ -44,6 +45,8 @@ def write_dual_layout(rows: DataFrame, root: str, prop: str, freq: str, user: st
         columns = ["bucket", *keys]
         ranged = rows.repartitionByRange(partitions, *columns) if partitions else rows.repartitionByRange(*columns)
         ranged.sortWithinPartitions(*columns).write.mode(mode).partitionBy("bucket").parquet(paths[layout])
+        # The second layout is made from the first, not from the sources again.
+        rows = rows.sparkSession.read.schema(rows.schema).parquet(paths[layout])
     return paths
 
 
