@@ -44,10 +44,8 @@ def spatial_join_within(t):
       where n_regionkey = 2 and x > (n_nationkey % 5) * 200 and x < (n_nationkey % 5) * 200 + 230
         and y > (n_nationkey // 5) * 20 + 2 and y < (n_nationkey // 5) * 20 + 19)""")
 def spatial_filter_points(t):
-    zones = t.nation.where("n_regionkey = 2").select("n_nationkey").join(
-        t.nation.select("n_nationkey", "n_name"), "n_nationkey")
     x, y = (F.col("n_nationkey") % 5) * 200, F.floor(F.col("n_nationkey") / 5) * 20
-    areas = zones.select(rectangle(x, y + 2, x + 230, y + 19).alias("parts"))
+    areas = t.nation.where("n_regionkey = 2").select(rectangle(x, y + 2, x + 230, y + 19).alias("parts"))
     return spatial.spatial_join_within(_points(t), areas, "x", "y", "parts", [], 25.0, "left_semi").select(
         "l_orderkey", "l_linenumber", "l_partkey")
 

@@ -197,8 +197,9 @@ def match_one_to_one(left: DataFrame, right: DataFrame, left_id: str, left_text:
     """Pair rows one to one by text similarity: ``(left_id, right_id, score)``.
 
     Pairs of at least ``threshold`` are taken greedily, best score first, then left text, then right text.
-    Each round settles all pairs that are best for both sides. Texts carry their number of rows, so equal
-    rows are paired by number instead of forming all combinations.
+    Each round settles all pairs that are best for both sides; a chain of texts that all prefer the next one
+    takes a round per link. Texts carry their number of rows, so equal rows are paired by number instead of
+    forming all combinations.
     """
     a = left.select(F.col(left_id).alias("__lid"), F.col(left_text).alias("left_text")).dropna()
     b = right.select(F.col(right_id).alias("__rid"), F.col(right_text).alias("right_text")).dropna()

@@ -22,8 +22,8 @@ def scan_delimited(spark: SparkSession, path: str, names: Sequence[str], sep: st
 
     The first, unnamed column is the row number in the file and is returned as ``row_number`` (None: there
     is no such column). With an explicit schema Spark matches CSV by position; a file whose header
-    differs therefore fails here, unless ``mixed_layouts`` is set: then the headers are read first, each
-    layout is scanned with its own schema, and missing columns become null.
+    differs therefore fails here, unless ``mixed_layouts`` is set: then the headers are read first (one more
+    pass over the text), each layout is scanned with its own schema, and missing columns become null.
     """
     def read(columns: Sequence[str], checked: bool) -> DataFrame:
         # The header check compares names, so the row number keeps its empty name while files are read.
