@@ -145,7 +145,7 @@ def _counted(triples: DataFrame) -> DataFrame:
 
 
 @query("harmonise_address_matching", """
-    select p_partkey as meter, case when p_size <> 7 then p_partkey end as place,
+    select p_partkey as meter, case when p_size <> 7 then p_partkey::varchar end as place,
            case when p_size <> 7 then 'street ' || p_name || ' ' || (p_partkey * 7919 % 100003 + 1) end as match from part where p_size <> 5""")
 def harmonise_address_matching(t):
     """Every part is a meter with a street typo; parts of one size are missing from the register, others have number 0."""
@@ -160,7 +160,7 @@ def harmonise_address_matching(t):
     streets = t.part.select(F.lit(None).cast("bigint").alias("place"), F.concat_ws(" ", F.lit("street"), "p_name").alias("street_name"),
                             F.lit(None).cast("string").alias("street_number")).distinct()
     made = sources.address_matching(meters, register.unionByName(streets), "meter", "place")
-    return made.select("meter", "place", "match")
+    return made.select("meter", F.col("place").cast("string").alias("place"), "match")
 
 
 @query("harmonise_monthly_address", """

@@ -128,10 +128,10 @@ def numeric_suffix(t):
 
 
 @query("not_equal_keep_null", """
-    select l_orderkey, nullif(l_linenumber, 3) as number from lineitem where nullif(l_linenumber, 3) is distinct from 5""")
+    select l_orderkey, nullif(l_linenumber, 3)::varchar as number from lineitem where nullif(l_linenumber, 3) is distinct from 5""")
 def not_equal_keep_null(t):
     rows = t.lineitem.select("l_orderkey", F.nullif("l_linenumber", F.lit(3)).alias("number"))
-    return reshape.not_equal_keep_null(rows, "number", 5)
+    return reshape.not_equal_keep_null(rows, "number", 5).withColumn("number", F.col("number").cast("string"))
 
 
 @query("columns_agree", "select l_orderkey, l_linenumber, l_quantity from lineitem where l_linenumber = l_quantity")
