@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanweave.llm import decontamination, lines, passages
+from urbanweave.llm import decontamination, lines, packing, passages, sharding, warc
+from urbanweave.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_file(name: str) -> str:
+    """Where a public tokenizer's file lies: in the installed package, the same on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(key: str, sql: str | None = None):
     """Register ``function(read) -> DataFrame``, where ``read(name)`` gives a table, under ``key``."""
     def register(function):
@@ -93,3 +101,23 @@ from judged group by doc_id
 def line_query(read):
     kept = lines.drop_repeated_lines(read("documents"), counts=True)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op1_sharding")
+def sharding_query(read):
+    placed = sharding.shard_rows(read("documents"), shards=8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op6_packing")
+def packing_query(read):
+    return packing.pack(read("documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@query("op10_warc")
+def warc_query(read):
+    pages = read("pages")
+    path = scratch_path(pages.sparkSession, "warc")
+    marker = warc.write_archive(pages, path)
+    chunks = warc.read_chunks(pages.sparkSession, path, marker, payload=False)
+    return chunks.where("is_last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
