@@ -92,3 +92,13 @@ def test_warc(spark, db):
             assert row.record_type == "response" and np.isnan(row.refers_to)
         else:
             assert row.record_type == "revisit" and row.refers_to == keeper
+
+
+def test_quality(spark, db):
+    got = run(spark, "op2_quality").set_index("doc_id")
+    labels = dict(db.execute("select doc_id, quality from labels").fetchall())
+    assert sorted(got.index) == [r[0] for r in db.execute("select doc_id from documents order by 1").fetchall()]
+    assert got.score.between(0, 1).all() and ((got.score >= 0.3).astype(int) == got.predicted).all()
+    assert all(row.held_out == (zlib.crc32(str(row.Index).encode()) % 5 == 0) for row in got.itertuples())
+    judged = got[[d in labels for d in got.index] & got.held_out]
+    assert np.mean([labels[d] == p for d, p in judged.predicted.items()]) > 0.9

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanweave.llm import decontamination, lines, packing, passages, sharding, warc
+from urbanweave.llm import decontamination, lines, packing, passages, quality, sharding, warc
 from urbanweave.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,19 @@ def query(key: str, sql: str | None = None):
     return register
 
 
+def held_out(doc, remainder: int):
+    """Whether an id falls in the fold of this remainder."""
+    return F.crc32(doc.cast("string").cast("binary")) % 5 == remainder
+
+
+@query("op2_quality")
+def quality_query(read):
+    docs = read("documents")
+    model = quality.fit(docs, read("labels"), learn=lambda doc: ~held_out(doc, 0))
+    scored = quality.score(docs, model, ["doc_id"])
+    return scored.select("doc_id", held_out(F.col("doc_id"), 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query("op3_decontamination", r"""
 with words as (
     select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
