@@ -102,3 +102,21 @@ def test_quality(spark, db):
     assert all(row.held_out == (zlib.crc32(str(row.Index).encode()) % 5 == 0) for row in got.itertuples())
     judged = got[[d in labels for d in got.index] & got.held_out]
     assert np.mean([labels[d] == p for d, p in judged.predicted.items()]) > 0.9
+
+
+def test_jaccard_join(spark, db):
+    import re
+
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in run(spark, "op7_jaccard_join").itertuples()}
+    sets = {}
+    for doc, text in db.execute("select doc_id, text from documents").fetchall():
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets[doc] = {tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+    label = {doc: doc for doc in sets}
+    for a in sets:
+        for b in sets:
+            common = len(sets[a] & sets[b])
+            if b < a and common and 100 * common >= 75 * len(sets[a] | sets[b]) and label[a] != label[b]:
+                low, high = sorted((label[a], label[b]))
+                label = {d: low if x == high else x for d, x in label.items()}
+    assert got == {doc: (len(sets[doc]), label[doc]) for doc in sets}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanweave.llm import decontamination, lines, packing, passages, quality, sharding, warc
+from urbanweave.llm import decontamination, jaccard, lines, packing, passages, quality, sharding, warc
 from urbanweave.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,8 @@ def warc_query(read):
     marker = warc.write_archive(pages, path)
     chunks = warc.read_chunks(pages.sparkSession, path, marker, payload=False)
     return chunks.where("is_last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op7_jaccard_join")
+def jaccard_query(read):
+    return jaccard.near_groups(read("documents")).withColumnRenamed("doc", "doc_id")
