@@ -120,3 +120,24 @@ def test_jaccard_join(spark, db):
                 low, high = sorted((label[a], label[b]))
                 label = {d: low if x == high else x for d, x in label.items()}
     assert got == {doc: (len(sets[doc]), label[doc]) for doc in sets}
+
+
+def test_language_model(spark, db):
+    import math
+    import re
+
+    got = run(spark, "op9_language_model").set_index("doc_id")
+    tokens = {}
+    for doc, text in db.execute("select doc_id, text from documents").fetchall():
+        tokens[doc] = [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")), None]
+    counts = Counter(t for doc, own in tokens.items() if zlib.crc32(str(doc).encode()) % 5 != 1 for t in own)
+    total = sum(counts.values())
+    assert sorted(got.index) == sorted(tokens)
+    for doc, own in tokens.items():
+        row = got.loc[doc]
+        assert row.held_out == (zlib.crc32(str(doc).encode()) % 5 == 1) and row.train_tokens == total
+        assert (row.n_tokens, row.n_known) == (len(own), sum(counts[t] > 0 for t in own))
+        base = sum(math.log10((counts[t] + 0.5) / (total + 0.5 * (len(counts) + 1))) for t in own)
+        assert math.isclose(row.base_score, base, rel_tol=1e-9, abs_tol=1e-9) and row.score < 0
+    held = got[got.held_out]
+    assert held.score.sum() > held.base_score.sum()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanweave.llm import decontamination, jaccard, lines, packing, passages, quality, sharding, warc
+from urbanweave.llm import decontamination, jaccard, language_model, lines, packing, passages, quality, sharding, warc
 from urbanweave.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,10 @@ def warc_query(read):
 @query("op7_jaccard_join")
 def jaccard_query(read):
     return jaccard.near_groups(read("documents")).withColumnRenamed("doc", "doc_id")
+
+
+@query("op9_language_model")
+def language_model_query(read):
+    docs = read("documents")
+    scored = language_model.score_texts(docs, learn=~held_out(F.col("doc_id"), 1))
+    return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from urbanweave.session import scratch_path
 
@@ -12,3 +14,16 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def frequent(counts: DataFrame, key: str, times: str, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (long) and counts of the most frequent rows of a saved table: at most ``limit``, all of a count or none of it."""
+    level = F.least(times, F.lit(1 << 12))
+    total, least = 0, 1 << 62
+    for at, n in sorted(((r[0], r[1]) for r in counts.groupBy(level.alias("level")).count().collect()), reverse=True):
+        total += n
+        if total > limit:
+            break
+        least = at
+    rows = counts.where(F.col(times) >= least).select(F.col(key).cast("long").alias("key"), F.col(times).cast("long").alias("times")).toArrow()
+    return rows.column("key").to_numpy(), rows.column("times").to_numpy()
