@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanweave.llm import decontamination, jaccard, language_model, lines, packing, passages, quality, sharding, warc
+from urbanweave.llm import covertree, decontamination, jaccard, language_model, lines, packing, passages, quality, sharding, warc
 from urbanweave.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,22 @@ def decontamination_query(read):
                         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (F.col("found.n_hit") > 0).alias("contaminated"))
 
 
+@query("op4_top_products", """
+with vectors as (
+    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+    where vec_id is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding) and len(embedding) > 0),
+scored as (
+    select q.vec_id as query_id, d.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * d.v[i]))::bigint as score
+    from vectors q join vectors d on q.vec_id <> d.vec_id and len(q.v) = len(d.v) where q.vec_id % 50 = 0),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+select query_id, rank::integer as rank, vec_id, score from ranked where rank <= 5
+""")
+def product_query(read):
+    vectors = read("embeddings")
+    return covertree.top_products(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 @query("op5_substring_dedup", r"""
 with lines as (
     select doc_id, unnest(range(len(l))) as unit, unnest(l) as line from (select doc_id, string_split(text, chr(10)) as l from documents)),
