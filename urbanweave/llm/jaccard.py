@@ -2,13 +2,15 @@
 
 Exact for the whole table: two documents link when ``100 * common >= threshold * union``.
 
-1. *Equal sets* are collapsed: a set's 128-bit signature groups its copies, the smallest id stands for them (a *node*).
-2. *Candidates.* Every pair above the threshold shares a shingle among the first ``n - ceil(t * n) + 1`` of each set, in any fixed order of
-   all shingles. Here common shingles come last. What is common is counted over all documents (shingles that occur often in
-   one task's share, added up); the list has at most :data:`COMMON` entries and only shapes the order, so results do not
-   depend on it. Nodes that share such a shingle are tied to the smallest of them: a number of rows in proportion to the
-   prefixes, never all pairs. Shingles on the common list take an aggregate and a join that AQE can split.
-3. *Clusters* are the connected components of these ties; all links lie inside one. A cluster is cut into parts of about
+1. *Signatures.* A set's 128-bit signature groups its copies; the smallest id stands for them.
+2. *Shared shingles.* Every task cuts its sets into chunks and sends each distinct shingle once, packed as six bytes, to the bucket of
+   its hash, where shingles of two chunks meet; those that two texts of a chunk hold need no meeting, so a shingle of a third of
+   all rows is sent once per chunk. What is shared goes back to its chunk, and a set survives if at least ``ceil(t * n)`` of its
+   shingles are shared. A set below that can't link with anything. Hash collisions only let more sets survive.
+3. *Candidates.* Among surviving sets the shingles are counted again, exactly. Every pair above the threshold shares one of the
+   ``n - ceil(t * n) + 1`` rarest shingles of each set. Sets that share such a shingle are tied to the smallest of them: rows in
+   proportion to the prefixes, never all pairs, by an aggregate and a join that AQE can split.
+   *Clusters* are the connected components of these ties; all links lie inside one. A cluster is cut into parts of about
    :data:`PART` shingles by a hash of the node; each part is an inverted index in one task, and the nodes of later parts
    pass by it as queries. So the memory of a task is bounded, and a large group is worked on by many tasks.
 4. *T-occurrence.* A query of ``n`` shingles needs ``T = ceil(t * n)`` of them in a partner. Its longest lists are set aside, the
@@ -28,20 +30,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from urbanweave.llm.components import components
 from urbanweave.llm.kernels import BROAD, Flat, distinct_in_owner, lists, mix, pieces, signed
 from urbanweave.llm.shared import saved
 
-#: Longest list of common shingles (2 MB in each task).
-COMMON = 1 << 18
 #: Shingles in an index part (8 MB, about 100 MB while it is built).
 PART = 1 << 20
-#: Shingles counted together in one task when common ones are looked for, and occurrences among them that count.
-COUNTED = 1 << 22
-OFTEN = 4
+#: Shingles in a chunk, and mean shingles in a bucket.
+CHUNK = 1 << 22
+BUCKET = 1 << 17
 #: Cluster members up to which their list is broadcast, and not joined by a shuffle of the texts.
 MEMBERS = 1 << 20
 
@@ -74,103 +75,154 @@ def signatures(found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
     return _sums(mix(found), counts), _sums(mix(found ^ np.uint64(0xA0761D6478BD642F)), counts)
 
 
-def common_shingles(docs: DataFrame, text: str, length: int, limit: int = COMMON) -> np.ndarray:
-    """Sorted hashes of the most frequent shingles; equal texts that one task sees count once."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, seen = [], 0, set()
+def set_table(docs: DataFrame, doc: str, text: str, length: int) -> DataFrame:
+    """``(doc, n, s1, s2)`` of every row: size and signature of its set."""
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, flat in pieces(batch.column(1)):
+                found, counts = shingle_sets(flat, length)
+                s1, s2 = signatures(found, counts)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(flat)), pa.array(counts.astype(np.int64)), pa.array(signed(s1)), pa.array(signed(s2))],
+                                                 names=["doc", "n", "s1", "s2"])
+
+    return docs.select(F.col(doc).cast("long"), F.col(text).cast("string")).mapInArrow(measure, "doc long, n long, s1 long, s2 long")
+
+
+#: Rows of the exchange of shingles. Kind 0: signatures and sizes of the sets of a chunk. Kind 1: distinct shingles of a chunk in a
+#: bucket (32 bits below the bucket's) and the set each came from. Kind 2: shared shingles of a chunk, bucket included.
+PACKED = "goal long, kind int, chunk long, codes binary, owners binary"
+#: Owner of a shingle that several sets of its chunk hold.
+SEVERAL = 0xFFFF
+
+
+def _packed(rows: list[tuple[int, int, int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64()),
+                                       pa.array([r[3].tobytes() for r in rows], pa.binary()), pa.array([r[4].tobytes() for r in rows], pa.binary())],
+                                      names=["goal", "kind", "chunk", "codes", "owners"])
+
+
+def _chunk_rows(chunk: int, found: np.ndarray, owner: np.ndarray, s1: np.ndarray, sizes: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    order = np.argsort(found, kind="stable")
+    found, owner = found[order], owner[order]
+    head = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
+    times = np.diff(np.append(head, len(found)))
+    several = np.repeat(times > 1, times)
+    codes = found >> np.uint64(32 - bits)
+    rows = [(chunk, 0, chunk, s1, sizes), (chunk, 2, chunk, codes[several], owner[several].astype(np.uint16))]
+    codes, holder = codes[head], np.where(times > 1, SEVERAL, owner[head]).astype(np.uint16)
+    bucket = (codes >> np.uint64(32)).astype(np.int64)
+    edge = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(bucket))
+    low = codes.astype(np.uint32)
+    rows += [(int(bucket[a]), 1, chunk, low[a:b], holder[a:b]) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
+    for lo in range(0, len(rows), 256):
+        yield _packed(rows[lo:lo + 256])
+
+
+def surviving_sets(docs: DataFrame, text: str, length: int, threshold: int, bits: int) -> DataFrame:
+    """``(s1, n, codes)``: sets of which enough shingles are held by other sets (or by copies), with those shingles."""
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 24
+        held: list[tuple[np.ndarray, ...]] = []
+        seen: set[int] = set()
+        size = 0
         for batch in batches:
             for _, flat in pieces(batch.column(0)):
                 found, counts = shingle_sets(flat, length)
-                first = np.cumsum(counts) - counts
-                for k, key in enumerate(signatures(found, counts)[0].tolist()):
+                s1 = signatures(found, counts)[0]
+                new = np.zeros(len(s1), bool)
+                for k, key in enumerate(s1.tolist()):
                     if counts[k] and key not in seen:
                         seen.add(key)
-                        held.append(found[first[k]:first[k] + counts[k]])
-                        size += int(counts[k])
-                if size >= COUNTED:
-                    yield often(held)
-                    held, size, seen = [], 0, set()
-        if held:
-            yield often(held)
-
-    def often(held: list[np.ndarray]) -> pa.RecordBatch:
-        values, times = np.unique(np.concatenate(held), return_counts=True)
-        keep = times >= OFTEN
-        return pa.RecordBatch.from_arrays([pa.array(signed(values[keep])), pa.array(times[keep].astype(np.int64))], names=["shingle", "times"])
-
-    counted = saved(docs.select(F.col(text).cast("string")).mapInArrow(count, "shingle long, times long")
-                    .groupBy("shingle").agg(F.sum("times").alias("times")).withColumn("level", F.least("times", F.lit(4096))), "common")
-    levels = sorted(((r[0], r[1]) for r in counted.groupBy("level").count().collect()), reverse=True)
-    total, least = 0, 1 << 40
-    for level, n in levels:
-        total += n
-        if total > limit:
-            break
-        least = level
-    rows = counted.where(F.col("level") >= least).select("shingle").toArrow()  # at most ``limit`` rows
-    return np.sort(rows.column(0).to_numpy().view(np.uint64))
-
-
-def _among(values: np.ndarray, table: np.ndarray) -> np.ndarray:
-    if not len(table):
-        return np.zeros(len(values), bool)
-    return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
-
-
-def prefixes(docs: DataFrame, doc: str, text: str, length: int, threshold: int, common: np.ndarray) -> DataFrame:
-    """``(doc, n, s1, s2, rare, frequent)``: set size, signature, and the prefix shingles off and on the common list."""
-    shared = docs.sparkSession.sparkContext.broadcast(common)
+                        new[k] = True
+                held.append((found[np.repeat(new, counts)], counts[new], s1[new]))
+                size += len(held[-1][0])
+                if size >= CHUNK or len(seen) >= SEVERAL - 10_000:
+                    yield from flush(chunk, held)
+                    chunk, held, seen, size = chunk + 1, [], set(), 0
+        if size:
+            yield from flush(chunk, held)
+
+    def flush(chunk: int, held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        found, counts, s1 = (np.concatenate(x) for x in zip(*held, strict=True))
+        for lo in range(0, len(counts), SEVERAL):  # an owner is a number of 16 bits
+            own = slice(lo, lo + SEVERAL)
+            first, last = int(counts[:lo].sum()), int(counts[:lo + SEVERAL].sum())
+            yield from _chunk_rows((chunk << 8) + lo // SEVERAL, found[first:last], np.repeat(np.arange(len(counts[own])), counts[own]), s1[own], counts[own].astype(np.int64), bits)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held = None, []
+        for batch in batches:
+            rows = []
+            for goal, kind, chunk, codes, owners in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if kind != 1:
+                    rows.append((goal, kind, chunk, np.frombuffer(codes, np.uint64), np.frombuffer(owners, np.uint8)))
+                    continue
+                if goal != bucket:
+                    rows += shared_in(bucket, held)
+                    bucket, held = goal, []
+                held.append((chunk, np.frombuffer(codes, np.uint32), np.frombuffer(owners, np.uint16)))
+            yield _packed(rows)
+        yield _packed(shared_in(bucket, held))
+
+    def shared_in(bucket: int | None, held: list[tuple[int, np.ndarray, np.ndarray]]) -> list[tuple]:
+        if len(held) < 2:
+            return []
+        codes = np.concatenate([h[1] for h in held])
+        order = np.argsort(codes, kind="stable")
+        ordered = codes[order]
+        same = ordered[1:] == ordered[:-1]
+        shared = np.zeros(len(codes), bool)
+        shared[order] = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        out, at = [], 0
+        for chunk, own, owners in held:
+            keep = shared[at:at + len(own)] & (owners != SEVERAL)
+            at += len(own)
+            if keep.any():
+                out.append((chunk, 2, chunk, own[keep].astype(np.uint64) | np.uint64(bucket << 32), owners[keep]))
+        return out
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, s1, sizes, held = None, None, None, []
         for batch in batches:
-            for at, flat in pieces(batch.column(1)):
-                found, counts = shingle_sets(flat, length)
-                s1, s2 = signatures(found, counts)
-                owner = np.repeat(np.arange(len(flat)), counts)
-                frequent = _among(found, table)
-                first = np.cumsum(counts) - counts
-                # within a text hashes ascend; common ones go to the end, in the same order
-                before = np.cumsum(frequent) - frequent
-                common_before = before - before[np.minimum(first, max(len(found) - 1, 0))][owner] if len(found) else before
-                rare_count = counts - np.bincount(owner[frequent], minlength=len(flat))
-                place = np.where(frequent, rare_count[owner] + common_before, np.arange(len(found)) - first[owner] - common_before)
-                prefix = np.maximum(counts - (threshold * counts + 99) // 100 + 1, 0)
-                chosen = place < prefix[owner]
-                parts = []
-                for mask in (chosen & ~frequent, chosen & frequent):
-                    parts.append(lists(signed(found[mask]), np.bincount(owner[mask], minlength=len(flat))))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(flat)), pa.array(counts.astype(np.int64)), pa.array(signed(s1)),
-                                                  pa.array(signed(s2)), *parts], names=["doc", "n", "s1", "s2", "rare", "frequent"])
-
-    source = docs.select(F.col(doc).cast("long"), F.col(text).cast("string"))
-    return source.mapInArrow(cut, "doc long, n long, s1 long, s2 long, rare array<long>, frequent array<long>")
-
-
-def _rare_ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Nodes that share a shingle, tied to the smallest of them: all rows of a shingle are in this partition."""
-    read = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
-    if not read:
-        return
-    shingle, node = (np.concatenate(x) for x in zip(*read, strict=True))
-    order = np.argsort(shingle, kind="stable")
-    shingle, node = shingle[order], node[order]
-    head = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]]))
-    least = np.repeat(np.minimum.reduceat(node, head), np.diff(np.append(head, len(node))))
-    tied = node != least
-    pairs = np.unique(np.stack([node[tied], least[tied]], axis=1), axis=0)
-    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-
-def candidate_ties(sets: DataFrame) -> DataFrame:
-    """``(a, b)``: pairs of nodes whose components hold all pairs that may link."""
-    nodes = sets.where("n > 0").groupBy("s1", "s2").agg(F.min("doc").alias("node"), F.first("rare").alias("rare"), F.first("frequent").alias("frequent"))
-    nodes = nodes.where("node is not null")
-    rare = nodes.select(F.explode("rare").alias("shingle"), "node").repartition("shingle").mapInArrow(_rare_ties, "a long, b long")
-    held = nodes.select(F.explode("frequent").alias("shingle"), "node")
-    least = held.groupBy("shingle").agg(F.min("node").alias("b")).select(F.col("shingle").alias("of"), "b")
-    frequent = held.join(least, F.col("shingle") == F.col("of")).where("node <> b").select(F.col("node").alias("a"), "b")
-    return rare.union(frequent).distinct()
+            for _, kind, own, codes, owners in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if own != chunk:
+                    if chunk is not None:
+                        yield survivors(s1, sizes, held)
+                    chunk, held = own, []
+                if kind == 0:
+                    s1, sizes = np.frombuffer(codes, np.uint64), np.frombuffer(owners, np.int64)
+                else:
+                    held.append((np.frombuffer(codes, np.uint64), np.frombuffer(owners, np.uint16)))
+        if chunk is not None:
+            yield survivors(s1, sizes, held)
+
+    def survivors(s1: np.ndarray, sizes: np.ndarray, held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        codes, owner = (np.concatenate(x) for x in zip(*held, strict=True))
+        counts = np.bincount(owner, minlength=len(sizes))
+        enough = 100 * counts >= threshold * sizes
+        keep = enough[owner]
+        codes, owner = codes[keep], owner[keep]
+        order = np.argsort(owner, kind="stable")
+        return pa.RecordBatch.from_arrays([pa.array(signed(s1[enough])), pa.array(sizes[enough]), lists(signed(codes[order]), counts[enough])], names=["s1", "n", "codes"])
+
+    sent = docs.select(F.col(text).cast("string")).mapInArrow(send, PACKED)
+    met = sent.repartition("goal", "kind").sortWithinPartitions("kind", "goal").mapInArrow(meet, PACKED)
+    return met.repartition("chunk").sortWithinPartitions("chunk", "kind").mapInArrow(judge, "s1 long, n long, codes array<long>")
+
+
+def candidate_ties(survivors: DataFrame, threshold: int) -> DataFrame:
+    """``(a, b)``: pairs of signatures whose components hold all pairs that may link."""
+    sets = survivors.groupBy("s1").agg(F.first("n").alias("n"), F.first("codes").alias("codes"))
+    held = saved(sets.select("s1", "n", F.explode("codes").alias("code")), "shared-shingles")
+    often = held.groupBy("code").agg(F.count(F.lit(1)).alias("times"), F.min("s1").alias("b")).where("times > 1").select(F.col("code").alias("of"), "times", "b")
+    met = held.join(often, F.col("code") == F.col("of")).select("s1", "n", "code", "times", "b")
+    whole = Window.partitionBy("s1")
+    ranked = met.withColumn("m", F.count(F.lit(1)).over(whole)).withColumn("rank", F.row_number().over(whole.orderBy("times", "code")))
+    # the n - m shingles that no other surviving set holds come first in the order
+    least = F.expr(f"n - ({threshold} * n + 99) div 100 + 1 - (n - m)")
+    chosen = saved(ranked.where((F.col("rank") <= least) & (F.col("m") * 100 >= F.col("n") * threshold)).select("s1", "code"), "prefixes")
+    heads = chosen.groupBy("code").agg(F.min("s1").alias("b"), F.max("s1").alias("last")).where("b < last").select(F.col("code").alias("of"), "b")
+    return chosen.join(heads, F.col("code") == F.col("of")).where("s1 <> b").select(F.col("s1").alias("a"), "b").distinct()
 
 
 class Part:
@@ -318,14 +370,24 @@ def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def near_groups(docs: DataFrame, doc: str = "doc_id", text: str = "text", length: int = 5, threshold: int = 75) -> DataFrame:
     """``(doc, n_shingles, component_id)`` of every row: the smallest id reachable by links of at least ``threshold`` percent."""
-    common = common_shingles(docs, text, length)
-    sets = saved(prefixes(docs, doc, text, length, threshold, common), "prefixes")
-    clusters = components(candidate_ties(sets))
-    sizes = sets.where("doc is not null").groupBy(F.col("doc").alias("of")).agg(F.max("n").alias("n"))
-    members = clusters.join(sizes, F.col("node") == F.col("of")).select("node", F.col("label").alias("cluster"), "n")
+    sets = saved(set_table(docs, doc, text, length), "sets")
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    bits = min(16, max(6, int(total // BUCKET).bit_length()))
+    survivors = saved(surviving_sets(docs, text, length, threshold, bits), "survivors")
+    clusters = components(candidate_ties(survivors, threshold))
+    named = sets.where("n > 0 and doc is not null").groupBy(F.col("s1").alias("of")).agg(F.min("doc").alias("doc"), F.max("n").alias("n"))
+    members = clusters.join(named, F.col("node") == F.col("of")).select(F.col("doc").alias("node"), F.col("label").alias("cluster"), "n")
     links = components(saved(verified_links(members, docs, doc, text, length, threshold), "links"))
     nodes = sets.where("n > 0").groupBy("s1", "s2").agg(F.min("doc").alias("node"))
     nodes = nodes.join(links.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left").select(
         F.col("s1").alias("g1"), F.col("s2").alias("g2"), F.coalesce("label", "node").alias("group"))
     met = sets.select("doc", "n", "s1", "s2").join(nodes, (F.col("n") > 0) & (F.col("s1") == F.col("g1")) & (F.col("s2") == F.col("g2")), "left")
     return met.select("doc", F.col("n").alias("n_shingles"), F.coalesce("group", "doc").alias("component_id"))
+
+
+def without_copies(docs: DataFrame, groups: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """The documents, in their own columns, that stand for their group. Rows without id stay, rows with one id stay together."""
+    copies = saved(groups.where("doc <> component_id").select(F.col("doc").alias("__copy")).distinct(), "copies")
+    if copies.count() <= MEMBERS:
+        copies = F.broadcast(copies)
+    return docs.join(copies, F.col(doc) == F.col("__copy"), "left_anti")
