@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from urbanweave.llm.kernels import ALNUM, Flat, pieces, signed
+from urbanweave.llm.shared import fresh
 from urbanweave.session import cut_lineage
 
 #: Windows in one broadcast block: about 60 MB in a task.
@@ -129,19 +130,19 @@ def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",),
-                       length: int = 10, limit: int = GRAM_LIMIT) -> DataFrame:
-    """Columns ``keep`` of every document, and :data:`FOUND` (a struct named ``found``)."""
+                       length: int = 10, limit: int = GRAM_LIMIT, name: str = "found") -> DataFrame:
+    """Columns ``keep`` of every document, and :data:`FOUND` as a struct ``name``."""
     spark = docs.sparkSession
     grams = benchmark_windows(benchmark, length=length)
     count = grams.count()
     blocks = max(1, -(-count // limit))
     if blocks > 1:
         grams = cut_lineage(grams)
-    kept = docs.select(*[F.col(c) for c in keep])
-    schema = T.StructType([*kept.schema.fields, T.StructField("__text", T.StringType()), T.StructField("found", FOUND)])
+    kept, held = docs.select(*[F.col(c) for c in keep]), fresh(docs, "__text")
+    schema = T.StructType([*kept.schema.fields, T.StructField(held, T.StringType()), T.StructField(name, FOUND)])
     arrow_found = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()),
                              ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.int64()))])
-    out = docs.select(*[F.col(c) for c in keep], F.col(text).cast("string").alias("__text"), F.lit(None).cast(FOUND).alias("found"))
+    out = docs.select(*[F.col(c) for c in keep], F.col(text).cast("string").alias(held), F.lit(None).cast(FOUND).alias(name))
     for block in range(blocks):
         own = grams if blocks == 1 else grams.where(F.pmod(F.xxhash64("hash", "item"), F.lit(blocks)) == block)
         shared = spark.sparkContext.broadcast(GramSet([tuple(r) for r in own.collect()]))
@@ -167,7 +168,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
         out = out.mapInArrow(scan, schema)
         if not last:
             out = cut_lineage(out)
-    return out.drop("__text")
+    return out.drop(held)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", length: int = 10, documents: bool = False,
@@ -176,9 +177,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", len
 
     With ``documents`` a document with any hit goes as a whole. A document of which no word is left goes as well.
     """
-    found = find_contamination(docs, benchmark, text, docs.columns, length, limit)
+    name = fresh(docs, "__found")
+    found = find_contamination(docs, benchmark, text, docs.columns, length, limit, name)
+    n_hit = F.col(name)["n_hit"]
     if documents:
-        return found.where(F.col("found.n_hit") == 0).drop("found")
+        return found.where(n_hit == 0).drop(name)
     place = docs.columns.index(text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,5 +198,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", len
             columns[place] = pa.array(texts, columns[place].type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    left = found.where((F.col("found.n_hit") == 0) | (F.col("found.n_hit") < F.col("found.n_words")))
+    left = found.where((n_hit == 0) | (n_hit < F.col(name)["n_words"]))
     return left.mapInArrow(cut, docs.schema)

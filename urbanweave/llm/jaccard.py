@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from urbanweave.llm.components import components
 from urbanweave.llm.kernels import BROAD, Flat, distinct_in_owner, lists, mix, pieces, signed
-from urbanweave.llm.shared import saved
+from urbanweave.llm.shared import fresh, saved
 
 #: Shingles in an index part (8 MB, about 100 MB while it is built).
 PART = 1 << 20
@@ -387,7 +387,8 @@ def near_groups(docs: DataFrame, doc: str = "doc_id", text: str = "text", length
 
 def without_copies(docs: DataFrame, groups: DataFrame, doc: str = "doc_id") -> DataFrame:
     """The documents, in their own columns, that stand for their group. Rows without id stay, rows with one id stay together."""
-    copies = saved(groups.where("doc <> component_id").select(F.col("doc").alias("__copy")).distinct(), "copies")
+    name = fresh(docs, "__copy")
+    copies = saved(groups.where("doc <> component_id").select(F.col("doc").alias(name)).distinct(), "copies")
     if copies.count() <= MEMBERS:
         copies = F.broadcast(copies)
-    return docs.join(copies, F.col(doc) == F.col("__copy"), "left_anti")
+    return docs.join(copies, F.col(doc) == F.col(name), "left_anti")

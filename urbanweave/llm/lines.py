@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from urbanweave.llm.kernels import Flat, distinct_in_owner, pieces, signed
-from urbanweave.llm.shared import saved
+from urbanweave.llm.shared import fresh, saved
 
 
 def _hashed(flat: Flat) -> tuple[np.ndarray, ...]:
@@ -73,8 +73,9 @@ def drop_repeated_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text"
     """
     columns = [doc, text] if counts else docs.columns
     place = columns.index(text)
-    lost = lost_keys(docs, doc, text, min_chars, min_documents).select(F.col("doc").alias("__lost_doc"), F.col("lost").alias("__lost"))
-    met = docs.select(*columns).join(lost, F.col(doc) == F.col("__lost_doc"), "left").drop("__lost_doc")
+    of = fresh(docs, "__lost_doc")
+    lost = lost_keys(docs, doc, text, min_chars, min_documents).select(F.col("doc").alias(of), F.col("lost").alias(fresh(docs, "__lost")))
+    met = docs.select(*columns).join(lost, F.col(doc) == F.col(of), "left").drop(of)
     added = [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())] if counts else []
     schema = T.StructType([*docs.select(*columns).schema.fields, *added])
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanweave.llm.kernels import ALNUM, Flat, pieces, signed
-from urbanweave.llm.shared import saved
+from urbanweave.llm.shared import fresh, saved
 
 
 def _units(flat: Flat, paragraphs: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -79,8 +79,9 @@ def repeated_units(docs: DataFrame, doc: str = "doc_id", text: str = "text", min
 
 def remove_units(docs: DataFrame, spans: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents, in their own columns, without the spans of :func:`repeated_units`; a removed line takes its LF along."""
-    lists = spans.groupBy(F.col("doc_id").alias("__span_doc")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("__spans"))
-    met = docs.join(lists, F.col(doc) == F.col("__span_doc"), "left").drop("__span_doc")
+    of = fresh(docs, "__span_doc")
+    lists = spans.groupBy(F.col("doc_id").alias(of)).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias(fresh(docs, "__spans")))
+    met = docs.join(lists, F.col(doc) == F.col(of), "left").drop(of)
     place = docs.columns.index(text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

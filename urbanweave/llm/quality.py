@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from urbanweave.llm.kernels import BROAD, Flat, distinct_in_owner, lists, pieces
+from urbanweave.llm.shared import fresh
 
 STATISTICS = ["log_bytes", "mean_word", "upper", "digit", "stop", "mark", "symbol", "non_ascii", "distinct", "repeated", "short", "long", "word_marks",
               "log_line", "capital_words", "sentence"]
@@ -174,9 +175,10 @@ def score(docs: DataFrame, model: Discriminant, keep: Sequence[str], text: str =
             scores = [model.score(statistics(flat)) for _, flat in pieces(batch.column(len(batch.columns) - 1))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(scores) if scores else np.empty(0))], names=schema.names)
 
-    return docs.select(*keep, F.col(text).cast("string").alias("__text")).mapInArrow(measure, schema)
+    return docs.select(*keep, F.col(text).cast("string").alias(fresh(docs, "__text"))).mapInArrow(measure, schema)
 
 
 def keep_good(docs: DataFrame, model: Discriminant, text: str = "text", least: float = 0.3) -> DataFrame:
     """The documents, in their own columns, whose score is at least ``least``."""
-    return score(docs, model, docs.columns, text, "__score").where(F.col("__score") >= least).drop("__score")
+    name = fresh(docs, "__score")
+    return score(docs, model, docs.columns, text, name).where(F.col(name) >= least).drop(name)

@@ -16,6 +16,14 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, base: str) -> str:
+    """A column name that a frame doesn't have yet, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def frequent(counts: DataFrame, key: str, times: str, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys (long) and counts of the most frequent rows of a saved table: at most ``limit``, all of a count or none of it."""
     level = F.least(times, F.lit(1 << 12))
