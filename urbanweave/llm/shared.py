@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanweave.session import scratch_path
 
+#: Name of the archive that :func:`ship` gives the executors.
+PACKAGE = "urbanweave-package"
+
 
 def saved(df: DataFrame, label: str) -> DataFrame:
     """The rows, written as Parquet under the folder of ``spark.checkpoint.dir`` and read back."""
@@ -35,3 +42,16 @@ def frequent(counts: DataFrame, key: str, times: str, limit: int) -> tuple[np.nd
         least = at
     rows = counts.where(F.col(times) >= least).select(F.col(key).cast("long").alias("key"), F.col(times).cast("long").alias("times")).toArrow()
     return rows.column("key").to_numpy(), rows.column("times").to_numpy()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once for a Spark context, so that it need not be installed or on their path."""
+    context = spark.sparkContext
+    if any(name.endswith(f"{PACKAGE}.zip") for name in context._python_includes):
+        return
+    root = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix=PACKAGE)) / f"{PACKAGE}.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, f"{root.name}/{file.relative_to(root)}")
+    context.addPyFile(str(path))
