@@ -15,7 +15,7 @@ from urbanweave.llm.lines import drop_repeated_lines
 from urbanweave.llm.packing import pack
 from urbanweave.llm.quality import fit, keep_good
 from urbanweave.llm.queries import held_out, tokenizer_file
-from urbanweave.llm.shared import saved
+from urbanweave.llm.shared import saved, ship
 
 
 def _recounted(docs: DataFrame) -> DataFrame:
@@ -61,6 +61,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = saved(stage(spark, docs, sf_dir), name.lower().replace(" ", "-"))
