@@ -131,8 +131,34 @@ def test_stream_equals_batch_and_survives_replay(spark, tmp_path):
     run("other state")  # a replay from the start writes the same batches again
     again = router.read_upserted(spark, f"{tmp_path}/table", schema, ["k"], ["n"])
     assert {r.k: r.n for r in again.collect()} == first | {"0": 101}
-    target = router.compact_upserted(spark, f"{tmp_path}/table", f"{tmp_path}/small", schema, ["k"], ["n"])
-    assert spark.read.parquet(target).count() == 5
+    assert spark.read.parquet(f"{tmp_path}/table").count() > 5
+    table = router.compact_upserted(spark, f"{tmp_path}/table", schema, ["k"], ["n"])
+    assert spark.read.parquet(table).count() == 5
+    newer = spark.range(200, 201).select("id", F.lit("s").alias("source"), F.lit("3").alias("v"))
+    envelopes(spark, newer).select(F.col("message").alias("value")).coalesce(1).write.mode("append").text(f"{tmp_path}/in")
+    run("state")  # goes on after the compaction
+    run("third state")
+    whole = router.read_upserted(spark, f"{tmp_path}/table", schema, ["k"], ["n"])
+    assert {r.k: r.n for r in whole.collect()} == first | {"0": 101, "3": 200}
+
+
+def test_two_streams_share_a_table(spark, tmp_path):
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType())])
+    for part, rows in enumerate(([("a", 1), ("b", 2)], [("c", 3), ("b", 5)])):
+        spark.createDataFrame([(f"{k} {n}",) for k, n in rows], "value string").coalesce(1).write.text(f"{tmp_path}/in{part}")
+        stream = spark.readStream.schema("value string").text(f"{tmp_path}/in{part}")
+        split = F.split("value", " ")
+        router.harmonize_stream(stream, lambda b: b.select(split[0].alias("k"), split[1].cast("long").alias("n")), ["k"], ["n"],
+                                f"{tmp_path}/table", f"{tmp_path}/state{part}").awaitTermination()
+    assert {r.k: r.n for r in router.read_upserted(spark, f"{tmp_path}/table", schema, ["k"]).collect()} == {"a": 1, "b": 5, "c": 3}
+
+
+def test_dual_layout_appends_only_new_rows(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "d", 10, 20, True, 1.0)], "bucket int, device string, start long, end long, isReal boolean, value double")
+    store.write_dual_layout(rows, str(tmp_path), "p", "PT1H", "u")
+    paths = store.write_dual_layout(rows.withColumn("start", F.lit(30).cast("long")).withColumn("bucket", F.lit(2)), str(tmp_path), "p", "PT1H", "u", mode="append")
+    assert [spark.read.parquet(p).count() for p in paths.values()] == [2, 2]
+    assert store.stored_buckets(spark, paths["online"]) == [1, 2]
 
 
 def test_routing_ignores_other_types(spark):

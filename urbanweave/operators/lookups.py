@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanweave.functions.text import compose_key, zero_pad
-from urbanweave.operators.dedup import dedup_keep_last, first_per_key
+from urbanweave.operators.dedup import first_per_key
 from urbanweave.session import settle
 
 
@@ -22,12 +22,11 @@ def semi_join_known(df: DataFrame, known: DataFrame, on: str, known_on: str | No
     return df.join(keys, df[on] == keys["__known"], "left_semi")
 
 
-def _entries(dictionary: DataFrame, key: Column, value: Column, order: Sequence[str]) -> DataFrame:
-    """Dictionary with one value per key; the last of ``order`` wins. Without an order, keys must be unique."""
-    columns = dictionary.select(key.alias("__key"), value.alias("__value"), *[F.col(c).alias(f"__o_{c}") for c in order])
-    if order:
-        return settle(dedup_keep_last(columns, ["__key"], [f"__o_{c}" for c in order]).select("__key", "__value", F.lit(True).alias("__hit")))
-    return columns.select("__key", "__value", F.lit(True).alias("__hit"))
+def dictionary_entries(dictionary: DataFrame, key: str | Column, value: str, order: Sequence[str] = ()) -> DataFrame:
+    """Dictionary with one value per key, written and measured once: the last of ``order`` wins, then the highest value."""
+    rank = F.struct(*[F.col(c) for c in order], F.col(value))
+    return settle(dictionary.groupBy((F.col(key) if isinstance(key, str) else key).alias("__key")).agg(
+        F.max_by(F.col(value), rank).alias("__value")).withColumn("__hit", F.lit(True)))
 
 
 def lookup(df: DataFrame, dictionary: DataFrame, on: Column, key: str | Column, value: str, out: str,
@@ -36,9 +35,13 @@ def lookup(df: DataFrame, dictionary: DataFrame, on: Column, key: str | Column,
 
     ``on_missing``: ``'fail'`` stops the job at the first unknown key, ``'null'`` maps it to null,
     ``'reject'`` keeps only the rows without a match (to be stored aside), ``'drop'`` only those with one.
+    Keys that the dictionary repeats have one value (see :func:`dictionary_entries`), so no row is multiplied.
     """
-    key = F.col(key) if isinstance(key, str) else key
-    entries = _entries(dictionary, key, F.col(value), order)
+    return look_into(df, dictionary_entries(dictionary, key, value, order), on, out, on_missing)
+
+
+def look_into(df: DataFrame, entries: DataFrame, on: Column, out: str, on_missing: str = "null") -> DataFrame:
+    """:func:`lookup` in entries that several lookups share."""
     marked = df.withColumn("__on", on)
     if on_missing == "reject":
         return marked.join(entries, F.col("__on") == F.col("__key"), "left_anti").drop("__on")
@@ -62,17 +65,24 @@ def lookup_lenient(df: DataFrame, dictionary: DataFrame, on: str, key: str, valu
     return lookup(df, dictionary, F.col(on), key, value, out, "null", order)
 
 
-def tariff_taxonomy(df: DataFrame, dictionary: DataFrame, parts: Sequence[str], source: str = "SOURCE",
+def tariff_entries(dictionary: DataFrame, source: str = "SOURCE", tariff: str = "Tariff", sector: str = "EconomicSector",
+                   order: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Tariffs by composite key, and sector names by its first part, for several calls of :func:`tariff_taxonomy`."""
+    prefix = F.split_part(F.col(source), F.lit("~"), F.lit(1))
+    return dictionary_entries(dictionary, source, tariff, order), dictionary_entries(dictionary, prefix, sector, order)
+
+
+def tariff_taxonomy(df: DataFrame, dictionary: DataFrame | tuple[DataFrame, DataFrame], parts: Sequence[str], source: str = "SOURCE",
                     tariff: str = "Tariff", sector: str = "EconomicSector", order: Sequence[str] = (),
                     on_missing: str = "fail") -> DataFrame:
     """Composite key ``a~b~c`` to tariff, and its first part to the sector name.
 
-    The first of ``parts`` is the sector column and is replaced. Dictionary rows later in ``order`` win.
+    The first of ``parts`` is the sector column and is replaced. Dictionary rows later in ``order`` win. ``dictionary`` is the
+    table, or what :func:`tariff_entries` made of it.
     """
-    first = parts[0]
-    tariffs = lookup(df, dictionary, compose_key(*parts, sep="~"), source, tariff, "tariff", on_missing, order)
-    prefix = F.split_part(F.col(source), F.lit("~"), F.lit(1))
-    return lookup(tariffs, dictionary, F.col(first), prefix, sector, first, on_missing, order)
+    tariffs, sectors = dictionary if isinstance(dictionary, tuple) else tariff_entries(dictionary, source, tariff, sector, order)
+    found = look_into(df, tariffs, compose_key(*parts, sep="~"), "tariff", on_missing)
+    return look_into(found, sectors, F.col(parts[0]), parts[0], on_missing)
 
 
 def join_derived_key(left: DataFrame, right: DataFrame, left_key: Column, right_key: Column,

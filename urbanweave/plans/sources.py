@@ -52,7 +52,8 @@ def hourly_postal(raw: DataFrame, dictionary: DataFrame, order: Sequence[str] =
     ).where(F.col("day").isNotNull())
     # The day leads the key: sorts compare the first column by its prefix, and days differ more than regions.
     latest = dedup_keep_last(days, ["day", *HOURLY_KEY], order)
-    named = lookups.tariff_taxonomy(latest, dictionary, TARIFF_KEY, order=dictionary_order)
+    entries = lookups.tariff_entries(dictionary, order=dictionary_order)
+    named = lookups.tariff_taxonomy(latest, entries, TARIFF_KEY)
     series_key = ["postalCode", "economicSector", "tariff"]
     sums = named.dropna(subset=series_key).groupBy(*series_key, "day").agg(
         *[F.coalesce(F.sum(hour), F.lit(0.0)).alias(hour) for hour in HOURS]
@@ -68,7 +69,7 @@ def hourly_postal(raw: DataFrame, dictionary: DataFrame, order: Sequence[str] =
     rows = series_rows(hours, F.col("electricityDeviceId"), F.col("instant"), "PT1H", F.col("value"))
     # Duplicates agree in these columns, so devices are found without the deduplication.
     found = days.select("postalCode", *TARIFF_KEY).distinct()
-    devices = lookups.tariff_taxonomy(found, dictionary, TARIFF_KEY, order=dictionary_order).dropna(
+    devices = lookups.tariff_taxonomy(found, entries, TARIFF_KEY).dropna(
         subset=series_key).select(*series_key).distinct().withColumns({
             "electricityDeviceId": device, "economicSectorUri": text.path_list(F.col("economicSector")),
         })

@@ -53,9 +53,24 @@ def shared_folder(spark: SparkSession) -> str:
     return base
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path for a table under a folder of this application, which is removed when the application ends."""
+    base = f"{shared_folder(spark)}/scratch-{spark.sparkContext.applicationId}"
+    files, target = _file_system(spark, base)
+    files.mkdirs(target)
+    files.deleteOnExit(target)
+    return f"{base}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder whose rows no frame reads any more."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

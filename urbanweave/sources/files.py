@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +12,6 @@ from pyspark.sql import types as T
 
 from urbanweave.functions.geometry import parse_parts, parse_point
 from urbanweave.operators.reshape import quoted, union_by_name
-from urbanweave.session import settle
-
-#: Most different header lines a folder may hold; more point to files of another kind.
-LAYOUT_LIMIT = 50
 
 
 def scan_delimited(spark: SparkSession, path: str, names: Sequence[str], sep: str = "\t",
@@ -22,15 +20,16 @@ def scan_delimited(spark: SparkSession, path: str, names: Sequence[str], sep: st
 
     The first, unnamed column is the row number in the file and is returned as ``row_number`` (None: there
     is no such column). With an explicit schema Spark matches CSV by position; a file whose header
-    differs therefore fails here, unless ``mixed_layouts`` is set: then the headers are read first (one more
-    pass over the text), each layout is scanned with its own schema, and missing columns become null.
+    differs therefore fails here, unless ``mixed_layouts`` is set: then the first line of each file is its header (one more
+    pass over the text), the files of each layout are scanned with its schema, and missing columns become null. A file whose
+    header has none of the names is an error, not data.
     """
-    def read(columns: Sequence[str], checked: bool) -> DataFrame:
+    def read(columns: Sequence[str], checked: bool, paths: str | list[str]) -> DataFrame:
         # The header check compares names, so the row number keeps its empty name while files are read.
         schema = T.StructType([T.StructField("" if c == row_number else c, T.StringType()) for c in columns])
         raw = (
             spark.read.schema(schema).option("sep", sep).option("header", True).option("enforceSchema", not checked)
-            .option("recursiveFileLookup", True).option("pathGlobFilter", glob).csv(path).toDF(*columns)
+            .option("recursiveFileLookup", True).option("pathGlobFilter", glob).csv(paths).toDF(*columns)
         )
         number = [F.col(row_number).cast("long").alias(row_number)] if row_number else []
         kept = [quoted(c) for c in columns if c in names]
@@ -38,33 +37,31 @@ def scan_delimited(spark: SparkSession, path: str, names: Sequence[str], sep: st
 
     lead = [row_number] if row_number else []
     if not mixed_layouts:
-        return read([*lead, *names], checked=True)
-
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path).select(
-        "value", F.col("_metadata.file_path").alias("__file")
-    )
-    fields = F.transform(F.split("value", F.lit(_literal_pattern(sep))), lambda f: F.trim(f, F.lit('"')))
-    known = F.array(*[F.lit(n) for n in names])
-    # A header line is one whose fields are mostly known column names.
-    headers = lines.where(F.size(F.array_intersect(fields, known)) * 2 > F.least(F.size(fields), F.lit(len(names))))
-    layouts = headers.select("value").distinct().limit(LAYOUT_LIMIT + 1).collect()
-    if len(layouts) > LAYOUT_LIMIT:
-        raise ValueError(f"more than {LAYOUT_LIMIT} different headers below {path}")
-    parts = []
-    for (header,) in layouts:
+        return read([*lead, *names], True, path)
+
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path)
+    placed = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+                          F.monotonically_increasing_id().alias("line"))
+    first = placed.where("at = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for file, header in first.collect():  # one row per file, as Spark's own listing
         columns = [c.strip('"') for c in header.split(sep)]
         columns = [*lead, *columns[len(lead):]]
-        rows = read(columns, checked=False)
-        if len(layouts) > 1:
-            # Each layout is read from all files, and only the files with that header are kept.
-            files = settle(headers.where(F.col("value") == header).select("__file").distinct())
-            rows = rows.join(files, rows["file_path"] == files["__file"], "left_semi")
-        parts.append(rows)
-    return union_by_name(parts)
-
-
-def _literal_pattern(sep: str) -> str:
-    return "\\t" if sep == "\t" else "\\" + sep
+        if not set(columns) & set(names):
+            raise ValueError(f"{file}: the header has none of the expected columns")
+        layouts.setdefault(tuple(columns), []).append(_as_path(file))
+    if not layouts:
+        return read([*lead, *names], True, path)
+    # Names in their order; a layout may have them in another, or lack some.
+    parts = [read(columns, False, sorted(files)) for columns, files in sorted(layouts.items())]
+    missing = [n for n in names if not any(n in columns for columns in layouts)]
+    return union_by_name(parts).withColumns({n: F.lit(None).cast("string") for n in missing}).select(
+        *[quoted(n) for n in names], *lead, "file_path")
+
+
+def _as_path(uri: str) -> str:
+    """The path of a file URI, with the characters that patterns are made of escaped."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(uri))
 
 
 def scan_geojson(spark: SparkSession, path: str, properties: T.StructType, lines: bool = False) -> DataFrame:

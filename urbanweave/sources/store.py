@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from urbanweave.functions.clock import (
     BUCKET_COUNT, BUCKET_SECONDS, epoch_seconds, period_end, time_bucket,
 )
+from urbanweave.session import remove_path, scratch_path
 
 LAYOUTS = {"online": ("device", "start"), "batch": ("start", "device")}
 
@@ -37,19 +38,28 @@ def write_dual_layout(rows: DataFrame, root: str, prop: str, freq: str, user: st
     Both are partitioned by bucket. Rows are spread by range of (bucket, leading keys) and sorted, so that
     file statistics skip what a query does not ask for, and a bucket or device that holds most rows is
     not written by one task. The number of ranges is ``partitions``, else ``spark.sql.shuffle.partitions``
-    with small ones merged by AQE.
+    with small ones merged by AQE. The rows are staged in the shared folder first: both layouts, and the samples that
+    ranges need, come from there, so the sources are computed once and ``mode='append'`` adds just these rows.
     """
+    spark = rows.sparkSession
+    staged = scratch_path(spark, "staged-series")
+    rows.write.parquet(staged)
+    rows = spark.read.schema(rows.schema).parquet(staged)
     paths = {}
     for layout, keys in LAYOUTS.items():
         paths[layout] = f"{root}/{table_name(layout, prop, freq, user)}"
         columns = ["bucket", *keys]
         ranged = rows.repartitionByRange(partitions, *columns) if partitions else rows.repartitionByRange(*columns)
         ranged.sortWithinPartitions(*columns).write.mode(mode).partitionBy("bucket").parquet(paths[layout])
-        # The second layout is made from the first, not from the sources again.
-        rows = rows.sparkSession.read.schema(rows.schema).parquet(paths[layout])
+    remove_path(spark, staged)
     return paths
 
 
+def stored_buckets(spark: SparkSession, path: str) -> list[int]:
+    """Buckets that a layout already has: what a backfill need not load again."""
+    return sorted(r[0] for r in spark.read.parquet(path).select("bucket").distinct().collect())
+
+
 def read_series(spark: SparkSession, path: str, buckets: Sequence[int] | None = None) -> DataFrame:
     """Rows of one layout; ``buckets`` (see ``buckets_between``) prunes partitions."""
     rows = spark.read.parquet(path)

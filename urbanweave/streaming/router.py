@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +12,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from urbanweave.operators.dedup import dedup_keep_last
+from urbanweave.session import remove_path
 from urbanweave.sources.messages import ENVELOPE
 
-#: Subfolder pattern of the committed state: one Parquet folder per micro-batch.
-_BATCH = "batch_id"
+#: Subfolders of the committed state: a stream (its id is kept in its checkpoint), and in it one per micro-batch.
+_STREAM, _BATCH = "stream_id", "batch_id"
+#: When a row was written, in milliseconds: orders the batches of several streams.
+_WRITTEN = "written_ms"
 
 
 def route_messages(messages: DataFrame, collection_type: str, text: str = "value") -> DataFrame:
@@ -36,12 +41,14 @@ def harmonize_stream(source: DataFrame, harmonize: Callable[[DataFrame], DataFra
                      order: Sequence[str], table: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Harmonise a stream of messages and store it under ``table``; read it with :func:`read_upserted`.
 
-    Each micro-batch writes its own folder, overwritten if the batch is replayed, with one row per key. The
-    target is never rewritten: a batch costs what it brings. The last write per key wins at read time.
+    Each micro-batch writes its own folder below that of its stream, overwritten if the batch is replayed, with one row per key.
+    Several streams, and a stream begun anew with another checkpoint, share a table without touching each other's folders.
+    The target is never rewritten: a batch costs what it brings. The last write per key wins at read time.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
-        rows = dedup_keep_last(harmonize(batch), keys, order)
-        rows.write.mode("overwrite").parquet(f"{table}/{_BATCH}={batch_id}")
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        rows = dedup_keep_last(harmonize(batch), keys, order).withColumn(_WRITTEN, F.lit(time.time_ns() // 1_000_000))
+        rows.write.mode("overwrite").parquet(f"{table}/{_STREAM}={stream}/{_BATCH}={batch_id}")
 
     writer = source.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if available_now:
@@ -49,16 +56,27 @@ def harmonize_stream(source: DataFrame, harmonize: Callable[[DataFrame], DataFra
     return writer.start()
 
 
+def _versions(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
+    whole = T.StructType([*schema.fields, T.StructField(_WRITTEN, T.LongType()), T.StructField(_STREAM, T.StringType()), T.StructField(_BATCH, T.LongType())])
+    return spark.read.schema(whole).parquet(table)
+
+
 def read_upserted(spark: SparkSession, table: str, schema: T.StructType, keys: Sequence[str],
                   order: Sequence[str] = ()) -> DataFrame:
-    """Current rows of a table written by :func:`harmonize_stream`: later batches win, then later ``order``."""
-    whole = T.StructType([*schema.fields, T.StructField(_BATCH, T.LongType())])
-    rows = spark.read.schema(whole).parquet(table)
-    return dedup_keep_last(rows, keys, [_BATCH, *order]).drop(_BATCH)
+    """Current rows of a table written by :func:`harmonize_stream`: later writes win, then later batches, then later ``order``."""
+    return dedup_keep_last(_versions(spark, table, schema), keys, [_WRITTEN, _BATCH, *order]).drop(_WRITTEN, _STREAM, _BATCH)
 
 
-def compact_upserted(spark: SparkSession, table: str, target: str, schema: T.StructType, keys: Sequence[str],
-                     order: Sequence[str] = ()) -> str:
-    """Write the current rows to ``target`` as one folder, so that reads stop paying for old versions."""
-    read_upserted(spark, table, schema, keys, order).write.mode("errorifexists").parquet(f"{target}/{_BATCH}=0")
-    return target
+def compact_upserted(spark: SparkSession, table: str, schema: T.StructType, keys: Sequence[str], order: Sequence[str] = ()) -> str:
+    """Replace all versions in a table by the current rows, in place, so that reads stop paying for old ones.
+
+    Streams may go on: rows keep the time they were written, only folders that were there at the start are removed, and until
+    they are gone a reader sees equal rows twice, of which one wins. A batch replayed meanwhile is simply written again.
+    """
+    versions = _versions(spark, table, schema)
+    folders = {file.rsplit("/", 1)[0] for file in versions.inputFiles()}
+    current = dedup_keep_last(versions, keys, [_WRITTEN, _BATCH, *order]).drop(_STREAM, _BATCH)
+    current.write.parquet(f"{table}/{_STREAM}=compacted-{time.time_ns()}/{_BATCH}=0")
+    for folder in sorted(folders):
+        remove_path(spark, unquote(folder))
+    return table
