@@ -51,7 +51,7 @@ def _hourly(t) -> tuple[DataFrame, DataFrame]:
 def _harmonised_hours(t) -> sources.Harmonised:
     raw, dictionary = _hourly(t)
     tie = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    return sources.hourly_postal(raw, dictionary, order=tie, dictionary_order=["Tariff"])
+    return sources.hourly_postal(raw, dictionary, order=tie)
 
 
 @query("harmonise_hourly_postal", f"""

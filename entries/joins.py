@@ -59,7 +59,8 @@ def tariff_taxonomy(t):
         F.concat_ws("~", "sector", "band", "source").alias("SOURCE"), F.upper("sector").alias("EconomicSector"),
         F.explode(F.array(F.lit(1), F.lit(2))).alias("seq"), F.concat_ws("-", F.lit("T"), "sector", "band", "source").alias("stem"),
     ).withColumn("Tariff", F.concat_ws("-", "stem", F.col("seq").cast("string")))
-    return lookups.tariff_taxonomy(rows, dictionary, ["sector", "band", "source"], order=["seq"]).select(
+    # Every key twice and many keys per sector: without an order the highest value of a key holds, and no row is multiplied.
+    return lookups.tariff_taxonomy(rows, dictionary, ["sector", "band", "source"]).select(
         "doc_id", "sector", "tariff")
 
 
@@ -247,6 +248,22 @@ def device_aggregate(t):
         "value", F.round("value", 6))
 
 
+_ALL_SOURCES = [{"measured_property": kind, "freq": "P1M", "agg_name": f"{kind}Days", "agg_func": ["AVG", "CDD", "HDD"]} for kind in ("view", "error")]
+
+
+@query("device_aggregate_degree_days", """
+    with days as (select user_id, event_type, cast(ts as date) as day, sum(value) as total, count(value) as n, avg(value) as mean
+                  from events where event_type in ('view', 'error') group by all),
+    months as (select user_id, event_type, date_trunc('month', day)::timestamp as period, sum(total) / sum(n) as avg_value,
+                      sum(greatest(mean - 21, 0)) as cdd, sum(greatest(18 - mean, 0)) as hdd from days group by all)
+    select event_type || 'Days' as agg_name, 'P1M' as freq, false as required, f as agg_func, user_id, period,
+           round(case f when 'AVG' then avg_value when 'CDD' then cdd else hdd end, 6) as value
+    from months, (values ('AVG'), ('CDD'), ('HDD')) v(f)""")
+def device_aggregate_degree_days(t):
+    return aggregate.device_aggregate(t.events, _ALL_SOURCES, ["user_id"], "event_type", None, "ts", "value").withColumn(
+        "value", F.round("value", 6))
+
+
 @query("degree_days", """
     select user_id as station, day::varchar as day, round(m, 6) as mean, round(greatest(18 - m, 0), 6) as hdd, round(greatest(m - 21, 0), 6) as cdd
     from (select user_id, cast(ts as date) as day, avg(value) as m from events group by 1, 2)""")

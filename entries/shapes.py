@@ -117,6 +117,21 @@ def nearest_station_plane(t):
     return found.select("vec_id", F.col("doc_id").alias("station"), F.round("distance", 6).alias("distance"))
 
 
+@query("nearest_station_many", """
+    with p as (select c_custkey, c_custkey * 37 % 1009 / 10.0 as x, c_custkey * 91 % 997 / 10.0 as y from customer),
+         s as (select o_orderkey, o_orderkey * 53 % 1013 / 10.0 as x, o_custkey * 71 % 1019 / 10.0 as y from orders),
+         d as (select c_custkey, o_orderkey, (p.x - s.x) ** 2 + (p.y - s.y) ** 2 as d2 from p, s)
+    select case when c_custkey % 20 > 0 then c_custkey::varchar end as c_custkey, min_by(o_orderkey, (d2, o_orderkey)) as station,
+           round(sqrt(min(d2)), 6) as distance from d group by d.c_custkey""")
+def nearest_station_many(t):
+    # Some ids are null, and there are more stations than a list may have.
+    points = t.customer.select(F.when(F.col("c_custkey") % 20 > 0, F.col("c_custkey").cast("string")).alias("c_custkey"),
+                               (F.col("c_custkey") * 37 % 1009 / 10).alias("x"), (F.col("c_custkey") * 91 % 997 / 10).alias("y"))
+    stations = t.orders.select("o_orderkey", (F.col("o_orderkey") * 53 % 1013 / 10).alias("x"), (F.col("o_custkey") * 71 % 1019 / 10).alias("y"))
+    found = spatial.nearest_station(points, stations, "c_custkey", ["x", "y"], "o_orderkey", ["x", "y"], "plane")
+    return found.select("c_custkey", F.col("o_orderkey").alias("station"), F.round("distance", 6).alias("distance"))
+
+
 # Similarity of all pairs by dynamic programming over lists: one recursion step per character of the left text.
 _LEFT = """select distinct unnest([replace(p_name, 'e', ''), p_name || 's', reverse(p_name), p_name]) as a from part"""
 _SCORES = f"""

@@ -66,6 +66,62 @@ def indel_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(ratios(left.tolist(), right.tolist()), index=left.index)
 
 
+class Offered:
+    """Texts encoded once for many comparisons: characters, lengths, and how often each character occurs."""
+
+    def __init__(self, texts: list[str]):
+        self.lengths = np.array([len(t) for t in texts], dtype=np.int64)
+        self.codes = _codes(texts, max(1, int(self.lengths.max(initial=0))), -2)
+        self.letters, place = np.unique(self.codes, return_inverse=True)
+        rows = np.repeat(np.arange(len(texts)), self.codes.shape[1])
+        self.counts = np.bincount(rows * len(self.letters) + place.ravel(), minlength=len(texts) * len(self.letters)).reshape(len(texts), -1).astype(np.int32)
+
+    def bounds(self, text: np.ndarray) -> np.ndarray:
+        """No score with ``text`` is above these: common characters, in whatever order."""
+        letters, times = np.unique(text, return_counts=True)
+        at = np.minimum(np.searchsorted(self.letters, letters), len(self.letters) - 1)
+        known = self.letters[at] == letters
+        common = np.minimum(self.counts[:, at[known]], times[known]).sum(axis=1)
+        return self._score(common, len(text), slice(None))
+
+    def scores(self, text: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Exact scores with the texts at ``rows``."""
+        codes = self.codes[rows]
+        best = np.zeros((len(rows), codes.shape[1] + 1), dtype=np.int32)
+        for letter in text:
+            taken = best[:, :-1] + (codes == letter)
+            np.maximum(best[:, 1:], taken, out=best[:, 1:])
+            np.maximum.accumulate(best, axis=1, out=best)
+        return self._score(best[:, -1], len(text), rows)
+
+    def _score(self, common: np.ndarray, length: int, rows) -> np.ndarray:
+        total = (self.lengths[rows] + length).astype(np.float64)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return np.where(total > 0, 200.0 * common / total, 100.0)
+
+
+def _letters(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), dtype=np.int32)
+
+
+def _best(offered: Offered, order: np.ndarray, text: str) -> tuple[int, float]:
+    """Place and score of the best offered text; comparisons stop where no bound reaches the best score."""
+    letters = _letters(text)
+    bounds = offered.bounds(letters)
+    by_bound = np.argsort(-bounds, kind="stable")
+    pick, most, step = -1, -1.0, max(32, min(1024, SLICE_CELLS // offered.codes.shape[1]))
+    for begin in range(0, len(by_bound), step):
+        rows = by_bound[begin:begin + step]
+        rows = rows[bounds[rows] >= most]
+        if not len(rows):
+            break
+        found = offered.scores(letters, rows)
+        k = int(np.lexsort((order[rows], -found))[0])
+        if found[k] > most or (found[k] == most and order[rows[k]] < order[pick]):
+            pick, most = int(rows[k]), float(found[k])
+    return pick, most
+
+
 _BEST = T.ArrayType(T.StructType([
     T.StructField("text", T.StringType()), T.StructField("best", T.StringType()), T.StructField("score", T.DoubleType()),
 ]))
@@ -77,10 +133,25 @@ def best_in_chunk(block: pd.Series, texts: pd.Series, ranks: pd.Series) -> pd.Se
     rows = []
     for wanted, offered, order in zip(block, texts, ranks):
         offered, order = list(offered), np.asarray(order)
-        found = []
+        encoded, found = Offered(offered), []
+        for text in wanted:
+            pick, score = _best(encoded, order, text)
+            found.append({"text": text, "best": offered[pick], "score": score})
+        rows.append(found)
+    return pd.Series(rows, index=block.index)
+
+
+@F.pandas_udf(_BEST)
+def near_in_chunk(block: pd.Series, texts: pd.Series, least: pd.Series) -> pd.Series:
+    """All pairs of a block and a chunk that score at least ``least``."""
+    rows = []
+    for wanted, offered, threshold in zip(block, texts, least):
+        offered = list(offered)
+        encoded, found = Offered(offered), []
         for text in wanted:
-            score = ratios([text] * len(offered), offered)
-            pick = int(np.lexsort((order, -score))[0])
-            found.append({"text": text, "best": offered[pick], "score": float(score[pick])})
+            letters = _letters(text)
+            near = np.flatnonzero(encoded.bounds(letters) >= threshold)
+            scores = encoded.scores(letters, near)
+            found += [{"text": text, "best": offered[k], "score": s} for k, s in zip(near.tolist(), scores.tolist()) if s >= threshold]
         rows.append(found)
     return pd.Series(rows, index=block.index)

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanweave.functions.similarity import best_in_chunk, indel_ratio
+from urbanweave.functions.similarity import best_in_chunk, indel_ratio, near_in_chunk
 from urbanweave.operators.dedup import first_per_key, number_within
 from urbanweave.session import cut_lineage, settle
 
@@ -28,12 +28,12 @@ def _max_edits(length: int, threshold: float) -> int:
     return math.floor(length * 2 * (1 - t) / t + _EPS)
 
 
-def _gram_width(threshold: float) -> int:
-    """Widest gram for which texts within the threshold always share one (grams are padded)."""
+def _gram_width(threshold: float) -> int | None:
+    """Widest gram for which texts within the threshold always share one (grams are padded); None below about 80."""
     for width in (3, 2):
-        if all(n + width - 1 > width * _max_edits(n, threshold) for n in range(1, 2000)):
+        if threshold > 0 and all(n + width - 1 > width * _max_edits(n, threshold) for n in range(1, 2000)):
             return width
-    raise ValueError("the gram filter needs a threshold of 80 or more")
+    return None
 
 
 def _max_edits_column(length: Column, threshold: float) -> Column:
@@ -96,6 +96,10 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
         F.col("text").alias("left_text"), F.col("text").alias("right_text"), F.lit(100.0).alias("score")
     )
     width = _gram_width(threshold)
+    if width is None:  # texts that far apart need not share any gram: blocks are compared, and only pairs in reach are kept
+        met = _blocks(left, right.select(F.col("text").alias("right_text"), F.struct("text").alias("__rank")))
+        return met.select(F.explode(near_in_chunk("block_texts", "texts", F.lit(threshold - _EPS))).alias("hit")).select(
+            F.col("hit.text").alias("left_text"), F.col("hit.best").alias("right_text"), "hit.score")
     long_enough = _max_edits_column(F.length("text"), threshold) >= 1
     left_grams = _grams(left.where(long_enough), width)
     right_grams = _grams(right.where(long_enough), width)
@@ -121,6 +125,38 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
     return equal.unionByName(scored.where(F.col("score") >= F.lit(threshold - _EPS)))
 
 
+#: Copies of each chunk of the offered side, so that a small choice is still compared by many tasks.
+SPREAD = 64
+
+
+def _blocks(wanted: DataFrame, choices: DataFrame, block: int = 256, chunk: int = 4096) -> DataFrame:
+    """Every block of wanted texts next to every chunk of offered ones: ``(block_texts, texts, ranks)``.
+
+    Distinct texts spread evenly by hash, so blocks and chunks stay near their size. Blocks meet a chunk in one of its
+    copies, so the pairs of one chunk are spread over up to :data:`SPREAD` tasks.
+    """
+    wanted = cut_lineage(wanted)
+    blocks, chunks = max(1, -(-wanted.count() // block)), max(1, -(-choices.count() // chunk))
+    copies = min(SPREAD, blocks)
+    right_chunks = choices.groupBy(F.pmod(F.xxhash64("right_text"), F.lit(chunks)).alias("chunk")).agg(
+        F.array_sort(F.collect_list("__rank")).alias("items")
+    ).select("chunk", F.transform("items", lambda i: i.getField(_text_field(choices))).alias("texts"),
+             F.transform("items", lambda i, k: k.cast("long")).alias("ranks"),
+             F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))).alias("copy"))
+    left_blocks = wanted.groupBy(F.pmod(F.xxhash64("text"), F.lit(blocks)).alias("block")).agg(
+        F.collect_list("text").alias("block_texts")
+    ).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
+    spread = left_blocks.withColumn("copy", F.pmod("block", F.lit(copies)))
+    # as many partitions as pairs allow: neither side is large enough for Spark to see how much work a row is
+    tasks = max(1, min(blocks * chunks, copies * chunks, 4096))
+    return spread.repartition(tasks, "chunk", "copy").join(right_chunks.repartition(tasks, "chunk", "copy").hint("merge"), ["chunk", "copy"])
+
+
+def _text_field(choices: DataFrame) -> str:
+    """Last field of the rank: the text itself."""
+    return choices.schema["__rank"].dataType.fieldNames()[-1]
+
+
 def _distinct_texts(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.col(column).alias("text")).where(F.col("text").isNotNull()).distinct()
 
@@ -171,24 +207,13 @@ def fuzzy_best_match(left: DataFrame, right: DataFrame, left_on: str, right_on:
     rest = wanted.join(settled, wanted["text"] == settled["left_text"], "left_anti")
     found = settled.select("left_text", "right_text", "score")
 
-    # Distinct texts spread evenly by hash, so blocks and chunks stay near their size.
-    open_texts, offered = rest.count(), choices.count()
-    if open_texts and offered:
-        chunks, blocks = -(-offered // chunk), -(-open_texts // block)
-        right_chunks = choices.groupBy(F.pmod(F.xxhash64("right_text"), F.lit(chunks)).alias("chunk")).agg(
-            F.array_sort(F.collect_list("__rank")).alias("items")
-        ).select("chunk", F.transform("items", lambda i: i.right_text).alias("texts"),
-                 F.transform("items", lambda i, k: k.cast("long")).alias("ranks"))
-        left_blocks = rest.groupBy(F.pmod(F.xxhash64("text"), F.lit(blocks)).alias("block")).agg(
-            F.collect_list("text").alias("block_texts")
-        ).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
-        partial = (
-            left_blocks.join(right_chunks, "chunk")
-            .select(F.explode(best_in_chunk("block_texts", "texts", "ranks")).alias("hit"))
-            .select(F.col("hit.text").alias("left_text"), F.col("hit.best").alias("right_text"), "hit.score")
-        )
-        scanned = first_per_key(partial.join(choices, "right_text"), ["left_text"], ranking)
-        found = found.unionByName(scanned.select("left_text", "right_text", "score"))
+    partial = (
+        _blocks(rest, choices, block, chunk)
+        .select(F.explode(best_in_chunk("block_texts", "texts", "ranks")).alias("hit"))
+        .select(F.col("hit.text").alias("left_text"), F.col("hit.best").alias("right_text"), "hit.score")
+    )
+    scanned = first_per_key(partial.join(choices, "right_text"), ["left_text"], ranking)
+    found = found.unionByName(scanned.select("left_text", "right_text", "score"))
     return found.select(F.col("left_text").alias(left_on), F.col("right_text").alias(out), F.col("score").alias(score))
 
 

@@ -18,7 +18,7 @@ from urbanweave.session import cut_lineage, settle
 
 #: Mean Earth radius in kilometres.
 EARTH_KM = 6371.0088
-#: Largest station list that is shipped to the tasks as plain arrays (about 0.5 MB).
+#: Largest station list that is broadcast to the tasks as plain arrays (about 0.5 MB).
 STATION_LIMIT = 10_000
 
 
@@ -90,8 +90,11 @@ def spatial_filter(features: DataFrame, zones: DataFrame, feature_id: str, parts
     """Features that intersect any zone.
 
     Two areas intersect if their borders meet, or else one lies inside the other: then a corner of the inner
-    one lies in the outer one. The three tests are semi-joins on cells.
+    one lies in the outer one. The three tests are semi-joins on cells. The features are computed once and written with a
+    row key, so rows with equal or null ids are judged each.
     """
+    features, named = cut_lineage(features.withColumn("__row", F.monotonically_increasing_id())), features.columns
+    feature_id = "__row"
     zone = zones.select(F.col(zone_parts).alias("__zone_parts"))
     mine = border_cells(features, [feature_id], parts, size).withColumnRenamed("__lines", "__mine")
     theirs = settle(border_cells(zone, [], "__zone_parts", size))
@@ -116,7 +119,7 @@ def spatial_filter(features: DataFrame, zones: DataFrame, feature_id: str, parts
         zone_corners, (F.col("cx") == F.col("__px")) & (F.col("cy") == F.col("__py"))
         & G.inside(F.col("__lines"), F.col("__x"), F.col("__y")), "left_semi").select(feature_id)
     ids = touching.union(contained).union(containing).distinct().withColumnRenamed(feature_id, "__id")
-    return features.join(ids, features[feature_id] == ids["__id"], "left_semi")
+    return features.join(ids, features[feature_id] == ids["__id"], "left_semi").select(*[F.col(f"`{c}`") for c in named])
 
 
 def polygon_measures(df: DataFrame, parts: str) -> DataFrame:
@@ -152,40 +155,44 @@ def _position(a: Column, b: Column, metric: str) -> list[Column]:
 def nearest_station(points: DataFrame, stations: DataFrame, point_id: str, point_at: Sequence[str], station: str,
                     station_at: Sequence[str], metric: str = "sphere", size: float | None = None,
                     limit: int = STATION_LIMIT) -> DataFrame:
-    """``(point_id, station, distance)`` of the closest station; ties go to the lower name.
+    """``(point_id, station, distance)`` of the closest station of every point row; ties go to the lower name.
 
     ``metric='sphere'``: positions are latitude and longitude, distance in kilometres; ``'plane'``: any two
-    coordinates. A station list within ``limit`` is compared inside a scan of the points, without a shuffle.
-    A longer one is searched through grids of growing width (``size`` is the first).
+    coordinates. Rows with equal or null ids are each answered; a position that is null or no finite number has no answer.
+    A station list within ``limit`` is compared inside a scan of the points, without a shuffle; a longer one is searched
+    through grids of growing width, with the same result. ``size`` is the first width; by default it is taken from the
+    extent and the number of the stations.
     """
-    where = stations.where(F.col(station_at[0]).isNotNull() & F.col(station_at[1]).isNotNull()).groupBy(
+    def placed(df: DataFrame, at: Sequence[str]) -> Column:
+        finite = [F.coalesce(F.abs(F.col(c).cast("double")) < float("inf"), F.lit(False)) for c in at]
+        return finite[0] & finite[1]
+
+    where = stations.where(placed(stations, station_at)).groupBy(
         *[F.col(c).cast("double").alias(f"__{i}") for i, c in enumerate(station_at)]
     ).agg(F.min(station).alias("__name"))
     spots = where.select("__name", *[c.alias(f"__s{i}") for i, c in enumerate(
         _position(F.col("__0"), F.col("__1"), metric))])
-    at = points.where(F.col(point_at[0]).isNotNull() & F.col(point_at[1]).isNotNull()).select(
+    at = points.where(placed(points, point_at)).select(
         point_id, *[c.alias(f"__p{i}") for i, c in enumerate(
             _position(F.col(point_at[0]), F.col(point_at[1]), metric))])
     listed = spots.orderBy("__name").limit(limit + 1).collect()
     if not listed:
         raise ValueError("no stations with a position")
     if len(listed) <= limit:
-        found = _nearest_in_list(at, point_id, listed)
+        found = _nearest_in_list(at, point_id, listed, spots.schema["__name"].dataType.simpleString())
     else:
-        if not size:
-            raise ValueError("a long station list needs the first cell width, in units of the position")
         found = _nearest_by_grid(at, spots, point_id, size)
     chord = F.sqrt("__d2")
     distance = chord if metric == "plane" else F.asin(F.least(chord / 2, F.lit(1.0))) * (2 * EARTH_KM)
     return found.select(point_id, F.col("__name").alias(station), distance.alias("distance"))
 
 
-def _nearest_in_list(at: DataFrame, point_id: str, listed: list) -> DataFrame:
+def _nearest_in_list(at: DataFrame, point_id: str, listed: list, kind: str) -> DataFrame:
     names = np.array([row["__name"] for row in listed], dtype=object)
     grid = np.array([[row["__s0"], row["__s1"], row["__s2"]] for row in listed], dtype=np.float64)
     step = max(1, 4_000_000 // len(names))
 
-    @F.pandas_udf("struct<name:string,d2:double>")
+    @F.pandas_udf(f"struct<name:{kind},d2:double>")
     def closest(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.DataFrame:
         place = np.column_stack([a, b, c]).astype(np.float64)
         picks, squares = [], []
@@ -204,10 +211,20 @@ def _nearest_in_list(at: DataFrame, point_id: str, listed: list) -> DataFrame:
     )
 
 
-def _nearest_by_grid(at: DataFrame, spots: DataFrame, point_id: str, size: float) -> DataFrame:
+def _first_width(spots: DataFrame) -> float:
+    """Width at which a cell of the stations' extent holds about one of them."""
+    ends = spots.agg(F.count(F.lit(1)).alias("n"), *[f(f"__s{k}").alias(f"{name}{k}") for k in range(3) for name, f in (("lo", F.min), ("hi", F.max))]).first()
+    sides = [x for x in (ends[f"hi{k}"] - ends[f"lo{k}"] for k in range(3)) if x > 0]
+    return float((np.prod(sides) / ends["n"]) ** (1 / len(sides))) if sides else 1.0
+
+
+def _nearest_by_grid(at: DataFrame, spots: DataFrame, point_id: str, size: float | None) -> DataFrame:
     """Rounds over cells of doubling width. A station within one width is in a neighbouring cell, so a point
-    that finds one that near is settled. Stations are written to their 27 neighbouring cells; points are not."""
-    spots, open_points = cut_lineage(spots), cut_lineage(at)
+    that finds one that near is settled. Stations are written to their 27 neighbouring cells; points are not. Points are
+    told apart by a row key that is written with them, not by their ids."""
+    spots, open_points = cut_lineage(spots), cut_lineage(at.withColumn("__row", F.monotonically_increasing_id()))
+    size = size or _first_width(spots)
+    every = open_points.select("__row", point_id)
     done: list[DataFrame] = []
     while True:
         shifts = F.array(*[F.lit(k).cast("long") for k in (-1, 0, 1)])
@@ -218,16 +235,16 @@ def _nearest_by_grid(at: DataFrame, spots: DataFrame, point_id: str, size: float
         placed = open_points.withColumns({f"__c{k}": _cell(F.col(f"__p{k}"), size) for k in range(3)})
         d2 = sum(((F.col(f"__p{k}") - F.col(f"__s{k}")) * (F.col(f"__p{k}") - F.col(f"__s{k}")) for k in range(3)),
                  F.lit(0.0))
-        best = placed.join(cells, ["__c0", "__c1", "__c2"]).where(d2 <= F.lit(size * size)).groupBy(point_id).agg(
+        best = placed.join(cells, ["__c0", "__c1", "__c2"]).where(d2 <= F.lit(size * size)).groupBy("__row").agg(
             F.min(F.struct(d2.alias("d2"), "__name")).alias("__best")
         )
-        settled = cut_lineage(best.select(point_id, "__best.__name", F.col("__best.d2").alias("__d2")))
+        settled = cut_lineage(best.select("__row", "__best.__name", F.col("__best.d2").alias("__d2")))
         done.append(settled)
-        open_points = cut_lineage(open_points.join(settled, point_id, "left_anti"))
+        open_points = cut_lineage(open_points.join(settled, "__row", "left_anti"))
         if open_points.isEmpty():
             break
         size *= 2
     found = done[0]
     for more in done[1:]:
         found = found.unionByName(more)
-    return found
+    return every.join(found, "__row").drop("__row")
