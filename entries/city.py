@@ -7,11 +7,10 @@ from pyspark.sql import types as T
 from entries.registry import query
 from entries.shapes import rectangle
 from urbanweave.functions.text import device_hash, zero_pad
-from urbanweave.operators.dedup import dedup_keep_last
 from urbanweave.plans import sources
 from urbanweave.session import scratch_path
 from urbanweave.sources.messages import build_envelopes
-from urbanweave.sources.store import series_rows
+from urbanweave.sources.store import read_series, series_rows
 from urbanweave.streaming import router
 
 RES = "https://city.example#"
@@ -193,6 +192,31 @@ def harmonise_monthly_address_triples(t):
     return _counted(_monthly(t).triples)
 
 
+@query("monthly_flow_to_store", """
+    with m as (select unnest(generate_series(1, 12)) as i)
+    select layout, sha256('R' || p_partkey || '-endesa') as device, cast(epoch(make_timestamp(2023, i, 1, 0, 0, 0)) as bigint) as start, p_size * i * 1.0::double as value
+    from part, m, (values ('online'), ('batch')) l(layout) where p_size not in (5, 7) and (p_partkey + i) % 6 > 0""")
+def monthly_flow_to_store(t):
+    """Meters with street typos are matched to the register, their months made rows, stored in two halves and read back."""
+    number = F.col("p_partkey") * 7919 % 100003 + 1
+    months = [F.when((F.col("p_partkey") + i) % 6 > 0, F.col("p_size") * i).cast("double").alias(f"CONSUMO_M{i}") for i in range(1, 13)]
+    meters = t.part.select(
+        F.col("p_partkey").alias("meter"), F.lit("street").alias("STREET_TYPE__C"), F.replace("p_name", F.lit("d"), F.lit("")).alias("STREET_DESCRIPTION__C"),
+        F.when(F.col("p_size") == 5, 0).when(F.col("p_size") == 7, number + 4_000_000_000_000).otherwise(number).alias("STREET_NUMBER__C"),
+        F.lit(1).alias("NUM_CONTRATOS"), F.lit("08").alias("PROVINCE__C"), *months)
+    register = t.part.where("p_size <> 7 and p_size <> 5").select(
+        F.col("p_partkey").alias("place"), F.concat_ws(" ", F.lit("street"), "p_name").alias("street_name"), number.cast("string").alias("street_number"),
+        F.concat(F.lit("R"), "p_partkey").alias("reference"))
+    matched = sources.address_matching(meters, register, "meter", "place")
+    root = scratch_path(t.spark, "monthly")
+    for half, mode in ((0, "errorifexists"), (1, "append")):
+        made = sources.monthly_address(matched.where(F.col("place") % 2 == half))
+        paths = sources.store_harmonised(made, f"{root}/series", "P1M", "city", f"{root}/graph-{half}", mode)
+    read = [read_series(t.spark, path).select(F.lit(layout).alias("layout"), "device", "start", "value")
+            for layout, path in paths["EnergyConsumptionGridElectricityEndesa"].items()]
+    return read[0].unionByName(read[1])
+
+
 def _vegetation(t) -> sources.Harmonised:
     """One building per line item; zones from four of its numbers, one of them missing at times."""
     return sources.vegetation(t.lineitem.select(
@@ -426,11 +450,11 @@ def harmonise_boundaries(t):
 # ---------------------------------------------------------------- messages and streams
 
 
-def _sent(t) -> DataFrame:
+def _sent(events: DataFrame) -> DataFrame:
     """Events as envelopes: purchases are invoices, everything else is a device list."""
     kind = F.when(F.col("event_type") == "purchase", "invoices").otherwise("devices")
     return build_envelopes(
-        t.events.withColumn("kind", kind), ["user_id", "kind"], ["event_id"], F.col("kind"), "https://city.example#", F.col("user_id"),
+        events.withColumn("kind", kind), ["user_id", "kind"], ["event_id"], F.col("kind"), "https://city.example#", F.col("user_id"),
         "Europe/Madrid", F.lit("meters"), ["user_id", "event_id"], ["user_id", "event_id", "ts", "value"], F.col("event_id") % 8, 8
     ).select(F.col("message").alias("value"))
 
@@ -438,20 +462,19 @@ def _sent(t) -> DataFrame:
 @query("route_messages", """
     select user_id::varchar as "user", 'raw_meters_ts_invoices__' || user_id as table_name, event_id, value from events where event_type = 'purchase'""")
 def route_messages(t):
-    routed = router.route_messages(_sent(t), "invoices")
+    routed = router.route_messages(_sent(t.events), "invoices")
     return routed.select("user", router.store_table(F.lit("invoices"), "meters", F.col("user")).alias("table_name"),
                          F.col("record")["event_id"].cast("long").alias("event_id"), F.col("record")["value"].cast("double").alias("value"))
 
 
 @query("harmonize_stream", """
-    with s as (select sha256(user_id || '-Gas') as device, (cast(floor(epoch(ts)) as bigint) // 3600) * 3600 as start, value, event_id from events
-               where event_type = 'purchase')
+    with s as (select sha256(user_id || '-Gas') as device, (cast(floor(epoch(ts)) as bigint) // 3600) * 3600 as start, value, event_id,
+                      case when event_id % 7 = 0 then 3 else event_id % 3 end as lot from events where event_type = 'purchase')
     select device, start, start + 3600 as "end", (start // 10000000) % 20 as bucket, value from s
-    qualify row_number() over (partition by device, start order by event_id desc) = 1""")
+    qualify row_number() over (partition by device, start order by lot desc, event_id desc) = 1""")
 def harmonize_stream(t):
-    """Message files arrive in several micro-batches; the stored table equals the batch result."""
+    """Messages arrive in three lots through one stream; a late lot comes through a second one after the table was compacted."""
     folder = scratch_path(t.spark, "stream")
-    _sent(t).repartition(4, "value").write.text(f"{folder}/in")
 
     def harmonise(messages: DataFrame) -> DataFrame:
         record = F.col("record")
@@ -463,8 +486,13 @@ def harmonize_stream(t):
     schema = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("device", T.StringType()), T.StructField("start", T.LongType()),
                            T.StructField("end", T.LongType()), T.StructField("isReal", T.BooleanType()), T.StructField("value", T.DoubleType()),
                            T.StructField("event_id", T.LongType())])
-    stream = t.spark.readStream.schema("value string").option("maxFilesPerTrigger", 2).text(f"{folder}/in")
-    router.harmonize_stream(stream, harmonise, ["device", "start"], ["event_id"], f"{folder}/table", f"{folder}/state").awaitTermination()
-    # Files are not read in event order, so the table is read by event id before arrival.
-    rows = t.spark.read.schema(schema).parquet(f"{folder}/table")
-    return dedup_keep_last(rows, ["device", "start"], ["event_id"]).select("device", "start", "end", "bucket", "value")
+    keys, table = ["device", "start"], f"{folder}/table"
+    for lot in range(4):
+        own = F.when(F.col("event_id") % 7 == 0, 3).otherwise(F.col("event_id") % 3) == lot
+        name = "late" if lot == 3 else "in"
+        if name == "late":
+            router.compact_upserted(t.spark, table, schema, keys, ["event_id"])
+        _sent(t.events.where(own)).write.mode("append").text(f"{folder}/{name}")
+        stream = t.spark.readStream.schema("value string").text(f"{folder}/{name}")
+        router.harmonize_stream(stream, harmonise, keys, ["event_id"], table, f"{folder}/state-{name}").awaitTermination()
+    return router.read_upserted(t.spark, table, schema, keys, ["event_id"]).select("device", "start", "end", "bucket", "value")

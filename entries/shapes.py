@@ -63,6 +63,22 @@ def spatial_filter(t):
     return spatial.spatial_filter(features, zones, "p_partkey", "shape", "area", 10.0).select("p_partkey")
 
 
+@query("spatial_filter_null_ids", """
+    with f as (select p_partkey, p_partkey % 997 * 1.0 as x, p_partkey // 97 * 3.0 as y, p_size * 0.5 + 0.25 as w,
+                      p_retailprice / 400 as h from part),
+         z as (select s_suppkey * 37 % 900 + 0.1 as x, s_suppkey * 11 % 60 + 0.1 as y, 20 + s_nationkey as w, 3 as h from supplier)
+    select case when p_partkey % 3 > 0 then (p_partkey % 50)::varchar end as id, p_partkey from f
+    where exists (select 1 from z where f.x <= z.x + z.w and z.x <= f.x + f.w and f.y <= z.y + z.h and z.y <= f.y + f.h)""")
+def spatial_filter_null_ids(t):
+    """Ids that repeat or are null: each feature is judged by itself."""
+    x, y = (F.col("p_partkey") % 997).cast("double"), F.floor(F.col("p_partkey") / 97) * 3.0
+    features = t.part.select(F.when(F.col("p_partkey") % 3 > 0, (F.col("p_partkey") % 50).cast("string")).alias("id"), "p_partkey",
+                             rectangle(x, y, x + F.col("p_size") * 0.5 + 0.25, y + F.col("p_retailprice") / 400).alias("shape"))
+    zx, zy = F.col("s_suppkey") * 37 % 900 + 0.1, F.col("s_suppkey") * 11 % 60 + 0.1
+    zones = t.supplier.select(rectangle(zx, zy, zx + F.col("s_nationkey") + 20, zy + 3).alias("area"))
+    return spatial.spatial_filter(features, zones, "id", "shape", "area", 10.0).select("id", "p_partkey")
+
+
 _SHAPES = """select p_partkey, p_size * 1.0 as w, p_retailprice / 10 as h from part"""
 
 

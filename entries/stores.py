@@ -27,6 +27,20 @@ def scan_delimited(t):
     return files.scan_delimited(t.spark, path, _ORDERS, mixed_layouts=True).drop("file_path")
 
 
+@query("scan_delimited_unknown_columns", """
+    select o_orderkey as row_in_file, o_custkey::varchar as o_custkey, case when o_orderstatus <> 'P' then o_orderstatus end as o_orderstatus,
+           case when o_orderstatus = 'O' then o_totalprice::varchar end as o_totalprice from orders""")
+def scan_delimited_unknown_columns(t):
+    """Three layouts, one of them mostly of unknown columns."""
+    path = scratch_path(t.spark, "tsv")
+    text = t.orders.select(F.col("o_orderkey").alias("_c0"), *[F.col(c).cast("string") for c in _ORDERS])
+    files.write_extract(text.where("o_orderstatus = 'O'"), f"{path}/a", sep="\t")
+    files.write_extract(text.where("o_orderstatus = 'F'").select("_c0", "o_orderstatus", "o_custkey"), f"{path}/b", sep="\t")
+    odd = [F.lit(str(k)).alias(f"unknown{k}") for k in range(6)]
+    files.write_extract(text.where("o_orderstatus = 'P'").select("_c0", *odd, "o_custkey"), f"{path}/c", sep="\t")
+    return files.scan_delimited(t.spark, path, _ORDERS, mixed_layouts=True).drop("file_path")
+
+
 @query("scan_geojson", """
     select s_suppkey as id, s_name as name, 'Point' as kind, s_acctbal as x, s_nationkey::double as y from supplier""")
 def scan_geojson(t):
@@ -80,6 +94,23 @@ def write_dual_layout(t):
     return read[0].unionByName(read[1])
 
 
+@query("write_dual_layout_append", """
+    with s as (select event_id, sha256(user_id || '-Electricity') as device, cast(floor(epoch(ts)) as bigint) as start, value from events)
+    select l.layout, count(*) as n, count(distinct device) as devices, min(start) as first, max(start) as last, round(sum(value), 2) as value
+    from s, (values ('online'), ('batch')) l(layout) group by 1, event_id % 3""")
+def write_dual_layout_append(t):
+    """Three loads into one store: each layout has every row once."""
+    root = scratch_path(t.spark, "store")
+    for lot in range(3):
+        part = t.events.where(F.col("event_id") % 3 == lot)
+        rows = store.series_rows(part, device_hash(F.col("user_id"), "-Electricity"), F.col("ts"), "PT1H", F.col("value"), extra=[F.lit(lot).alias("lot")])
+        paths = store.write_dual_layout(rows, root, "EnergyConsumptionGridElectricity", "PT1H", "city", mode="append")
+    read = [store.read_series(t.spark, path).withColumn("layout", F.lit(layout)) for layout, path in paths.items()]
+    return read[0].unionByName(read[1]).groupBy("layout", "lot").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("device").alias("devices"), F.min("start").alias("first"), F.max("start").alias("last"),
+        F.round(F.sum("value"), 2).alias("value")).drop("lot")
+
+
 @query("read_bucket_range", """
     select sha256(o_custkey || '-Gas') as device, cast(epoch(o_orderdate) as bigint) as start, o_totalprice as value from orders
     where o_orderdate >= timestamp '1997-03-01' and o_orderdate < timestamp '1997-06-01'""")

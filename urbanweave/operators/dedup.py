@@ -54,9 +54,11 @@ def pick_by_source_priority(df: DataFrame, entity: Sequence[str], source: str, p
     rank = F.coalesce(F.nullif(place, F.lit(0)), F.lit(len(priorities) + 1))
     key = F.struct(rank.alias("rank"), *[F.col(c) for c in tie])
     keyed = df.withColumn("__key", key)
-    best = settle(keyed.groupBy(*entity).agg(F.min("__key").alias("__best")))
+    # A struct is never null and its null fields equal each other, so rows of a null entity are ranked as well.
+    keyed = keyed.withColumn("__entity", F.struct(*[F.col(c) for c in entity]))
+    best = settle(keyed.groupBy("__entity").agg(F.min("__key").alias("__best")))
     return (
-        keyed.join(best, list(entity), "left")
+        keyed.join(best, "__entity", "left").drop("__entity")
         .withColumn(flag, F.coalesce(F.col("__key") == F.col("__best"), F.lit(False)))
         .drop("__key", "__best")
     )

@@ -77,15 +77,35 @@ def _reference(df: DataFrame, root: str | None, name: str) -> tuple[Column, T.Da
 
 
 def encode_iri(value: Column) -> Column:
-    """Percent-encoding for text put in an IRI (blank is ``%20``)."""
-    return F.regexp_replace(F.url_encode(value), "[+]", "%20")
+    """Percent-encoding of all but unreserved characters, for text put in an IRI (blank is ``%20``)."""
+    out = F.url_encode(value)
+    for raw, mark in (("+", "%20"), ("*", "%2A"), ("%7E", "~")):
+        out = F.replace(out, F.lit(raw), F.lit(mark))
+    return out
 
 
-def fill_template(df: DataFrame, root: str | None, template: str, encode: bool = False) -> tuple[Column, bool]:
+# Characters that may not stand in an IRI.
+NOT_IN_IRIS = "<>\"{}|\\^`"
+_NOT_IN_IRIS = r"[\x00-\x20<>\"{}|\\^`]"
+
+
+def valid_iri(value: Column) -> Column:
+    """The text with just the characters encoded that no IRI may hold; whole IRIs and paths keep their meaning."""
+    out = F.regexp_replace(value, r"[\x00-\x08\x0B\x0C\x0E-\x1F]", "")
+    for raw in " \t\n\r" + NOT_IN_IRIS:
+        out = F.replace(out, F.lit(raw), F.lit(f"%{ord(raw):02X}"))
+    return F.when(value.rlike(_NOT_IN_IRIS), out).otherwise(value)
+
+
+def fill_template(df: DataFrame, root: str | None, template: str, encode: bool | None = False) -> tuple[Column, bool]:
     """Text of a template and whether it is a list (one value per element of an array column).
 
-    A null in any referenced column makes the value null.
+    A null in any referenced column makes the value null. ``encode``: True for :func:`encode_iri` of the references, None for
+    :func:`valid_iri`, False for the text as it is.
     """
+    def coded(text: Column) -> Column:
+        return text if encode is False else encode_iri(text) if encode else valid_iri(text)
+
     pieces, last, listed = [], 0, None
     for found in _REFERENCE.finditer(template):
         if found.start() > last:
@@ -97,8 +117,7 @@ def fill_template(df: DataFrame, root: str | None, template: str, encode: bool =
             listed = column
             pieces.append(None)
         else:
-            text = column.cast("string")
-            pieces.append(encode_iri(text) if encode else text)
+            pieces.append(coded(column.cast("string")))
         last = found.end()
     if last < len(template):
         pieces.append(F.lit(template[last:]))
@@ -106,19 +125,18 @@ def fill_template(df: DataFrame, root: str | None, template: str, encode: bool =
         return (F.concat(*pieces) if len(pieces) > 1 else pieces[0]), False
 
     def one(item: Column) -> Column:
-        text = item.cast("string")
-        text = encode_iri(text) if encode else text
+        text = coded(item.cast("string"))
         return F.concat(*[text if piece is None else piece for piece in pieces])
 
     return F.transform(listed, one), True
 
 
-def _triples(df: DataFrame, rule: Rule, encode: bool) -> Column:
+def _triples(df: DataFrame, rule: Rule, encode: bool | None) -> Column:
     """Array of the triples of one rule."""
     subject, listed = fill_template(df, rule.root, rule.subject, encode)
     if listed:
         raise ValueError(f"subject {rule.subject!r} refers to a list")
-    value, many = fill_template(df, rule.root, rule.object, encode and rule.kind == "iri")
+    value, many = fill_template(df, rule.root, rule.object, encode if rule.kind == "iri" else False)
 
     def triple(item: Column) -> Column:
         return F.struct(subject.alias("s"), F.lit(rule.predicate).alias("p"), item.alias("o"),
@@ -140,13 +158,13 @@ def _used_columns(df: DataFrame, rules: list[Rule]) -> list[str]:
     return [c for c in df.columns if c in used]
 
 
-def apply_mapping(frames: dict[str, DataFrame], mapping: dict, encode: bool = False,
+def apply_mapping(frames: dict[str, DataFrame], mapping: dict, encode: bool | None = None,
                   canonical_prefixes: dict[str, str] | None = None, collapse: bool = True) -> DataFrame:
     """Distinct triples ``(s, p, o, o_kind)`` of a mapping over named sources.
 
     ``frames`` is keyed by source path (``$.buildings.point[*]`` is ``buildings.point``). With ``collapse``,
     records equal in the columns the mapping uses become one before they are expanded: many hourly rows
-    of a device then cost one expansion.
+    of a device then cost one expansion. IRIs are valid in any case: see ``encode`` of :func:`fill_template`.
     """
     by_source: dict[str, list[Rule]] = {}
     for rule in mapping_rules(mapping, canonical_prefixes):

@@ -7,6 +7,7 @@ a large raw input, write or persist the cleaned frame first.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -20,7 +21,8 @@ from urbanweave.operators.dedup import dedup_keep_first, dedup_keep_last
 from urbanweave.operators.fuzzy import fuzzy_best_match, match_one_to_one
 from urbanweave.plans import mappings as M
 from urbanweave.session import cut_lineage
-from urbanweave.sources.store import series_rows
+from urbanweave.sources.ntriples import write_ntriples
+from urbanweave.sources.store import series_rows, write_dual_layout
 
 
 @dataclass
@@ -31,6 +33,17 @@ class Harmonised:
     series: dict[str, DataFrame] = field(default_factory=dict)
 
 
+def store_harmonised(made: Harmonised, root: str, freq: str, user: str, graph: str | None = None, mode: str = "errorifexists") -> dict[str, dict[str, str]]:
+    """Write all series of a source in both layouts below ``root`` and its triples to ``graph``; paths by property and layout.
+
+    ``mode="append"`` adds a backfill to what is stored.
+    """
+    paths = {prop: write_dual_layout(rows, root, prop, freq, user, mode=mode) for prop, rows in made.series.items()}
+    if graph:
+        write_ntriples(made.triples, graph)
+    return paths
+
+
 HOURS = [f"mi{hour}" for hour in range(1, 25)]
 # Columns that identify a reading of the hourly source, besides its time.
 HOURLY_KEY = ("municipality", "distributor", "measurePointType", "postalCode", "economicSector", "fare",
@@ -122,7 +135,7 @@ def address_matching(meters: DataFrame, register: DataFrame, meter_id: str, regi
     return lookups.join_matches(matched, places, "match", "address_y").drop("address_y")
 
 
-# Id columns of the matched monthly table; every other column is a month.
+# Id columns of the matched monthly table, and columns it may hold besides.
 MONTHLY_IDS = ("STREET_TYPE__C", "STREET_DESCRIPTION__C", "STREET_NUMBER__C", "NUM_CONTRATOS", "address_x", "matches",
                "reference", "CODPOS")
 MONTHLY_DROPPED = ("Unnamed: 0", "PROVINCE__C", "PROVINCE_DESCRIPTION__C", "BOROUGH__C", "BOROUGH_DESCRIPTION__C",
@@ -134,11 +147,12 @@ def monthly_address(matched: DataFrame, year: int = 2023, resource: str = M.RESO
     dated = reshape.rename_months(matched.drop(*MONTHLY_DROPPED), year)
     # Hashed before the months become rows, once per meter.
     named = reshape.drop_null_rows(dated, ["reference"]).withColumn("endesaId", text.device_hash(F.col("reference"), "-endesa"))
-    long = reshape.unpivot_rest(named, [c for c in named.columns if c in MONTHLY_IDS or c == "endesaId"])
-    month = F.when(F.length("date") == 10, F.col("date").try_cast("date")).cast("timestamp")
-    kept = reshape.drop_null_rows(long, ["value"]).withColumn("start", month)
-    # A column that is no month has no start; it makes no row of the series.
-    rows = series_rows(kept.where(F.col("start").isNotNull()), F.col("endesaId"), F.col("start"), "P1M", F.col("value"))
+    ids = [c for c in named.columns if c in MONTHLY_IDS or c == "endesaId"]
+    # Columns that are neither an id nor a month, such as those of a matched register, are set aside.
+    months = [c for c in named.columns if re.fullmatch(r"\d{4}-\d{2}-\d{2}", c)]
+    long = reshape.unpivot_rest(named.select(*[reshape.quoted(c) for c in ids + months]), ids)
+    kept = reshape.drop_null_rows(long, ["value"]).withColumn("start", F.col("date").cast("date").cast("timestamp"))
+    rows = series_rows(kept, F.col("endesaId"), F.col("start"), "P1M", F.col("value"))
     triples = mapping.apply_mapping({"endesa": kept}, M.monthly_address_mapping(resource))
     return Harmonised(triples, {"EnergyConsumptionGridElectricityEndesa": rows})
 

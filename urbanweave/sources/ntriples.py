@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LINE = r'^\s*<([^>]*)>\s+<([^>]*)>\s+(?:<([^>]*)>|"((?:[^"\\]|\\.)*)"(?:@[\w-]+|\^\^<[^>]*>)?)\s*\.\s*$'
+_TERM = r"(?:<([^>]*)>|(_:[^\s<>]+))"
+_LINE = (r"^\s*" + _TERM + r"\s+<([^>]*)>\s+(?:" + _TERM + r'|"((?:[^"\\]|\\.)*)"(?:@([\w-]+)|\^\^<([^>]*)>)?)\s*\.\s*(?:#.*)?$')
 #: Stands for an escaped backslash while the other escapes are undone; cannot occur in the text.
 _HELD = "\u0000"
 
@@ -18,11 +19,21 @@ def _escaped(text: Column) -> Column:
 
 def _plain(text: Column) -> Column:
     text = F.replace(text, F.lit("\\\\"), F.lit(_HELD))
-    for mark, raw in (('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t")):
+    for mark, raw in (('\\"', '"'), ("\\'", "'"), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ("\\b", "\b"), ("\\f", "\f")):
         text = F.replace(text, F.lit(mark), F.lit(raw))
+    text = _decoded(_decoded(text, "u", 4), "U", 8)
     return F.replace(text, F.lit(_HELD), F.lit("\\"))
 
 
+def _decoded(text: Column, mark: str, width: int) -> Column:
+    """Characters given by their number in ``width`` hexadecimal digits after a backslash and ``mark``."""
+    pieces = F.split(text, F.lit(r"\\" + mark + r"(?=[0-9A-Fa-f]{" + str(width) + "})"))
+    letter = lambda piece: F.decode(F.unhex(F.lpad(F.substring(piece, 1, width), 8, "0")), "UTF-32")
+    whole = F.array_join(F.transform(pieces, lambda piece, k: F.when(k == 0, piece).otherwise(
+        F.concat(letter(piece), F.substring(piece, width + 1, 1 << 30)))), "")
+    return F.when(F.contains(text, F.lit("\\" + mark)), whole).otherwise(text)
+
+
 def ntriples_lines(triples: DataFrame, entity_quotes: bool = False) -> DataFrame:
     """One line per triple in column ``value``. ``entity_quotes`` writes double and single quotes in literals
     as ``&apos;``, the form the graph loader was fed with."""
@@ -42,15 +53,20 @@ def write_ntriples(triples: DataFrame, path: str, entity_quotes: bool = False) -
     return path
 
 
-def read_ntriples(spark: SparkSession, path: str) -> DataFrame:
-    """Triples of all N-Triples lines below ``path``; comments and blank lines are skipped, bad lines fail."""
+def read_ntriples(spark: SparkSession, path: str, details: bool = False) -> DataFrame:
+    """Triples of all N-Triples lines below ``path``; comments and blank lines are skipped, bad lines fail.
+
+    Blank nodes keep their label (``_:b``); ``o_kind`` is ``iri``, ``blank`` or ``literal``. With ``details`` the ``language`` and
+    the ``datatype`` of literals are columns too.
+    """
     lines = spark.read.text(path).where(~F.col("value").rlike(r"^\s*(#.*)?$"))
-    part = lambda k: F.regexp_extract("value", _LINE, k)
-    is_iri = F.col("value").rlike(r"^\s*<[^>]*>\s+<[^>]*>\s+<")
-    good = F.when(F.col("value").rlike(_LINE), part(1)).otherwise(
+    part = lambda k: F.nullif(F.regexp_extract("value", _LINE, k), F.lit(""))
+    good = F.when(F.col("value").rlike(_LINE), F.coalesce(part(1), part(2))).otherwise(
         F.raise_error(F.concat(F.lit("not an N-Triples line: "), F.col("value")))
     )
+    kind = F.when(part(4).isNotNull(), "iri").when(part(5).isNotNull(), "blank").otherwise("literal")
+    text = _plain(F.regexp_extract("value", _LINE, 6))
     return lines.select(
-        good.alias("s"), part(2).alias("p"), F.when(is_iri, part(3)).otherwise(_plain(part(4))).alias("o"),
-        F.when(is_iri, "iri").otherwise("literal").alias("o_kind"),
+        good.alias("s"), part(3).alias("p"), F.coalesce(part(4), part(5), text).alias("o"), kind.alias("o_kind"),
+        *([part(7).alias("language"), part(8).alias("datatype")] if details else []),
     )
