@@ -15,6 +15,27 @@ from urbanweave.streaming import router
 
 RES = "https://city.example#"
 
+#: Namespaces of :func:`stated`.
+NAMESPACES = {
+    "res": RES, "bigg": "http://bigg-project.eu/ld/ontology#", "rdf": "http://www.w3.org/1999/02/22-rdf-syntax-ns#", "saref": "https://saref.etsi.org/core/",
+    "agri": "https://saref.etsi.org/saref4agri/", "syst": "https://saref.etsi.org/saref4syst/", "bldg": "https://saref.etsi.org/saref4bldg/",
+    "ssn": "http://www.w3.org/ns/ssn/", "qudt": "http://qudt.org/schema/qudt/", "unit": "https://qudt.org/vocab/unit/", "lit": "",
+}
+
+
+def stated(rows: str, facts: str) -> str:
+    """SQL of the distinct triples that ``rows`` (SQL) make: one ``subject predicate object`` a line, ``{column}`` filled in."""
+    def text(term: str) -> str:
+        space, _, rest = term.partition(":")
+        whole = NAMESPACES[space] + rest
+        return "'" + whole.replace("{", "' || ").replace("}", " || '") + "'"
+
+    terms = [line.split() for line in facts.strip().splitlines()]
+    columns = [[text(t[k]) for t in terms] for k in range(3)] + [["'literal'" if t[2].startswith("lit:") else "'iri'" for t in terms]]
+    lists = ", ".join(f"unnest([{', '.join(c)}]) as {name}" for c, name in zip(columns, ("s", "p", "o", "o_kind")))
+    return f"select distinct s, p, o, o_kind from (select {lists} from ({rows}))"
+
+
 # ---------------------------------------------------------------- hourly meters
 
 _HOURLY_SQL = """
@@ -127,15 +148,24 @@ def harmonise_annual_building(t):
     return _all_series(_annual(t))
 
 
-@query("harmonise_annual_building_triples", f"""
-    with {_ANNUAL_SQL}, r as (select count(distinct ref) as n from k)
-    select split_part(split_part(p, '#', -1), '/', -1) as predicate, o_kind, n * times as triples from r, (values
-      ('http://www.w3.org/1999/02/22-rdf-syntax-ns#type', 'iri', 4), ('https://saref.etsi.org/core/isMeasuredIn', 'iri', 2),
-      ('https://saref.etsi.org/core/isMeasurementOf', 'iri', 2), ('https://saref.etsi.org/core/relatesToProperty', 'iri', 2),
-      ('https://saref.etsi.org/core/makesMeasurement', 'iri', 2), ('https://saref.etsi.org/core/measuresProperty', 'iri', 1),
-      ('https://saref.etsi.org/core/controlsProperty', 'iri', 1)) v(p, o_kind, times)""")
+@query("harmonise_annual_building_triples", stated(f"""
+    with {_ANNUAL_SQL} select distinct ref, sha256(ref || '-Electricity') as e, sha256(ref || '-Gas') as g from k""", """
+    res:Device-{e} rdf:type saref:Device
+    res:Device-{e} saref:makesMeasurement res:Measurement-{ref}-Electricity
+    res:Device-{e} saref:measuresProperty bigg:EnergyConsumptionGridElectricity
+    res:Measurement-{ref}-Electricity rdf:type saref:Measurement
+    res:Measurement-{ref}-Electricity saref:isMeasuredIn unit:KiloW-HR-PER-M2
+    res:Measurement-{ref}-Electricity saref:isMeasurementOf res:Building-{ref}
+    res:Measurement-{ref}-Electricity saref:relatesToProperty bigg:EnergyConsumptionGridElectricity
+    res:Device-{g} rdf:type saref:Device
+    res:Device-{g} saref:makesMeasurement res:Measurement-{ref}-Gas
+    res:Device-{g} saref:controlsProperty bigg:EnergyConsumptionGas
+    res:Measurement-{ref}-Gas rdf:type saref:Measurement
+    res:Measurement-{ref}-Gas saref:isMeasuredIn unit:KiloW-HR-PER-M2
+    res:Measurement-{ref}-Gas saref:isMeasurementOf res:Building-{ref}
+    res:Measurement-{ref}-Gas saref:relatesToProperty bigg:EnergyConsumptionGas"""))
 def harmonise_annual_building_triples(t):
-    return _counted(_annual(t).triples)
+    return _annual(t).triples
 
 
 def _counted(triples: DataFrame) -> DataFrame:
@@ -182,14 +212,25 @@ def _monthly(t) -> sources.Harmonised:
     return sources.monthly_address(table)
 
 
-@query("harmonise_monthly_address_triples", """
-    with r as (select count(distinct l_partkey) as n from lineitem where l_partkey <> 5)
-    select p as predicate, k as o_kind, n * times as triples from r, (values
-      ('type', 'iri', 7), ('isDeployedAtSpace', 'iri', 1), ('hasDeployment', 'iri', 1), ('hasSubSystem', 'iri', 1),
-      ('makesMeasurement', 'iri', 1), ('measuresProperty', 'iri', 1), ('hash', 'literal', 1), ('relatesToProperty', 'iri', 1),
-      ('isMeasuredIn', 'iri', 1)) v(p, k, times)""")
+@query("harmonise_monthly_address_triples", stated("""
+    select k, sha256(k || '-endesa') as h from (select distinct 'B' || l_partkey as k from lineitem where l_partkey <> 5)""", """
+    res:Building-{k} rdf:type bldg:Building
+    res:Deployment-{k} rdf:type agri:Deployment
+    res:Deployment-{k} agri:isDeployedAtSpace res:Building-{k}
+    res:Deployment-{k} ssn:hasDeployment res:System-Electricity-{k}
+    res:System-Electricity-{k} rdf:type bigg:ElectricitySystem
+    res:System-Electricity-{k} rdf:type syst:System
+    res:System-Electricity-{k} syst:hasSubSystem res:Device-Electricity-Endesa-{k}
+    res:Device-Electricity-Endesa-{k} rdf:type bigg:ElectricityDevice
+    res:Device-Electricity-Endesa-{k} rdf:type saref:Device
+    res:Device-Electricity-Endesa-{k} saref:makesMeasurement res:Measurement-{h}
+    res:Device-Electricity-Endesa-{k} saref:measuresProperty bigg:EnergyConsumptionGridElectricity
+    res:Measurement-{h} rdf:type saref:Measurement
+    res:Measurement-{h} bigg:hash lit:{h}
+    res:Measurement-{h} saref:isMeasuredIn qudt:KiloW-HR
+    res:Measurement-{h} saref:relatesToProperty bigg:EnergyConsumptionGridElectricity"""))
 def harmonise_monthly_address_triples(t):
-    return _counted(_monthly(t).triples)
+    return _monthly(t).triples
 
 
 @query("monthly_flow_to_store", """
@@ -231,6 +272,27 @@ _VEGETATION_SQL = """
                  coalesce(nullif(l_linenumber, 2), 0)::bigint as medium, trunc(l_tax * 100)::bigint as light, l_suppkey as lighter from lineitem)"""
 
 
+@query("harmonise_vegetation_triples", stated("""
+    select k, sha256(k || '-ndvi') as h from (select distinct l_orderkey || '-' || l_linenumber || '-' || l_partkey as k from lineitem)""", """
+    res:Building-{k} rdf:type bldg:Building
+    res:Deployment-{k} rdf:type agri:Deployment
+    res:Deployment-{k} agri:isDeployedAtSpace res:Building-{k}
+    res:Deployment-{k} ssn:hasDeployment res:System-NDVI-{k}
+    res:System-NDVI-{k} rdf:type bigg:NdviSystem
+    res:System-NDVI-{k} rdf:type syst:System
+    res:System-NDVI-{k} syst:hasSubSystem res:Device-NDVI-{k}
+    res:Device-NDVI-{k} rdf:type bigg:NdviDevice
+    res:Device-NDVI-{k} rdf:type saref:Device
+    res:Device-NDVI-{k} saref:makesMeasurement res:Measurement-{h}
+    res:Device-NDVI-{k} saref:measuresProperty bigg:Ndvi
+    res:Measurement-{h} rdf:type saref:Measurement
+    res:Measurement-{h} bigg:hash lit:{h}
+    res:Measurement-{h} saref:isMeasuredIn qudt:PERCENT
+    res:Measurement-{h} saref:relatesToProperty bigg:Ndvi"""))
+def harmonise_vegetation_triples(t):
+    return _vegetation(t).triples
+
+
 @query("harmonise_vegetation", f"""
     with {_VEGETATION_SQL}, w as (select *, nullif(darker + medium + light + lighter, 0) as total from z)
     select (1640995200 // 10000000) % 20::bigint as bucket, sha256(reference || '-ndvi') as device, 1640995200::bigint as start, (1640995200 + 365 * 86400)::bigint as "end",
@@ -259,13 +321,33 @@ def harmonise_weather(t):
     return _all_series(_weather(t))
 
 
-@query("harmonise_weather_triples", """
-    with r as (select count(distinct user_id) as n from events)
-    select p as predicate, k as o_kind, n * times as triples from r, (values
-      ('type', 'iri', 8), ('lat', 'literal', 1), ('long', 'literal', 1), ('hasSubSystem', 'iri', 2), ('makesMeasurement', 'iri', 2),
-      ('measuresProperty', 'iri', 2), ('hash', 'literal', 2), ('relatesToProperty', 'iri', 2), ('isMeasuredIn', 'iri', 2)) v(p, k, times)""")
+@query("harmonise_weather_triples", stated("""
+    select lat || '-' || lon as k, lat, lon, sha256(lat || '_' || lon || '-weather') as h
+    from (select distinct (user_id / 10)::varchar as lat, (user_id * 2 + 0.5)::double::varchar as lon from events)""", """
+    res:System-WeatherStation-{k} rdf:type agri:WeatherStation
+    res:System-WeatherStation-{k} rdf:type syst:System
+    res:System-WeatherStation-{k} bigg:lat lit:{lat}
+    res:System-WeatherStation-{k} bigg:long lit:{lon}
+    res:System-WeatherStation-{k} syst:hasSubSystem res:Device-AirTemperature-{k}
+    res:Device-AirTemperature-{k} rdf:type saref:Device
+    res:Device-AirTemperature-{k} rdf:type syst:System
+    res:Device-AirTemperature-{k} saref:makesMeasurement res:MeasurementTemperature-{h}
+    res:Device-AirTemperature-{k} saref:measuresProperty bigg:DryBulbTemperature
+    res:MeasurementTemperature-{h} rdf:type saref:Measurement
+    res:MeasurementTemperature-{h} bigg:hash lit:{h}
+    res:MeasurementTemperature-{h} saref:isMeasuredIn qudt:K
+    res:MeasurementTemperature-{h} saref:relatesToProperty bigg:DryBulbTemperature
+    res:System-WeatherStation-{k} syst:hasSubSystem res:Device-RelativeHumidity-{k}
+    res:Device-RelativeHumidity-{k} rdf:type saref:Device
+    res:Device-RelativeHumidity-{k} rdf:type syst:System
+    res:Device-RelativeHumidity-{k} saref:makesMeasurement res:MeasurementHumidity-{h}
+    res:Device-RelativeHumidity-{k} saref:measuresProperty bigg:RelativeHumidity
+    res:MeasurementHumidity-{h} rdf:type saref:Measurement
+    res:MeasurementHumidity-{h} bigg:hash lit:{h}
+    res:MeasurementHumidity-{h} saref:isMeasuredIn qudt:floatPercentage
+    res:MeasurementHumidity-{h} saref:relatesToProperty bigg:RelativeHumidity"""))
 def harmonise_weather_triples(t):
-    return _counted(_weather(t).triples)
+    return _weather(t).triples
 
 
 @query("harmonise_urban_climate", """

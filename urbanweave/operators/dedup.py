@@ -36,11 +36,16 @@ def first_row_per_device(df: DataFrame, device: str, time: str, tie: Sequence[st
 
 
 def upsert_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Rows of both frames, one per key: the batch wins over the target, the last of ``order`` within it."""
-    tagged = target.withColumn("__new", F.lit(0)).unionByName(
-        batch.withColumn("__new", F.lit(1)), allowMissingColumns=True
-    )
-    return dedup_keep_last(tagged, keys, ["__new", *order]).drop("__new")
+    """Rows of both frames, one per key: the batch wins over the target, the last of ``order`` within it.
+
+    The target has one row per key, so it is neither shuffled nor ranked unless the keys of the batch are too many to
+    broadcast: they are measured, and target rows with one of them left out. Null keys equal each other.
+    """
+    newest = dedup_keep_last(batch, keys, order)
+    key = F.struct(*[F.col(c) for c in keys])  # never null, and its null fields are equal
+    changed = settle(newest.select(key.alias("__changed")))
+    kept = target.withColumn("__key", key).join(changed, F.col("__key") == F.col("__changed"), "left_anti").drop("__key")
+    return kept.unionByName(newest, allowMissingColumns=True)
 
 
 def pick_by_source_priority(df: DataFrame, entity: Sequence[str], source: str, priorities: Sequence[str],
