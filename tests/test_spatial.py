@@ -103,3 +103,27 @@ def test_nearest_station_both_ways(spark, metric, size):
     for limit in (1000, 10):
         got = spatial.nearest_station(p, s, "id", ["lat", "lon"], "name", ["lat", "lon"], metric, size, limit)
         assert {r.id: (round(r.distance, 4), r.name) for r in got.collect()} == want
+
+
+def test_zone_of_many_edges_over_many_cells(spark):
+    rnd, n = random.Random(4), 5000
+    ring = [[1000 + (900 + 60 * math.sin(37 * a) + rnd.uniform(-3, 3)) * math.cos(a), 1000 + (900 + 60 * math.sin(37 * a)) * math.sin(a)]
+            for a in (2 * math.pi * k / n for k in range(n))]
+    hole = [[1000 + 300 * math.cos(a), 1000 + 300 * math.sin(a)] for a in (2 * math.pi * k / 200 for k in range(200))]
+    parts = [[ring + ring[:1], hole + hole[:1]]]
+    points = [(k, rnd.uniform(0, 2000), rnd.uniform(0, 2000)) for k in range(1500)]
+    zones = spark.createDataFrame([("z", parts)], "zone string, parts array<array<array<array<double>>>>")
+    placed = spark.createDataFrame(points, "id int, x double, y double")
+
+    def inside(x, y):
+        odd = False
+        for loop in parts[0]:
+            for (x1, y1), (x2, y2) in zip(loop, loop[1:]):
+                if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                    odd = not odd
+        return odd
+
+    got = spatial.spatial_join_within(placed, zones, "x", "y", "parts", ["zone"], 20.0, "inner")
+    assert {r.id for r in got.collect()} == {k for k, x, y in points if inside(x, y)}
+    cells = spatial.ray_cells(zones, ["zone"], "parts", 20.0)
+    assert cells.agg(F.sum(F.size("__lines"))).first()[0] < 4 * (n + 200)

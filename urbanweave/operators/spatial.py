@@ -1,6 +1,6 @@
 """Spatial joins on a uniform grid.
 
-Zones are cut into grid cells that carry just the edges a ray cast from that cell can meet, so a point is
+Zones are cut into grid cells that carry their own edges and what is left of the others, so a point is
 joined by cell and tested inside the join condition; nothing is regrouped afterwards.
 """
 
@@ -47,13 +47,35 @@ def zone_rows(zones: DataFrame, columns: Sequence[str], parts: str, size: float)
 
 
 def ray_cells(zones: DataFrame, columns: Sequence[str], parts: str, size: float) -> DataFrame:
-    """One row per zone and cell with the edges at or right of the cell: all a ray to the right can cross."""
+    """One row per zone and cell that may hold inner points, with what a ray to the right of a point needs.
+
+    ``__lines`` are the edges that reach into the columns of the cell. An edge right of the cell is crossed if just one of its ends is
+    above the point, so of all those edges only ends count: ``__odd`` is the parity of the ends at or above the cell's top, and
+    ``__turns`` are the heights inside the row at which it changes. Ends of joined edges cancel, so a border that runs
+    through a row leaves nothing, and inner cells carry no edges at all.
+    """
     rows = zone_rows(zones, columns, parts, size).where(F.size("__lines") > 0)
     cells = rows.withColumn("cx", F.explode(F.sequence(
         _cell(_low(F.col("__lines"), "x1", "x2"), size), _cell(_high(F.col("__lines"), "x1", "x2"), size)
     )))
-    left = F.col("cx") * F.lit(float(size))
-    return cells.withColumn("__lines", F.filter("__lines", lambda e: F.greatest(e.x1, e.x2) >= left))
+    left, right = F.col("cx") * F.lit(float(size)), (F.col("cx") + 1) * F.lit(float(size))
+    top = (F.col("cy") + 1) * F.lit(float(size))
+    beyond = F.filter("__lines", lambda e: F.least(e.x1, e.x2) >= right)
+    ends = F.flatten(F.transform(beyond, lambda e: F.array(e.y1, e.y2)))
+    none = F.array().cast("array<double>")
+    # Equal heights are neighbours after sorting and cancel in pairs.
+    turns = F.aggregate(F.array_sort(F.filter("__ends", lambda y: y < top)), none, lambda kept, y: F.when(
+        (F.size(kept) > 0) & (F.try_element_at(kept, F.lit(-1)) == y), F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.array_append(kept, y)))
+    own = F.filter("__lines", lambda e: (F.greatest(e.x1, e.x2) >= left) & (F.least(e.x1, e.x2) < right))
+    made = cells.withColumn("__ends", ends).select(
+        *columns, "cx", "cy", own.alias("__lines"), (F.size(F.filter("__ends", lambda y: y >= top)) % 2 == 1).alias("__odd"), turns.alias("__turns"))
+    return made.where(F.col("__odd") | (F.size("__lines") > 0) | (F.size("__turns") > 0))
+
+
+def in_cell(x: Column, y: Column) -> Column:
+    """Does a point of the cell lie in the zone?"""
+    above = F.size(F.filter("__turns", lambda turn: turn > y)) % 2 == 1
+    return (G.inside(F.col("__lines"), x, y).cast("int") + above.cast("int") + F.col("__odd").cast("int")) % 2 == 1
 
 
 def border_cells(shapes: DataFrame, columns: Sequence[str], parts: str, size: float) -> DataFrame:
@@ -80,9 +102,9 @@ def spatial_join_within(points: DataFrame, zones: DataFrame, x: str, y: str, par
     placed = points.withColumns({"__px": _cell(F.col(x), size), "__py": _cell(F.col(y), size)})
     condition = (
         (F.col("__px") == F.col("__zx")) & (F.col("__py") == F.col("__zy"))
-        & G.inside(F.col("__lines"), F.col(x), F.col(y))
+        & in_cell(F.col(x), F.col(y))
     )
-    return placed.join(cells, condition, how).drop("__px", "__py", "__zx", "__zy", "__lines")
+    return placed.join(cells, condition, how).drop("__px", "__py", "__zx", "__zy", "__lines", "__odd", "__turns")
 
 
 def spatial_filter(features: DataFrame, zones: DataFrame, feature_id: str, parts: str, zone_parts: str,
@@ -117,7 +139,7 @@ def spatial_filter(features: DataFrame, zones: DataFrame, feature_id: str, parts
         "__x", "__y", _cell(F.col("__x"), size).alias("__px"), _cell(F.col("__y"), size).alias("__py")))
     containing = ray_cells(features, [feature_id], parts, size).join(
         zone_corners, (F.col("cx") == F.col("__px")) & (F.col("cy") == F.col("__py"))
-        & G.inside(F.col("__lines"), F.col("__x"), F.col("__y")), "left_semi").select(feature_id)
+        & in_cell(F.col("__x"), F.col("__y")), "left_semi").select(feature_id)
     ids = touching.union(contained).union(containing).distinct().withColumnRenamed(feature_id, "__id")
     return features.join(ids, features[feature_id] == ids["__id"], "left_semi").select(*[F.col(f"`{c}`") for c in named])
 
