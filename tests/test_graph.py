@@ -42,8 +42,10 @@ def test_template_rules(spark):
     df = spark.createDataFrame([("a b", None, ["x", None, "y"], 1)], "`Número d'inscripció` string, gone string, words array<string>, `v.dot` int")
     maps = {"m": M.shape("rows", "res:S-$(Número d'inscripció)", ("a", "saref:Device"), ("saref:n", "$(v.dot)"), ("saref:g", "$(gone)"),
                          ("saref:w", "bigg:$(words)"), ("unknown:p", "plain text"), ("saref:h", "res:G-$(gone)"))}
+    raw = {r.s for r in mapping.apply_mapping({"rows": df}, M.document(maps), encode=False).collect()}
+    assert raw == {"https://city.example#S-a b"}  # no valid IRI: only if asked for
     got = {(r.s, r.p, r.o, r.o_kind) for r in mapping.apply_mapping({"rows": df}, M.document(maps)).collect()}
-    s, core = "https://city.example#S-a b", "https://saref.etsi.org/core/"
+    s, core = "https://city.example#S-a%20b", "https://saref.etsi.org/core/"
     assert got == {(s, graph.RDF_TYPE, core + "Device", "iri"), (s, core + "n", "1", "literal"), (s, core + "w", M.VOCABULARY["bigg"] + "x", "iri"),
                    (s, core + "w", M.VOCABULARY["bigg"] + "y", "iri"), (s, "unknown:p", "plain text", "literal")}
     encoded = mapping.apply_mapping({"rows": df}, M.document(maps), encode=True)
@@ -86,3 +88,10 @@ def test_nodes_keep_lists_only_for_listed_predicates(spark):
     got = {r.uri: r for r in nodes.collect()}
     assert got["u"].labels == ["A", "B"] and got["u"].props == {"name": ["y"], graph.LIST_PREDICATES[2]: ["l1", "l2"]}
     assert got["w"].labels == [] and [tuple(r) for r in links.collect()] == [("u", "link", "v")]
+
+
+def test_latest_value_of_a_node_wins(spark):
+    rows = [("a", "p", "9", "literal", 1), ("a", "p", "1", "literal", 2), ("a", "q", "x", "literal", 1)]
+    triples = spark.createDataFrame(rows, "s string, p string, o string, o_kind string, load int")
+    assert graph.merge_nodes(triples, [], "load").first().props == {"p": ["1"], "q": ["x"]}
+    assert graph.merge_nodes(triples, []).first().props == {"p": ["9"], "q": ["x"]}

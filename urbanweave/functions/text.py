@@ -95,7 +95,3 @@ def coords_to_text(coords: Column, style: str = "text", kind: str = "Point") ->
         return F.to_json(F.struct(F.lit(kind).alias("type"), coords.alias("coordinates")))
     return F.array_join(coords.cast("array<string>") if kind == "Point" else F.transform(coords, lambda item: F.to_json(item)), " ")
 
-
-def entity_quotes(value: Column) -> Column:
-    """Escaped double quotes and apostrophes as ``&apos;``, the form the graph loader was fed with."""
-    return F.regexp_replace(value, "\\\\\"|'", "&apos;")

@@ -175,16 +175,18 @@ def graph_edges(triples: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def merge_nodes(triples: DataFrame, list_predicates: Sequence[str] = LIST_PREDICATES) -> DataFrame:
+def merge_nodes(triples: DataFrame, list_predicates: Sequence[str] = LIST_PREDICATES, order: str | None = None) -> DataFrame:
     """One node per URI: ``nodes(uri, labels, props)``.
 
-    Labels are united. Values of the listed predicates become lists, others keep one value: the highest.
+    Labels are united. Values of the listed predicates become lists, others keep one value: that of the highest ``order`` (a
+    column of the triples, such as a sequence of loads), then the highest.
     Edges are not gathered: a hub has as many as it likes, in :func:`graph_edges`.
     """
-    facts = triples.where((F.col("o_kind") == "literal") | (F.col("p") == RDF_TYPE)).select("s", "p", "o", "o_kind")
+    place = F.struct(*([F.col(order)] if order else []), F.col("o"))
+    facts = triples.where((F.col("o_kind") == "literal") | (F.col("p") == RDF_TYPE)).select("s", "p", "o", place.alias("place"))
     many = F.col("p").isin(RDF_TYPE, *list_predicates)
     # Single-valued facts shrink to one row in the partial aggregate; only true lists are collected.
-    single = facts.where(~many).groupBy("s", "p").agg(F.max("o").alias("o")).select(
+    single = facts.where(~many).groupBy("s", "p").agg(F.max("place")["o"].alias("o")).select(
         "s", "p", F.array("o").alias("values")
     )
     lists = facts.where(many).select("s", "p", "o").distinct().groupBy("s", "p").agg(
