@@ -215,7 +215,7 @@ def test_short_way_gives_the_library_ids():
     encoder = tokens.Tokenizer(queries.tokenizer_file("word_bpe_49k.json"))
     draw = random.Random(4)
     letters = "abcdefghijklmnopqrstuvwxyzABCDEFGÀÉÖÞßàéöÿ0123456789  \n\t.,;!'#-_|*"
-    texts = ["".join(draw.choice(letters) for _ in range(draw.randint(0, 300))) for _ in range(300)] + [t or "" for _, t in ROWS if t is not LONG]
+    texts = ["".join(draw.choice(letters) for _ in range(draw.randint(0, 300))) for _ in range(300)] + [t or "" for _, t in ROWS if len(t or "") < 10_000]
     ids, first = encoder.encode(next(kernels.pieces(pa.array(texts)))[1])
     want = encoder.library.encode_batch(texts, add_special_tokens=False)
     assert all(ids[first[k]:first[k + 1]].tolist() == want[k].ids for k in range(len(texts)))

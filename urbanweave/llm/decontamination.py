@@ -129,9 +129,25 @@ def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _without(column: pa.Array, spans: list[list[dict]]) -> pa.Array:
+    """The texts without their spans; if none has any, the column as it is."""
+    if not any(spans):
+        return column
+    texts = column.to_pylist()
+    for k, own in enumerate(spans):
+        if own:
+            raw, at, parts = texts[k].encode(), 0, []
+            for span in own:
+                parts.append(raw[at:span["start"]])
+                at = span["end"]
+            texts[k] = b"".join([*parts, raw[at:]]).decode()
+    return pa.array(texts, column.type)
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",),
-                       length: int = 10, limit: int = GRAM_LIMIT, name: str = "found") -> DataFrame:
-    """Columns ``keep`` of every document, and :data:`FOUND` as a struct ``name``."""
+                       length: int = 10, limit: int = GRAM_LIMIT, name: str = "found",
+                       cut: str | None = None) -> DataFrame:
+    """Columns ``keep`` of every document, and :data:`FOUND` as a struct ``name``. Hit spans are cut out of the kept column ``cut``."""
     spark = docs.sparkSession
     grams = benchmark_windows(benchmark, length=length)
     count = grams.count()
@@ -143,6 +159,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     arrow_found = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()),
                              ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.int64()))])
     out = docs.select(*[F.col(c) for c in keep], F.col(text).cast("string").alias(held), F.lit(None).cast(FOUND).alias(name))
+    place = list(keep).index(cut) if cut is not None else -1
     for block in range(blocks):
         own = grams if blocks == 1 else grams.where(F.pmod(F.xxhash64("hash", "item"), F.lit(blocks)) == block)
         shared = spark.sparkContext.broadcast(GramSet([tuple(r) for r in own.collect()]))
@@ -163,7 +180,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
                         rows.append((n, n_hit, [{"start": s, "end": e} for s, e in spans], sorted(items)))
                 found = pa.array([dict(zip(("n_words", "n_hit", "spans", "items"), r, strict=True)) for r in rows], arrow_found)
                 text_out = pa.nulls(len(rows), pa.string()) if last else texts
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-2], text_out, found], names=batch.schema.names)
+                columns = list(batch.columns[:-2])
+                if last and cut is not None:
+                    columns[place] = _without(columns[place], [r[2] for r in rows])
+                yield pa.RecordBatch.from_arrays([*columns, text_out, found], names=batch.schema.names)
 
         out = out.mapInArrow(scan, schema)
         if not last:
@@ -178,25 +198,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", len
     With ``documents`` a document with any hit goes as a whole. A document of which no word is left goes as well.
     """
     name = fresh(docs, "__found")
-    found = find_contamination(docs, benchmark, text, docs.columns, length, limit, name)
+    found = find_contamination(docs, benchmark, text, docs.columns, length, limit, name, None if documents else text)
     n_hit = F.col(name)["n_hit"]
-    if documents:
-        return found.where(n_hit == 0).drop(name)
-    place = docs.columns.index(text)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, hits = batch.column(place).to_pylist(), batch.column(len(batch.columns) - 1).field("spans").to_pylist()
-            for k, spans in enumerate(hits):
-                if spans:
-                    raw, at, parts = texts[k].encode(), 0, []
-                    for span in spans:
-                        parts.append(raw[at:span["start"]])
-                        at = span["end"]
-                    texts[k] = b"".join([*parts, raw[at:]]).decode()
-            columns = list(batch.columns[:-1])
-            columns[place] = pa.array(texts, columns[place].type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
-
-    left = found.where((n_hit == 0) | (n_hit < F.col(name)["n_words"]))
-    return left.mapInArrow(cut, docs.schema)
+    kept = n_hit == 0 if documents else (n_hit == 0) | (n_hit < F.col(name)["n_words"])
+    return found.where(kept).drop(name)

@@ -41,7 +41,7 @@ from urbanweave.llm.shared import fresh, saved
 #: Shingles in an index part (8 MB, about 100 MB while it is built).
 PART = 1 << 20
 #: Shingles in a chunk, and mean shingles in a bucket.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 BUCKET = 1 << 17
 #: Cluster members up to which their list is broadcast, and not joined by a shuffle of the texts.
 MEMBERS = 1 << 20

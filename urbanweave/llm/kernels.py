@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text worked on at once.
-PIECE = 4 << 20
+PIECE = 500_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # odd, joins word hashes to window hashes
 
@@ -44,7 +44,7 @@ _POWERS: dict[int, np.ndarray] = {}
 def _powers(base: int, count: int) -> np.ndarray:
     """``base ** i`` modulo 2 ** 64 for ``i < count``; kept for the next piece."""
     if base not in _POWERS or len(_POWERS[base]) < count:
-        steps = np.full(max(count, PIECE + 1), base, np.uint64)
+        steps = np.full(1 << max(count, 1 << 16).bit_length(), base, np.uint64)
         steps[0] = 1
         _POWERS[base] = np.cumprod(steps)
     return _POWERS[base][:count]

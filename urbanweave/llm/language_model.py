@@ -40,7 +40,7 @@ SUFFIXES = 4096
 CONTEXT = 3
 WIDTH = 16
 NOISE = 24
-BATCH = 8192
+BATCH = 1024
 #: Tokens of one training step.
 STEP = 2048
 #: Steps over which the rate rises to its value.
@@ -101,14 +101,20 @@ class Parameters:
     def log_softmax_at(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log probability of each target output after its context, normalised over all outputs."""
         out = np.empty(len(target))
+        across = np.ones(len(self.outputs), np.float32)
+        longest, highest = np.sqrt((self.outputs ** 2).sum(axis=1).max()), np.abs(self.bias).max()
         for lo in range(0, len(target), BATCH):
-            scores = self.predicted(context[lo:lo + BATCH]) @ self.outputs.T
+            vectors = self.predicted(context[lo:lo + BATCH])
+            scores = vectors @ self.outputs.T
             scores += self.bias
             own = scores[np.arange(len(scores)), target[lo:lo + BATCH]].astype(float)
-            top = scores.max(axis=1, keepdims=True)
-            scores -= top
-            np.exp(scores, out=scores)
-            out[lo:lo + BATCH] = own - top[:, 0] - np.log(scores.sum(axis=1, dtype=np.float64))
+            if np.sqrt(np.einsum("ij,ij->i", vectors, vectors).max()) * longest + highest < 60:  # no exponential overflows or vanishes
+                np.exp(scores, out=scores)
+                out[lo:lo + BATCH] = own - np.log(scores @ across)
+            else:
+                top = scores.max(axis=1, keepdims=True)
+                np.exp(scores - top, out=scores)
+                out[lo:lo + BATCH] = own - top[:, 0] - np.log(scores @ across)
         return out
 
 

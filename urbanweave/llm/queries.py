@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanweave.llm import covertree, decontamination, jaccard, language_model, lines, packing, passages, quality, sharding, warc
-from urbanweave.llm.shared import ship
+from urbanweave.llm.shared import prepare
 from urbanweave.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,7 +26,7 @@ def query(key: str, sql: str | None = None):
     """Register ``function(read) -> DataFrame``, where ``read(name)`` gives a table, under ``key``."""
     def register(function):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            ship(spark)
+            prepare(spark)
             return function(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
 
         run.__name__ = key

@@ -15,6 +15,9 @@ from urbanweave.session import scratch_path
 #: Name of the archive that :func:`ship` gives the executors.
 PACKAGE = "urbanweave-package"
 
+#: A batch is held by the JVM and by Python, as it comes in and as it goes out.
+BATCH_BYTES = 8 << 20
+
 
 def saved(df: DataFrame, label: str) -> DataFrame:
     """The rows, written as Parquet under the folder of ``spark.checkpoint.dir`` and read back."""
@@ -44,6 +47,15 @@ def frequent(counts: DataFrame, key: str, times: str, limit: int) -> tuple[np.nd
     return rows.column("key").to_numpy(), rows.column("times").to_numpy()
 
 
+def prepare(spark: SparkSession) -> None:
+    """What tasks over whole texts want: this package on the executors, and Arrow batches of at most :data:`BATCH_BYTES`."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    current = str(spark.conf.get(setting)).lower().removesuffix("b")
+    if not current.isdigit() or int(current) > BATCH_BYTES or int(current) <= 0:
+        spark.conf.set(setting, str(BATCH_BYTES))
+    ship(spark)
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, once for a Spark context, so that it need not be installed or on their path."""
     context = spark.sparkContext

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import os
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 
@@ -35,13 +35,18 @@ class Tokenizer:
     """Ids of texts as the library gives them, without special tokens added."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer as Library
-
-        self.library = Library.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as file:
             stated = json.load(file)
         self.words = _word_encoder(stated) if _is_word_bpe(stated) else None
 
+    @cached_property
+    def library(self):
+        """Loaded when the first text needs it."""
+        from tokenizers import Tokenizer as Library
+
+        return Library.from_file(self.path)
+
     def encode(self, flat: Flat) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a piece, one after the other, and the ids before each text."""
         if self.words is None:
