@@ -242,3 +242,37 @@ def test_one_to_one_keeps_a_good_pair_rather_than_the_best_total(spark):
     assert [(r.m, r.p) for r in fuzzy.match_one_to_one(meters, places, "m", "text", "p", "address").collect()] == [(1, 1)]
     none = fuzzy.match_one_to_one(meters, places.where("p = 2"), "m", "text", "p", "address")
     assert none.count() == 0 and none.columns == ["m", "p", "score"]
+
+
+def test_zone_names_close_to_the_gazetteer(spark):
+    rows = spark.createDataFrame([(1, "ES", "Barcelona"), (2, "ES", "barcelna "), (3, "ES", "Nowhere at all"), (4, "ES", None), (5, "FR", "Barcelona")], "id int, land string, city string")
+    gazetteer = spark.createDataFrame([("ES", "A", "Barcelona", "u1"), ("ES", "A", "Badalona", "u2")], "country string, feature_code string, name string, uri string")
+    levels = spark.createDataFrame([("ES", "city", "A", "in")], "country string, level string, feature_code string, relation string")
+    link = lambda **more: lookups.link_admin_zone(rows, gazetteer, levels, "land", {"city": "city"}, **more)
+    assert {(r.id, r.uri) for r in link().collect()} == {(1, "u1")}
+    assert {(r.id, r.uri) for r in link(threshold=90.0).collect()} == {(1, "u1"), (2, "u1")}
+    assert {r.id for r in link(threshold=90.0, rejects=True).collect()} == {3, 4, 5}
+
+
+def test_energy_is_not_multiplied_by_tariffs_of_a_sector(spark):
+    words = spark.createDataFrame([("s~1~a", "T1", "Sector/x"), ("s~1~b", "T2", "Sector/x"), ("s~2~a", "T3", "Sector/x")], "SOURCE string, Tariff string, EconomicSector string")
+    rows = spark.createDataFrame([("s", "1", "a", 24.0)], "sector string, disc string, fare string, value double")
+    got = lookups.tariff_taxonomy(rows, words, ["sector", "disc", "fare"]).collect()
+    assert [(r.tariff, r.sector, r.value) for r in got] == [("T1", "Sector/x", 24.0)]
+
+
+def test_degree_days_of_device_aggregates(spark):
+    rows = spark.createDataFrame([("d", "t", "2024-01-01 00:00:00", 10.0), ("d", "t", "2024-01-01 12:00:00", 14.0), ("d", "t", "2024-01-02 00:00:00", 30.0)],
+                                 "device string, prop string, at string, v double").withColumn("at", F.col("at").cast("timestamp"))
+    rule = {"measured_property": "t", "freq": "P1M", "agg_name": "a", "agg_func": ["AVG", "CDD", "HDD", "SUM"]}
+    got = {r.agg_func: r.value for r in aggregate.device_aggregate(rows, [rule], ["device"], "prop", None, "at", "v").collect()}
+    assert got == {"AVG": 18.0, "CDD": 9.0, "HDD": 6.0, "SUM": 54.0}
+    with pytest.raises(ValueError):
+        aggregate.device_aggregate(rows, [rule | {"agg_func": ["MAX"]}], ["device"], "prop", None, "at", "v")
+
+
+def test_top_matches_below_the_gram_filter(spark):
+    left = spark.createDataFrame([("abcdef",), ("xyz",), ("",)], "a string")
+    right = spark.createDataFrame([("abcxyz",), ("abcdxx",), ("q",)], "b string")
+    got = {r.a: r.matches for r in fuzzy.fuzzy_topk(left, right, "a", "b", 60.0, 2).collect()}
+    assert got == {"abcdef": "abcdxx", "xyz": "abcxyz", "": ""}

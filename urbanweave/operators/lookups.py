@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from urbanweave.functions.text import compose_key, zero_pad
 from urbanweave.operators.dedup import first_per_key
-from urbanweave.session import settle
+from urbanweave.operators.fuzzy import fuzzy_best_match
+from urbanweave.session import cut_lineage, settle
 
 
 def semi_join_known(df: DataFrame, known: DataFrame, on: str, known_on: str | None = None) -> DataFrame:
@@ -128,23 +129,47 @@ def postal_station_fallback(df: DataFrame, stations: DataFrame, code: str, stati
     return df.join(best, zero_pad(df[code], width) == best["__code"], "left").drop("__code")
 
 
+def _zone_names(df: DataFrame, on: dict[str, str]) -> DataFrame:
+    """One row per level, with the zone name of the row in ``__zone.name``."""
+    return df.withColumn("__zone", F.explode(F.array(*[
+        F.struct(F.lit(level).alias("level"), F.lower(F.trim(F.col(name))).alias("name"))
+        for level, name in on.items()
+    ]))).withColumn("level", F.col("__zone.level"))
+
+
 def link_admin_zone(df: DataFrame, gazetteer: DataFrame, levels: DataFrame, country: str,
-                    on: dict[str, str]) -> DataFrame:
+                    on: dict[str, str], threshold: float | None = None, rejects: bool = False) -> DataFrame:
     """Links ``(level, relation, uri)`` of each row to the zones of a gazetteer.
 
     ``levels`` is the configuration ``(country, level, feature_code, relation)``; ``gazetteer`` holds
     ``(country, feature_code, name, uri)``; ``on`` names the column of ``df`` that holds the zone name of a
-    level. Names are compared lower-case and trimmed; use the fuzzy match for the rest.
+    level. Names are compared lower-case and trimmed. With a ``threshold``, a name that no zone of its country and level has takes
+    the most similar name of the level, if it scores that much. ``rejects`` gives the rows and levels without a link instead.
     """
-    wanted = df.withColumn("__zone", F.explode(F.array(*[
-        F.struct(F.lit(level).alias("level"), F.lower(F.trim(F.col(name))).alias("name"))
-        for level, name in on.items()
-    ]))).withColumn("level", F.col("__zone.level"))
+    wanted = _zone_names(df, on)
     zones = gazetteer.join(levels, ["country", "feature_code"]).select(
-        F.col("country").alias(country), "level", "relation", "uri",
+        F.col("country").alias("__country"), F.col("level").alias("__level"), "relation", "uri",
         F.lower(F.trim("name")).alias("__name"),
     )
-    return wanted.join(
-        zones, (wanted[country] == zones[country]) & (wanted["level"] == zones["level"])
-        & (F.col("__zone.name") == F.col("__name")), "inner",
-    ).drop(zones[country]).drop(zones["level"]).drop("__zone", "__name")
+    if threshold is not None:
+        zones = cut_lineage(zones)
+        wanted = _with_nearest_names(wanted, zones, country, list(on), threshold)
+    same = (F.col(country) == F.col("__country")) & (F.col("level") == F.col("__level")) & (F.col("__zone.name") == F.col("__name"))
+    if rejects:
+        return wanted.join(zones, same, "left_anti").drop("__zone")
+    return wanted.join(zones, same, "inner").drop("__country", "__level", "__zone", "__name")
+
+
+def _with_nearest_names(wanted: DataFrame, zones: DataFrame, country: str, levels: Sequence[str], threshold: float) -> DataFrame:
+    """Names that no zone has, replaced by the most similar ones of their level; a level is one fuzzy match of distinct names."""
+    out = None
+    for level in levels:
+        own, names = wanted.where(F.col("level") == level), zones.where(F.col("__level") == level)
+        same = (F.col(country) == F.col("__country")) & (F.col("__zone.name") == F.col("__name"))
+        missing = own.join(names, same, "left_anti").select(F.col("__zone.name").alias("__missing"))
+        near = fuzzy_best_match(missing, names, "__missing", "__name", out="__near", score="__score").where(F.col("__score") >= threshold)
+        near = settle(near.select("__missing", "__near"))
+        met = own.join(near, F.col("__zone.name") == F.col("__missing"), "left").withColumn(
+            "__zone", F.struct(F.col("__zone.level").alias("level"), F.coalesce("__near", "__zone.name").alias("name"))).drop("__missing", "__near")
+        out = met if out is None else out.unionByName(met)
+    return out
