@@ -9,8 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Largest side, in bytes of its JSON text, that is broadcast after it was measured.
-BROADCAST_LIMIT = 32 * 1024 * 1024
+#: Largest side, in bytes of its Parquet files, that is broadcast after it was measured: several times that in memory.
+BROADCAST_LIMIT = 8 * 1024 * 1024
+#: And most rows of it: files of repeated values can be far smaller than what they hold.
+BROADCAST_ROWS = 1_000_000
 
 #: Settings every job of this library relies on: times are UTC instants, and AQE merges small partitions and splits
 #: skewed ones.
@@ -74,18 +76,28 @@ def remove_path(spark: SparkSession, path: str) -> None:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so that later rounds neither recompute nor depend on one executor."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows, written as Parquet in the shared folder and read back: later rounds neither recompute nor depend on one executor.
+
+    Unlike a checkpoint of rows this is columnar: later reads take the columns they need, and Spark knows its true size.
+    """
+    return _written(df)[0]
+
+
+def _written(df: DataFrame) -> tuple[DataFrame, str]:
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def settle(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """The smaller side of a join, written once and measured: broadcast within ``limit``, never beyond it.
+    """The smaller side of a join, written once and measured: broadcast within ``limit`` bytes of Parquet and
+    :data:`BROADCAST_ROWS`, never beyond them.
 
     Spark's own estimate is no bound for a side that was exploded. A larger side is joined by sort-merge; as
     it is read back from the shared folder, its exchange feeds the join directly, which is what AQE needs to
     split skewed partitions of the other side.
     """
-    saved = cut_lineage(df)
-    size = saved.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0
-    return F.broadcast(saved) if size <= limit else saved.hint("merge")
+    saved, path = _written(df)
+    files, target = _file_system(df.sparkSession, path)
+    small = files.getContentSummary(target).getLength() <= limit and saved.count() <= BROADCAST_ROWS
+    return F.broadcast(saved) if small else saved.hint("merge")
