@@ -222,7 +222,7 @@ def match_one_to_one(left: DataFrame, right: DataFrame, left_id: str, left_text:
     """Pair rows one to one by text similarity: ``(left_id, right_id, score)``.
 
     Pairs of at least ``threshold`` are taken greedily, best score first, then left text, then right text.
-    Each round settles all pairs that are best for both sides; a chain of texts that all prefer the next one
+    Equal texts are paired first. Then each round settles all pairs that are best for both sides; a chain of texts that all prefer the next one
     takes a round per link. Texts carry their number of rows, so equal rows are paired by number instead of
     forming all combinations.
     """
@@ -230,14 +230,18 @@ def match_one_to_one(left: DataFrame, right: DataFrame, left_id: str, left_text:
     b = right.select(F.col(right_id).alias("__rid"), F.col(right_text).alias("right_text")).dropna()
     left_free = cut_lineage(a.groupBy("left_text").agg(F.count(F.lit(1)).alias("left_free")))
     right_free = cut_lineage(b.groupBy("right_text").agg(F.count(F.lit(1)).alias("right_free")))
-    pairs = cut_lineage(similar_pairs(
-        left_free.select(F.col("left_text").alias("text")), right_free.select(F.col("right_text").alias("text")),
-        threshold,
-    ))
     left_free = left_free.withColumn("left_used", F.lit(0).cast("long"))
     right_free = right_free.withColumn("right_used", F.lit(0).cast("long"))
-    rounds: list[DataFrame] = []
-    while True:
+    # Only equal texts score 100, so they are the first pairs in any case; the search is for what they leave.
+    equal = cut_lineage(left_free.join(right_free, F.col("left_text") == F.col("right_text")).withColumn("score", F.lit(100.0))
+                        .withColumn("take", F.least("left_free", "right_free")))
+    rounds: list[DataFrame] = [equal.select("left_text", "right_text", "score", "take", "left_used", "right_used")]
+    left_free, right_free = cut_lineage(_use(left_free, equal, "left")), cut_lineage(_use(right_free, equal, "right"))
+    pairs = cut_lineage(similar_pairs(
+        left_free.where("left_free > 0").select(F.col("left_text").alias("text")),
+        right_free.where("right_free > 0").select(F.col("right_text").alias("text")), threshold,
+    ))
+    while not pairs.isEmpty():
         live = (
             pairs.join(left_free.where("left_free > 0"), "left_text")
             .join(right_free.where("right_free > 0"), "right_text")
