@@ -167,6 +167,20 @@ def test_passages(spark, docs, nothing):
     assert [(r.doc_id, r.kept_doc_id, r.n_words) for r in passages.repeated_units(two, min_words=3, paragraphs=True).collect()] == [(2, 1, 4)]
 
 
+def test_passages_of_short_lines(spark, docs, nothing):
+    short = [f"run{k} a{k} b{k} c{k}" for k in range(13)]
+    uneven = ["p q r", " ".join(f"u{k}" for k in range(30)), "s t"]
+    texts = [(1, "\n".join(["own one", *short, "\n", *uneven, "own two"])), (2, "\n".join(["other", *short, "two"]).upper()), (3, "\n".join(uneven)),
+             (4, "\n".join(["only three", *short[:4]])), (5, "\n".join(["foo bar"] * 25)), (6, None), (7, "\n"), (None, "\n".join(short))]
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    spans = passages.repeated_runs(rows)
+    got = {(r.doc_id, r.unit, r.last_unit, r.n_words) for r in spans.collect()}
+    assert got == {(2, 1, 13, 52), (3, 0, 2, 35), (5, 10, 24, 30)}
+    left = {r.doc_id: r.text for r in passages.remove_units(rows, spans).collect()}
+    assert left == dict(texts) | {2: "OTHER\nTWO", 3: "", 5: "\n".join(["foo bar"] * 10) + "\n"}
+    assert passages.repeated_runs(nothing).count() == 0 and passages.repeated_runs(docs).count() > 0
+
+
 def test_packing(spark, docs, nothing):
     path = queries.tokenizer_file("word_bpe_49k.json")
     got = packing.pack(docs, path, ids=True).collect()

@@ -10,6 +10,10 @@ is joined back in a join AQE can split, so a passage that a third of all rows ho
 Defined cases: null and empty texts have no units; a row without id takes no part; rows with equal ids hold equal ranks, so of
 rows repeated as a whole the copies stay together (they are one document); shorter units always stay; an empty table gives no
 spans.
+
+:func:`repeated_runs` lets ``min_words`` count for a run of consecutive lines: besides long lines it hashes, for every line, the
+shortest run of lines from it and the shortest one up to it that reach ``min_words``, so every line of a repeated run that long is
+in one of them. A run that overlaps its own first occurrence stays. Lines without words are stepped over.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from urbanweave.llm.kernels import ALNUM, Flat, pieces, signed
@@ -77,8 +81,54 @@ def repeated_units(docs: DataFrame, doc: str = "doc_id", text: str = "text", min
                         F.col("kept.doc").alias("kept_doc_id"), F.col("kept.unit").alias("kept_unit"))
 
 
+def run_hashes(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_words: int = 20) -> DataFrame:
+    """Shortest runs of lines with ``min_words``: ``(doc, unit, last, start, end, lo, hi, h1, h2)``; ``lo:hi`` are words of the text."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for at, flat in pieces(batch.column(1)):
+                start, end, owner = _units(flat, False)
+                words = flat.words(ALNUM)
+                lo, hi = np.searchsorted(words.start, start), np.searchsorted(words.start, end)
+                full = np.flatnonzero(hi > lo)
+                number = np.arange(len(owner)) - np.searchsorted(owner, owner)
+                start, end, owner, lo, hi, number = (x[full] for x in (start, end, owner, lo, hi, number))
+                on = np.flatnonzero(lo + min_words <= words.first[owner + 1])
+                back = np.flatnonzero(hi - min_words >= words.first[owner])
+                head = np.concatenate([on, np.searchsorted(lo, hi[back] - min_words, side="right") - 1])
+                tail = np.concatenate([np.searchsorted(hi, lo[on] + min_words), back])
+                head, tail = np.divmod(np.unique(head * max(len(full), 1) + tail), max(len(full), 1))
+                own = owner[head]
+                base, before = flat.first[own], words.first[own]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[at + own], pa.int64()), *[pa.array(x, pa.int64()) for x in (number[head], number[tail], start[head] - base,
+                     end[tail] - base, lo[head] - before, hi[tail] - before)],
+                     *[pa.array(signed(words.runs(words.hashes(seed), lo[head], hi[tail]))) for seed in (1, 2)]],
+                    names=["doc", "unit", "last", "start", "end", "lo", "hi", "h1", "h2"])
+
+    known = docs.where(F.col(doc).isNotNull()).select(F.col(doc).cast("long"), F.col(text).cast("string"))
+    return known.mapInArrow(cut, "doc long, unit long, last long, start long, end long, lo long, hi long, h1 long, h2 long")
+
+
+def repeated_runs(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_words: int = 20) -> DataFrame:
+    """Spans of lines to remove: ``(doc_id, unit, last_unit, start, end, n_words)``, offsets in bytes; touching runs are one span."""
+    runs = saved(run_hashes(docs, doc, text, min_words), "runs")
+    place = F.struct("doc", "unit", "last")
+    first = (runs.groupBy("h1", "h2").agg(F.min(place).alias("kept"), F.max(place).alias("final")).where("kept < final")
+             .select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), "kept"))
+    later = runs.join(first, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))
+                      & ((F.col("doc") > F.col("kept.doc")) | ((F.col("doc") == F.col("kept.doc")) & (F.col("unit") > F.col("kept.last")))))
+    inside = Window.partitionBy("doc").orderBy("unit", "last")
+    reach = F.max("last").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    number = F.sum(F.when(F.col("unit") <= F.col("reach") + 1, 0).otherwise(1)).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    joined = later.select("doc", "unit", "last", "start", "end", "lo", "hi").withColumn("reach", reach).withColumn("span", number)
+    return joined.groupBy(F.col("doc").alias("doc_id"), "span").agg(
+        F.min("unit").alias("unit"), F.max("last").alias("last_unit"), F.min("start").alias("start"), F.max("end").alias("end"),
+        (F.max("hi") - F.min("lo")).alias("n_words")).drop("span")
+
+
 def remove_units(docs: DataFrame, spans: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents, in their own columns, without the spans of :func:`repeated_units`; a removed line takes its LF along."""
+    """The documents, in their own columns, without the spans of :func:`repeated_units` or :func:`repeated_runs`; a removed line takes its LF along."""
     of = fresh(docs, "__span_doc")
     lists = spans.groupBy(F.col("doc_id").alias(of)).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias(fresh(docs, "__spans")))
     met = docs.join(lists, F.col(doc) == F.col(of), "left").drop(of)
