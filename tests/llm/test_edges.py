@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from urbanweave.llm import covertree, decontamination, jaccard, kernels, language_model, lines, packing, passages, quality, queries, sharding, tokens, warc
 from urbanweave.llm.components import components
+from urbanweave.llm.shared import saved
 from urbanweave.session import scratch_path
 
 WORDS = [f"w{k}é" if k % 7 == 0 else f"word{k}" for k in range(400)]
@@ -331,6 +332,42 @@ def test_language_model_is_normalised():
     assert np.allclose(total, 1, atol=1e-5)
 
 
+def test_language_model_grows_with_the_vocabulary(spark):
+    texts = spark.createDataFrame([(" ".join(f"word{k}ing" for k in range(n)),) for n in (400, 8_000)], "text string")
+    counts = saved(language_model.token_counts(texts, "text"), "token-counts")
+    words = language_model.vocabulary(counts, counts.count())
+    size = words.sizes
+    assert (size.head, size.classes) == (400, 128) and len(words.head) == 400 and size.groups * size.members >= size.outputs
+    assert len(language_model.Parameters.start(np.log(words.noise), size).flat()) > len(language_model.Parameters.start(np.log(np.full(256, 1 / 256))).flat())
+    raw = " ".join(f"word{k}ing" for k in range(8_000)).encode()
+    hashes, suffix, _ = language_model.token_hashes(kernels.Flat(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])))
+    inputs, outputs = words.ids(hashes, suffix)
+    assert len(set(suffix[:-1])) == 1 and len(set(inputs[:-1, 0])) > 700  # one ending, many inputs
+    own = outputs[outputs < size.head]
+    assert len(own) == len(set(own)) == 400
+    for sizes in (size, language_model.Sizes.of(50_000)):
+        n = sizes.outputs
+        model = language_model.Parameters.start(np.log(np.full(n, 1 / n)), sizes)
+        context = np.random.default_rng(1).integers(0, sizes.inputs, (1, language_model.CONTEXT, 2))
+        assert np.isclose(np.exp(model.log_softmax_at(np.repeat(context, n, axis=0), np.arange(n))).sum(), 1, atol=1e-4)
+    assert language_model.Sizes.of(50_000).classes > 128
+
+
+def test_language_model_learns_words_outside_the_first_outputs():
+    sizes, draw = language_model.Sizes.of(4_000), np.random.default_rng(2)
+    noise = np.full(sizes.outputs, 1 / sizes.outputs)
+    trainer = language_model.Trainer(language_model.Parameters.start(np.log(noise), sizes), noise, 1)
+    target = draw.choice([200, 220], 100_000)
+    context = np.repeat(np.where(target == 200, 150, 160)[:, None, None], language_model.CONTEXT, axis=1)
+    before = trainer.model.log_softmax_at(context[:100], target[:100]).mean()
+    trainer.read(context, target)
+    after = trainer.model.log_softmax_at(context[:100], target[:100])
+    crossed = trainer.model.log_softmax_at(context[:100], 420 - target[:100])
+    assert after.mean() > before + 1 and (after > crossed).all()
+    merged = language_model._average(2 * language_model._weighted(trainer.model, trainer.weights()).astype(float), sizes)
+    assert np.allclose(merged.flat(), trainer.model.flat(), rtol=1e-4, atol=1e-5)
+
+
 def test_warc(spark, nothing):
     rows = [(1, "http://a/\r\nx", "p" * 1000), (2, None, "p" * 1000), (2, None, "p" * 1000), (3, "u", None), (4, "u", ""), (5, "u", "a\r\n\r\nWARC/1.1\r\nb\r\n\r\n"),
             (None, "u", "é" * 777), (6, "u", "é" * 777), (None, "u", "alone"), (7, "u", "\r\n\r\n")]

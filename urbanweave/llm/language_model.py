@@ -1,15 +1,18 @@
 """A log-bilinear neural language model, trained in numpy with noise-contrastive estimation on all training texts.
 
-Tokens are words (runs of non-blank characters, A-Z lower-cased) and one end for each text. The model predicts one of :data:`HEAD` frequent
-tokens or one of :data:`CLASSES` classes of the others (by their last bytes); within a class a token has its smoothed share of
-the training tokens. The vector predicted from the last :data:`CONTEXT` tokens is the sum of their vectors, each scaled by the weights
-of its place; its products with all output vectors, plus a bias, go through a softmax. So every token probability is
-normalised over all known tokens and one unknown token for each class.
+Tokens are words (runs of non-blank characters, A-Z lower-cased) and one end for each text. The number of outputs follows the counted
+vocabulary (:class:`Sizes`): with n distinct tokens the n ** (2/3) most frequent have an output each, at least :data:`HEAD`, and the others
+a quarter as many classes, at least :data:`CLASSES` (by their last bytes and hash); within a class a token has its smoothed share of the training tokens.
+As input every token is the sum of two vectors: its own, or for a rarer token one of as many by its hash, and one of its last bytes.
+The vector predicted from the last :data:`CONTEXT` tokens is the sum of theirs, each scaled by the weights of its place. Outputs lie in
+groups, about as many as a group has members: a softmax over the groups and one over the members of a group, of products with
+their vectors plus a bias. So every token probability is normalised over all known tokens and one unknown token for each class.
 
 1. *Counts.* Every training token is counted; tasks add up before the shuffle.
 2. *Training.* All tasks start from the unigram model, take a short warm-up, and are averaged, weighted by tokens; then each trains on
-   all its training texts, and the results are averaged again. Averaging is done by parameter block in the shuffle.
-   Gradients compare each token with :data:`NOISE` noise tokens from the unigram distribution, in batches of matrix products.
+   all its training texts, and the results are averaged again. Averaging is done by parameter block in the shuffle;
+   a vector counts in the average as often as the task met it.
+   Gradients compare each token, and its group, with :data:`NOISE` others drawn from the unigram distribution, in batches of matrix products.
 3. *Scoring.* Batched matrix products give log probabilities of all outputs. Counts of the :data:`KNOWN` most frequent tokens
    (a bounded list) are looked up in the task; all rarer tokens meet their counts in a join, summed by document.
 
@@ -23,7 +26,7 @@ zero and the model is uniform over its outputs; an empty table gives an empty ta
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanweave.llm.kernels import BROAD, Flat, lists, pieces, signed
+from urbanweave.llm.kernels import BROAD, Flat, lists, mix, pieces, signed
 from urbanweave.llm.shared import frequent, saved
 
 HEAD = 128
@@ -65,50 +68,119 @@ def token_hashes(flat: Flat) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, suffix, first
 
 
+@dataclass(frozen=True)
+class Sizes:
+    """Numbers of frequent tokens, of classes of the others, and of input vectors by hash."""
+
+    head: int = HEAD
+    classes: int = CLASSES
+    hashed: int = HEAD
+
+    @classmethod
+    def of(cls, types: int) -> Sizes:
+        """For this many distinct tokens."""
+        head = max(HEAD, round(types ** (2 / 3)))
+        return cls(head, max(CLASSES, head // 4), head)
+
+    @property
+    def outputs(self) -> int:
+        return self.head + self.classes
+
+    @property
+    def inputs(self) -> int:
+        """Own vectors, those by hash, those by last bytes, one before the text."""
+        return self.head + self.hashed + SUFFIXES + 1
+
+    @property
+    def members(self) -> int:
+        """Outputs of a group; the last one can have fewer."""
+        return int(np.ceil(np.sqrt(self.outputs)))
+
+    @property
+    def groups(self) -> int:
+        return -(-self.outputs // self.members)
+
+    def class_of(self, hashes: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+        """Class of each rarer token: its last bytes, and where classes are many also its hash, so that more of them are used."""
+        part = (hashes >> np.uint64(40)) % np.uint64(-(-self.classes // CLASSES))
+        return (mix(suffix + part * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(self.classes)).astype(np.int64)
+
+    def shapes(self) -> list[tuple[int, ...]]:
+        rows = self.outputs + self.groups
+        return [(self.inputs, WIDTH), (rows, WIDTH), (CONTEXT, WIDTH), (rows,)]
+
+    def by_group(self, shares: np.ndarray) -> np.ndarray:
+        """Sums over the members of each group."""
+        return np.add.reduceat(shares, np.arange(0, self.outputs, self.members))
+
+
 @dataclass
 class Parameters:
-    """Vectors of input tokens, of outputs, weights of context places, and output biases."""
+    """Vectors of input tokens, of outputs and then groups, weights of context places, and biases of outputs and then groups."""
 
     inputs: np.ndarray
     outputs: np.ndarray
     places: np.ndarray
     bias: np.ndarray
+    sizes: Sizes
+
+    NAMES = ("inputs", "outputs", "places", "bias")
 
     @classmethod
-    def start(cls, log_share: np.ndarray) -> Parameters:
+    def start(cls, log_share: np.ndarray, sizes: Sizes = Sizes()) -> Parameters:
         draw = np.random.Generator(np.random.PCG64(7))
-        scale = 1 / np.sqrt(WIDTH)
-        return cls(draw.normal(0, scale, (HEAD + SUFFIXES + 1, WIDTH)).astype(np.float32), draw.normal(0, 0.1, (HEAD + CLASSES, WIDTH)).astype(np.float32),
-                   np.ones((CONTEXT, WIDTH), np.float32) / CONTEXT, log_share.astype(np.float32))
+        shapes = sizes.shapes()
+        bias = np.concatenate([log_share, np.log(sizes.by_group(np.exp(log_share)))])
+        return cls(draw.normal(0, 1 / np.sqrt(WIDTH), shapes[0]).astype(np.float32), draw.normal(0, 0.1, shapes[1]).astype(np.float32),
+                   np.ones((CONTEXT, WIDTH), np.float32) / CONTEXT, bias.astype(np.float32), sizes)
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([getattr(self, f.name).ravel() for f in fields(self)])
+        return np.concatenate([getattr(self, name).ravel() for name in self.NAMES])
 
     @classmethod
-    def of(cls, values: np.ndarray) -> Parameters:
-        shapes, parts, at = [(HEAD + SUFFIXES + 1, WIDTH), (HEAD + CLASSES, WIDTH), (CONTEXT, WIDTH), (HEAD + CLASSES,)], [], 0
-        for shape in shapes:
+    def of(cls, values: np.ndarray, sizes: Sizes) -> Parameters:
+        parts, at = [], 0
+        for shape in sizes.shapes():
             parts.append(values[at:at + int(np.prod(shape))].astype(np.float32).reshape(shape))
             at += int(np.prod(shape))
-        return cls(*parts)
+        return cls(*parts, sizes)
 
     def predicted(self, context: np.ndarray) -> np.ndarray:
-        out = self.inputs[context[:, 0]] * self.places[0]
-        for k in range(1, CONTEXT):
-            out += self.inputs[context[:, k]] * self.places[k]
+        rows = context.reshape(len(context), CONTEXT, -1)
+        out = np.zeros((len(rows), WIDTH), np.float32)
+        for k in range(CONTEXT):
+            own = self.inputs[rows[:, k, 0]]
+            for j in range(1, rows.shape[2]):
+                own += self.inputs[rows[:, k, j]]
+            out += own * self.places[k]
         return out
 
     def log_softmax_at(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log probability of each target output after its context, normalised over all outputs."""
-        out = np.empty(len(target))
-        across = np.ones(len(self.outputs), np.float32)
-        longest, highest = np.sqrt((self.outputs ** 2).sum(axis=1).max()), np.abs(self.bias).max()
+        out, size = np.empty(len(target)), self.sizes
+        for lo in range(0, len(target), 64 * BATCH):
+            own = target[lo:lo + 64 * BATCH]
+            vectors, group = self.predicted(context[lo:lo + 64 * BATCH]), own // size.members
+            logs = self._among(vectors, group, size.outputs, size.outputs + size.groups)
+            order = np.argsort(group, kind="stable")
+            edges = np.searchsorted(group[order], np.arange(size.groups + 1))
+            for g in np.flatnonzero(np.diff(edges)):
+                rows, first = order[edges[g]:edges[g + 1]], g * size.members
+                logs[rows] += self._among(vectors[rows], own[rows] - first, first, min(first + size.members, size.outputs))
+            out[lo:lo + 64 * BATCH] = logs
+        return out
+
+    def _among(self, vectors: np.ndarray, target: np.ndarray, first: int, last: int) -> np.ndarray:
+        """Log softmax over the rows ``first:last`` of outputs, at ``target``."""
+        out, outputs, bias = np.empty(len(target)), self.outputs[first:last], self.bias[first:last]
+        across = np.ones(last - first, np.float32)
+        longest, highest = np.sqrt((outputs ** 2).sum(axis=1).max()), np.abs(bias).max()
         for lo in range(0, len(target), BATCH):
-            vectors = self.predicted(context[lo:lo + BATCH])
-            scores = vectors @ self.outputs.T
-            scores += self.bias
+            part = vectors[lo:lo + BATCH]
+            scores = part @ outputs.T
+            scores += bias
             own = scores[np.arange(len(scores)), target[lo:lo + BATCH]].astype(float)
-            if np.sqrt(np.einsum("ij,ij->i", vectors, vectors).max()) * longest + highest < 60:  # no exponential overflows or vanishes
+            if np.sqrt(np.einsum("ij,ij->i", part, part).max()) * longest + highest < 60:  # no exponential overflows or vanishes
                 np.exp(scores, out=scores)
                 out[lo:lo + BATCH] = own - np.log(scores @ across)
             else:
@@ -122,26 +194,36 @@ class Parameters:
 class Vocabulary:
     """What tasks need to know of the counts: the head tokens, output shares, and counts of frequent tokens."""
 
+    sizes: Sizes
     head: np.ndarray  # sorted hashes
+    rank: np.ndarray  # place of each by frequency, its output
     noise: np.ndarray  # share of each output among training tokens
     class_base: np.ndarray  # for each class log10 of its smoothed size
     known: np.ndarray  # sorted hashes of frequent tokens
     known_log: np.ndarray  # log10(count + 0.5) of each
 
     def ids(self, hashes: np.ndarray, suffix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Input and output numbers of tokens."""
-        if not len(self.head):
-            at, hit = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        else:
-            at = np.minimum(np.searchsorted(self.head, hashes), len(self.head) - 1)
-            hit = self.head[at] == hashes
-        return (np.where(hit, at, HEAD + (suffix % np.uint64(SUFFIXES)).astype(np.int64)),
-                np.where(hit, at, HEAD + (suffix % np.uint64(CLASSES)).astype(np.int64)))
-
-
-def contexts(inputs: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """The last tokens before each token of the same text; a start token where there is none."""
-    out = np.full((len(inputs), CONTEXT), HEAD + SUFFIXES, np.int64)
+        """The two input numbers and the output number of tokens."""
+        hit, at = _found(self.head, hashes)
+        if hit.any():
+            at = np.where(hit, self.rank[at], 0)
+        size = self.sizes
+        own = np.where(hit, at, size.head + ((hashes >> np.uint64(20)) % np.uint64(size.hashed)).astype(np.int64))
+        last = size.head + size.hashed + (suffix % np.uint64(SUFFIXES)).astype(np.int64)
+        return np.stack([own, last], axis=1), np.where(hit, at, size.head + size.class_of(hashes, suffix))
+
+
+def _found(ordered: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which values are in an ordered array, and where."""
+    if not len(ordered):
+        return np.zeros(len(values), bool), np.zeros(len(values), np.int64)
+    at = np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)
+    return ordered[at] == values, at
+
+
+def contexts(inputs: np.ndarray, first: np.ndarray, sizes: Sizes) -> np.ndarray:
+    """Input numbers of the last tokens before each token of the same text; a start token where there is none."""
+    out = np.full((len(inputs), CONTEXT, inputs.shape[1]), sizes.inputs - 1, np.int64)
     since = np.arange(len(inputs)) - np.repeat(first[:-1], np.diff(first))
     for k in range(CONTEXT):
         has = since > k
@@ -154,8 +236,11 @@ class Trainer:
 
     def __init__(self, model: Parameters, noise: np.ndarray, seed: int, rate: float = 0.3):
         self.model, self.rate, self.draw = model, rate, np.random.Generator(np.random.PCG64(seed))
-        self.steps = {f.name: np.full_like(getattr(model, f.name), 1e-2) for f in fields(model)}
-        self.edges, self.log_noise = np.cumsum(noise), np.log(np.maximum(noise, 1e-12) * NOISE).astype(np.float32)
+        self.steps = {name: np.full_like(getattr(model, name), 1e-2) for name in model.NAMES}
+        self.met = {name: np.zeros(len(getattr(model, name)), np.float32) for name in ("inputs", "outputs")}
+        self.levels = []  # first row, sums of shares and logs for outputs and for groups
+        for first, shares in ((0, noise), (model.sizes.outputs, model.sizes.by_group(noise))):
+            self.levels.append((first, np.cumsum(shares), np.log(np.maximum(shares, 1e-12) * NOISE).astype(np.float32)))
         self.tokens = self.done = 0
 
     def read(self, context: np.ndarray, target: np.ndarray) -> None:
@@ -170,27 +255,73 @@ class Trainer:
         self.done += 1
         rate = self.rate * min(1.0, self.done / RISE)
         vectors = m.predicted(context)
-        noise = np.minimum(np.searchsorted(self.edges, self.draw.random(NOISE) * self.edges[-1]), len(self.edges) - 1)
-        own = np.einsum("ij,ij->i", vectors, m.outputs[target]) + m.bias[target] - self.log_noise[target]
-        other = vectors @ m.outputs[noise].T + (m.bias[noise] - self.log_noise[noise])
-        up = 1 / (1 + np.exp(np.clip(own, -30, 30)))  # how far the data is from being told from noise
-        down = 1 / (1 + np.exp(np.clip(-other, -30, 30)))
-        back = up[:, None] * m.outputs[target] - down @ m.outputs[noise]
-        outputs = _scatter(target, up[:, None] * vectors, len(m.outputs))
-        np.subtract.at(outputs, noise, down.T @ vectors)
-        bias = np.bincount(target, weights=up, minlength=len(m.bias)) - np.bincount(noise, weights=down.sum(axis=0), minlength=len(m.bias))
-        inputs = _scatter(context.ravel(), (back[:, None, :] * m.places[None]).reshape(-1, WIDTH), len(m.inputs))
-        places = np.stack([(back * m.inputs[context[:, k]]).sum(axis=0) for k in range(CONTEXT)])
-        for name, gradient in (("inputs", inputs), ("outputs", outputs), ("places", places), ("bias", bias)):
-            gradient = (gradient / n).astype(np.float32)
-            self.steps[name] += gradient * gradient
-            getattr(m, name)[...] += rate * gradient / np.sqrt(self.steps[name])
-
-
-def _scatter(at: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
-    """Sums of the rows of ``values`` by ``at``."""
-    index = (at[:, None] * WIDTH + np.arange(WIDTH)).ravel()
-    return np.bincount(index, weights=values.ravel(), minlength=rows * WIDTH).reshape(rows, WIDTH)
+        back, rows, pulls, lifts = np.zeros_like(vectors), [], [], []
+        for (first, edges, log_noise), own_row in zip(self.levels, (target, target // m.sizes.members), strict=True):
+            noise_row = np.minimum(np.searchsorted(edges, self.draw.random(NOISE) * edges[-1]), len(edges) - 1)
+            at, other_at = first + own_row, first + noise_row
+            own = np.einsum("ij,ij->i", vectors, m.outputs[at]) + m.bias[at] - log_noise[own_row]
+            other = vectors @ m.outputs[other_at].T + (m.bias[other_at] - log_noise[noise_row])
+            up = 1 / (1 + np.exp(np.clip(own, -30, 30)))  # how far the data is from being told from noise
+            down = 1 / (1 + np.exp(np.clip(-other, -30, 30)))
+            back += up[:, None] * m.outputs[at] - down @ m.outputs[other_at]
+            rows += [at, other_at]
+            pulls += [up[:, None] * vectors, -(down.T @ vectors)]
+            lifts += [up, -down.sum(axis=0)]
+        context = context.reshape(n, CONTEXT, -1)
+        places = np.stack([(back * m.inputs[context[:, k]].sum(axis=1)).sum(axis=0) for k in range(CONTEXT)])
+        moved = np.repeat(back[:, None, :] * m.places[None], context.shape[2], axis=1).reshape(-1, WIDTH)
+        seen, times, inputs = _scatter(context.ravel(), moved, len(m.inputs))
+        self.met["inputs"][seen] += times
+        self._move("inputs", seen, inputs, n, rate)
+        lift = np.concatenate(lifts)
+        seen, times, outputs = _scatter(np.concatenate(rows), np.concatenate(pulls), len(m.outputs))
+        self.met["outputs"][seen] += times
+        self._move("outputs", seen, outputs, n, rate)
+        self._move("bias", seen, np.bincount(np.concatenate(rows), weights=lift, minlength=len(m.bias))[seen], n, rate)
+        self._move("places", slice(None), places, n, rate)
+
+    def _move(self, name: str, rows: np.ndarray | slice, gradient: np.ndarray, n: int, rate: float) -> None:
+        """An AdaGrad step of the rows that have a gradient."""
+        gradient = (gradient / n).astype(np.float32)
+        steps = self.steps[name][rows] + gradient * gradient
+        self.steps[name][rows] = steps
+        getattr(self.model, name)[rows] += rate * gradient / np.sqrt(steps)
+
+    def weights(self) -> list[np.ndarray]:
+        """How much each row of the parameters counts in an average: as often as it was met, and a little if never."""
+        inputs, outputs = self.met["inputs"] + np.float32(1e-3), self.met["outputs"] + np.float32(1e-3)
+        return [inputs, outputs, np.full(CONTEXT, self.tokens, np.float32), outputs]
+
+
+def _weighted(model: Parameters, weights: list[np.ndarray]) -> np.ndarray:
+    """All parameters times the weights of their rows, and then those weights."""
+    parts = [getattr(model, name) * (w[:, None] if getattr(model, name).ndim > 1 else w) for name, w in zip(model.NAMES, weights, strict=True)]
+    return np.concatenate([x.ravel() for x in parts + weights]).astype(np.float32)
+
+
+def _average(sums: np.ndarray, sizes: Sizes) -> Parameters:
+    """Parameters from the sums of what :func:`_weighted` gives."""
+    shapes = sizes.shapes()
+    at, parts = sum(int(np.prod(x)) for x in shapes), []
+    model = Parameters.of(sums, sizes)
+    for name, shape in zip(model.NAMES, shapes, strict=True):
+        weight = sums[at:at + shape[0]].astype(np.float32)
+        at += shape[0]
+        parts.append(getattr(model, name) / (weight[:, None] if len(shape) > 1 else weight))
+    return Parameters(*parts, sizes)
+
+
+def _scatter(at: np.ndarray, values: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct numbers in ``at``, how often each occurs, and the sums of the rows of ``values`` by them."""
+    mark = np.zeros(rows, bool)
+    mark[at] = True
+    seen = np.flatnonzero(mark)
+    place = np.empty(rows, np.int64)
+    place[seen] = np.arange(len(seen))
+    own = place[at]
+    index = (own[:, None] * WIDTH + np.arange(WIDTH)).ravel()
+    sums = np.bincount(index, weights=values.ravel(), minlength=len(seen) * WIDTH).reshape(len(seen), WIDTH)
+    return seen, np.bincount(own, minlength=len(seen)), sums
 
 
 def token_counts(docs: DataFrame, text: str, keep: int = 1 << 21) -> DataFrame:
@@ -228,23 +359,36 @@ def _counted(rows: tuple[np.ndarray, ...]) -> pa.RecordBatch:
                                       names=["token", "suffix", "times"])
 
 
-def vocabulary(counts: DataFrame) -> Vocabulary:
-    """From saved counts: bounded lists of frequent tokens and sums by class."""
+def vocabulary(counts: DataFrame, types: int) -> Vocabulary:
+    """From saved counts of so many tokens: bounded lists of frequent tokens and sums by class."""
+    sizes = Sizes.of(types)
     top = frequent(counts, "token", "times", KNOWN)
-    order = np.lexsort((top[0], -top[1]))[:HEAD]
-    head = np.sort(top[0][order].view(np.uint64))
-    modulus = F.pmod(F.col("suffix"), F.lit(CLASSES)).cast("int")  # a power of two: the low bits, with or without sign
-    named = F.col("token").isin(*[int(x) for x in head.view(np.int64)]) if len(head) else F.lit(False)
-    sums, types = np.zeros(CLASSES), np.zeros(CLASSES)
-    for at, total, n in counts.where(~named).groupBy(modulus.alias("at")).agg(F.sum("times"), F.count(F.lit(1))).collect():
-        sums[at], types[at] = total, n
-    own = np.zeros(HEAD)
-    place = np.searchsorted(head, top[0].view(np.uint64))
-    hit = (place < len(head)) & (head[np.minimum(place, max(len(head) - 1, 0))] == top[0].view(np.uint64)) if len(head) else np.zeros(0, bool)
-    own[place[hit]] = top[1][hit]
+    order = np.lexsort((top[0], -top[1]))[:sizes.head]
+    head = top[0][order].view(np.uint64)
+    own = np.zeros(sizes.head)
+    own[:len(head)] = top[1][order]
+    rank = np.argsort(head)
+    head = head[rank]
+    shared = counts.sparkSession.sparkContext.broadcast(head)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, types = np.zeros(sizes.classes), np.zeros(sizes.classes)
+        for batch in batches:
+            hashes, suffix, times = (x.to_numpy(zero_copy_only=False) for x in batch.columns)
+            rare = ~_found(shared.value, hashes.view(np.uint64))[0]
+            at = sizes.class_of(hashes[rare].view(np.uint64), suffix[rare].view(np.uint64))
+            sums += np.bincount(at, weights=times[rare], minlength=sizes.classes)
+            types += np.bincount(at, minlength=sizes.classes)
+        full = np.flatnonzero(types)
+        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(sums[full]), pa.array(types[full])], names=["at", "total", "n"])
+
+    by_class = counts.select("token", "suffix", "times").mapInArrow(add, "at long, total double, n double").groupBy("at").agg(F.sum("total"), F.sum("n")).toArrow()
+    sums, types_in = np.zeros(sizes.classes), np.zeros(sizes.classes)
+    at, sums_in, n = (x.to_numpy() for x in by_class.columns)
+    sums[at], types_in[at] = sums_in, n
     smooth = np.concatenate([own, sums]) + 0.5
     order = np.argsort(top[0].view(np.uint64))
-    return Vocabulary(head, smooth / smooth.sum(), np.log10(sums + 0.5 * (types + 1)), top[0].view(np.uint64)[order], np.log10(top[1][order] + 0.5))
+    return Vocabulary(sizes, head, rank, smooth / smooth.sum(), np.log10(sums + 0.5 * (types_in + 1)), top[0].view(np.uint64)[order], np.log10(top[1][order] + 0.5))
 
 
 def _rounds(docs: DataFrame, text: str, words: Vocabulary, model: Parameters, limit: int | None) -> Parameters:
@@ -254,13 +398,13 @@ def _rounds(docs: DataFrame, text: str, words: Vocabulary, model: Parameters, li
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, start = shared.value
         task = TaskContext.get().partitionId()
-        trainer = Trainer(Parameters.of(start), words.noise, task)
+        trainer = Trainer(Parameters.of(start, words.sizes), words.noise, task)
         held, size = [], 0
         for batch in batches:
             for _, flat in pieces(batch.column(0)):
                 hashes, suffix, first = token_hashes(flat)
                 inputs, outputs = words.ids(hashes, suffix)
-                context = contexts(inputs, first)
+                context = contexts(inputs, first, words.sizes)
                 if limit is None:
                     trainer.read(context, outputs)
                 elif size < limit:
@@ -268,11 +412,12 @@ def _rounds(docs: DataFrame, text: str, words: Vocabulary, model: Parameters, li
                     size += len(held[-1][1])
             if limit and size >= limit:
                 break
-        while held and trainer.tokens < limit:  # a small share is read again until the warm-up is as long as any other
-            for context, outputs in held:
-                trainer.read(context, outputs)
+        if size:  # a small share is read again until the warm-up is as long as any other
+            context, outputs = (np.concatenate(x) for x in zip(*held, strict=True))
+            again = np.arange(limit) % size
+            trainer.read(context[again], outputs[again])
         if trainer.tokens:
-            flat_model = trainer.model.flat() * np.float32(trainer.tokens / 1e6)
+            flat_model = _weighted(trainer.model, trainer.weights())
             count = -(-len(flat_model) // BLOCK)
             flat_model = np.concatenate([flat_model, np.zeros(count * BLOCK - len(flat_model), np.float32)])
             yield _blocks(np.arange(count), task, trainer.tokens / 1e6, flat_model)
@@ -296,10 +441,10 @@ def _rounds(docs: DataFrame, text: str, words: Vocabulary, model: Parameters, li
     sums = docs.select(F.col(text).cast("string")).mapInArrow(train, schema)
     sums = sums.repartition("block", F.pmod("task", F.lit(32))).sortWithinPartitions("block", "task").mapInArrow(add, schema)
     sums = sums.repartition("block").sortWithinPartitions("block", "task").mapInArrow(add, schema)
-    rows = sorted(sums.select("block", "weight", "values").collect())  # one row for each block of the model
-    if not rows:
+    rows = sums.select("block", "values").toArrow().sort_by("block")  # one row for each block of the model
+    if not len(rows):
         return model
-    return Parameters.of(np.concatenate([np.array(r[2]) / r[1] for r in rows])[:len(model.flat())])
+    return _average(rows.column("values").combine_chunks().flatten().to_numpy().astype(np.float64), words.sizes)
 
 
 def _blocks(block: np.ndarray, task: int, weight: float, values: np.ndarray) -> pa.RecordBatch:
@@ -315,8 +460,8 @@ def score_texts(docs: DataFrame, learn: Column, doc: str = "doc_id", text: str =
     training = docs.where(learn)
     counts = saved(token_counts(training, text), "token-counts")
     total, types = counts.agg(F.coalesce(F.sum("times"), F.lit(0)), F.count(F.lit(1))).first()
-    words = vocabulary(counts)
-    model = Parameters.start(np.log(words.noise))
+    words = vocabulary(counts, types)
+    model = Parameters.start(np.log(words.noise), words.sizes)
     if total:
         model = _rounds(training, text, words, model, WARM_UP)
         model = _rounds(training, text, words, model, None)
@@ -324,14 +469,14 @@ def score_texts(docs: DataFrame, learn: Column, doc: str = "doc_id", text: str =
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, values = shared.value
-        model, row = Parameters.of(values), TaskContext.get().partitionId() << 36
+        model, row = Parameters.of(values, words.sizes), TaskContext.get().partitionId() << 36
         for batch in batches:
             for at, flat in pieces(batch.column(2)):
                 hashes, suffix, first = token_hashes(flat)
                 inputs, outputs = words.ids(hashes, suffix)
-                logs = model.log_softmax_at(contexts(inputs, first), outputs) / np.log(10)
-                rare = outputs >= HEAD
-                logs[rare] -= words.class_base[outputs[rare] - HEAD]
+                logs = model.log_softmax_at(contexts(inputs, first, words.sizes), outputs) / np.log(10)
+                rare = outputs >= words.sizes.head
+                logs[rare] -= words.class_base[outputs[rare] - words.sizes.head]
                 values, place = np.unique(hashes, return_inverse=True)
                 near = np.minimum(np.searchsorted(words.known, values), max(len(words.known) - 1, 0))
                 known = words.known[near] == values if len(words.known) else np.zeros(len(values), bool)
