@@ -117,6 +117,22 @@ def link_admin_zone(t):
         "c_custkey", "level", "relation", "uri")
 
 
+@query("link_admin_zone_similar", """
+    select c_custkey, 'municipality' as level, 'AddressCity' as relation, 'geo#' || case c_custkey % 2 when 0 then 'ES' else 'FR' end || '-' || c_nationkey as uri
+    from customer where c_nationkey is not null""")
+def link_admin_zone_similar(t):
+    """French zones have the very names that Spanish rows ask for; Spanish zones only have similar ones."""
+    land = F.when(F.col("c_custkey") % 2 == 0, "ES").otherwise("FR")
+    asked = F.concat(F.lower("n_name"), F.lit("e"))
+    places = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", land.alias("land"), asked.alias("city"))
+    zone = lambda land, name: t.nation.select(
+        F.lit(land).alias("country"), F.lit("A.ADM3").alias("feature_code"), name.alias("name"), F.concat(F.lit(f"geo#{land}-"), "n_nationkey").alias("uri"))
+    levels = t.spark.createDataFrame([("ES", "municipality", "A.ADM3", "AddressCity"), ("FR", "municipality", "A.ADM3", "AddressCity")],
+                                     "country string, level string, feature_code string, relation string")
+    return lookups.link_admin_zone(places, zone("ES", F.col("n_name")).unionByName(zone("FR", asked)), levels, "land", {"municipality": "city"}, threshold=80.0).select(
+        "c_custkey", "level", "relation", "uri")
+
+
 @query("dedup_keep_last", """
     select o_orderkey, o_custkey, o_orderstatus from orders
     qualify row_number() over (partition by o_custkey, nullif(o_orderstatus, 'P') order by o_orderdate desc, o_orderkey desc) = 1""")

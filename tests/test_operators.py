@@ -254,6 +254,17 @@ def test_zone_names_close_to_the_gazetteer(spark):
     assert {r.id for r in link(threshold=90.0, rejects=True).collect()} == {3, 4, 5}
 
 
+def test_zone_names_close_to_the_gazetteer_of_their_own_country(spark):
+    rows = spark.createDataFrame([(1, "ES", "santa fee"), (2, "AR", "santa fee"), (3, "ES", "elsewhere"), (4, None, "santa fee")], "id int, land string, city string")
+    gazetteer = spark.createDataFrame([("ES", "A", "santa fe", "u1"), ("AR", "A", "santa fee", "u2"), ("AR", "A", "elsewhere", "u3")],
+                                      "country string, feature_code string, name string, uri string")
+    levels = spark.createDataFrame([("ES", "city", "A", "in"), ("AR", "city", "A", "in")], "country string, level string, feature_code string, relation string")
+    for threshold in (90.0, 70.0):
+        link = lambda **more: lookups.link_admin_zone(rows, gazetteer, levels, "land", {"city": "city"}, threshold, **more)
+        assert {(r.id, r.uri) for r in link().collect()} == {(1, "u1"), (2, "u2")}
+        assert {r.id for r in link(rejects=True).collect()} == {3, 4}
+
+
 def test_energy_is_not_multiplied_by_tariffs_of_a_sector(spark):
     words = spark.createDataFrame([("s~1~a", "T1", "Sector/x"), ("s~1~b", "T2", "Sector/x"), ("s~2~a", "T3", "Sector/x")], "SOURCE string, Tariff string, EconomicSector string")
     rows = spark.createDataFrame([("s", "1", "a", 24.0)], "sector string, disc string, fare string, value double")

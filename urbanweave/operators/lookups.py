@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from urbanweave.functions.text import compose_key, zero_pad
 from urbanweave.operators.dedup import first_per_key
-from urbanweave.operators.fuzzy import fuzzy_best_match
+from urbanweave.operators.fuzzy import similar_pairs
 from urbanweave.session import cut_lineage, settle
 
 
@@ -144,7 +144,7 @@ def link_admin_zone(df: DataFrame, gazetteer: DataFrame, levels: DataFrame, coun
     ``levels`` is the configuration ``(country, level, feature_code, relation)``; ``gazetteer`` holds
     ``(country, feature_code, name, uri)``; ``on`` names the column of ``df`` that holds the zone name of a
     level. Names are compared lower-case and trimmed. With a ``threshold``, a name that no zone of its country and level has takes
-    the most similar name of the level, if it scores that much. ``rejects`` gives the rows and levels without a link instead.
+    the most similar name of its country and level, if it scores that much. ``rejects`` gives the rows and levels without a link instead.
     """
     wanted = _zone_names(df, on)
     zones = gazetteer.join(levels, ["country", "feature_code"]).select(
@@ -161,15 +161,21 @@ def link_admin_zone(df: DataFrame, gazetteer: DataFrame, levels: DataFrame, coun
 
 
 def _with_nearest_names(wanted: DataFrame, zones: DataFrame, country: str, levels: Sequence[str], threshold: float) -> DataFrame:
-    """Names that no zone has, replaced by the most similar ones of their level; a level is one fuzzy match of distinct names."""
+    """Names that no zone has, replaced by the most similar ones of their country and level; ties go to the lower name.
+
+    All pairs of distinct names within the threshold are found for a level, then kept where a country has both.
+    """
     out = None
     for level in levels:
         own, names = wanted.where(F.col("level") == level), zones.where(F.col("__level") == level)
         same = (F.col(country) == F.col("__country")) & (F.col("__zone.name") == F.col("__name"))
-        missing = own.join(names, same, "left_anti").select(F.col("__zone.name").alias("__missing"))
-        near = fuzzy_best_match(missing, names, "__missing", "__name", out="__near", score="__score").where(F.col("__score") >= threshold)
-        near = settle(near.select("__missing", "__near"))
-        met = own.join(near, F.col("__zone.name") == F.col("__missing"), "left").withColumn(
-            "__zone", F.struct(F.col("__zone.level").alias("level"), F.coalesce("__near", "__zone.name").alias("name"))).drop("__missing", "__near")
+        missing = cut_lineage(own.join(names, same, "left_anti").select(F.col(country).alias("__land"), F.col("__zone.name").alias("__missing")).dropna().distinct())
+        offered = cut_lineage(names.select(F.col("__country").alias("__land"), F.col("__name").alias("__near")).dropna().distinct())
+        pairs = similar_pairs(missing.select(F.col("__missing").alias("text")).distinct(), offered.select(F.col("__near").alias("text")).distinct(), threshold)
+        pairs = pairs.where(F.col("score") >= threshold).select(F.col("left_text").alias("__missing"), F.col("right_text").alias("__near"), F.col("score").alias("__score"))
+        met = pairs.join(missing, "__missing").join(offered, ["__land", "__near"])
+        near = settle(first_per_key(met, ["__land", "__missing"], [F.col("__score").desc(), F.col("__near").asc()]).select("__land", "__missing", "__near"))
+        met = own.join(near, (F.col("__zone.name") == F.col("__missing")) & (F.col(country) == F.col("__land")), "left").withColumn(
+            "__zone", F.struct(F.col("__zone.level").alias("level"), F.coalesce("__near", "__zone.name").alias("name"))).drop("__land", "__missing", "__near")
         out = met if out is None else out.unionByName(met)
     return out
