@@ -61,18 +61,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Flat:
-    """Texts of one piece: ``first[i]:first[i + 1]`` are the bytes of text ``i``."""
+    """Texts of one piece: ``first[i]:first[i + 1]`` are the bytes of text ``i``. Hashes fold A-Z to a-z unless ``fold`` is off."""
 
-    def __init__(self, raw: np.ndarray, first: np.ndarray):
+    def __init__(self, raw: np.ndarray, first: np.ndarray, fold: bool = True):
         self.raw, self.first = raw, first
-        self.low = LOWER[raw]
+        self.low = LOWER[raw] if fold else raw
         self._prefix: dict[int, np.ndarray] = {}
 
     def __len__(self) -> int:
         return len(self.first) - 1
 
     def span_hash(self, start: np.ndarray, end: np.ndarray, seed: int = 1) -> np.ndarray:
-        """64-bit hash of lower-cased bytes ``start:end``, equal for equal bytes wherever they stand."""
+        """64-bit hash of the bytes ``start:end`` (folded or not), equal for equal bytes wherever they stand."""
         table, base = _seeded(seed)
         if seed not in self._prefix:
             sums = np.zeros(len(self.low) + 1, np.uint64)
@@ -167,7 +167,7 @@ class Words:
         return at, mix(joined[at])
 
 
-def pieces(column: pa.Array, limit: int = PIECE) -> Iterator[tuple[int, Flat]]:
+def pieces(column: pa.Array, limit: int = PIECE, fold: bool = True) -> Iterator[tuple[int, Flat]]:
     """A column in pieces of whole texts: position of the first text, and the texts."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -183,7 +183,7 @@ def pieces(column: pa.Array, limit: int = PIECE) -> Iterator[tuple[int, Flat]]:
     at = 0
     while at < count:
         to = max(at + 1, int(np.searchsorted(ends, ends[at] + limit, side="right")) - 1)
-        yield at, Flat(raw[ends[at]:ends[to]], ends[at:to + 1] - ends[at])
+        yield at, Flat(raw[ends[at]:ends[to]], ends[at:to + 1] - ends[at], fold)
         at = to
 
 

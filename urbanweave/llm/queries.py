@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanweave.llm import covertree, decontamination, jaccard, language_model, lines, packing, passages, quality, sharding, warc
+from urbanweave.llm import (covertree, decontamination, jaccard, language_model, lines, merkle, packing, passages, periodic, prefix_counts, quality, sharding,
+                            warc)
 from urbanweave.llm.shared import prepare
 from urbanweave.session import scratch_path
 
@@ -197,3 +200,111 @@ def language_model_query(read):
     docs = read("documents")
     scored = language_model.score_texts(docs, learn=~held_out(F.col("doc_id"), 1))
     return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+#: CRC-32 of an id in decimal, which DuckDB lacks: a table of 256 remainders, and one step for each character.
+CRC = """
+bits as (select list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, n)) as remainder),
+hashed as (
+    select d.*, xor(list_reduce(list_transform(string_split(doc_id::varchar, ''), lambda c: ord(c)::bigint),
+                                lambda a, b: xor(a >> 8, remainder[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) as h
+    from documents d, bits)"""
+
+
+def planted(doc: int, n: int) -> np.ndarray | None:
+    """Places of a text's words when a part of it is repeated, for a tenth of the ids."""
+    h = zlib.crc32(str(doc).encode())
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    i = np.arange(n)
+    return np.where(i < a, i, a + (i - a) % p)
+
+
+@query("op11_periodic_runs", rf"""
+with {CRC},
+cut as (select doc_id, h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from hashed),
+placed as (select *, len(w) as n, case when h % 10 = 0 and len(w) > 0 then (h // 10) % len(w) end as a from cut),
+period as (select *, 1 + (n - a) // (3 + (h // 10) % 8) as p from placed),
+whole as (
+    select doc_id, n, case when a is null then w else list_transform(range(n), lambda i: w[case when i < a then i else a + (i - a) % p end + 1]) end as w
+    from period),
+words as (select doc_id, n, unnest(range(n)) as i, unnest(w) as word from whole),
+pairs as (select x.doc_id, y.i - x.i as q, x.i from words x join words y on x.doc_id = y.doc_id and x.word = y.word and y.i > x.i and 4 * (y.i - x.i) <= x.n),
+stretches as (
+    select doc_id, q, min(i) as start, count(*) + q as size
+    from (select *, i - row_number() over (partition by doc_id, q order by i) as stretch from pairs) group by doc_id, q, stretch
+    having count(*) + q >= greatest(6, 4 * q)),
+runs as (select doc_id, start, size, min(q) as q from stretches group by doc_id, start, size),
+gone as (select distinct doc_id, unnest(range(start + q, start + size)) as i from runs),
+listed as (select doc_id, count(*) as n_runs, string_agg(start || ',' || size || ',' || q || chr(10), '' order by start, q) as list,
+                  first(struct_pack(start, size, q) order by size desc, start, q) as best from runs group by doc_id),
+kept as (select w.doc_id, string_agg(word, ' ' order by w.i) as text from words w left join gone g on w.doc_id = g.doc_id and w.i = g.i
+         where g.i is null group by w.doc_id)
+select d.doc_id, coalesce(n_runs, 0)::bigint as n_runs, best.start::bigint as start, best.size::bigint as length, best.q::bigint as period,
+       (1000 * best.size // best.q)::bigint as exponent_milli, sha256(coalesce(list, '')) as runs_sha256, sha256(coalesce(k.text, '')) as collapsed_sha256
+from documents d left join listed l on d.doc_id = l.doc_id left join kept k on d.doc_id = k.doc_id
+""")
+def periodic_query(read):
+    found = periodic.periodic_runs(read("documents"), arrange=planted)
+    lines_ = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    return found.withColumn("best", longest).select(
+        F.col("doc").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines_, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query("op12_token_counts")
+def token_count_query(read):
+    counts = prefix_counts.prefix_counts(read("documents"), tokenizer_file("piece_bpe_32k.model"))
+    limit = 4096
+    return prefix_counts.totals(counts).join(prefix_counts.longest_prefixes(counts, limit), "row").select(
+        F.col("doc").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "n_chars", "fit_chars", "fit_tokens")
+
+
+@query("op13_merkle_manifest", rf"""
+with recursive {CRC},
+written as (
+    select doc_id, source, h, concat(coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+           coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-')) as head, text, replace(text, chr(10), '') as bare from hashed),
+leaves as (
+    select doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+           case when h % 2 = 0 then sha256(head || coalesce(strlen(bare) || ':' || bare, '-')) else sha256(head || coalesce(strlen(text) || ':' || text, '-')) end as received
+    from written),
+ranked as (select *, row_number() over (partition by source order by doc_id) - 1 as k from leaves),
+trees as (select source, row_number() over (order by source nulls first) - 1 as s, list(leaf order by k) as nodes from ranked group by source),
+levels as (
+    select s, 0::bigint as up, nodes from trees
+    union all
+    select s, up + 1, list_transform(range(1, len(nodes) + 1, 3), lambda i: sha256(array_to_string(nodes[i:i + 2], ''))) from levels where len(nodes) > 1),
+subroots as (select s, nodes[1] as subroot from levels where len(nodes) = 1),
+heads as (
+    select 0::bigint as up, list(subroot order by s) as nodes from subroots
+    union all
+    select up + 1, list_transform(range(1, len(nodes) + 1, 3), lambda i: sha256(array_to_string(nodes[i:i + 2], ''))) from heads where len(nodes) > 1),
+placed as (select doc_id, leaf, received, k, t.s, subroot from ranked r join trees t on r.source is not distinct from t.source join subroots b on t.s = b.s),
+near as (
+    select doc_id, up, nodes, (k // (3 ** up)::bigint) as place from placed join levels on levels.s = placed.s where len(nodes) > 1
+    union all
+    select doc_id, 1000 + up, nodes, (s // (3 ** up)::bigint) from placed, heads where len(nodes) > 1),
+steps as (
+    select doc_id, row_number() over (partition by doc_id order by up) as step, array_to_string(nodes[place - place % 3 + 1:place], '') as before,
+           array_to_string(nodes[place + 2:place - place % 3 + 3], '') as after from near),
+proofs as (select doc_id, string_agg(before || after, '' order by step) as proof from steps group by doc_id),
+folds as (
+    select doc_id, 0::bigint as step, received as cur from placed
+    union all
+    select f.doc_id, f.step + 1, sha256(before || cur || after) from folds f join steps s on s.doc_id = f.doc_id and s.step = f.step + 1),
+last as (select doc_id, cur as folded_root from (select *, row_number() over (partition by doc_id order by step desc) as r from folds) where r = 1)
+select p.doc_id, leaf, subroot, (select nodes[1] from heads where len(nodes) = 1) as root, sha256(coalesce(proof, '')) as proof_sha256, folded_root,
+       folded_root = (select nodes[1] from heads where len(nodes) = 1) as verified
+from placed p left join proofs o on p.doc_id = o.doc_id join last l on p.doc_id = l.doc_id
+""")
+def merkle_query(read):
+    damaged = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    manifest = merkle.build_manifest(read("documents"), "source", "doc_id", ["doc_id", "source", "lang", "n_chars", "text"], {"text": damaged})
+    return merkle.prove(manifest).select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", F.col("proof").alias("proof_sha256"), F.col("folded").alias("folded_root"),
+                                         (F.col("folded") == F.col("root")).alias("verified"))
