@@ -111,6 +111,26 @@ def write_dual_layout_append(t):
         F.round(F.sum("value"), 2).alias("value")).drop("lot")
 
 
+@query("write_dual_layout_merge", """
+    with loads as (
+        select sha256(user_id || '-Electricity') as device, cast(epoch(date_trunc('hour', ts)) as bigint) as start, event_id, value, 1 as lot from events
+        where ts < timestamp '2024-01-20'
+        union all
+        select sha256(user_id || '-Electricity'), cast(epoch(date_trunc('hour', ts)) as bigint), event_id, 2 * value, 2 from events
+        where ts >= timestamp '2024-01-10'),
+    last as (select * from loads qualify row_number() over (partition by device, start order by lot desc, event_id desc) = 1)
+    select l.layout, device, start, event_id, value from last, (values ('online'), ('batch')) l(layout)""")
+def write_dual_layout_merge(t):
+    """A backfill that overlaps ten days with corrected values overwrites their keys, in both layouts."""
+    root = scratch_path(t.spark, "store")
+    for part, factor in ((F.col("ts") < F.lit("2024-01-20"), 1), (F.col("ts") >= F.lit("2024-01-10"), 2)):
+        rows = store.series_rows(t.events.where(part), device_hash(F.col("user_id"), "-Electricity"), F.date_trunc("hour", "ts"), "PT1H",
+                                 F.col("value") * factor, extra=[F.col("event_id")])
+        paths = store.write_dual_layout(rows, root, "EnergyConsumptionGridElectricity", "PT1H", "city", mode="merge", order=["event_id"])
+    read = [store.read_series(t.spark, path).select(F.lit(layout).alias("layout"), "device", "start", "event_id", "value") for layout, path in paths.items()]
+    return read[0].unionByName(read[1])
+
+
 @query("read_bucket_range", """
     select sha256(o_custkey || '-Gas') as device, cast(epoch(o_orderdate) as bigint) as start, o_totalprice as value from orders
     where o_orderdate >= timestamp '1997-03-01' and o_orderdate < timestamp '1997-06-01'""")

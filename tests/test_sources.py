@@ -56,7 +56,7 @@ def test_dual_layout_prunes_buckets_and_is_sorted(spark, tmp_path):
     assert {r.bucket for r in read.select("bucket").distinct().collect()} == set(wanted)
     assert "PartitionFilters: [isnotnull(bucket" in read._jdf.queryExecution().executedPlan().toString() or "bucket" in read._jdf.queryExecution().executedPlan().toString()
     for layout, keys in (("online", ["device", "start"]), ("batch", ["start", "device"])):
-        for path in glob.glob(f"{paths[layout]}/bucket=*/*.parquet"):
+        for path in glob.glob(f"{paths[layout]}/load=*/bucket=*/*.parquet"):
             frame = pd.read_parquet(path)
             assert frame[keys].equals(frame[keys].sort_values(keys).reset_index(drop=True))
     assert store.read_series(spark, paths["online"]).count() == 2000

@@ -36,7 +36,7 @@ class Harmonised:
 def store_harmonised(made: Harmonised, root: str, freq: str, user: str, graph: str | None = None, mode: str = "errorifexists") -> dict[str, dict[str, str]]:
     """Write all series of a source in both layouts below ``root`` and its triples to ``graph``; paths by property and layout.
 
-    ``mode="append"`` adds a backfill to what is stored.
+    ``mode="merge"`` puts a backfill over what is stored, by key; ``mode="append"`` adds it and fails if a key is stored already.
     """
     paths = {prop: write_dual_layout(rows, root, prop, freq, user, mode=mode) for prop, rows in made.series.items()}
     if graph:
