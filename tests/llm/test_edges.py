@@ -175,8 +175,8 @@ def test_passages_of_short_lines(spark, docs, nothing):
              (4, "\n".join(["only three", *short[:4]])), (5, "\n".join(["foo bar"] * 25)), (6, None), (7, "\n"), (None, "\n".join(short))]
     rows = spark.createDataFrame(texts, "doc_id long, text string")
     spans = passages.repeated_runs(rows)
-    got = {(r.doc_id, r.unit, r.last_unit, r.n_words) for r in spans.collect()}
-    assert got == {(2, 1, 13, 52), (3, 0, 2, 35), (5, 10, 24, 30)}
+    got = {(r.doc_id, r.unit, r.last_unit, r.n_words, r.kept_doc_id, r.kept_unit) for r in spans.collect()}
+    assert got == {(2, 1, 13, 52, 1, 1), (3, 0, 2, 35, 1, 16), (5, 10, 24, 30, 5, 0)}
     left = {r.doc_id: r.text for r in passages.remove_units(rows, spans).collect()}
     assert left == dict(texts) | {2: "OTHER\nTWO", 3: "", 5: "\n".join(["foo bar"] * 10) + "\n"}
     assert passages.repeated_runs(nothing).count() == 0 and passages.repeated_runs(docs).count() > 0

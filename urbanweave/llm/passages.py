@@ -1,8 +1,13 @@
 """Substring dedup by lines or paragraphs: normalised units are hashed, grouped over the whole corpus, and only the first stays.
 
-A unit is a line, or with ``paragraphs`` a run of lines between blank ones. It is normalised to its sequence of words (ASCII
-letters, digits and non-ASCII characters, lower-cased in A-Z), so punctuation and spacing don't hide a copy. Units of at
-least ``min_words`` words take part. Of equal units the one in the document with the smallest id stays, in it the first.
+:func:`repeated_runs` takes runs of consecutive lines as units: ``min_words`` counts for the run, so short lines take part. For every
+line it hashes the shortest run of lines from it and the shortest one up to it that reach ``min_words``; every line of a repeated run
+that long is in one of them. A run that overlaps its own first occurrence stays. Lines without words are stepped over.
+
+:func:`repeated_units` judges each unit alone: a line, or with ``paragraphs`` a run of lines between blank ones, of ``min_words`` or more.
+
+Units are normalised to their sequence of words (ASCII letters, digits and non-ASCII characters, lower-cased in A-Z), so punctuation and
+spacing don't hide a copy. Of equal units the one in the document with the smallest id stays, in it the first.
 
 Only hashes (128 bits) and positions are shuffled. The first occurrence of a unit is an aggregate that combines map-side; it
 is joined back in a join AQE can split, so a passage that a third of all rows hold does not meet in one task.
@@ -10,10 +15,6 @@ is joined back in a join AQE can split, so a passage that a third of all rows ho
 Defined cases: null and empty texts have no units; a row without id takes no part; rows with equal ids hold equal ranks, so of
 rows repeated as a whole the copies stay together (they are one document); shorter units always stay; an empty table gives no
 spans.
-
-:func:`repeated_runs` lets ``min_words`` count for a run of consecutive lines: besides long lines it hashes, for every line, the
-shortest run of lines from it and the shortest one up to it that reach ``min_words``, so every line of a repeated run that long is
-in one of them. A run that overlaps its own first occurrence stays. Lines without words are stepped over.
 """
 
 from __future__ import annotations
@@ -111,7 +112,10 @@ def run_hashes(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_wor
 
 
 def repeated_runs(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_words: int = 20) -> DataFrame:
-    """Spans of lines to remove: ``(doc_id, unit, last_unit, start, end, n_words)``, offsets in bytes; touching runs are one span."""
+    """Spans of lines to remove: ``(doc_id, unit, last_unit, start, end, n_words, kept_doc_id, kept_unit)``, offsets in bytes.
+
+    Touching runs are one span. ``kept_doc_id`` and ``kept_unit`` say where the earliest occurrence of its first run begins.
+    """
     runs = saved(run_hashes(docs, doc, text, min_words), "runs")
     place = F.struct("doc", "unit", "last")
     first = (runs.groupBy("h1", "h2").agg(F.min(place).alias("kept"), F.max(place).alias("final")).where("kept < final")
@@ -121,10 +125,11 @@ def repeated_runs(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_
     inside = Window.partitionBy("doc").orderBy("unit", "last")
     reach = F.max("last").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     number = F.sum(F.when(F.col("unit") <= F.col("reach") + 1, 0).otherwise(1)).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    joined = later.select("doc", "unit", "last", "start", "end", "lo", "hi").withColumn("reach", reach).withColumn("span", number)
+    joined = later.select("doc", "unit", "last", "start", "end", "lo", "hi", "kept").withColumn("reach", reach).withColumn("span", number)
     return joined.groupBy(F.col("doc").alias("doc_id"), "span").agg(
         F.min("unit").alias("unit"), F.max("last").alias("last_unit"), F.min("start").alias("start"), F.max("end").alias("end"),
-        (F.max("hi") - F.min("lo")).alias("n_words")).drop("span")
+        (F.max("hi") - F.min("lo")).alias("n_words"), F.min(F.struct("unit", "last", "kept")).alias("first")).select(
+        "doc_id", "unit", "last_unit", "start", "end", "n_words", F.col("first.kept.doc").alias("kept_doc_id"), F.col("first.kept.unit").alias("kept_unit"))
 
 
 def remove_units(docs: DataFrame, spans: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:

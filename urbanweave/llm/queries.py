@@ -101,25 +101,6 @@ def product_query(read):
 
 
 @query("op5_substring_dedup", r"""
-with lines as (
-    select doc_id, unnest(range(len(l))) as unit, unnest(l) as line from (select doc_id, string_split(text, chr(10)) as l from documents)),
-units as (
-    select doc_id, unit, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w, line,
-           coalesce(sum(strlen(line) + 1) over (partition by doc_id order by unit rows between unbounded preceding and 1 preceding), 0) as pos
-    from lines),
-ranked as (
-    select *, first_value(doc_id) over same as kept_doc_id, first_value(unit) over same as kept_unit from units where len(w) >= 20
-    window same as (partition by w order by doc_id, unit))
-select doc_id, unit::bigint as unit, pos::bigint as start, (pos + strlen(line))::bigint as "end", len(w)::bigint as n_words,
-       kept_doc_id, kept_unit::bigint as kept_unit
-from ranked where doc_id <> kept_doc_id or unit <> kept_unit
-""")
-def substring_query(read):
-    return passages.repeated_units(read("documents"))
-
-
-@query("op5_substring_dedup_runs", r"""
 with lines as (
     select doc_id, unnest(range(len(l))) as unit, unnest(l) as line from (select doc_id, string_split(text, chr(10)) as l from documents)),
 units as (
@@ -138,17 +119,17 @@ runs as (
     select a.doc_id, a.unit, b.unit, a.pos, b.pos + strlen(b.line), a.lo, b.hi from counted a join counted b
     on a.doc_id = b.doc_id and b.hi - 20 >= a.lo and b.hi - 20 < a.hi),
 keyed as (select r.*, array_to_string(w[r.lo::bigint + 1:r.hi::bigint], ' ') as run from runs r join whole using (doc_id)),
-ranked as (select *, first_value(doc_id) over same as kept, first_value(last) over same as kept_last from keyed
+ranked as (select *, first_value(doc_id) over same as kept, first_value(unit) over same as kept_unit, first_value(last) over same as kept_last from keyed
            window same as (partition by run order by doc_id, unit, last)),
 later as (
     select *, max(last) over (partition by doc_id order by unit, last rows between unbounded preceding and 1 preceding) as reach
     from ranked where doc_id > kept or unit > kept_last),
 spans as (select *, sum(case when unit <= reach + 1 then 0 else 1 end) over (partition by doc_id order by unit, last) as span from later)
 select doc_id, min(unit)::bigint as unit, max(last)::bigint as last_unit, min(start)::bigint as start, max("end")::bigint as "end",
-       (max(hi) - min(lo))::bigint as n_words
+       (max(hi) - min(lo))::bigint as n_words, first(kept order by unit, last) as kept_doc_id, first(kept_unit order by unit, last)::bigint as kept_unit
 from spans group by doc_id, span
 """)
-def substring_runs_query(read):
+def substring_query(read):
     return passages.repeated_runs(read("documents"))
 
 
