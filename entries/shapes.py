@@ -128,8 +128,7 @@ def nearest_station(t):
 def nearest_station_plane(t):
     points = t.embeddings.select("vec_id", F.get("embedding", 0).cast("double").alias("x"), F.get("embedding", 1).cast("double").alias("y"))
     stations = t.documents.select("doc_id", (F.col("doc_id") * 7 % 101 / 100 - 0.5).alias("x"), (F.col("doc_id") * 13 % 103 / 100 - 0.5).alias("y"))
-    # A limit of 0 takes the way meant for station lists too long to ship.
-    found = spatial.nearest_station(points, stations, "vec_id", ["x", "y"], "doc_id", ["x", "y"], "plane", 0.02, limit=0)
+    found = spatial.nearest_station(points, stations, "vec_id", ["x", "y"], "doc_id", ["x", "y"], "plane")
     return found.select("vec_id", F.col("doc_id").alias("station"), F.round("distance", 6).alias("distance"))
 
 
@@ -140,7 +139,7 @@ def nearest_station_plane(t):
     select case when c_custkey % 20 > 0 then c_custkey::varchar end as c_custkey, min_by(o_orderkey, (d2, o_orderkey)) as station,
            round(sqrt(min(d2)), 6) as distance from d group by d.c_custkey""")
 def nearest_station_many(t):
-    # Some ids are null, and there are more stations than a list may have.
+    # Some ids are null.
     points = t.customer.select(F.when(F.col("c_custkey") % 20 > 0, F.col("c_custkey").cast("string")).alias("c_custkey"),
                                (F.col("c_custkey") * 37 % 1009 / 10).alias("x"), (F.col("c_custkey") * 91 % 997 / 10).alias("y"))
     stations = t.orders.select("o_orderkey", (F.col("o_orderkey") * 53 % 1013 / 10).alias("x"), (F.col("o_custkey") * 71 % 1019 / 10).alias("y"))

@@ -9,6 +9,7 @@ from entries.registry import query
 from urbanweave.functions.clock import buckets_between
 from urbanweave.functions.text import device_hash
 from urbanweave.operators.dedup import first_row_per_device
+from urbanweave.operators.graph import distinct_triples
 from urbanweave.session import scratch_path
 from urbanweave.sources import cells, files, messages, ntriples, store
 
@@ -218,3 +219,41 @@ def write_ntriples(t):
            'iri' from part""")
 def read_ntriples(t):
     return ntriples.read_ntriples(t.spark, ntriples.write_ntriples(_triples(t), scratch_path(t.spark, "nt")))
+
+
+def _terms(t, table: str, key: str, name: str):
+    """Triples of every kind of term, about blank nodes whose labels are the same in each table."""
+    node = F.concat(F.lit("_:n"), F.col(key) % 7)
+    base = "https://city.example#"
+    literal = {"p": F.lit(base + "name"), "o": F.concat(F.lit('"a\\b\t'), name, F.lit("\n")), "o_kind": F.lit("literal")}
+    kinds = [
+        literal | {"language": F.lit("en")}, literal | {"language": F.lit("ca-ES")}, literal,
+        {"p": F.lit(base + "number"), "o": F.col(key).cast("string"), "o_kind": F.lit("literal"), "datatype": F.lit("http://www.w3.org/2001/XMLSchema#integer")},
+        {"p": F.lit(base + "place é"), "o": F.concat(F.lit(base + "caf\u00e9 {"), name, F.lit("}")), "o_kind": F.lit("iri")},
+        {"p": F.lit(base + "near"), "o": F.concat(F.lit("_:n"), (F.col(key) + 1) % 7), "o_kind": F.lit("blank")},
+    ]
+    rows = [F.struct(node.alias("s"), *[(k.get(c, F.lit(None).cast("string"))).alias(c) for c in ("p", "o", "o_kind", "language", "datatype")]) for k in kinds]
+    return getattr(t, table).select(F.inline(F.array(*rows)))
+
+
+@query("ntriples_terms", """
+    with r as (select 'supplier' as file, s_suppkey as k, s_name as n from supplier union all select 'nation', n_nationkey, n_name from nation),
+    t as (
+        select file, k % 7 as node, k, n, unnest(['name', 'name', 'name', 'number', 'place é', 'near']) as p, unnest(['en', 'ca-ES', null, null, null, null]) as language,
+               unnest(['literal', 'literal', 'literal', 'literal', 'iri', 'blank']) as o_kind from r)
+    select distinct file || '-' || node as s, 'https://city.example#' || p as p,
+           case p when 'name' then '"a\\b' || chr(9) || n || chr(10) when 'number' then k::varchar when 'place é' then 'https://city.example#café {' || n || '}'
+                  else file || '-' || (k + 1) % 7 end as o, o_kind, language,
+           case when p = 'number' then 'http://www.w3.org/2001/XMLSchema#integer' end as datatype from t""")
+def ntriples_terms(t):
+    """Two files with the same blank labels, all kinds of terms: what is read are the terms written, and blank nodes of different files differ.
+
+    A label is named here by the file and number its node stands for.
+    """
+    root = scratch_path(t.spark, "terms")
+    for table, key, name in (("supplier", "s_suppkey", "s_name"), ("nation", "n_nationkey", "n_name")):
+        ntriples.write_ntriples(distinct_triples(_terms(t, table, key, name)), f"{root}/{table}")
+    read = distinct_triples(ntriples.read_ntriples(t.spark, f"{root}/*", details=True))
+    of = read.where(F.col("p").endswith("#name")).groupBy("s").agg(F.max(F.contains("o", F.lit("NATION"))).alias("is_nation"))
+    plain = lambda c: F.concat(F.when(F.col("is_nation"), "nation-").otherwise("supplier-"), F.substring_index(c, "-n", -1))
+    return read.join(of, "s").select(plain("s").alias("s"), "p", F.when(F.col("o_kind") == "blank", plain("o")).otherwise(F.col("o")).alias("o"), "o_kind", "language", "datatype")

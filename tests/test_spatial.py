@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,8 +86,8 @@ def test_geojson_text_to_shapes(spark):
     assert [r.area for r in got] == [1.0, 4.5, None] and got[2].point == [1.5, 2.0]
 
 
-@pytest.mark.parametrize("metric, size", [("sphere", 0.001), ("plane", 0.5)])
-def test_nearest_station_both_ways(spark, metric, size):
+@pytest.mark.parametrize("metric", ["sphere", "plane"])
+def test_nearest_station(spark, metric):
     rnd = random.Random(9)
     stations = [(f"s{i:03d}", rnd.uniform(-89, 89), rnd.uniform(-179.9, 179.9)) for i in range(60)] + [("tie b", 10.0, 179.9), ("tie a", 10.0, 179.9)]
     points = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(200)] + [(900, 10.0, -179.95), (901, 89.99, 0.0)]
@@ -100,11 +101,28 @@ def test_nearest_station_both_ways(spark, metric, size):
 
     want = {p[0]: min((round(distance(p, s), 4), s[0]) for s in stations) for p in points}
     p, s = spark.createDataFrame(points, "id int, lat double, lon double"), spark.createDataFrame(stations, "name string, lat double, lon double")
-    for limit in (1000, 10):
-        got = spatial.nearest_station(p, s, "id", ["lat", "lon"], "name", ["lat", "lon"], metric, size, limit)
+    for leaf in (32, 2):
+        got = spatial.nearest_station(p, s, "id", ["lat", "lon"], "name", ["lat", "lon"], metric, leaf)
         assert {r.id: (round(r.distance, 4), r.name) for r in got.collect()} == want
 
 
+def test_one_far_station_changes_nothing(spark):
+    draw = np.random.default_rng(3)
+    city, asked = draw.normal(0, 0.01, (3000, 2)), draw.normal(0, 0.01, (500, 2))
+    stations = [(k, 41 + a, 2 + b) for k, (a, b) in enumerate(city.tolist())]
+    p = spark.createDataFrame([(k, 41 + a, 2 + b) for k, (a, b) in enumerate(asked.tolist())], "id int, lat double, lon double")
+    results = []
+    for more in ([], [(9999, -1e3, 1e5)]):
+        s = spark.createDataFrame(stations + more, "name int, lat double, lon double")
+        leaves = spatial.station_leaves(s.select(F.col("name").alias("__name"), F.col("lat").alias("__s0"), F.col("lon").alias("__s1"), F.lit(0.0).alias("__s2")))
+        assert leaves.agg(F.max(F.size("stations"))).first()[0] <= spatial.LEAF
+        near = spatial._Bounds.of(leaves).near(np.column_stack([41 + asked[:, 0], 2 + asked[:, 1], np.zeros(500)]))
+        results.append(len(near[0]))
+        got = {r.id: r.name for r in spatial.nearest_station(p, s, "id", ["lat", "lon"], "name", ["lat", "lon"], "plane").collect()}
+        assert got == dict(enumerate(((asked[:, None] - city) ** 2).sum(axis=2).argmin(axis=1).tolist()))
+    assert results[1] < 1.5 * results[0] < 500 * 15
+
+
 def test_zone_of_many_edges_over_many_cells(spark):
     rnd, n = random.Random(4), 5000
     ring = [[1000 + (900 + 60 * math.sin(37 * a) + rnd.uniform(-3, 3)) * math.cos(a), 1000 + (900 + 60 * math.sin(37 * a)) * math.sin(a)]

@@ -97,10 +97,26 @@ def perimeter(parts: Column) -> Column:
     return _sum(edges(parts), lambda e: F.sqrt((e.x2 - e.x1) * (e.x2 - e.x1) + (e.y2 - e.y1) * (e.y2 - e.y1)))
 
 
+def crossing_x(edge: Column, y: Column) -> Column:
+    """Where the line of an edge has the height ``y``; null for a level one."""
+    return edge.x1 + F.try_divide((edge.x2 - edge.x1) * (y - edge.y1), edge.y2 - edge.y1)
+
+
 def crosses_right(edge: Column, x: Column, y: Column) -> Column:
     """Does the ray from ``(x, y)`` to the right cross the edge?"""
-    at = edge.x1 + F.try_divide((edge.x2 - edge.x1) * (y - edge.y1), edge.y2 - edge.y1)
-    return ((edge.y1 > y) != (edge.y2 > y)) & (x < at)
+    return ((edge.y1 > y) != (edge.y2 > y)) & (x < crossing_x(edge, y))
+
+
+def odd_crossings(lines: Column, x: Column, y: Column, right: Column, line: Column) -> Column:
+    """Is the number of edges odd that are crossed on the way from ``(x, y)`` up or down to height ``line`` and along it to ``right``?"""
+    def crossed(e: Column) -> Column:
+        y_at = e.y1 + F.try_divide((e.y2 - e.y1) * (x - e.x1), e.x2 - e.x1)
+        x_at = crossing_x(e, line)
+        along_x = ((e.x1 > x) != (e.x2 > x)) & ((y_at > y) != (y_at > line))
+        along_y = ((e.y1 > line) != (e.y2 > line)) & ((x_at > x) != (x_at > right))
+        return F.when(along_x, 1).otherwise(0) + F.when(along_y, 1).otherwise(0)
+
+    return F.aggregate(lines, F.lit(0), lambda n, e: n + crossed(e)) % 2 == 1
 
 
 def inside(lines: Column, x: Column, y: Column) -> Column:

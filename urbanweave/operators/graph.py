@@ -164,13 +164,25 @@ def expand_generic_entities(departments: DataFrame, uri: str, name: str, number:
     return nodes, departments.select(F.inline(F.array(*edge_rows)))
 
 
+#: What tells a literal from others of the same text; frames without tagged literals lack these columns.
+TAGS = ("language", "datatype")
+
+
 def distinct_triples(triples: DataFrame) -> DataFrame:
-    return triples.select("s", "p", "o", "o_kind").distinct()
+    """Each triple once; literals differ by language and datatype too."""
+    return triples.select("s", "p", "o", "o_kind", *[c for c in TAGS if c in triples.columns]).distinct()
+
+
+def _tagged(triples: DataFrame) -> Column:
+    """The value of a fact as a node keeps it: a literal with a language as ``text@language``."""
+    if "language" not in triples.columns:
+        return F.col("o")
+    return F.when(F.col("language").isNotNull(), F.concat("o", F.lit("@"), "language")).otherwise(F.col("o"))
 
 
 def graph_edges(triples: DataFrame) -> DataFrame:
-    """Triples with an IRI object, but for types."""
-    return triples.where((F.col("o_kind") == "iri") & (F.col("p") != RDF_TYPE)).select(
+    """Triples whose object is a node, but for types."""
+    return triples.where(F.col("o_kind").isin("iri", "blank") & (F.col("p") != RDF_TYPE)).select(
         F.col("s").alias("src"), F.col("p").alias("rel"), F.col("o").alias("dst")
     ).distinct()
 
@@ -179,11 +191,13 @@ def merge_nodes(triples: DataFrame, list_predicates: Sequence[str] = LIST_PREDIC
     """One node per URI: ``nodes(uri, labels, props)``.
 
     Labels are united. Values of the listed predicates become lists, others keep one value: that of the highest ``order`` (a
-    column of the triples, such as a sequence of loads), then the highest.
+    column of the triples, such as a sequence of loads), then the highest. A value with a language keeps it, as ``text@language``.
+    Blank nodes are nodes by their label.
     Edges are not gathered: a hub has as many as it likes, in :func:`graph_edges`.
     """
     place = F.struct(*([F.col(order)] if order else []), F.col("o"))
-    facts = triples.where((F.col("o_kind") == "literal") | (F.col("p") == RDF_TYPE)).select("s", "p", "o", place.alias("place"))
+    kept = triples.where((F.col("o_kind") == "literal") | (F.col("p") == RDF_TYPE)).withColumn("o", _tagged(triples))
+    facts = kept.select("s", "p", "o", place.alias("place"))
     many = F.col("p").isin(RDF_TYPE, *list_predicates)
     # Single-valued facts shrink to one row in the partial aggregate; only true lists are collected.
     single = facts.where(~many).groupBy("s", "p").agg(F.max("place")["o"].alias("o")).select(

@@ -97,15 +97,18 @@ def valid_iri(value: Column) -> Column:
     return F.when(value.rlike(_NOT_IN_IRIS), out).otherwise(value)
 
 
-def fill_template(df: DataFrame, root: str | None, template: str, encode: bool | None = False) -> tuple[Column, bool]:
+def coded(text: Column, encode: bool | None) -> Column:
+    """Text as it goes into an IRI. ``encode``: True for :func:`encode_iri`, None for :func:`valid_iri`, False for the text as it is."""
+    return text if encode is False else encode_iri(text) if encode else valid_iri(text)
+
+
+def fill_template(df: DataFrame, root: str | None, template: str, encode: bool | None = False,
+                  ready: dict[tuple[str | None, str], Column] | None = None) -> tuple[Column, bool]:
     """Text of a template and whether it is a list (one value per element of an array column).
 
-    A null in any referenced column makes the value null. ``encode``: True for :func:`encode_iri` of the references, None for
-    :func:`valid_iri`, False for the text as it is.
+    A null in any referenced column makes the value null. ``encode`` is that of :func:`coded`, for the references; those in ``ready`` have
+    columns that are coded already.
     """
-    def coded(text: Column) -> Column:
-        return text if encode is False else encode_iri(text) if encode else valid_iri(text)
-
     pieces, last, listed = [], 0, None
     for found in _REFERENCE.finditer(template):
         if found.start() > last:
@@ -116,8 +119,10 @@ def fill_template(df: DataFrame, root: str | None, template: str, encode: bool |
                 raise ValueError(f"{template!r} refers to two lists")
             listed = column
             pieces.append(None)
+        elif ready and (root, found.group(1)) in ready:
+            pieces.append(ready[root, found.group(1)])
         else:
-            pieces.append(coded(column.cast("string")))
+            pieces.append(coded(column.cast("string"), encode))
         last = found.end()
     if last < len(template):
         pieces.append(F.lit(template[last:]))
@@ -125,18 +130,31 @@ def fill_template(df: DataFrame, root: str | None, template: str, encode: bool |
         return (F.concat(*pieces) if len(pieces) > 1 else pieces[0]), False
 
     def one(item: Column) -> Column:
-        text = coded(item.cast("string"))
+        text = coded(item.cast("string"), encode)
         return F.concat(*[text if piece is None else piece for piece in pieces])
 
     return F.transform(listed, one), True
 
 
-def _triples(df: DataFrame, rule: Rule, encode: bool | None) -> Column:
+def _iri_texts(df: DataFrame, rules: list[Rule], encode: bool | None) -> dict[tuple[str | None, str], Column]:
+    """Coded text of every single-valued reference that the IRIs of the rules have: made once a record, however many rules use it."""
+    out = {}
+    for rule in rules if encode is not False else ():
+        for template in (rule.subject, rule.object) if rule.kind == "iri" else (rule.subject,):
+            for name in _REFERENCE.findall(template):
+                column, kind = _reference(df, rule.root, name)
+                if not isinstance(kind, T.ArrayType):
+                    out[rule.root, name] = column.cast("string") if isinstance(kind, (T.IntegralType, T.DateType)) else coded(column.cast("string"), encode)
+    return out
+
+
+def _triples(df: DataFrame, rule: Rule, encode: bool | None, ready: dict[tuple[str | None, str], Column]) -> Column:
     """Array of the triples of one rule."""
-    subject, listed = fill_template(df, rule.root, rule.subject, encode)
+    subject, listed = fill_template(df, rule.root, rule.subject, encode, ready)
     if listed:
         raise ValueError(f"subject {rule.subject!r} refers to a list")
-    value, many = fill_template(df, rule.root, rule.object, encode if rule.kind == "iri" else False)
+    iri = rule.kind == "iri"
+    value, many = fill_template(df, rule.root, rule.object, encode if iri else False, ready if iri else None)
 
     def triple(item: Column) -> Column:
         return F.struct(subject.alias("s"), F.lit(rule.predicate).alias("p"), item.alias("o"),
@@ -164,7 +182,7 @@ def apply_mapping(frames: dict[str, DataFrame], mapping: dict, encode: bool | No
 
     ``frames`` is keyed by source path (``$.buildings.point[*]`` is ``buildings.point``). With ``collapse``,
     records equal in the columns the mapping uses become one before they are expanded: many hourly rows
-    of a device then cost one expansion. IRIs are valid in any case: see ``encode`` of :func:`fill_template`.
+    of a device then cost one expansion. IRIs are valid in any case: see :func:`coded`.
     """
     by_source: dict[str, list[Rule]] = {}
     for rule in mapping_rules(mapping, canonical_prefixes):
@@ -175,6 +193,11 @@ def apply_mapping(frames: dict[str, DataFrame], mapping: dict, encode: bool | No
         records = df.select(*[quoted(c) for c in _used_columns(df, rules)])
         if collapse:
             records = records.distinct()
-        triples = records.select(F.inline(F.flatten(F.array(*[_triples(df, rule, encode) for rule in rules]))))
+        texts = _iri_texts(df, rules, encode)
+        ready = {}
+        for number, (reference, text) in enumerate(texts.items()):
+            records = records.withColumn(f"__iri{number}", text)
+            ready[reference] = F.col(f"__iri{number}")
+        triples = records.select(F.inline(F.flatten(F.array(*[_triples(df, rule, encode, ready) for rule in rules]))))
         made = triples if made is None else made.unionByName(triples)
     return made.where(F.col("s").isNotNull() & F.col("o").isNotNull()).distinct()

@@ -1,16 +1,17 @@
-"""Spatial joins on a uniform grid.
+"""Spatial joins on a uniform grid, and the nearest of many stations by a tree over them.
 
-Zones are cut into grid cells that carry their own edges and what is left of the others, so a point is
+Zones are cut into grid cells that carry the edges that pass through them and one bit for all others, so a point is
 joined by cell and tested inside the join condition; nothing is regrouped afterwards.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from urbanweave.functions import geometry as G
@@ -18,8 +19,12 @@ from urbanweave.session import cut_lineage, settle
 
 #: Mean Earth radius in kilometres.
 EARTH_KM = 6371.0088
-#: Largest station list that is broadcast to the tasks as plain arrays (about 0.5 MB).
-STATION_LIMIT = 10_000
+#: Edges up to which a shape is cut into cells where it is read.
+SMALL = 64
+#: Stations of a leaf, and most leaves: beyond, leaves hold more stations, so the list of their bounds (about 150 bytes each) is bounded.
+LEAF, LEAVES = 32, 1 << 16
+#: Cuts of each coordinate by the stations' quantiles, and stations of a leaf that bound the distance to it from above.
+CUTS, MARKS = 256, 4
 
 
 def _cell(value: Column, size: float) -> Column:
@@ -34,60 +39,116 @@ def _high(items: Column, a: str, b: str) -> Column:
     return F.array_max(F.transform(items, lambda e: F.greatest(e[a], e[b])))
 
 
-def zone_rows(zones: DataFrame, columns: Sequence[str], parts: str, size: float) -> DataFrame:
-    """One row per zone and grid row ``cy``, with the edges that reach into that row."""
-    lines = zones.select(*columns, G.edges(F.col(parts)).alias("__all")).where(F.size("__all") > 0)
+def _small(lines: DataFrame) -> DataFrame:
+    return lines.where(F.size("__all") <= SMALL)
+
+
+def _edge_lists(shapes: DataFrame, columns: Sequence[str], parts: str) -> DataFrame:
+    """``(__of, __all)``: the kept columns of each shape and all its edges."""
+    kept = F.struct(F.lit(0).alias("__"), *[F.col(c) for c in columns])
+    return shapes.select(kept.alias("__of"), G.edges(F.col(parts)).alias("__all")).where(F.size("__all") > 0)
+
+
+def _cells_in_place(lines: DataFrame, size: float) -> DataFrame:
+    """One row per shape and cell in the bounds of its edges in that row of cells: ``(__of, cx, cy, __row, __lines)``.
+
+    ``__row`` are the edges that reach into the row, ``__lines`` those whose bounds overlap the cell. For shapes of few edges.
+    """
     rows = lines.withColumn("cy", F.explode(F.sequence(
-        _cell(_low(F.col("__all"), "y1", "y2"), size), _cell(_high(F.col("__all"), "y1", "y2"), size)
-    )))
+        _cell(_low(F.col("__all"), "y1", "y2"), size), _cell(_high(F.col("__all"), "y1", "y2"), size))))
     bottom, top = F.col("cy") * F.lit(float(size)), (F.col("cy") + 1) * F.lit(float(size))
-    return rows.withColumn("__lines", F.filter("__all", lambda e: (
-        (F.greatest(e.y1, e.y2) >= bottom) & (F.least(e.y1, e.y2) <= top)
-    ))).drop("__all")
+    rows = rows.withColumn("__row", F.filter("__all", lambda e: (F.greatest(e.y1, e.y2) >= bottom) & (F.least(e.y1, e.y2) <= top))).drop("__all")
+    cells = rows.where(F.size("__row") > 0).withColumn("cx", F.explode(F.sequence(
+        _cell(_low(F.col("__row"), "x1", "x2"), size), _cell(_high(F.col("__row"), "x1", "x2"), size))))
+    left, right = F.col("cx") * F.lit(float(size)), (F.col("cx") + 1) * F.lit(float(size))
+    return cells.withColumn("__lines", F.filter("__row", lambda e: (F.greatest(e.x1, e.x2) >= left) & (F.least(e.x1, e.x2) <= right)))
+
+
+def _middle(size: float) -> Column:
+    """Height of the line through the middle of a row of cells."""
+    return (F.col("cy") + 0.5) * F.lit(float(size))
+
+
+def _edge_cells(lines: DataFrame, size: float) -> DataFrame:
+    """One row per edge and cell it passes through: ``(__zone, __of, cx, cy, e, __meets)``.
+
+    ``__meets`` is 1 in the cell where the edge meets the middle line of the row: the cell with the crossing right of its left side
+    and not right of its right side. Cells are a hair wider than they are, so that rounding loses none.
+    """
+    width = F.lit(float(size))
+    numbered = lines.withColumn("__zone", F.monotonically_increasing_id())  # before the edges become rows
+    each = numbered.select("__zone", "__of", F.explode("__all").alias("e"))
+    rows = each.withColumn("cy", F.explode(F.sequence(_cell(F.least("e.y1", "e.y2"), size), _cell(F.greatest("e.y1", "e.y2"), size))))
+    x1, y1, x2, y2 = (F.col(f"e.{c}") for c in ("x1", "y1", "x2", "y2"))
+
+    def at(y: Column) -> Column:
+        return G.crossing_x(F.col("e"), y)
+
+    low, high = F.least(x1, x2), F.greatest(x1, x2)
+    ends = [F.greatest(low, F.least(high, at(y))) for y in (F.greatest(F.least(y1, y2), F.col("cy") * width), F.least(F.greatest(y1, y2), (F.col("cy") + 1) * width))]
+    flat = y1 == y2
+    first = F.floor(F.when(flat, low).otherwise(F.least(*ends)) / width - 1e-9).cast("long")
+    last = F.floor(F.when(flat, high).otherwise(F.greatest(*ends)) / width + 1e-9).cast("long")
+    line = _middle(size)
+    met = F.when((y1 > line) != (y2 > line), at(line))
+    near = F.floor(met / width).cast("long")
+    column = F.when(met > (near + 1) * width, near + 1).when(met <= near * width, near - 1).otherwise(near)
+    crossed = rows.withColumn("__column", column)
+    spread = F.sequence(F.least(first, F.coalesce("__column", first)), F.greatest(last, F.coalesce("__column", last)))
+    return crossed.withColumn("cx", F.explode(spread)).select(
+        "__zone", "__of", "cx", "cy", "e", F.when(F.col("__column") == F.col("cx"), 1).otherwise(0).alias("__meets"))
 
 
 def ray_cells(zones: DataFrame, columns: Sequence[str], parts: str, size: float) -> DataFrame:
-    """One row per zone and cell that may hold inner points, with what a ray to the right of a point needs.
+    """One row per zone and cell that may hold inner points, with what tells whether a point of the cell lies in the zone.
 
-    ``__lines`` are the edges that reach into the columns of the cell. An edge right of the cell is crossed if just one of its ends is
-    above the point, so of all those edges only ends count: ``__odd`` is the parity of the ends at or above the cell's top, and
-    ``__turns`` are the heights inside the row at which it changes. Ends of joined edges cancel, so a border that runs
-    through a row leaves nothing, and inner cells carry no edges at all.
+    ``__lines`` are the edges that pass through the cell. ``__beyond`` says whether an odd number of edges crosses the middle line of
+    the row right of the cell: whether the right end of the cell's middle line is inside. From there a point is reached along
+    two lines within the cell, so no other edges matter, and cells without edges are wholly inside.
+
+    Zones of few edges are cut where they are read. Edges of larger ones become rows, by the cells they pass through, and meet again by zone and
+    row of cells: there one running sum from the right gives all the cells of the row, and the inner cells between two with edges.
+    So a zone of many edges is cut by as many tasks as it has rows of cells.
     """
-    rows = zone_rows(zones, columns, parts, size).where(F.size("__lines") > 0)
-    cells = rows.withColumn("cx", F.explode(F.sequence(
-        _cell(_low(F.col("__lines"), "x1", "x2"), size), _cell(_high(F.col("__lines"), "x1", "x2"), size)
-    )))
-    left, right = F.col("cx") * F.lit(float(size)), (F.col("cx") + 1) * F.lit(float(size))
-    top = (F.col("cy") + 1) * F.lit(float(size))
-    beyond = F.filter("__lines", lambda e: F.least(e.x1, e.x2) >= right)
-    ends = F.flatten(F.transform(beyond, lambda e: F.array(e.y1, e.y2)))
-    none = F.array().cast("array<double>")
-    # Equal heights are neighbours after sorting and cancel in pairs.
-    turns = F.aggregate(F.array_sort(F.filter("__ends", lambda y: y < top)), none, lambda kept, y: F.when(
-        (F.size(kept) > 0) & (F.try_element_at(kept, F.lit(-1)) == y), F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.array_append(kept, y)))
-    own = F.filter("__lines", lambda e: (F.greatest(e.x1, e.x2) >= left) & (F.least(e.x1, e.x2) < right))
-    made = cells.withColumn("__ends", ends).select(
-        *columns, "cx", "cy", own.alias("__lines"), (F.size(F.filter("__ends", lambda y: y >= top)) % 2 == 1).alias("__odd"), turns.alias("__turns"))
-    return made.where(F.col("__odd") | (F.size("__lines") > 0) | (F.size("__turns") > 0))
-
-
-def in_cell(x: Column, y: Column) -> Column:
+    lines = _edge_lists(zones, columns, parts)
+    kept = [F.col(f"__of.{c}").alias(c) for c in columns]
+    placed = _cells_in_place(_small(lines), size)
+    line, right = _middle(size), (F.col("cx") + 1) * F.lit(float(size))
+    beyond = F.size(F.filter("__row", lambda e: ((e.y1 > line) != (e.y2 > line)) & (G.crossing_x(e, line) > right))) % 2 == 1
+    few = placed.select(*kept, "cx", "cy", "__lines", beyond.alias("__beyond")).where(F.col("__beyond") | (F.size("__lines") > 0))
+
+    border = _edge_cells(lines.where(F.size("__all") > SMALL), size).repartition("__zone", "cy").groupBy("__zone", "cy", "cx").agg(
+        F.first("__of").alias("__of"), F.collect_list("e").alias("__lines"), F.sum("__meets").alias("__meets"))
+    leftward = Window.partitionBy("__zone", "cy").orderBy(F.desc("cx"))
+    before = F.coalesce(F.sum("__meets").over(leftward.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    border = border.withColumn("__beyond", before % 2 == 1).withColumn("__next", F.lag("cx").over(leftward))
+    own = F.struct(F.col("cx").alias("cx"), F.col("__lines").alias("__lines"), F.col("__beyond").alias("__beyond"))
+    none = F.slice("__lines", 1, 0)
+    gap = F.when(F.col("__beyond") & (F.col("__next") > F.col("cx") + 1), F.transform(
+        F.sequence(F.col("cx") + 1, F.col("__next") - 1), lambda c: F.struct(c.alias("cx"), none.alias("__lines"), F.lit(True).alias("__beyond"))))
+    every = F.when(gap.isNull(), F.array(own)).otherwise(F.concat(F.array(own), gap))
+    many = border.select("__of", "cy", F.inline(every)).select(*kept, "cx", "cy", "__lines", "__beyond")
+    return few.unionByName(many)
+
+
+def in_cell(x: Column, y: Column, size: float) -> Column:
     """Does a point of the cell lie in the zone?"""
-    above = F.size(F.filter("__turns", lambda turn: turn > y)) % 2 == 1
-    return (G.inside(F.col("__lines"), x, y).cast("int") + above.cast("int") + F.col("__odd").cast("int")) % 2 == 1
+    line, right = _middle_of("__zy", size), (F.col("__zx") + 1) * F.lit(float(size))
+    return G.odd_crossings(F.col("__lines"), x, y, right, line) != F.col("__beyond")
+
+
+def _middle_of(row: str, size: float) -> Column:
+    return (F.col(row) + 0.5) * F.lit(float(size))
 
 
 def border_cells(shapes: DataFrame, columns: Sequence[str], parts: str, size: float) -> DataFrame:
-    """One row per shape and cell with the edges whose bounds overlap the cell; cells without any are left out."""
-    rows = zone_rows(shapes, columns, parts, size).where(F.size("__lines") > 0)
-    cells = rows.withColumn("cx", F.explode(F.sequence(
-        _cell(_low(F.col("__lines"), "x1", "x2"), size), _cell(_high(F.col("__lines"), "x1", "x2"), size)
-    )))
-    left, right = F.col("cx") * F.lit(float(size)), (F.col("cx") + 1) * F.lit(float(size))
-    return cells.withColumn("__lines", F.filter("__lines", lambda e: (
-        (F.greatest(e.x1, e.x2) >= left) & (F.least(e.x1, e.x2) <= right)
-    ))).where(F.size("__lines") > 0)
+    """One row per shape and cell with the edges that may pass through the cell; cells without any are left out."""
+    lines = _edge_lists(shapes, columns, parts)
+    kept = [F.col(f"__of.{c}").alias(c) for c in columns]
+    few = _cells_in_place(_small(lines), size).where(F.size("__lines") > 0).select(*kept, "cx", "cy", "__lines")
+    many = _edge_cells(lines.where(F.size("__all") > SMALL), size).groupBy("__zone", "cy", "cx").agg(
+        F.first("__of").alias("__of"), F.collect_list("e").alias("__lines")).select(*kept, "cx", "cy", "__lines")
+    return few.unionByName(many)
 
 
 def spatial_join_within(points: DataFrame, zones: DataFrame, x: str, y: str, parts: str, attributes: Sequence[str],
@@ -102,9 +163,9 @@ def spatial_join_within(points: DataFrame, zones: DataFrame, x: str, y: str, par
     placed = points.withColumns({"__px": _cell(F.col(x), size), "__py": _cell(F.col(y), size)})
     condition = (
         (F.col("__px") == F.col("__zx")) & (F.col("__py") == F.col("__zy"))
-        & in_cell(F.col(x), F.col(y))
+        & in_cell(F.col(x), F.col(y), size)
     )
-    return placed.join(cells, condition, how).drop("__px", "__py", "__zx", "__zy", "__lines", "__odd", "__turns")
+    return placed.join(cells, condition, how).drop("__px", "__py", "__zx", "__zy", "__lines", "__beyond")
 
 
 def spatial_filter(features: DataFrame, zones: DataFrame, feature_id: str, parts: str, zone_parts: str,
@@ -137,9 +198,14 @@ def spatial_filter(features: DataFrame, zones: DataFrame, feature_id: str, parts
     # Zones are the smaller side, so their corners are what is written and measured, not the features' cells.
     zone_corners = settle(corners(zone, "__zone_parts", []).select(
         "__x", "__y", _cell(F.col("__x"), size).alias("__px"), _cell(F.col("__y"), size).alias("__py")))
-    containing = ray_cells(features, [feature_id], parts, size).join(
-        zone_corners, (F.col("cx") == F.col("__px")) & (F.col("cy") == F.col("__py"))
-        & in_cell(F.col("__x"), F.col("__y")), "left_semi").select(feature_id)
+    lines = _edge_lists(features, [feature_id], parts)
+    at = (F.col("__zx") == F.col("__px")) & (F.col("__zy") == F.col("__py"))
+    few = _small(lines).select(F.col(f"__of.{feature_id}").alias(feature_id), "__all")
+    for axis, cell in (("y", "__zy"), ("x", "__zx")):
+        few = few.withColumn(cell, F.explode(F.sequence(_cell(_low(F.col("__all"), f"{axis}1", f"{axis}2"), size), _cell(_high(F.col("__all"), f"{axis}1", f"{axis}2"), size))))
+    containing = few.join(zone_corners, at & G.inside(F.col("__all"), F.col("__x"), F.col("__y")), "left_semi").select(feature_id)
+    many = ray_cells(features.where(F.size(G.edges(F.col(parts))) > SMALL), [feature_id], parts, size).withColumnsRenamed({"cx": "__zx", "cy": "__zy"})
+    containing = containing.union(many.join(zone_corners, at & in_cell(F.col("__x"), F.col("__y"), size), "left_semi").select(feature_id))
     ids = touching.union(contained).union(containing).distinct().withColumnRenamed(feature_id, "__id")
     return features.join(ids, features[feature_id] == ids["__id"], "left_semi").select(*[F.col(f"`{c}`") for c in named])
 
@@ -175,15 +241,15 @@ def _position(a: Column, b: Column, metric: str) -> list[Column]:
 
 
 def nearest_station(points: DataFrame, stations: DataFrame, point_id: str, point_at: Sequence[str], station: str,
-                    station_at: Sequence[str], metric: str = "sphere", size: float | None = None,
-                    limit: int = STATION_LIMIT) -> DataFrame:
+                    station_at: Sequence[str], metric: str = "sphere", leaf: int = LEAF) -> DataFrame:
     """``(point_id, station, distance)`` of the closest station of every point row; ties go to the lower name.
 
     ``metric='sphere'``: positions are latitude and longitude, distance in kilometres; ``'plane'``: any two
     coordinates. Rows with equal or null ids are each answered; a position that is null or no finite number has no answer.
-    A station list within ``limit`` is compared inside a scan of the points, without a shuffle; a longer one is searched
-    through grids of growing width, with the same result. ``size`` is the first width; by default it is taken from the
-    extent and the number of the stations.
+
+    Stations are dealt into leaves of ``leaf`` neighbours each, cut where stations are, not by width, so one far away changes nothing. Every
+    point looks at the bounds of groups of leaves and then of leaves, and keeps those that may be as near as a station it
+    already knows of: a few, whatever the number of stations. Only these meet their stations, in a join by leaf.
     """
     def placed(df: DataFrame, at: Sequence[str]) -> Column:
         finite = [F.coalesce(F.abs(F.col(c).cast("double")) < float("inf"), F.lit(False)) for c in at]
@@ -195,78 +261,109 @@ def nearest_station(points: DataFrame, stations: DataFrame, point_id: str, point
     spots = where.select("__name", *[c.alias(f"__s{i}") for i, c in enumerate(
         _position(F.col("__0"), F.col("__1"), metric))])
     at = points.where(placed(points, point_at)).select(
-        point_id, *[c.alias(f"__p{i}") for i, c in enumerate(
+        F.col(point_id).alias("__point"), *[c.alias(f"__p{i}") for i, c in enumerate(
             _position(F.col(point_at[0]), F.col(point_at[1]), metric))])
-    listed = spots.orderBy("__name").limit(limit + 1).collect()
-    if not listed:
-        raise ValueError("no stations with a position")
-    if len(listed) <= limit:
-        found = _nearest_in_list(at, point_id, listed, spots.schema["__name"].dataType.simpleString())
-    else:
-        found = _nearest_by_grid(at, spots, point_id, size)
-    chord = F.sqrt("__d2")
+    leaves = station_leaves(cut_lineage(spots), leaf)
+    near = cut_lineage(_near_leaves(at, _Bounds.of(leaves)))
+    squares = [(F.col(f"__p{k}"), f"s{k}") for k in range(3)]
+    best = F.array_min(F.transform("stations", lambda s: F.struct(
+        sum(((p - s[name]) * (p - s[name]) for p, name in squares), F.lit(0.0)).alias("d2"), s["name"].alias("name"))))
+    found = near.join(leaves.select("leaf", "stations"), "leaf").select("__row", "__point", best.alias("best")).groupBy("__row").agg(
+        F.first("__point").alias(point_id), F.min("best").alias("best"))
+    chord = F.sqrt("best.d2")
     distance = chord if metric == "plane" else F.asin(F.least(chord / 2, F.lit(1.0))) * (2 * EARTH_KM)
-    return found.select(point_id, F.col("__name").alias(station), distance.alias("distance"))
-
-
-def _nearest_in_list(at: DataFrame, point_id: str, listed: list, kind: str) -> DataFrame:
-    names = np.array([row["__name"] for row in listed], dtype=object)
-    grid = np.array([[row["__s0"], row["__s1"], row["__s2"]] for row in listed], dtype=np.float64)
-    step = max(1, 4_000_000 // len(names))
-
-    @F.pandas_udf(f"struct<name:{kind},d2:double>")
-    def closest(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.DataFrame:
-        place = np.column_stack([a, b, c]).astype(np.float64)
-        picks, squares = [], []
-        for begin in range(0, len(place), step):
-            part = place[begin:begin + step]
-            d2 = sum((part[:, k, None] - grid[None, :, k]) ** 2 for k in range(3))
-            pick = d2.argmin(axis=1)  # names are sorted, so the first minimum is the lowest name
-            picks.append(pick)
-            squares.append(d2[np.arange(len(part)), pick])
-        if not picks:
-            return pd.DataFrame({"name": [], "d2": []})
-        return pd.DataFrame({"name": names[np.concatenate(picks)], "d2": np.concatenate(squares)}, index=a.index)
-
-    return at.withColumn("__hit", closest("__p0", "__p1", "__p2")).select(
-        point_id, F.col("__hit.name").alias("__name"), F.col("__hit.d2").alias("__d2")
-    )
+    return found.select(point_id, F.col("best.name").alias(station), distance.alias("distance"))
 
 
-def _first_width(spots: DataFrame) -> float:
-    """Width at which a cell of the stations' extent holds about one of them."""
-    ends = spots.agg(F.count(F.lit(1)).alias("n"), *[f(f"__s{k}").alias(f"{name}{k}") for k in range(3) for name, f in (("lo", F.min), ("hi", F.max))]).first()
-    sides = [x for x in (ends[f"hi{k}"] - ends[f"lo{k}"] for k in range(3)) if x > 0]
-    return float((np.prod(sides) / ends["n"]) ** (1 / len(sides))) if sides else 1.0
-
-
-def _nearest_by_grid(at: DataFrame, spots: DataFrame, point_id: str, size: float | None) -> DataFrame:
-    """Rounds over cells of doubling width. A station within one width is in a neighbouring cell, so a point
-    that finds one that near is settled. Stations are written to their 27 neighbouring cells; points are not. Points are
-    told apart by a row key that is written with them, not by their ids."""
-    spots, open_points = cut_lineage(spots), cut_lineage(at.withColumn("__row", F.monotonically_increasing_id()))
-    size = size or _first_width(spots)
-    every = open_points.select("__row", point_id)
-    done: list[DataFrame] = []
-    while True:
-        shifts = F.array(*[F.lit(k).cast("long") for k in (-1, 0, 1)])
-        cells = spots
-        for k in range(3):
-            own = _cell(F.col(f"__s{k}"), size)
-            cells = cells.withColumn("__shift", F.explode(shifts)).withColumn(f"__c{k}", own + F.col("__shift"))
-        placed = open_points.withColumns({f"__c{k}": _cell(F.col(f"__p{k}"), size) for k in range(3)})
-        d2 = sum(((F.col(f"__p{k}") - F.col(f"__s{k}")) * (F.col(f"__p{k}") - F.col(f"__s{k}")) for k in range(3)),
-                 F.lit(0.0))
-        best = placed.join(cells, ["__c0", "__c1", "__c2"]).where(d2 <= F.lit(size * size)).groupBy("__row").agg(
-            F.min(F.struct(d2.alias("d2"), "__name")).alias("__best")
-        )
-        settled = cut_lineage(best.select("__row", "__best.__name", F.col("__best.d2").alias("__d2")))
-        done.append(settled)
-        open_points = cut_lineage(open_points.join(settled, "__row", "left_anti"))
-        if open_points.isEmpty():
-            break
-        size *= 2
-    found = done[0]
-    for more in done[1:]:
-        found = found.unionByName(more)
-    return every.join(found, "__row").drop("__row")
+def station_leaves(spots: DataFrame, leaf: int = LEAF) -> DataFrame:
+    """Leaves ``(leaf, lo0.., hi0.., stations)`` over written positions ``(__name, __s0, __s1, __s2)``, written and measured for a join.
+
+    Positions are ordered along a curve through cells between the quantiles of each coordinate and cut every ``leaf`` of them.
+    """
+    steps = [k / CUTS for k in range(1, CUTS)]
+    made = spots.agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(f"__s{k}", steps, 100 * CUTS).alias(f"q{k}") for k in range(3)]).first()
+    if not made["n"]:
+        raise ValueError("no stations with a position")
+    cuts = [np.array(made[f"q{k}"]) for k in range(3)]
+    width = max(leaf, -(-made["n"] // LEAVES))
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code = np.zeros(batch.num_rows, np.int64)
+            for k in range(3):
+                place = np.searchsorted(cuts[k], batch.column(1 + k).to_numpy(zero_copy_only=False))
+                for bit in range(CUTS.bit_length() - 1):
+                    code |= ((place >> bit) & 1) << (3 * bit + k)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(code)], names=[*batch.schema.names, "code"])
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, done = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(first + (done + np.arange(batch.num_rows)) // width)], names=[*batch.schema.names[:4], "leaf"])
+            done += batch.num_rows
+
+    order, plain = ["code", "__s0", "__s1", "__s2"], f"__name {spots.schema['__name'].dataType.simpleString()}, __s0 double, __s1 double, __s2 double"
+    ranged = spots.select("__name", "__s0", "__s1", "__s2").mapInArrow(coded, f"{plain}, code long").repartitionByRange(*order).sortWithinPartitions(*order)
+    station = F.struct(F.col("__name").alias("name"), *[F.col(f"__s{k}").alias(f"s{k}") for k in range(3)])
+    return settle(ranged.mapInArrow(numbered, f"{plain}, leaf long").groupBy("leaf").agg(
+        *[f(f"__s{k}").alias(f"{name}{k}") for name, f in (("lo", F.min), ("hi", F.max)) for k in range(3)], F.sort_array(F.collect_list(station)).alias("stations")))
+
+
+class _Bounds:
+    """Bounds of all leaves and of groups of consecutive ones, and some positions of each leaf: a list of bounded length."""
+
+    def __init__(self, leaf: np.ndarray, lo: np.ndarray, hi: np.ndarray, marks: np.ndarray):
+        self.leaf, self.lo, self.hi, self.marks = leaf, lo, hi, marks
+        self.first = np.arange(0, len(leaf), int(np.ceil(np.sqrt(len(leaf)))))
+        self.size = np.diff(np.append(self.first, len(leaf)))
+        self.group_lo, self.group_hi = np.minimum.reduceat(lo, self.first), np.maximum.reduceat(hi, self.first)
+
+    @classmethod
+    def of(cls, leaves: DataFrame) -> _Bounds:
+        size = F.size("stations")
+        marks = [F.element_at("stations", (F.floor((size - 1) * k / (MARKS - 1)) + 1).cast("int")) for k in range(MARKS)]
+        rows = leaves.select("leaf", *[f"{name}{k}" for name in ("lo", "hi") for k in range(3)], *[m[f"s{k}"].alias(f"m{i}{k}") for i, m in enumerate(marks) for k in range(3)])
+        table = rows.toArrow().sort_by("leaf")
+        values = np.column_stack([c.to_numpy() for c in table.columns[1:]])
+        return cls(table.column("leaf").to_numpy(), values[:, :3], values[:, 3:6], values[:, 6:].reshape(len(values), MARKS, 3))
+
+    @staticmethod
+    def _least(at: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Squared distance from positions to boxes."""
+        gap = np.maximum(np.maximum(lo - at, at - hi), 0)
+        return (gap * gap).sum(axis=-1)
+
+    def near(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of positions and leaves that may hold the nearest station: row, and leaf's number here."""
+        far = np.maximum(np.abs(at[:, None] - self.group_lo), np.abs(at[:, None] - self.group_hi))
+        most = (far * far).sum(axis=-1).min(axis=1)
+        row, group = np.nonzero(self._least(at[:, None], self.group_lo, self.group_hi) <= most[:, None] * (1 + 1e-9))
+        size = self.size[group]
+        ends = np.cumsum(size)
+        row, leaf = np.repeat(row, size), np.repeat(self.first[group] - (ends - size), size) + np.arange(ends[-1])
+        own = at[row]
+        step = own[:, None] - self.marks[leaf]
+        known = (step * step).sum(axis=-1).min(axis=1)
+        edge = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        most = np.minimum(most, np.minimum.reduceat(known, edge))
+        keep = self._least(own, self.lo[leaf], self.hi[leaf]) <= most[row] * (1 + 1e-9)
+        return row[keep], leaf[keep]
+
+
+def _near_leaves(at: DataFrame, bounds: _Bounds) -> DataFrame:
+    """``(__row, __point, __p0, __p1, __p2, leaf)``: the leaves each point has to look into."""
+    shared = at.sparkSession.sparkContext.broadcast(bounds)
+    step = max(1, (1 << 18) // len(bounds.first))
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = TaskContext.get().partitionId() << 36
+        for batch in batches:
+            place = np.column_stack([batch.column(1 + k).to_numpy(zero_copy_only=False) for k in range(3)])
+            for lo in range(0, len(place), step):
+                row, leaf = shared.value.near(place[lo:lo + step])
+                picked = batch.slice(lo, step).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([pa.array(done + lo + row), *picked.columns, pa.array(shared.value.leaf[leaf])], names=["__row", *batch.schema.names, "leaf"])
+            done += len(place)
+
+    kind = at.schema["__point"].dataType.simpleString()
+    return at.mapInArrow(look, f"__row long, __point {kind}, __p0 double, __p1 double, __p2 double, leaf long")
