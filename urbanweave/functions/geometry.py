@@ -1,7 +1,10 @@
-"""Planar geometry as array expressions.
+"""Planar geometry as SQL text.
 
 A polygon column is ``parts``: parts -> rings -> points -> coordinates (``array`` four levels deep), the
 shape of a GeoJSON MultiPolygon. The first ring of a part is its border, later rings are holes.
+
+Functions take SQL text (a column's name, a lambda's variable) and give SQL text, for ``F.expr``: expressions of this size are
+parsed at once where the query is planned, which is far quicker than to build them node by node.
 """
 
 from __future__ import annotations
@@ -25,119 +28,79 @@ def parse_point(kind: Column, coordinates: Column) -> Column:
     return F.when(kind == "Point", F.from_json(coordinates, "array<double>"))
 
 
-def ring_edges(ring: Column) -> Column:
-    """Edges of a ring as structs; an open ring is closed."""
-    def joined(points: Column) -> Column:
-        count = F.size(points)
-        return F.zip_with(
-            F.slice(points, F.lit(1), count - 1),
-            F.slice(points, F.lit(2), count - 1),
-            lambda a, b: F.struct(
-                F.get(a, 0).alias("x1"), F.get(a, 1).alias("y1"), F.get(b, 0).alias("x2"), F.get(b, 1).alias("y2")
-            ),
-        )
-
-    closed = F.element_at(ring, 1) == F.element_at(ring, -1)
-    return joined(F.when(closed, ring).otherwise(F.concat(ring, F.slice(ring, 1, 1))))
-
-
-def edges(parts: Column) -> Column:
-    return F.flatten(F.transform(F.flatten(parts), ring_edges))
+def number(value: float) -> str:
+    """A double."""
+    return f"{float(value)!r}D"
 
 
-def _sum(items: Column, value) -> Column:
-    return F.aggregate(items, F.lit(0.0), lambda total, item: total + value(item))
+def ring_edges(ring: str) -> str:
+    """Edges of a ring as structs; an open ring is closed."""
+    closed = f"if(element_at({ring}, 1) = element_at({ring}, -1), {ring}, concat({ring}, slice({ring}, 1, 1)))"
+    return (f"zip_with(slice({closed}, 1, size({closed}) - 1), slice({closed}, 2, size({closed}) - 1), "
+            "(a, b) -> named_struct('x1', get(a, 0), 'y1', get(a, 1), 'x2', get(b, 0), 'y2', get(b, 1)))")
 
 
-def _cross(edge: Column, x0: Column, y0: Column) -> Column:
-    return (edge.x1 - x0) * (edge.y2 - y0) - (edge.x2 - x0) * (edge.y1 - y0)
+def edges(parts: str) -> str:
+    return f"flatten(transform(flatten({parts}), ring -> {ring_edges('ring')}))"
 
 
 _MOMENTS = ("area", "mx", "my")
+_ZERO = "named_struct('area', 0.0D, 'mx', 0.0D, 'my', 0.0D)"
 
 
-def _add(total: Column, item: Column) -> Column:
-    return F.struct(*[(total[name] + item[name]).alias(name) for name in _MOMENTS])
-
-
-def _zero() -> Column:
-    return F.struct(*[F.lit(0.0).alias(name) for name in _MOMENTS])
-
-
-def ring_moments(ring: Column, sign: Column) -> Column:
+def ring_moments(ring: str, sign: str) -> str:
     """Area and first moments of a ring times ``sign``, in one pass and taken about its first point to keep digits."""
-    start = F.element_at(ring, 1)
-    x0, y0 = F.get(start, 0), F.get(start, 1)
-
-    def step(total: Column, e: Column) -> Column:
-        cross = _cross(e, x0, y0)
-        return F.struct((total.area + cross / 2).alias("area"), (total.mx + (e.x1 + e.x2 - x0 * 2) * cross / 6).alias("mx"),
-                        (total.my + (e.y1 + e.y2 - y0 * 2) * cross / 6).alias("my"))
-
-    def finish(total: Column) -> Column:
-        turn = F.when(total.area < 0, -sign).otherwise(sign)
-        return F.struct((turn * total.area).alias("area"), (turn * (total.mx + x0 * total.area)).alias("mx"),
-                        (turn * (total.my + y0 * total.area)).alias("my"))
+    x0, y0 = (f"get(element_at({ring}, 1), {k})" for k in (0, 1))
+    cross = f"((e.x1 - {x0}) * (e.y2 - {y0}) - (e.x2 - {x0}) * (e.y1 - {y0}))"
+    step = (f"(t, e) -> named_struct('area', t.area + {cross} / 2, 'mx', t.mx + (e.x1 + e.x2 - {x0} * 2) * {cross} / 6, "
+            f"'my', t.my + (e.y1 + e.y2 - {y0} * 2) * {cross} / 6)")
+    turn = f"if(t.area < 0, -({sign}), {sign})"
+    finish = f"t -> named_struct('area', {turn} * t.area, 'mx', {turn} * (t.mx + {x0} * t.area), 'my', {turn} * (t.my + {y0} * t.area))"
+    return f"aggregate({ring_edges(ring)}, {_ZERO}, {step}, {finish})"
 
-    return F.aggregate(ring_edges(ring), _zero(), step, finish)
 
-
-def part_moments(rings: Column) -> Column:
+def part_moments(rings: str) -> str:
     """``(area, mx, my)`` of one part: the border's less those of the holes."""
-    signed = F.transform(rings, lambda ring, i: ring_moments(ring, F.when(i == 0, 1.0).otherwise(-1.0)))
-    return F.aggregate(signed, _zero(), _add)
+    signed = f"transform({rings}, (loop, i) -> {ring_moments('loop', 'if(i = 0, 1.0D, -1.0D)')})"
+    added = ", ".join(f"'{name}', total.{name} + item.{name}" for name in _MOMENTS)
+    return f"aggregate({signed}, {_ZERO}, (total, item) -> named_struct({added}))"
 
 
-def area(parts: Column) -> Column:
-    return _sum(parts, lambda rings: part_moments(rings)["area"])
+def area(parts: str) -> str:
+    return f"aggregate({parts}, 0.0D, (whole, rings) -> whole + {part_moments('rings')}.area)"
 
 
-def perimeter(parts: Column) -> Column:
+def perimeter(parts: str) -> str:
     """Length of all rings, holes included."""
-    return _sum(edges(parts), lambda e: F.sqrt((e.x2 - e.x1) * (e.x2 - e.x1) + (e.y2 - e.y1) * (e.y2 - e.y1)))
+    return f"aggregate({edges(parts)}, 0.0D, (whole, e) -> whole + sqrt((e.x2 - e.x1) * (e.x2 - e.x1) + (e.y2 - e.y1) * (e.y2 - e.y1)))"
 
 
-def crossing_x(edge: Column, y: Column) -> Column:
+def crossing_x(edge: str, y: str) -> str:
     """Where the line of an edge has the height ``y``; null for a level one."""
-    return edge.x1 + F.try_divide((edge.x2 - edge.x1) * (y - edge.y1), edge.y2 - edge.y1)
+    return f"({edge}.x1 + try_divide(({edge}.x2 - {edge}.x1) * ({y} - {edge}.y1), {edge}.y2 - {edge}.y1))"
 
 
-def crosses_right(edge: Column, x: Column, y: Column) -> Column:
-    """Does the ray from ``(x, y)`` to the right cross the edge?"""
-    return ((edge.y1 > y) != (edge.y2 > y)) & (x < crossing_x(edge, y))
+def inside(lines: str, x: str, y: str) -> str:
+    """Even-odd rule over all edges, so holes and several parts need no special case."""
+    return (f"(aggregate({lines}, 0, (n, e) -> n + if(((e.y1 > {y}) != (e.y2 > {y})) and {x} < {crossing_x('e', y)}, 1, 0)) % 2 = 1)")
 
 
-def odd_crossings(lines: Column, x: Column, y: Column, right: Column, line: Column) -> Column:
+def odd_crossings(lines: str, x: str, y: str, right: str, line: str) -> str:
     """Is the number of edges odd that are crossed on the way from ``(x, y)`` up or down to height ``line`` and along it to ``right``?"""
-    def crossed(e: Column) -> Column:
-        y_at = e.y1 + F.try_divide((e.y2 - e.y1) * (x - e.x1), e.x2 - e.x1)
-        x_at = crossing_x(e, line)
-        along_x = ((e.x1 > x) != (e.x2 > x)) & ((y_at > y) != (y_at > line))
-        along_y = ((e.y1 > line) != (e.y2 > line)) & ((x_at > x) != (x_at > right))
-        return F.when(along_x, 1).otherwise(0) + F.when(along_y, 1).otherwise(0)
-
-    return F.aggregate(lines, F.lit(0), lambda n, e: n + crossed(e)) % 2 == 1
+    y_at, x_at = f"(e.y1 + try_divide((e.y2 - e.y1) * ({x} - e.x1), e.x2 - e.x1))", crossing_x("e", line)
+    along_x = f"if(((e.x1 > {x}) != (e.x2 > {x})) and (({y_at} > {y}) != ({y_at} > {line})), 1, 0)"
+    along_y = f"if(((e.y1 > {line}) != (e.y2 > {line})) and (({x_at} > {x}) != ({x_at} > {right})), 1, 0)"
+    return f"(aggregate({lines}, 0, (n, e) -> n + {along_x} + {along_y}) % 2 = 1)"
 
 
-def inside(lines: Column, x: Column, y: Column) -> Column:
-    """Even-odd rule over all edges, so holes and several parts need no special case."""
-    crossings = F.aggregate(
-        lines, F.lit(0), lambda n, e: n + F.when(crosses_right(e, x, y), 1).otherwise(0)
-    )
-    return crossings % 2 == 1
-
-
-def segments_meet(a: Column, b: Column) -> Column:
+def segments_meet(a: str, b: str) -> str:
     """Do two edges cross or touch?"""
-    def side(e: Column, x: Column, y: Column) -> Column:
-        return F.signum((e.x2 - e.x1) * (y - e.y1) - (e.y2 - e.y1) * (x - e.x1))
+    def side(e: str, x: str, y: str) -> str:
+        return f"signum(({e}.x2 - {e}.x1) * ({y} - {e}.y1) - ({e}.y2 - {e}.y1) * ({x} - {e}.x1))"
 
-    overlap = (
-        (F.least(a.x1, a.x2) <= F.greatest(b.x1, b.x2)) & (F.least(b.x1, b.x2) <= F.greatest(a.x1, a.x2))
-        & (F.least(a.y1, a.y2) <= F.greatest(b.y1, b.y2)) & (F.least(b.y1, b.y2) <= F.greatest(a.y1, a.y2))
-    )
-    return (
-        overlap
-        & (side(a, b.x1, b.y1) * side(a, b.x2, b.y2) <= 0)
-        & (side(b, a.x1, a.y1) * side(b, a.x2, a.y2) <= 0)
-    )
+    def overlap(p: str, q: str) -> str:
+        return f"least({a}.{p}, {a}.{q}) <= greatest({b}.{p}, {b}.{q}) and least({b}.{p}, {b}.{q}) <= greatest({a}.{p}, {a}.{q})"
+
+    return (f"({overlap('x1', 'x2')} and {overlap('y1', 'y2')}"
+            f" and {side(a, f'{b}.x1', f'{b}.y1')} * {side(a, f'{b}.x2', f'{b}.y2')} <= 0"
+            f" and {side(b, f'{a}.x1', f'{a}.y1')} * {side(b, f'{a}.x2', f'{a}.y2')} <= 0)")

@@ -10,12 +10,12 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from urbanweave.operators.graph import RDF_TYPE
-from urbanweave.operators.reshape import quoted
+from urbanweave.operators.reshape import name, quoted
 
 _REFERENCE = re.compile(r"\$\(([^)]*)\)")
 _SOURCE = re.compile(r"^\$\.(?P<name>[\w.]+)\[\*\](?:\[(?P<root>\w+)\])?$")
@@ -60,51 +60,58 @@ def mapping_rules(mapping: dict, canonical_prefixes: dict[str, str] | None = Non
     return rules
 
 
-def _reference(df: DataFrame, root: str | None, name: str) -> tuple[Column, T.DataType]:
-    """Column of ``$(name)`` and its type: a top-level name (even with dots), or a path into structs."""
-    for whole in ([f"{root}.{name}"] if root else []) + ([] if root else [name]):
+def _reference(df: DataFrame, root: str | None, reference: str) -> tuple[str, T.DataType]:
+    """Column of ``$(name)`` in SQL and its type: a top-level name (even with dots), or a path into structs."""
+    for whole in ([f"{root}.{reference}"] if root else []) + ([] if root else [reference]):
         if whole in df.columns:
-            return quoted(whole), df.schema[whole].dataType
-    path = ([root] if root else []) + ([name] if root else name.split("."))
-    column, kind = None, df.schema
+            return name(whole), df.schema[whole].dataType
+    path = ([root] if root else []) + ([reference] if root else reference.split("."))
+    kind = df.schema
     for depth, step in enumerate(path):
         if not isinstance(kind, T.StructType) or step not in kind.names:
             rest = ".".join(path[depth:])
-            raise KeyError(f"no column for $({name}): {rest!r} is missing in {root or 'the record'}")
-        column = quoted(step) if column is None else column.getField(step)
+            raise KeyError(f"no column for $({reference}): {rest!r} is missing in {root or 'the record'}")
         kind = kind[step].dataType
-    return column, kind
+    return ".".join(name(step) for step in path), kind
 
 
-def encode_iri(value: Column) -> Column:
-    """Percent-encoding of all but unreserved characters, for text put in an IRI (blank is ``%20``)."""
-    out = F.url_encode(value)
+def literal(text: str) -> str:
+    """Text in SQL."""
+    for raw, mark in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        text = text.replace(raw, mark)
+    return f"'{text}'"
+
+
+def encode_iri(text: str) -> str:
+    """SQL for the percent-encoding of all but unreserved characters, for text put in an IRI (blank is ``%20``)."""
+    out = f"url_encode({text})"
     for raw, mark in (("+", "%20"), ("*", "%2A"), ("%7E", "~")):
-        out = F.replace(out, F.lit(raw), F.lit(mark))
+        out = f"replace({out}, '{raw}', '{mark}')"
     return out
 
 
 # Characters that may not stand in an IRI.
 NOT_IN_IRIS = "<>\"{}|\\^`"
+_CONTROLS = r"[\x00-\x08\x0B\x0C\x0E-\x1F]"
 _NOT_IN_IRIS = r"[\x00-\x20<>\"{}|\\^`]"
 
 
-def valid_iri(value: Column) -> Column:
-    """The text with just the characters encoded that no IRI may hold; whole IRIs and paths keep their meaning."""
-    out = F.regexp_replace(value, r"[\x00-\x08\x0B\x0C\x0E-\x1F]", "")
+def valid_iri(text: str) -> str:
+    """SQL for the text with just the characters encoded that no IRI may hold; whole IRIs and paths keep their meaning."""
+    out = f"regexp_replace({text}, {literal(_CONTROLS)}, '')"
     for raw in " \t\n\r" + NOT_IN_IRIS:
-        out = F.replace(out, F.lit(raw), F.lit(f"%{ord(raw):02X}"))
-    return F.when(value.rlike(_NOT_IN_IRIS), out).otherwise(value)
+        out = f"replace({out}, {literal(raw)}, '%{ord(raw):02X}')"
+    return f"if({text} rlike {literal(_NOT_IN_IRIS)}, {out}, {text})"
 
 
-def coded(text: Column, encode: bool | None) -> Column:
+def coded(text: str, encode: bool | None) -> str:
     """Text as it goes into an IRI. ``encode``: True for :func:`encode_iri`, None for :func:`valid_iri`, False for the text as it is."""
     return text if encode is False else encode_iri(text) if encode else valid_iri(text)
 
 
 def fill_template(df: DataFrame, root: str | None, template: str, encode: bool | None = False,
-                  ready: dict[tuple[str | None, str], Column] | None = None) -> tuple[Column, bool]:
-    """Text of a template and whether it is a list (one value per element of an array column).
+                  ready: dict[tuple[str | None, str], str] | None = None) -> tuple[str, bool]:
+    """SQL for the text of a template, and whether it is a list (one value per element of an array column).
 
     A null in any referenced column makes the value null. ``encode`` is that of :func:`coded`, for the references; those in ``ready`` have
     columns that are coded already.
@@ -112,55 +119,49 @@ def fill_template(df: DataFrame, root: str | None, template: str, encode: bool |
     pieces, last, listed = [], 0, None
     for found in _REFERENCE.finditer(template):
         if found.start() > last:
-            pieces.append(F.lit(template[last:found.start()]))
+            pieces.append(literal(template[last:found.start()]))
         column, kind = _reference(df, root, found.group(1))
         if isinstance(kind, T.ArrayType):
             if listed is not None:
                 raise ValueError(f"{template!r} refers to two lists")
             listed = column
-            pieces.append(None)
+            pieces.append(coded("cast(item as string)", encode))
         elif ready and (root, found.group(1)) in ready:
             pieces.append(ready[root, found.group(1)])
         else:
-            pieces.append(coded(column.cast("string"), encode))
+            pieces.append(coded(f"cast({column} as string)", encode))
         last = found.end()
-    if last < len(template):
-        pieces.append(F.lit(template[last:]))
-    if listed is None:
-        return (F.concat(*pieces) if len(pieces) > 1 else pieces[0]), False
-
-    def one(item: Column) -> Column:
-        text = coded(item.cast("string"), encode)
-        return F.concat(*[text if piece is None else piece for piece in pieces])
-
-    return F.transform(listed, one), True
+    if last < len(template) or not pieces:
+        pieces.append(literal(template[last:]))
+    text = f"concat({', '.join(pieces)})" if len(pieces) > 1 else pieces[0]
+    return (text, False) if listed is None else (f"transform({listed}, item -> {text})", True)
 
 
-def _iri_texts(df: DataFrame, rules: list[Rule], encode: bool | None) -> dict[tuple[str | None, str], Column]:
+def _iri_texts(df: DataFrame, rules: list[Rule], encode: bool | None) -> dict[tuple[str | None, str], str]:
     """Coded text of every single-valued reference that the IRIs of the rules have: made once a record, however many rules use it."""
     out = {}
     for rule in rules if encode is not False else ():
         for template in (rule.subject, rule.object) if rule.kind == "iri" else (rule.subject,):
-            for name in _REFERENCE.findall(template):
-                column, kind = _reference(df, rule.root, name)
+            for reference in _REFERENCE.findall(template):
+                column, kind = _reference(df, rule.root, reference)
                 if not isinstance(kind, T.ArrayType):
-                    out[rule.root, name] = column.cast("string") if isinstance(kind, (T.IntegralType, T.DateType)) else coded(column.cast("string"), encode)
+                    text = f"cast({column} as string)"
+                    out[rule.root, reference] = text if isinstance(kind, (T.IntegralType, T.DateType)) else coded(text, encode)
     return out
 
 
-def _triples(df: DataFrame, rule: Rule, encode: bool | None, ready: dict[tuple[str | None, str], Column]) -> Column:
-    """Array of the triples of one rule."""
+def _triples(df: DataFrame, rule: Rule, encode: bool | None, ready: dict[tuple[str | None, str], str]) -> str:
+    """SQL for the array of the triples of one rule."""
     subject, listed = fill_template(df, rule.root, rule.subject, encode, ready)
     if listed:
         raise ValueError(f"subject {rule.subject!r} refers to a list")
     iri = rule.kind == "iri"
     value, many = fill_template(df, rule.root, rule.object, encode if iri else False, ready if iri else None)
 
-    def triple(item: Column) -> Column:
-        return F.struct(subject.alias("s"), F.lit(rule.predicate).alias("p"), item.alias("o"),
-                        F.lit(rule.kind).alias("o_kind"))
+    def triple(item: str) -> str:
+        return f"named_struct('s', {subject}, 'p', {literal(rule.predicate)}, 'o', {item}, 'o_kind', '{rule.kind}')"
 
-    return F.transform(value, triple) if many else F.array(triple(value))
+    return f"transform({value}, term -> {triple('term')})" if many else f"array({triple(value)})"
 
 
 def _used_columns(df: DataFrame, rules: list[Rule]) -> list[str]:
@@ -168,11 +169,11 @@ def _used_columns(df: DataFrame, rules: list[Rule]) -> list[str]:
     used = set()
     for rule in rules:
         for template in (rule.subject, rule.object):
-            for name in _REFERENCE.findall(template):
-                if rule.root and f"{rule.root}.{name}" in df.columns:
-                    used.add(f"{rule.root}.{name}")
+            for reference in _REFERENCE.findall(template):
+                if rule.root and f"{rule.root}.{reference}" in df.columns:
+                    used.add(f"{rule.root}.{reference}")
                 else:
-                    used.add(rule.root or (name if name in df.columns else name.split(".")[0]))
+                    used.add(rule.root or (reference if reference in df.columns else reference.split(".")[0]))
     return [c for c in df.columns if c in used]
 
 
@@ -194,10 +195,8 @@ def apply_mapping(frames: dict[str, DataFrame], mapping: dict, encode: bool | No
         if collapse:
             records = records.distinct()
         texts = _iri_texts(df, rules, encode)
-        ready = {}
-        for number, (reference, text) in enumerate(texts.items()):
-            records = records.withColumn(f"__iri{number}", text)
-            ready[reference] = F.col(f"__iri{number}")
-        triples = records.select(F.inline(F.flatten(F.array(*[_triples(df, rule, encode, ready) for rule in rules]))))
+        ready = {reference: f"__iri{k}" for k, reference in enumerate(texts)}
+        records = records.selectExpr("*", *[f"{text} as __iri{k}" for k, text in enumerate(texts.values())])
+        triples = records.selectExpr(f"inline(flatten(array({', '.join(_triples(df, rule, encode, ready) for rule in rules)})))")
         made = triples if made is None else made.unionByName(triples)
     return made.where(F.col("s").isNotNull() & F.col("o").isNotNull()).distinct()

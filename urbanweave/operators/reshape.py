@@ -19,9 +19,14 @@ ZONES = {
 }
 
 
-def quoted(name: str) -> Column:
+def name(column: str) -> str:
+    """A column's name in SQL, which may hold dots or blanks."""
+    return f"`{column.replace('`', '``')}`"
+
+
+def quoted(column: str) -> Column:
     """Column of a name that may hold dots or blanks."""
-    return F.col(f"`{name.replace('`', '``')}`")
+    return F.col(name(column))
 
 
 def cast_columns(df: DataFrame, names: Iterable[str], to: str = "double", strict: bool = True) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from urbanweave.functions import geometry as G
+from urbanweave.operators.reshape import name, quoted
 from urbanweave.session import cut_lineage, settle
 
 #: Mean Earth radius in kilometres.
@@ -27,26 +28,27 @@ LEAF, LEAVES = 32, 1 << 16
 CUTS, MARKS = 256, 4
 
 
-def _cell(value: Column, size: float) -> Column:
-    return F.floor(value / F.lit(float(size))).cast("long")
+def _cell(value: str, size: float) -> str:
+    return f"cast(floor({value} / {G.number(size)}) as bigint)"
 
 
-def _low(items: Column, a: str, b: str) -> Column:
-    return F.array_min(F.transform(items, lambda e: F.least(e[a], e[b])))
+def _low(items: str, axis: str) -> str:
+    return f"array_min(transform({items}, e -> least(e.{axis}1, e.{axis}2)))"
 
 
-def _high(items: Column, a: str, b: str) -> Column:
-    return F.array_max(F.transform(items, lambda e: F.greatest(e[a], e[b])))
+def _high(items: str, axis: str) -> str:
+    return f"array_max(transform({items}, e -> greatest(e.{axis}1, e.{axis}2)))"
 
 
-def _small(lines: DataFrame) -> DataFrame:
-    return lines.where(F.size("__all") <= SMALL)
+def _span(items: str, axis: str, size: float) -> str:
+    """One row for each cell of an axis that the edges reach into."""
+    return f"explode(sequence({_cell(_low(items, axis), size)}, {_cell(_high(items, axis), size)}))"
 
 
 def _edge_lists(shapes: DataFrame, columns: Sequence[str], parts: str) -> DataFrame:
     """``(__of, __all)``: the kept columns of each shape and all its edges."""
-    kept = F.struct(F.lit(0).alias("__"), *[F.col(c) for c in columns])
-    return shapes.select(kept.alias("__of"), G.edges(F.col(parts)).alias("__all")).where(F.size("__all") > 0)
+    kept = "".join(f", {name(c)}" for c in columns)
+    return shapes.selectExpr(f"struct(0 as __{kept}) as __of", f"{G.edges(name(parts))} as __all").where("size(__all) > 0")
 
 
 def _cells_in_place(lines: DataFrame, size: float) -> DataFrame:
@@ -54,49 +56,35 @@ def _cells_in_place(lines: DataFrame, size: float) -> DataFrame:
 
     ``__row`` are the edges that reach into the row, ``__lines`` those whose bounds overlap the cell. For shapes of few edges.
     """
-    rows = lines.withColumn("cy", F.explode(F.sequence(
-        _cell(_low(F.col("__all"), "y1", "y2"), size), _cell(_high(F.col("__all"), "y1", "y2"), size))))
-    bottom, top = F.col("cy") * F.lit(float(size)), (F.col("cy") + 1) * F.lit(float(size))
-    rows = rows.withColumn("__row", F.filter("__all", lambda e: (F.greatest(e.y1, e.y2) >= bottom) & (F.least(e.y1, e.y2) <= top))).drop("__all")
-    cells = rows.where(F.size("__row") > 0).withColumn("cx", F.explode(F.sequence(
-        _cell(_low(F.col("__row"), "x1", "x2"), size), _cell(_high(F.col("__row"), "x1", "x2"), size))))
-    left, right = F.col("cx") * F.lit(float(size)), (F.col("cx") + 1) * F.lit(float(size))
-    return cells.withColumn("__lines", F.filter("__row", lambda e: (F.greatest(e.x1, e.x2) >= left) & (F.least(e.x1, e.x2) <= right)))
-
-
-def _middle(size: float) -> Column:
-    """Height of the line through the middle of a row of cells."""
-    return (F.col("cy") + 0.5) * F.lit(float(size))
+    width = G.number(size)
+    rows = lines.where(f"size(__all) <= {SMALL}").selectExpr("__of", "__all", f"{_span('__all', 'y', size)} as cy").selectExpr(
+        "__of", "cy", f"filter(__all, e -> greatest(e.y1, e.y2) >= cy * {width} and least(e.y1, e.y2) <= (cy + 1) * {width}) as __row")
+    return rows.where("size(__row) > 0").selectExpr("__of", "cy", "__row", f"{_span('__row', 'x', size)} as cx").selectExpr(
+        "__of", "cx", "cy", "__row", f"filter(__row, e -> greatest(e.x1, e.x2) >= cx * {width} and least(e.x1, e.x2) <= (cx + 1) * {width}) as __lines")
 
 
 def _edge_cells(lines: DataFrame, size: float) -> DataFrame:
-    """One row per edge and cell it passes through: ``(__zone, __of, cx, cy, e, __meets)``.
+    """One row per edge of the shapes of many edges and cell it passes through: ``(__zone, __of, cx, cy, e, __meets)``.
 
     ``__meets`` is 1 in the cell where the edge meets the middle line of the row: the cell with the crossing right of its left side
     and not right of its right side. Cells are a hair wider than they are, so that rounding loses none.
     """
-    width = F.lit(float(size))
-    numbered = lines.withColumn("__zone", F.monotonically_increasing_id())  # before the edges become rows
-    each = numbered.select("__zone", "__of", F.explode("__all").alias("e"))
-    rows = each.withColumn("cy", F.explode(F.sequence(_cell(F.least("e.y1", "e.y2"), size), _cell(F.greatest("e.y1", "e.y2"), size))))
-    x1, y1, x2, y2 = (F.col(f"e.{c}") for c in ("x1", "y1", "x2", "y2"))
-
-    def at(y: Column) -> Column:
-        return G.crossing_x(F.col("e"), y)
-
-    low, high = F.least(x1, x2), F.greatest(x1, x2)
-    ends = [F.greatest(low, F.least(high, at(y))) for y in (F.greatest(F.least(y1, y2), F.col("cy") * width), F.least(F.greatest(y1, y2), (F.col("cy") + 1) * width))]
-    flat = y1 == y2
-    first = F.floor(F.when(flat, low).otherwise(F.least(*ends)) / width - 1e-9).cast("long")
-    last = F.floor(F.when(flat, high).otherwise(F.greatest(*ends)) / width + 1e-9).cast("long")
-    line = _middle(size)
-    met = F.when((y1 > line) != (y2 > line), at(line))
-    near = F.floor(met / width).cast("long")
-    column = F.when(met > (near + 1) * width, near + 1).when(met <= near * width, near - 1).otherwise(near)
-    crossed = rows.withColumn("__column", column)
-    spread = F.sequence(F.least(first, F.coalesce("__column", first)), F.greatest(last, F.coalesce("__column", last)))
-    return crossed.withColumn("cx", F.explode(spread)).select(
-        "__zone", "__of", "cx", "cy", "e", F.when(F.col("__column") == F.col("cx"), 1).otherwise(0).alias("__meets"))
+    width, line = G.number(size), f"((cy + 0.5D) * {G.number(size)})"
+    numbered = lines.where(f"size(__all) > {SMALL}").withColumn("__zone", F.monotonically_increasing_id())  # before the edges become rows
+    rows = numbered.selectExpr("__zone", "__of", "explode(__all) as e").selectExpr(
+        "__zone", "__of", "e", f"explode(sequence({_cell('least(e.y1, e.y2)', size)}, {_cell('greatest(e.y1, e.y2)', size)})) as cy")
+    low, high = "least(e.x1, e.x2)", "greatest(e.x1, e.x2)"
+    ends = [f"greatest({low}, least({high}, {G.crossing_x('e', y)}))" for y in
+            (f"greatest(least(e.y1, e.y2), cy * {width})", f"least(greatest(e.y1, e.y2), (cy + 1) * {width})")]
+    met = rows.selectExpr(
+        "*", f"cast(floor(if(e.y1 = e.y2, {low}, least({ends[0]}, {ends[1]})) / {width} - 1e-9D) as bigint) as __first",
+        f"cast(floor(if(e.y1 = e.y2, {high}, greatest({ends[0]}, {ends[1]})) / {width} + 1e-9D) as bigint) as __last",
+        f"case when (e.y1 > {line}) != (e.y2 > {line}) then {G.crossing_x('e', line)} end as __at")
+    near = _cell("__at", size)
+    placed = met.selectExpr("*", f"case when __at > ({near} + 1) * {width} then {near} + 1 when __at <= {near} * {width} then {near} - 1 else {near} end as __column")
+    spread = "sequence(least(__first, coalesce(__column, __first)), greatest(__last, coalesce(__column, __last)))"
+    return placed.selectExpr("__zone", "__of", "cy", "e", "__column", f"explode({spread}) as cx").selectExpr(
+        "__zone", "__of", "cx", "cy", "e", "if(__column = cx, 1, 0) as __meets")
 
 
 def ray_cells(zones: DataFrame, columns: Sequence[str], parts: str, size: float) -> DataFrame:
@@ -111,43 +99,35 @@ def ray_cells(zones: DataFrame, columns: Sequence[str], parts: str, size: float)
     So a zone of many edges is cut by as many tasks as it has rows of cells.
     """
     lines = _edge_lists(zones, columns, parts)
-    kept = [F.col(f"__of.{c}").alias(c) for c in columns]
-    placed = _cells_in_place(_small(lines), size)
-    line, right = _middle(size), (F.col("cx") + 1) * F.lit(float(size))
-    beyond = F.size(F.filter("__row", lambda e: ((e.y1 > line) != (e.y2 > line)) & (G.crossing_x(e, line) > right))) % 2 == 1
-    few = placed.select(*kept, "cx", "cy", "__lines", beyond.alias("__beyond")).where(F.col("__beyond") | (F.size("__lines") > 0))
-
-    border = _edge_cells(lines.where(F.size("__all") > SMALL), size).repartition("__zone", "cy").groupBy("__zone", "cy", "cx").agg(
-        F.first("__of").alias("__of"), F.collect_list("e").alias("__lines"), F.sum("__meets").alias("__meets"))
-    leftward = Window.partitionBy("__zone", "cy").orderBy(F.desc("cx"))
-    before = F.coalesce(F.sum("__meets").over(leftward.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    border = border.withColumn("__beyond", before % 2 == 1).withColumn("__next", F.lag("cx").over(leftward))
-    own = F.struct(F.col("cx").alias("cx"), F.col("__lines").alias("__lines"), F.col("__beyond").alias("__beyond"))
-    none = F.slice("__lines", 1, 0)
-    gap = F.when(F.col("__beyond") & (F.col("__next") > F.col("cx") + 1), F.transform(
-        F.sequence(F.col("cx") + 1, F.col("__next") - 1), lambda c: F.struct(c.alias("cx"), none.alias("__lines"), F.lit(True).alias("__beyond"))))
-    every = F.when(gap.isNull(), F.array(own)).otherwise(F.concat(F.array(own), gap))
-    many = border.select("__of", "cy", F.inline(every)).select(*kept, "cx", "cy", "__lines", "__beyond")
+    kept = [f"__of.{name(c)} as {name(c)}" for c in columns]
+    line, right = f"((cy + 0.5D) * {G.number(size)})", f"((cx + 1) * {G.number(size)})"
+    beyond = f"size(filter(__row, e -> ((e.y1 > {line}) != (e.y2 > {line})) and {G.crossing_x('e', line)} > {right})) % 2 = 1"
+    few = _cells_in_place(lines, size).selectExpr(*kept, "cx", "cy", "__lines", f"{beyond} as __beyond").where("__beyond or size(__lines) > 0")
+
+    border = _edge_cells(lines, size).repartition("__zone", "cy").groupBy("__zone", "cy", "cx").agg(
+        F.expr("first(__of) as __of"), F.expr("collect_list(e) as __lines"), F.expr("sum(__meets) as __meets"))
+    leftward = "partition by __zone, cy order by cx desc"
+    border = border.selectExpr("__of", "cy", "cx", "__lines", f"lag(cx) over ({leftward}) as __next",
+                               f"coalesce(sum(__meets) over ({leftward} rows between unbounded preceding and 1 preceding), 0) % 2 = 1 as __beyond")
+    gap = "transform(sequence(cx + 1, __next - 1), c -> struct(c as cx, slice(__lines, 1, 0) as __lines, true as __beyond))"
+    every = f"if(__beyond and __next > cx + 1, concat(array(struct(cx, __lines, __beyond)), {gap}), array(struct(cx, __lines, __beyond)))"
+    many = border.selectExpr("__of", "cy", f"inline({every})").selectExpr(*kept, "cx", "cy", "__lines", "__beyond")
     return few.unionByName(many)
 
 
-def in_cell(x: Column, y: Column, size: float) -> Column:
-    """Does a point of the cell lie in the zone?"""
-    line, right = _middle_of("__zy", size), (F.col("__zx") + 1) * F.lit(float(size))
-    return G.odd_crossings(F.col("__lines"), x, y, right, line) != F.col("__beyond")
-
-
-def _middle_of(row: str, size: float) -> Column:
-    return (F.col(row) + 0.5) * F.lit(float(size))
+def in_cell(x: str, y: str, size: float) -> str:
+    """Does a point of the cell ``(__zx, __zy)`` lie in the zone?"""
+    line, right = f"((__zy + 0.5D) * {G.number(size)})", f"((__zx + 1) * {G.number(size)})"
+    return f"({G.odd_crossings('__lines', x, y, right, line)} != __beyond)"
 
 
 def border_cells(shapes: DataFrame, columns: Sequence[str], parts: str, size: float) -> DataFrame:
     """One row per shape and cell with the edges that may pass through the cell; cells without any are left out."""
     lines = _edge_lists(shapes, columns, parts)
-    kept = [F.col(f"__of.{c}").alias(c) for c in columns]
-    few = _cells_in_place(_small(lines), size).where(F.size("__lines") > 0).select(*kept, "cx", "cy", "__lines")
-    many = _edge_cells(lines.where(F.size("__all") > SMALL), size).groupBy("__zone", "cy", "cx").agg(
-        F.first("__of").alias("__of"), F.collect_list("e").alias("__lines")).select(*kept, "cx", "cy", "__lines")
+    kept = [f"__of.{name(c)} as {name(c)}" for c in columns]
+    few = _cells_in_place(lines, size).where("size(__lines) > 0").selectExpr(*kept, "cx", "cy", "__lines")
+    many = _edge_cells(lines, size).groupBy("__zone", "cy", "cx").agg(F.expr("first(__of) as __of"), F.expr("collect_list(e) as __lines")).selectExpr(
+        *kept, "cx", "cy", "__lines")
     return few.unionByName(many)
 
 
@@ -160,11 +140,9 @@ def spatial_join_within(points: DataFrame, zones: DataFrame, x: str, y: str, par
     """
     keep = list(attributes) if how not in ("left_semi", "left_anti") else []
     cells = settle(ray_cells(zones, keep, parts, size).withColumnsRenamed({"cx": "__zx", "cy": "__zy"}))
-    placed = points.withColumns({"__px": _cell(F.col(x), size), "__py": _cell(F.col(y), size)})
-    condition = (
-        (F.col("__px") == F.col("__zx")) & (F.col("__py") == F.col("__zy"))
-        & in_cell(F.col(x), F.col(y), size)
-    )
+    x, y = name(x), name(y)
+    placed = points.selectExpr("*", f"{_cell(x, size)} as __px", f"{_cell(y, size)} as __py")
+    condition = F.expr(f"__px = __zx and __py = __zy and {in_cell(x, y, size)}")
     return placed.join(cells, condition, how).drop("__px", "__py", "__zx", "__zy", "__lines", "__beyond")
 
 
@@ -177,51 +155,41 @@ def spatial_filter(features: DataFrame, zones: DataFrame, feature_id: str, parts
     row key, so rows with equal or null ids are judged each.
     """
     features, named = cut_lineage(features.withColumn("__row", F.monotonically_increasing_id())), features.columns
-    feature_id = "__row"
-    zone = zones.select(F.col(zone_parts).alias("__zone_parts"))
-    mine = border_cells(features, [feature_id], parts, size).withColumnRenamed("__lines", "__mine")
-    theirs = settle(border_cells(zone, [], "__zone_parts", size))
-    meets = F.exists("__mine", lambda a: F.exists("__lines", lambda b: G.segments_meet(a, b)))
-    touching = mine.join(
-        theirs, (mine["cx"] == theirs["cx"]) & (mine["cy"] == theirs["cy"]) & meets, "left_semi"
-    ).select(feature_id)
+    zone = zones.selectExpr(f"{name(zone_parts)} as __zone_parts")
+    mine = border_cells(features, ["__row"], parts, size).withColumnRenamed("__lines", "__mine")
+    theirs = settle(border_cells(zone, [], "__zone_parts", size).withColumnsRenamed({"cx": "__zx", "cy": "__zy"}))
+    meets = f"exists(__mine, p -> exists(__lines, q -> {G.segments_meet('p', 'q')}))"
+    touching = mine.join(theirs, F.expr(f"cx = __zx and cy = __zy and {meets}"), "left_semi").select("__row")
 
     def corners(frame: DataFrame, column: str, keep: Sequence[str]) -> DataFrame:
-        ring = F.explode(F.flatten(F.col(column))).alias("__ring")
-        return frame.select(*keep, ring).select(
-            *keep, F.get(F.element_at("__ring", 1), 0).alias("__x"), F.get(F.element_at("__ring", 1), 1).alias("__y")
-        )
+        return frame.selectExpr(*keep, f"explode(flatten({name(column)})) as __ring").selectExpr(
+            *keep, "get(element_at(__ring, 1), 0) as __x", "get(element_at(__ring, 1), 1) as __y")
 
     contained = spatial_join_within(
-        corners(features, parts, [feature_id]), zone, "__x", "__y", "__zone_parts", [], size, "left_semi"
-    ).select(feature_id)
+        corners(features, parts, ["__row"]), zone, "__x", "__y", "__zone_parts", [], size, "left_semi"
+    ).select("__row")
     # Zones are the smaller side, so their corners are what is written and measured, not the features' cells.
-    zone_corners = settle(corners(zone, "__zone_parts", []).select(
-        "__x", "__y", _cell(F.col("__x"), size).alias("__px"), _cell(F.col("__y"), size).alias("__py")))
-    lines = _edge_lists(features, [feature_id], parts)
-    at = (F.col("__zx") == F.col("__px")) & (F.col("__zy") == F.col("__py"))
-    few = _small(lines).select(F.col(f"__of.{feature_id}").alias(feature_id), "__all")
-    for axis, cell in (("y", "__zy"), ("x", "__zx")):
-        few = few.withColumn(cell, F.explode(F.sequence(_cell(_low(F.col("__all"), f"{axis}1", f"{axis}2"), size), _cell(_high(F.col("__all"), f"{axis}1", f"{axis}2"), size))))
-    containing = few.join(zone_corners, at & G.inside(F.col("__all"), F.col("__x"), F.col("__y")), "left_semi").select(feature_id)
-    many = ray_cells(features.where(F.size(G.edges(F.col(parts))) > SMALL), [feature_id], parts, size).withColumnsRenamed({"cx": "__zx", "cy": "__zy"})
-    containing = containing.union(many.join(zone_corners, at & in_cell(F.col("__x"), F.col("__y"), size), "left_semi").select(feature_id))
-    ids = touching.union(contained).union(containing).distinct().withColumnRenamed(feature_id, "__id")
-    return features.join(ids, features[feature_id] == ids["__id"], "left_semi").select(*[F.col(f"`{c}`") for c in named])
+    zone_corners = settle(corners(zone, "__zone_parts", []).selectExpr("__x", "__y", f"{_cell('__x', size)} as __px", f"{_cell('__y', size)} as __py"))
+    few = _edge_lists(features, ["__row"], parts).where(f"size(__all) <= {SMALL}").selectExpr("__of.__row as __row", "__all", f"{_span('__all', 'y', size)} as __zy")
+    few = few.selectExpr("*", f"{_span('__all', 'x', size)} as __zx")
+    containing = few.join(zone_corners, F.expr(f"__zx = __px and __zy = __py and {G.inside('__all', '__x', '__y')}"), "left_semi").select("__row")
+    large = features.where(f"size({G.edges(name(parts))}) > {SMALL}")
+    many = ray_cells(large, ["__row"], parts, size).withColumnsRenamed({"cx": "__zx", "cy": "__zy"})
+    around = many.join(zone_corners, F.expr(f"__zx = __px and __zy = __py and {in_cell('__x', '__y', size)}"), "left_semi").select("__row")
+    ids = touching.union(contained).union(containing).union(around).distinct().withColumnRenamed("__row", "__id")
+    return features.join(ids, F.expr("__row = __id"), "left_semi").select(*[quoted(c) for c in named])
 
 
 def polygon_measures(df: DataFrame, parts: str) -> DataFrame:
     """``area`` and ``perimeter`` in the units of the coordinates."""
-    return df.withColumns({"area": G.area(F.col(parts)), "perimeter": G.perimeter(F.col(parts))})
+    return df.withColumns({"area": F.expr(G.area(name(parts))), "perimeter": F.expr(G.perimeter(name(parts)))})
 
 
 def polygon_centroid(df: DataFrame, parts: str, x: str = "x", y: str = "y") -> DataFrame:
     """One row per part with its centroid and its number ``part``."""
     exploded = df.select("*", F.posexplode(parts).alias("part", "__rings"))
-    moments = exploded.withColumn("__m", G.part_moments(F.col("__rings")))
-    return moments.withColumns({
-        x: F.try_divide("__m.mx", "__m.area"), y: F.try_divide("__m.my", "__m.area"),
-    }).drop("__rings", "__m")
+    moments = exploded.withColumn("__m", F.expr(G.part_moments("__rings")))
+    return moments.withColumns({x: F.expr("try_divide(__m.mx, __m.area)"), y: F.expr("try_divide(__m.my, __m.area)")}).drop("__rings", "__m")
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
