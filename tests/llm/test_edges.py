@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from urbanweave.llm import covertree, decontamination, jaccard, kernels, language_model, lines, packing, passages, quality, queries, sharding, tokens, warc
 from urbanweave.llm.components import components
-from urbanweave.llm.shared import saved
+from urbanweave.llm.shared import frequent, saved
 from urbanweave.session import scratch_path
 
 WORDS = [f"w{k}é" if k % 7 == 0 else f"word{k}" for k in range(400)]
@@ -84,6 +84,58 @@ def test_repeated_rows_fill_no_hot_cell(spark):
     assert {r["count"] for r in got} == {750}
 
 
+def plain_fill(cells, owned, shards, slack=0.0):
+    """Every cell asks the shards in the order it meets them clockwise."""
+    total = sum(cells.values())
+    room = [int((total // shards) * (1 + slack)) + (k < total % shards) for k in range(shards)]
+    used, plan = [0] * shards, []
+    for (turn, arc), count in sorted(cells.items()):
+        rank = 0
+        for shard in dict.fromkeys(owned[(arc + k) % len(owned)][1] for k in range(len(owned))):
+            take = min(count - rank, room[shard] - used[shard])
+            if take > 0:
+                plan.append((turn, arc, rank, rank + take, shard, used[shard]))
+                used[shard] += take
+                rank += take
+    return plan
+
+
+def test_filling_follows_the_ring():
+    draw = random.Random(7)
+    for shards, slack in ((3, 0.0), (8, 0.25), (40, 0.0)):
+        owned = sharding.ring(shards, 5)
+        cells = {(t, a): draw.randint(0, 30) for t in range(4) for a in range(len(owned))}
+        assert sharding.fill(cells, owned, shards, slack) == plain_fill(cells, owned, shards, slack)
+
+
+@pytest.mark.parametrize("constant", [sharding.CONSTANT, 0])
+def test_hundreds_of_shards(spark, monkeypatch, constant):
+    monkeypatch.setattr(sharding, "CONSTANT", constant)
+    rows = spark.range(5_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    got = {r.doc_id: (r.shard, r.slot) for r in sharding.shard_rows(rows, 300).collect()}
+    assert len(got) == 5_000 and len({s for s, _ in got.values()}) == 300 and {sum(s == k for s, _ in got.values()) for k in (0, 150, 299)} <= {16, 17}
+    ring = sharding.ring(300)
+    assert len(ring) == 300 * 64 and [k for k in sharding.ring(299) if k not in ring] == []
+
+
+def test_frequent_keys_whatever_the_limit(spark):
+    draw = random.Random(3)
+    times = {draw.getrandbits(64) - (1 << 63): draw.choice([1, 2, 3, 5000, 5001, 9000, 10**7]) for _ in range(400)}
+    counts = saved(spark.createDataFrame(sorted(times.items()), "token long, times long"), "counts")
+    order = sorted(times.items(), key=lambda x: (-x[1], x[0]))
+    for limit in (1, 2, 3, 50, 150, 290, 399, 400, 1000):
+        assert list(zip(*(x.tolist() for x in frequent(counts, "token", "times", limit)))) == order[:limit]
+    assert len(frequent(counts.limit(0), "token", "times", 5)[0]) == 0
+
+
+def test_the_head_is_taken_where_the_first_level_is_full(spark, monkeypatch):
+    texts = spark.createDataFrame([("a b c " * 6000,)], "text string")
+    counts = saved(language_model.token_counts(texts, "text"), "token-counts")
+    monkeypatch.setattr(language_model, "KNOWN", 2)
+    words = language_model.vocabulary(counts, 4)
+    assert len(words.head) == 4 and len(words.known) == 2
+
+
 def test_quality(spark, docs, nothing):
     labels = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (13, 0), (5, 0), (5, 0), (None, 1), (7, None), (9, 2)], "doc_id long, quality int")
     model = quality.fit(docs, labels)
@@ -140,6 +192,28 @@ def test_top_products(spark):
     assert covertree.top_products(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_many_widths_in_one_search(spark, monkeypatch):
+    draw = random.Random(2)
+    rows = [(k, [draw.randint(-40, 40) / 256 for _ in range(1 + k % 12)]) for k in range(600)]
+    for sample in (covertree.SAMPLE, 5):  # some widths without a sample
+        monkeypatch.setattr(covertree, "SAMPLE", sample)
+        vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = {tuple(r) for r in covertree.top_products(vectors, vectors.where("vec_id % 50 = 0")).collect()}
+        assert got == dot_products([(d, [int(np.floor(256 * x)) for x in v]) for d, v in rows], 5)
+
+
+def test_large_components_are_exact_or_fail(spark):
+    draw = random.Random(4)
+    rows = [(k, [float(draw.randint(-10**6, 10**6)) for _ in range(3)]) for k in range(120)] + [(200, [10.0**6] * 3), (201, [10.0**6] * 3)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {tuple(r) for r in covertree.top_products(vectors, vectors.where("vec_id % 50 = 0")).collect()}
+    assert got == dot_products([(d, [int(256 * x) for x in v]) for d, v in rows], 5)
+    for factor in (1e4, 1e17):
+        with pytest.raises(Exception, match="long|component"):
+            large = spark.createDataFrame([(d, [x * factor for x in v]) for d, v in rows], "vec_id long, embedding array<double>")
+            covertree.top_products(large, large.where("vec_id % 50 = 0")).collect()
+
+
 def test_cover_tree_prunes_and_covers():
     draw = np.random.default_rng(3)
     points = np.concatenate([draw.normal(c * 100, 3, (200, 4)) for c in range(10)]).round()
@@ -276,6 +350,7 @@ def test_jaccard_join_of_large_groups(spark, part, monkeypatch):
     rows += [(1000 + k, passage + " " + prose(200 + k, draw.choice([4, 8, 60]))) for k in range(60)]
     monkeypatch.setattr(jaccard, "PART", part)
     monkeypatch.setattr(jaccard, "CHUNK", 2000)
+    monkeypatch.setattr(jaccard, "BUCKET", 1 << 17 if part > 1000 else 1)  # thousands of buckets
     table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert {r.doc: r.component_id for r in jaccard.near_groups(table).collect()} == plain_groups(rows)
 
@@ -287,7 +362,7 @@ def test_search_part_finds_all_partners():
     part = jaccard.Part(list(range(80)), sets, 75)
     for own in sets:
         plain = [k for k, s in enumerate(sets) if 100 * len(np.intersect1d(s, own)) >= 75 * len(np.union1d(s, own))]
-        assert sorted(part.search(own).tolist()) == plain
+        assert sorted(part.nodes[k] for k in part.search(own).tolist()) == plain
 
 
 def test_components(spark):
@@ -372,9 +447,10 @@ def test_warc(spark, nothing):
     rows = [(1, "http://a/\r\nx", "p" * 1000), (2, None, "p" * 1000), (2, None, "p" * 1000), (3, "u", None), (4, "u", ""), (5, "u", "a\r\n\r\nWARC/1.1\r\nb\r\n\r\n"),
             (None, "u", "é" * 777), (6, "u", "é" * 777), (None, "u", "alone"), (7, "u", "\r\n\r\n")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("size", F.lit("x")).withColumn("sha", F.lit("y"))
-    path = scratch_path(spark, "warc-test")
-    marker = warc.write_archive(pages.coalesce(2), path, chunk=100)
-    chunks = warc.read_chunks(spark, path, marker).collect()
+    path = warc.write_archive(pages.coalesce(2), scratch_path(spark, "warc-test"), chunk=100)
+    named = {n: warc.page_of(F.col(n)).alias(to) for n, to in (("record_id", "page_id"), ("refers_to", "refers_to"))}
+    read = warc.read_chunks(spark, path).select(named["record_id"], "chunk", "is_last", "record_type", named["refers_to"], "payload_bytes", "payload")
+    chunks = read.collect()
     last = {}
     for r in chunks:
         if r.is_last:
@@ -389,8 +465,55 @@ def test_warc(spark, nothing):
     assert [(r.record_type, r.refers_to, r.payload_bytes) for r in last[2]] == [("revisit", 1, 1000)] * 2
     assert last[4][0].refers_to == 3 and last[3][0].record_type == "response" and last[7][0].payload_bytes == 4
     assert sorted((r.record_type, r.refers_to) for r in last[None]) == [("response", None), ("revisit", 6)]
-    plain = warc.read_chunks(spark, path).where("is_last").count()  # by the general marker, which one payload holds
-    assert plain == len(rows)
-    empty = scratch_path(spark, "warc-test")
-    marker = warc.write_archive(pages.limit(0), empty)
-    assert warc.read_chunks(spark, empty, marker).count() == 0
+    empty = warc.write_archive(pages.limit(0), scratch_path(spark, "warc-test"))
+    assert warc.read_chunks(spark, empty).count() == 0
+
+
+def foreign_record(kind, record, block, **fields):
+    lines = [("WARC-Type", kind), ("WARC-Record-ID", f"<{record}>"), ("Content-Length", str(len(block))), *[(k.replace("_", "-"), v) for k, v in fields.items()]]
+    return b"WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in lines).encode() + b"\r\n" + block + b"\r\n\r\n"
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    import base64
+    import gzip
+    import hashlib
+
+    http = b"HTTP/1.1 200 OK\r\nX: y\r\n\r\n"
+    draw = random.Random(1)
+    large = b"\n".join(draw.randbytes(draw.randint(0, 90_000)) for _ in range(1200))  # above 50 MB, with bytes that are no text
+    sha = "sha1:" + base64.b32encode(hashlib.sha1(large).digest()).decode()
+    odd = b"x\r\n\r\nWARC/1.0\r\nWARC-Type: response\r\nContent-Length: 9\r\n\r\n"
+    records = [
+        foreign_record("warcinfo", "urn:uuid:0", b"software: other\r\n"), foreign_record("response", "urn:uuid:1", http + large, Content_Type="application/http; msgtype=response", WARC_Payload_Digest=sha),
+        foreign_record("request", "urn:uuid:2", b"GET / HTTP/1.1\r\n\r\n"), foreign_record("resource", "urn:uuid:3", odd), foreign_record("response", "urn:uuid:4", http, Content_Type="application/http"),
+        foreign_record("revisit", "urn:uuid:5", http, WARC_Refers_To="<urn:uuid:1>", WARC_Payload_Digest=sha), foreign_record("response", "urn:uuid:6", http[:20], Content_Type="application/http"),
+        foreign_record("response", "urn:uuid:7", http + large[:70_000], Content_Type="application/http", WARC_Segment_Number="1"),
+        foreign_record("continuation", "urn:uuid:8", large[70_000:150_000], WARC_Segment_Number="2", WARC_Segment_Origin_ID="<urn:uuid:7>", WARC_Segment_Total_Length=str(150_000 + len(http))),
+        foreign_record("continuation", "urn:uuid:9", b"lost", WARC_Segment_Number="3", WARC_Segment_Origin_ID="<urn:uuid:77>", WARC_Segment_Total_Length="4")]
+    (tmp_path / "a.warc").write_bytes(b"".join(records))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(gzip.compress(r.replace(b"uuid:", b"uuid:b")) for r in records[2:]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    rows = warc.read_chunks(spark, str(tmp_path)).select("record_id", "chunk", "is_last", "record_type", "refers_to", "payload_bytes", F.length("payload").alias("n"),
+                                                         F.sha1("payload").alias("sha"), "payload_digest").collect()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    by = {}
+    for r in rows:
+        by.setdefault(r.record_id, []).append(r)
+        assert r.n <= 64 * 1024
+    assert set(by) == {f"urn:uuid:{k}" for k in "1 3 4 5 6 7 77".split()} | {f"urn:uuid:b{k}" for k in "3 4 5 6 7 77".split()}
+    whole = sorted(by["urn:uuid:1"], key=lambda r: r.chunk)
+    assert [r.chunk for r in whole] == list(range(len(whole))) and [r.is_last for r in whole] == [False] * (len(whole) - 1) + [True]
+    assert whole[-1].payload_bytes == len(large) and "sha1:" + whole[-1].payload_digest == sha
+    assert [r.sha for r in whole] == [hashlib.sha1(large[k:k + 65536]).hexdigest() for k in range(0, len(large), 65536)]
+    for tag in ("", "b"):
+        end = {k: max(by[f"urn:uuid:{tag}{k}"], key=lambda r: r.chunk) for k in ("3", "4", "5", "6", "7", "77")}
+        text = odd.replace(b"uuid:", b"uuid:b") if tag else odd
+        assert end["3"].payload_bytes == len(text) and end["4"].payload_bytes == 0 and end["6"].payload_bytes == 20
+        assert (end["5"].record_type, end["5"].refers_to, end["5"].payload_bytes) == ("revisit", f"urn:uuid:{tag}1", None)
+        assert end["7"].payload_bytes == 150_000 and end["7"].payload_digest == base64.b32encode(hashlib.sha1(large[:150_000]).digest()).decode()
+        assert (end["77"].record_type, end["77"].payload_digest) == ("continuation", None)
+    (tmp_path / "c.warc").write_bytes(records[3][:-30])
+    with pytest.raises(Exception, match="ends inside a record"):
+        warc.read_chunks(spark, str(tmp_path / "c.warc")).collect()

@@ -6,13 +6,16 @@ score between them; a pair whose bound is below the worst k-th score of the quer
 
 The top level of the tree is spread over the cluster:
 
-1. At most :data:`PIVOTS` pivots are chosen, far from each other, among a sample of :data:`SAMPLE` vectors (the smallest hashes of id).
-   *Every* vector goes to its nearest pivot's cell; the exact covering radius of a cell is an aggregate. A cell of more than
-   :data:`PART` vectors is cut by a hash of the id, so one common vector or cluster is no single task.
+1. At most :data:`PIVOTS` pivots are chosen, far from each other, among a sample of :data:`SAMPLE` vectors (the smallest hashes of id),
+   shared out over the widths there are; a width without a sample has the zero vector. *Every* vector goes to its nearest
+   pivot's cell; the exact covering radius of a cell is an aggregate. A cell of more than
+   :data:`PART` vectors is cut by a hash of the id, so one common vector or cluster is no single task. The width is part of a
+   cell's number: vectors of all widths are searched in one plan.
 2. Queries search their own cell first, which gives each a k-th score. Then they visit only cells whose bound reaches it.
 3. In a task, one part's vectors become a cover tree and the queries pass by in batches, each batch a tree of its own.
 
-Only pivots and cell radii (bounded) reach the driver. Scores are integer and exact.
+Only pivots and cell radii (bounded by the widths) reach the driver. Scores are integer and exact; they are defined for components of less
+than 2^53 after scaling and as long as width times the largest product of two components is below 2^63: beyond, the query fails.
 
 Defined cases: components are ``floor(scale * x)``; a vector that is null or has null or non-finite components takes no part, nor does a
 row without id; vectors meet only those of equal length; a row isn't its own candidate, nor are other rows with its id; of
@@ -40,8 +43,12 @@ LEAF = 48
 GROUP = 1024
 #: Ratio of a node's radius to that between its children.
 BASE = 1.4
-#: Largest bound on a product sum for which doubles are exact.
-EXACT = float(1 << 53)
+#: Bounds on a product sum: doubles are exact below the first, longs below the second.
+EXACT, LONGS = float(1 << 53), float(1 << 63)
+#: What a double may be off, where scores of longs are compared as doubles.
+HAIR = 1e-15
+#: Cells of a width have numbers from this times the width.
+WIDE = 1 << 20
 
 
 class Node:
@@ -93,7 +100,8 @@ class Best:
         own.sort()
         del own[self.k:]
         if len(own) == self.k:
-            self.least[row] = max(self.least[row], -own[-1][0])
+            worst = float(-own[-1][0])
+            self.least[row] = max(self.least[row], worst if abs(worst) < EXACT else worst - HAIR * abs(worst))
 
 
 def dual_search(queries: Node, points: np.ndarray, root: Node, asked: np.ndarray, ids: np.ndarray, best: Best) -> None:
@@ -109,7 +117,7 @@ def dual_search(queries: Node, points: np.ndarray, root: Node, asked: np.ndarray
             continue
         if not q.children and not d.children:
             scores = asked[q.rows] @ points[d.rows].T
-            hit = scores >= best.least[q.rows][:, None]
+            hit = scores * (1 + HAIR * np.sign(scores)) >= best.least[q.rows][:, None] if scores.dtype == np.int64 else scores >= best.least[q.rows][:, None]
             for k in np.flatnonzero(hit.any(axis=1)).tolist():
                 best.offer(int(q.rows[k]), scores[k, hit[k]], ids[d.rows[hit[k]]])
         elif d.children and (not q.children or d.radius >= q.radius):
@@ -140,13 +148,12 @@ def _search_parts(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Reco
             for lo in range(0, len(queries), GROUP):
                 best = Best(queries[lo:lo + GROUP], least[lo:lo + GROUP], k)
                 group = own[lo:lo + GROUP]
+                if largest >= LONGS:
+                    raise ValueError(f"products of these vectors may reach {largest:.3g}, beyond the whole numbers of a long")
                 if largest < EXACT:
                     dual_search(cover_tree(group), points[0], root[0], group, ids[0], best)
-                else:  # beyond doubles: whole numbers of any size, clipped to a long
-                    big = points[0].astype(object)
-                    for row, vector in enumerate(group.astype(object)):
-                        scores = np.array([max(min(int(s), 2**63 - 1), -(2**63)) for s in (big * vector).sum(axis=1)], object)
-                        best.offer(row, scores, ids[0])
+                else:
+                    dual_search(cover_tree(group), points[0].astype(np.int64), root[0], group.astype(np.int64), ids[0], best)
                 rows += [(int(q), i, -int(s)) for q, own_best in zip(best.ids, best.found, strict=True) for s, i in own_best]
         asked = []
         columns = list(zip(*rows, strict=True)) or [(), (), ()]
@@ -191,40 +198,50 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int
         x = F.col(embedding)
         sound = F.col(vec).isNotNull() & x.isNotNull() & (F.size(x) > 0) & F.forall(
             x, lambda c: F.coalesce(~F.isnan(c) & (F.abs(c.cast("double")) < float("inf")), F.lit(False)))
-        return df.where(sound).select(F.col(vec).cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c.cast("double") * scale).cast("double")).alias("v"))
+
+        def whole(c):
+            scaled = F.floor(c.cast("double") * scale)
+            return F.when(F.abs(c.cast("double") * scale) < EXACT, scaled.cast("double")).otherwise(F.raise_error(F.lit("a component of 2^53 or more")).cast("double"))
+
+        return df.where(sound).select(F.col(vec).cast("long").alias("vec_id"), F.transform(x, whole).alias("v"))
 
     rows = saved(numbers(vectors), "vectors")
     asking = numbers(queries).groupBy("vec_id").agg(F.min("v").alias("v"))
-    widths = [r[0] for r in rows.select(F.size("v").alias("w")).distinct().collect()]
-    found = [_one_width(spark, rows.where(F.size("v") == w), asking.where(F.size("v") == w), k) for w in sorted(widths)]
-    if not found:
+    width = F.size("v")
+    widths = rows.select(width.alias("w")).distinct().count()
+    if not widths:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    out = found[0]
-    for more in found[1:]:
-        out = out.union(more)
-    return out
-
-
-def _one_width(spark, rows: DataFrame, asking: DataFrame, k: int) -> DataFrame:
-    picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()
-    pivots = far_pivots(np.array([r[0] for r in picked], float), PIVOTS)
-    norms = (pivots ** 2).sum(axis=1)
+    hashed = Window.partitionBy("w").orderBy(F.xxhash64("vec_id"), "vec_id")
+    sample = rows.withColumn("w", width).withColumn("r", F.row_number().over(hashed)).where(F.col("r") <= max(1, SAMPLE // widths)).orderBy("w", "r").limit(SAMPLE)
+    picked: dict[int, list] = {}
+    for r in sample.select("w", "v").collect():
+        picked.setdefault(r[0], []).append(r[1])
+    pivots = {w: far_pivots(np.array(own, float), PIVOTS) for w, own in picked.items()}
+
+    def by_width(column: pa.ListArray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Width, rows of this width, their vectors, and the pivots."""
+        sizes = column.value_lengths().to_numpy()
+        for w in np.unique(sizes).tolist():
+            at = np.flatnonzero(sizes == w)
+            yield w, at, _matrix(column.take(pa.array(at))), pivots.get(w, np.zeros((1, w)))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column(1))
-            squared = (x * x).sum(axis=1)[:, None] - 2 * (x @ pivots.T) + norms
-            cell = np.argmin(squared, axis=1) if len(x) else np.empty(0, np.int64)
-            distance = np.sqrt(((x - pivots[cell]) ** 2).sum(axis=1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cell.astype(np.int32)), pa.array(distance)], names=["vec_id", "v", "cell", "distance"])
-
-    celled = saved(rows.mapInArrow(assign, "vec_id long, v array<double>, cell int, distance double"), "cells")
-    sizes = {r[0]: (r[1], r[2]) for r in celled.groupBy("cell").agg(F.count(F.lit(1)), F.max("distance")).collect()}  # PIVOTS rows at most
+            cells, distances = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
+            for w, at, x, own in by_width(batch.column(1)):
+                squared = (x * x).sum(axis=1)[:, None] - 2 * (x @ own.T) + (own ** 2).sum(axis=1)
+                cell = np.argmin(squared, axis=1)
+                cells[at], distances[at] = w * WIDE + cell, np.sqrt(((x - own[cell]) ** 2).sum(axis=1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cells), pa.array(distances)], names=["vec_id", "v", "cell", "distance"])
+
+    celled = saved(rows.mapInArrow(assign, "vec_id long, v array<double>, cell long, distance double"), "cells")
+    sizes = {r[0]: (r[1], r[2]) for r in celled.groupBy("cell").agg(F.count(F.lit(1)), F.max("distance")).collect()}  # PIVOTS rows a width at most
     parts = {cell: -(-count // PART) for cell, (count, _) in sizes.items()}
-    radius = np.full(len(pivots), -1.0)
+    radii: dict[int, np.ndarray] = {}
     for cell, (_, reach) in sizes.items():
-        radius[cell] = reach * (1 + 1e-9)
-    part_of = spark.createDataFrame(sorted(parts.items()), "of int, parts int")
+        w, at = divmod(cell, WIDE)
+        radii.setdefault(w, np.full(len(pivots.get(w, [0])), -1.0))[at] = reach * (1 + 1e-9)
+    part_of = spark.createDataFrame(sorted(parts.items()), "of long, parts int")
     data = celled.join(F.broadcast(part_of), F.col("cell") == F.col("of")).select(
         "cell", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"), F.lit(0).alias("asks"), "vec_id", F.lit(0.0).alias("least"), "v")
 
@@ -235,20 +252,23 @@ def _one_width(spark, rows: DataFrame, asking: DataFrame, k: int) -> DataFrame:
         return dealt.mapInArrow(lambda batches: _search_parts(batches, k), "query_id long, vec_id long, score long")
 
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    own = asking.mapInArrow(assign, "vec_id long, v array<double>, cell int, distance double").select("vec_id", "v", "cell", F.lit(float("-inf")).alias("least"))
+    own = asking.mapInArrow(assign, "vec_id long, v array<double>, cell long, distance double").select("vec_id", "v", "cell", F.lit(float("-inf")).alias("least"))
     first = saved(searched(own).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "own-cells")
-    least = first.where(F.col("rank") == k).select(F.col("query_id").alias("of"), F.col("score").cast("double").alias("kth"))
+    kth = F.col("score").cast("double")
+    least = first.where(F.col("rank") == k).select(F.col("query_id").alias("of"), F.when(F.abs(kth) < EXACT, kth).otherwise(kth - F.abs(kth) * HAIR).alias("kth"))
     bounded = own.join(least, F.col("vec_id") == F.col("of"), "left").select("vec_id", "v", "cell", F.coalesce("kth", "least").alias("least"))
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, home, least = _matrix(batch.column(1)), batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            most = x @ pivots.T + np.sqrt((x * x).sum(axis=1))[:, None] * radius
-            most += 1e-9 * np.abs(most) + 1e-6
-            row, cell = np.nonzero((most >= least[:, None]) & (radius >= 0) & (np.arange(len(pivots)) != home[:, None]))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), lists(x[row].ravel(), np.full(len(row), x.shape[1])), pa.array(cell.astype(np.int32)),
-                                              pa.array(least[row])], names=["vec_id", "v", "cell", "least"])
-
-    rest = searched(bounded.mapInArrow(visit, "vec_id long, v array<double>, cell int, least double"))
+            for w, at, x, pivot in by_width(batch.column(1)):
+                radius = radii.get(w, np.full(len(pivot), -1.0))
+                home, kth = batch.column(2).to_numpy()[at] - w * WIDE, batch.column(3).to_numpy()[at]
+                most = x @ pivot.T + np.sqrt((x * x).sum(axis=1))[:, None] * radius
+                most += 1e-9 * np.abs(most) + 1e-6
+                row, cell = np.nonzero((most >= kth[:, None]) & (radius >= 0) & (np.arange(len(pivot)) != home[:, None]))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at[row])), lists(x[row].ravel(), np.full(len(row), w)), pa.array(w * WIDE + cell),
+                                                  pa.array(kth[row])], names=["vec_id", "v", "cell", "least"])
+
+    rest = searched(bounded.mapInArrow(visit, "vec_id long, v array<double>, cell long, least double"))
     both = first.select("query_id", "vec_id", "score").union(rest)
     return both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -13,9 +13,10 @@ Exact for the whole table: two documents link when ``100 * common >= threshold *
    *Clusters* are the connected components of these ties; all links lie inside one. A cluster is cut into parts of about
    :data:`PART` shingles by a hash of the node; each part is an inverted index in one task, and the nodes of later parts
    pass by it as queries. So the memory of a task is bounded, and a large group is worked on by many tasks.
-4. *T-occurrence.* A query of ``n`` shingles needs ``T = ceil(t * n)`` of them in a partner. Its longest lists are set aside, the
-   short ones are merged, documents that occur at least ``T - L`` times are probed in the long lists by binary search, and
-   the exact overlap decides. Documents already tied to the most central one of a part need no query of their own. Only links
+4. *T-occurrence.* A query of ``n`` shingles needs ``T = ceil(t * n)`` of them in a partner, and a partner has ``t * n`` to ``n / t`` of its own.
+   Sets are numbered by size, so each list skips by binary search to the owners of such sizes. The ``L`` longest lists are set
+   aside; the short ones, ascending runs of owners, are merged (a stable merge sort of the runs, so the cost follows what is read), and
+   owners met at least ``T - L`` times are probed in all long lists by binary search. The exact overlap decides. Documents already tied to the most central one of a part need no query of their own. Only links
    that join two groups inside a part leave the task: enough for components, in proportion to the nodes.
 5. *Components* of the links, and back from nodes to all documents.
 
@@ -40,7 +41,7 @@ from urbanweave.llm.shared import fresh, saved
 
 #: Shingles in an index part (8 MB, about 100 MB while it is built).
 PART = 1 << 20
-#: Shingles in a chunk, and mean shingles in a bucket.
+#: Shingles in a chunk, and mean shingles in a bucket, however many there are.
 CHUNK = 1 << 20
 BUCKET = 1 << 17
 #: Cluster members up to which their list is broadcast, and not joined by a shuffle of the texts.
@@ -226,32 +227,45 @@ def candidate_ties(survivors: DataFrame, threshold: int) -> DataFrame:
 
 
 class Part:
-    """Inverted index over the sets of one part of a cluster, with the groups found so far."""
+    """Inverted index over the sets of one part of a cluster, with the groups found so far. Sets are numbered by size."""
 
     def __init__(self, nodes: list[int], sets: list[np.ndarray], threshold: int):
-        self.nodes, self.sets, self.threshold = nodes, sets, threshold
-        self.sizes = np.array([len(s) for s in sets], np.int64)
-        values = np.concatenate(sets)
+        by_size = np.argsort([len(s) for s in sets], kind="stable").tolist()
+        self.nodes, self.sets, self.threshold = [nodes[k] for k in by_size], [sets[k] for k in by_size], threshold
+        self.sizes = np.array([len(s) for s in self.sets], np.int64)
+        values = np.concatenate(self.sets)
         order = np.argsort(values, kind="stable")  # owners ascend in each list
         values = values[order]
-        self.owner = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        owner = np.repeat(np.arange(len(sets)), self.sizes)[order]
         self.start = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
         self.shingles = values[self.start]
         self.length = np.diff(np.append(self.start, len(values)))
+        #: All lists, one after the other, as ascending numbers: list and owner.
+        self.placed = np.repeat(np.arange(len(self.start)), self.length) * len(sets) + owner
         self.group = list(range(len(sets)))
 
     def _lists(self, own: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.shingles, own), len(self.shingles) - 1)
         return at[self.shingles[at] == own]
 
-    def _merged(self, at: np.ndarray) -> np.ndarray:
-        """Occurrences of every document in these lists."""
-        if not len(at):
-            return np.zeros(len(self.sets), np.int64)
-        length = self.length[at]
+    def _merged(self, at: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+        """Owners ``first:last`` in these lists, ascending, and in how many of the lists each is."""
+        count = len(self.sets)
+        lo, hi = np.searchsorted(self.placed, at * count + first), np.searchsorted(self.placed, at * count + last)
+        length = hi - lo
         ends = np.cumsum(length)
-        take = np.repeat(self.start[at] - (ends - length), length) + np.arange(ends[-1])
-        return np.bincount(self.owner[take], minlength=len(self.sets))
+        if not len(at) or not ends[-1]:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        owners = self.placed[np.repeat(lo - (ends - length), length) + np.arange(ends[-1])] - np.repeat(at * count, length)
+        owners.sort(kind="stable")
+        head = np.flatnonzero(np.concatenate([[True], owners[1:] != owners[:-1]]))
+        return owners[head], np.diff(np.append(head, len(owners)))
+
+    def _probed(self, at: np.ndarray, owners: np.ndarray) -> np.ndarray:
+        """In how many of these lists each owner is, by binary search."""
+        wanted = at[:, None] * len(self.sets) + owners
+        place = np.minimum(np.searchsorted(self.placed, wanted), len(self.placed) - 1)
+        return (self.placed[place] == wanted).sum(axis=0)
 
     def _enough(self, n: int, common: np.ndarray, others: np.ndarray) -> np.ndarray:
         return 100 * common >= self.threshold * (n + self.sizes[others] - common)
@@ -260,25 +274,18 @@ class Part:
         """Positions of all documents that link with a set."""
         n = len(own)
         need = -(-self.threshold * n // 100)
+        first, last = np.searchsorted(self.sizes, need), np.searchsorted(self.sizes, 100 * n // self.threshold, side="right")
         at = self._lists(own)
-        if len(at) < need:
+        if len(at) < need or first >= last:
             return np.empty(0, np.int64)
         at = at[np.argsort(self.length[at], kind="stable")]
         aside = min(need - 1, int(need / (0.05 * np.log2(self.length[at[-1]] + 1) + 1)))
-        short, long = at[:len(at) - aside], at[len(at) - aside:]
-        merged = self._merged(short)
-        near = np.flatnonzero(merged >= need - aside)
-        if not len(near):
-            return near
-        common = merged[near]
-        if len(near) * aside > int(self.length[long].sum()):  # probing would cost more than reading the lists
-            common = common + self._merged(long)[near]
-        else:
-            for k in long.tolist():
-                listed = self.owner[self.start[k]:self.start[k] + self.length[k]]
-                place = np.minimum(np.searchsorted(listed, near), len(listed) - 1)
-                common += listed[place] == near
-        return near[self._enough(n, common, near)]
+        owners, common = self._merged(at[:len(at) - aside], first, last)
+        near = common >= need - aside
+        owners, common = owners[near], common[near]
+        if len(owners) and aside:
+            common = common + self._probed(at[len(at) - aside:], owners)
+        return owners[self._enough(n, common, owners)]
 
     def _root(self, k: int) -> int:
         while self.group[k] != k:
@@ -288,10 +295,12 @@ class Part:
 
     def inner_links(self) -> list[tuple[int, int]]:
         """Links that join all documents of the part that any links join."""
-        shares = np.repeat(self.length, self.length)
-        central = int(np.argmax(np.bincount(self.owner, weights=shares, minlength=len(self.sets)) / self.sizes))
-        common = self._merged(self._lists(self.sets[central]))
-        tied = self._enough(len(self.sets[central]), common, np.arange(len(self.sets)))
+        owner = self.placed % len(self.sets)
+        weight = np.bincount(owner, weights=np.repeat(self.length, self.length), minlength=len(self.sets))
+        central = int(np.argmax(weight / self.sizes))
+        owners, common = self._merged(self._lists(self.sets[central]), 0, len(self.sets))
+        tied = np.zeros(len(self.sets), bool)
+        tied[owners[self._enough(len(self.sets[central]), common, owners)]] = True
         out = []
         for k in np.flatnonzero(tied).tolist():
             if k != central:
@@ -372,7 +381,7 @@ def near_groups(docs: DataFrame, doc: str = "doc_id", text: str = "text", length
     """``(doc, n_shingles, component_id)`` of every row: the smallest id reachable by links of at least ``threshold`` percent."""
     sets = saved(set_table(docs, doc, text, length), "sets")
     total = sets.agg(F.sum("n")).first()[0] or 0
-    bits = min(16, max(6, int(total // BUCKET).bit_length()))
+    bits = min(32, max(6, int(total // BUCKET).bit_length()))  # codes have 32 bits below the bucket's
     survivors = saved(surviving_sets(docs, text, length, threshold, bits), "survivors")
     clusters = components(candidate_ties(survivors, threshold))
     named = sets.where("n > 0 and doc is not null").groupBy(F.col("s1").alias("of")).agg(F.min("doc").alias("doc"), F.max("n").alias("n"))

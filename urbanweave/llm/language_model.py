@@ -48,7 +48,9 @@ BATCH = 1024
 STEP = 2048
 #: Steps over which the rate rises to its value.
 RISE = 60
-WARM_UP = 400_000
+#: Tokens that every task reads in the warm-up, a beginning for the training on all of them: up to so many training tokens the
+#: first number, then less by as much as there are more, and the last at least.
+WARM_UP, FEW, LEAST = 400_000, 4_000_000, 100_000
 KNOWN = 1 << 20
 #: Floats in one averaged block of parameters.
 BLOCK = 2048
@@ -145,15 +147,16 @@ class Parameters:
             at += int(np.prod(shape))
         return cls(*parts, sizes)
 
-    def predicted(self, context: np.ndarray) -> np.ndarray:
+    def inputs_of(self, context: np.ndarray) -> np.ndarray:
+        """Sum of the input vectors of the token at each place."""
         rows = context.reshape(len(context), CONTEXT, -1)
-        out = np.zeros((len(rows), WIDTH), np.float32)
-        for k in range(CONTEXT):
-            own = self.inputs[rows[:, k, 0]]
-            for j in range(1, rows.shape[2]):
-                own += self.inputs[rows[:, k, j]]
-            out += own * self.places[k]
-        return out
+        own = self.inputs[rows[:, :, 0]]
+        for j in range(1, rows.shape[2]):
+            own += self.inputs[rows[:, :, j]]
+        return own
+
+    def predicted(self, context: np.ndarray) -> np.ndarray:
+        return np.einsum("nkw,kw->nw", self.inputs_of(context), self.places)
 
     def log_softmax_at(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log probability of each target output after its context, normalised over all outputs."""
@@ -204,7 +207,8 @@ class Vocabulary:
 
     def ids(self, hashes: np.ndarray, suffix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The two input numbers and the output number of tokens."""
-        hit, at = _found(self.head, hashes)
+        distinct, place = np.unique(hashes, return_inverse=True)
+        hit, at = (x[place] for x in _found(self.head, distinct))
         if hit.any():
             at = np.where(hit, self.rank[at], 0)
         size = self.sizes
@@ -254,7 +258,8 @@ class Trainer:
         self.tokens += n
         self.done += 1
         rate = self.rate * min(1.0, self.done / RISE)
-        vectors = m.predicted(context)
+        known = m.inputs_of(context)
+        vectors = np.einsum("nkw,kw->nw", known, m.places)
         back, rows, pulls, lifts = np.zeros_like(vectors), [], [], []
         for (first, edges, log_noise), own_row in zip(self.levels, (target, target // m.sizes.members), strict=True):
             noise_row = np.minimum(np.searchsorted(edges, self.draw.random(NOISE) * edges[-1]), len(edges) - 1)
@@ -267,10 +272,9 @@ class Trainer:
             rows += [at, other_at]
             pulls += [up[:, None] * vectors, -(down.T @ vectors)]
             lifts += [up, -down.sum(axis=0)]
-        context = context.reshape(n, CONTEXT, -1)
-        places = np.stack([(back * m.inputs[context[:, k]].sum(axis=1)).sum(axis=0) for k in range(CONTEXT)])
-        moved = np.repeat(back[:, None, :] * m.places[None], context.shape[2], axis=1).reshape(-1, WIDTH)
-        seen, times, inputs = _scatter(context.ravel(), moved, len(m.inputs))
+        places = np.einsum("nw,nkw->kw", back, known)
+        moved = (back[:, None, :] * m.places).reshape(-1, WIDTH)  # one for all vectors of a token
+        seen, times, inputs = _scatter(np.moveaxis(context.reshape(n, CONTEXT, -1), 2, 0).ravel(), moved, len(m.inputs))
         self.met["inputs"][seen] += times
         self._move("inputs", seen, inputs, n, rate)
         lift = np.concatenate(lifts)
@@ -312,16 +316,11 @@ def _average(sums: np.ndarray, sizes: Sizes) -> Parameters:
 
 
 def _scatter(at: np.ndarray, values: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct numbers in ``at``, how often each occurs, and the sums of the rows of ``values`` by them."""
-    mark = np.zeros(rows, bool)
-    mark[at] = True
-    seen = np.flatnonzero(mark)
-    place = np.empty(rows, np.int64)
-    place[seen] = np.arange(len(seen))
-    own = place[at]
-    index = (own[:, None] * WIDTH + np.arange(WIDTH)).ravel()
-    sums = np.bincount(index, weights=values.ravel(), minlength=len(seen) * WIDTH).reshape(len(seen), WIDTH)
-    return seen, np.bincount(own, minlength=len(seen)), sums
+    """The distinct numbers in ``at``, how often each occurs, and the sums of the rows of ``values``, taken round and round, by them."""
+    order = np.argsort(at.astype(np.uint16 if rows <= 1 << 16 else np.uint32), kind="stable")
+    ordered = at[order]
+    head = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    return ordered[head], np.diff(np.append(head, len(at))), np.add.reduceat(values[order % len(values)], head, axis=0)
 
 
 def token_counts(docs: DataFrame, text: str, keep: int = 1 << 21) -> DataFrame:
@@ -362,11 +361,11 @@ def _counted(rows: tuple[np.ndarray, ...]) -> pa.RecordBatch:
 def vocabulary(counts: DataFrame, types: int) -> Vocabulary:
     """From saved counts of so many tokens: bounded lists of frequent tokens and sums by class."""
     sizes = Sizes.of(types)
-    top = frequent(counts, "token", "times", KNOWN)
-    order = np.lexsort((top[0], -top[1]))[:sizes.head]
-    head = top[0][order].view(np.uint64)
+    tokens, times = frequent(counts, "token", "times", max(KNOWN, sizes.head))
+    top = tokens[:KNOWN], times[:KNOWN]
+    head = tokens[:sizes.head].view(np.uint64)
     own = np.zeros(sizes.head)
-    own[:len(head)] = top[1][order]
+    own[:len(head)] = times[:sizes.head]
     rank = np.argsort(head)
     head = head[rank]
     shared = counts.sparkSession.sparkContext.broadcast(head)
@@ -463,7 +462,7 @@ def score_texts(docs: DataFrame, learn: Column, doc: str = "doc_id", text: str =
     words = vocabulary(counts, types)
     model = Parameters.start(np.log(words.noise), words.sizes)
     if total:
-        model = _rounds(training, text, words, model, WARM_UP)
+        model = _rounds(training, text, words, model, max(LEAST, min(WARM_UP, WARM_UP * FEW // total)))
         model = _rounds(training, text, words, model, None)
     shared = docs.sparkSession.sparkContext.broadcast((words, model.flat()))
 

@@ -165,10 +165,10 @@ def packing_query(read):
 @query("op10_warc")
 def warc_query(read):
     pages = read("pages")
-    path = scratch_path(pages.sparkSession, "warc")
-    marker = warc.write_archive(pages, path)
-    chunks = warc.read_chunks(pages.sparkSession, path, marker, payload=False)
-    return chunks.where("is_last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    path = warc.write_archive(pages, scratch_path(pages.sparkSession, "warc"))
+    chunks = warc.read_chunks(pages.sparkSession, path, payload=False)
+    return chunks.where("is_last").select(warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                                          warc.page_of(F.col("refers_to")).alias("refers_to"))
 
 
 @query("op7_jaccard_join")

@@ -1,12 +1,12 @@
 """Sharding by a consistent-hash ring with virtual nodes and bounded loads.
 
-The ring has :data:`POINTS` points. Every shard owns ``virtual`` of them; an arc is the run of points that ends at an owned point, and a
+The ring has :data:`POINTS` points, or as many more as shards need to lie apart. Every shard owns ``virtual`` of them; an arc is the run of points that ends at an owned point, and a
 key belongs to the arc its hash falls in. It goes to the arc's shard, or, if that is full, clockwise to the next shard with
 room. No shard takes more than its share of the rows times ``1 + slack``; with no slack the counts are at most one apart.
 
 Rows are taken in a fixed order: by one of :data:`TURNS` turns, drawn from the hash of the row, then by arc, hash and id. All rows of
 a turn and an arc (a *cell*) have the same preferences, so the filling needs only the number of rows in each cell: the driver
-walks over at most ``POINTS_OWNED * TURNS`` counts, however many rows there are, and hands back rank ranges. Everything else is
+walks over at most :data:`CELLS` counts (one for each arc, if those are more), however many rows there are, and hands back rank ranges. Everything else is
 DataFrame functions: one aggregate of narrow rows, one window per cell, one broadcast of the bounded plan.
 
 The key of a row is its id (its text where the id is null). Rows equal in id, size and checksum are counted as one with a
@@ -24,65 +24,84 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from urbanweave.llm.shared import saved
+from urbanweave.session import settle
 
-#: Points of the ring, and turns that the rows are taken in.
+#: Points of the ring at least, turns that the rows are taken in at most, and counts that the driver walks over.
 POINTS = 1 << 14
 TURNS = 64
+CELLS = 1 << 19
+#: Points up to which the way from a point to its arc is a constant of the query, not a join.
+CONSTANT = 1 << 17
+
+
+def ring_bits(owned: int) -> int:
+    """Points of the ring as a power of two: at least four for each owned one."""
+    return max(POINTS - 1, 4 * owned - 1).bit_length()
 
 
 def ring(shards: int, virtual: int = 64) -> list[tuple[int, int]]:
-    """Owned points in clockwise order, as ``(point, shard)``. A new shard adds points and moves none."""
-    if shards * virtual > POINTS // 2:
-        raise ValueError(f"{shards} shards with {virtual} virtual nodes need a ring of more than {POINTS} points")
+    """Owned points in clockwise order, as ``(point, shard)``. A new shard adds points and moves none; a larger ring keeps their order."""
+    bits = ring_bits(shards * virtual)
     owned: dict[int, int] = {}
     for shard in range(shards):
         for node in range(virtual):
             trial = 0
-            while (point := int.from_bytes(hashlib.sha256(f"{shard}/{node}/{trial}".encode()).digest()[:4], "big") % POINTS) in owned:
+            while (point := int.from_bytes(hashlib.sha256(f"{shard}/{node}/{trial}".encode()).digest()[:4], "big") >> (32 - bits)) in owned:
                 trial += 1
             owned[point] = shard
     return sorted(owned.items())
 
 
-def clockwise(owned: list[tuple[int, int]]) -> list[list[int]]:
-    """For each arc, all shards in the order a key meets them."""
-    out = []
-    for start in range(len(owned)):
-        seen: dict[int, None] = {}
-        for step in range(len(owned)):
-            seen.setdefault(owned[(start + step) % len(owned)][1])
-        out.append(list(seen))
-    return out
-
-
 def fill(cells: dict[tuple[int, int], int], owned: list[tuple[int, int]], shards: int,
          slack: float = 0.0) -> list[tuple[int, int, int, int, int, int]]:
-    """Where the rows of each cell go: ``(turn, arc, first rank, rank after the last, shard, first slot)``."""
+    """Where the rows of each cell go: ``(turn, arc, first rank, rank after the last, shard, first slot)``.
+
+    From its own arc a cell goes clockwise to the next one whose shard has room. Full shards stay full, so the way past their
+    arcs is kept and shortened whenever it is gone.
+    """
     total = sum(cells.values())
     room = [int((total // shards) * (1 + slack)) + (k < total % shards) for k in range(shards)]
-    used, orders, plan = [0] * shards, clockwise(owned), []
+    used, onward, plan = [0] * shards, list(range(len(owned))), []
+
+    def next_open(arc: int) -> int:
+        passed = []
+        while used[owned[arc][1]] >= room[owned[arc][1]]:
+            passed.append(arc)
+            arc = onward[arc] if onward[arc] != arc else (arc + 1) % len(owned)
+        for p in passed:
+            onward[p] = arc
+        return arc
+
     for (turn, arc), count in sorted(cells.items()):
-        rank = 0
-        for shard in orders[arc]:
+        rank, at = 0, arc
+        while rank < count:
+            at = next_open(at)
+            shard = owned[at][1]
             take = min(count - rank, room[shard] - used[shard])
-            if take > 0:
-                plan.append((turn, arc, rank, rank + take, shard, used[shard]))
-                used[shard] += take
-                rank += take
-            if rank == count:
-                break
+            plan.append((turn, arc, rank, rank + take, shard, used[shard]))
+            used[shard] += take
+            rank += take
     return plan
 
 
-def _arc_of(hashed: Column, owned: list[tuple[int, int]]) -> Column:
-    """Arc of a hash: a constant lookup from ring point to the next owned point clockwise."""
-    arcs, at = [], 0
-    for point in range(POINTS):
-        while at < len(owned) and owned[at][0] < point:
-            at += 1
-        arcs.append(at % len(owned))
-    table = F.split(F.lit(",".join(map(str, arcs))), ",").cast("array<int>")  # folded once, when the query is planned
-    return F.element_at(table, (F.pmod(hashed, F.lit(POINTS)) + 1).cast("int"))
+def _with_arcs(rows: DataFrame, key: Column, owned: list[tuple[int, int]], out: str) -> DataFrame:
+    """The arc of a key: a constant lookup from ring point to the next owned point clockwise, or a join for a large ring."""
+    bits = ring_bits(len(owned))
+    point = F.shiftrightunsigned(key, 64 - bits).cast("int")
+    if 1 << bits <= CONSTANT:
+        arcs, at = [], 0
+        for place in range(1 << bits):
+            while at < len(owned) and owned[at][0] < place:
+                at += 1
+            arcs.append(at % len(owned))
+        table = F.split(F.lit(",".join(map(str, arcs))), ",").cast("array<int>")  # folded once, when the query is planned
+        return rows.withColumn(out, F.element_at(table, point + 1))
+    ends = [o[0] for o in owned]
+    starts = [0, *[e + 1 for e in ends[:-1]]]
+    runs = [(k, a, b) for k, (a, b) in enumerate(zip(starts, ends, strict=True))]
+    runs += [(0, ends[-1] + 1, (1 << bits) - 1)] if ends[-1] + 1 < 1 << bits else []
+    places = rows.sparkSession.createDataFrame(runs, "arc int, lo int, hi int").select("arc", F.explode(F.sequence("lo", "hi")).alias("place"))
+    return rows.withColumn("__place", point).join(settle(places), F.col("__place") == F.col("place")).withColumnRenamed("arc", out).drop("__place", "place")
 
 
 def shard_rows(docs: DataFrame, shards: int = 8, virtual: int = 64, slack: float = 0.0, doc: str = "doc_id",
@@ -95,8 +114,9 @@ def shard_rows(docs: DataFrame, shards: int = 8, virtual: int = 64, slack: float
     counted = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("__n"))
     key = F.xxhash64(F.coalesce("doc_id", F.col("text_crc32") * 4096 + F.col("size")))
     order = F.xxhash64("doc_id", "size", "text_crc32")
-    celled = saved(counted.withColumn("__arc", _arc_of(key, owned)).withColumn("__order", order)
-                   .withColumn("__turn", F.pmod(F.col("__order"), F.lit(TURNS)).cast("int")), "shard-rows")
+    turns = max(1, min(TURNS, CELLS // len(owned)))
+    celled = saved(_with_arcs(counted, key, owned, "__arc").withColumn("__order", order)
+                   .withColumn("__turn", F.pmod(F.col("__order"), F.lit(turns)).cast("int")), "shard-rows")
     cells = {(r[0], r[1]): r[2] for r in celled.groupBy("__turn", "__arc").agg(F.sum("__n")).collect()}  # a bounded table
     plan = spark.createDataFrame(fill(cells, owned, shards, slack), "turn int, arc int, lo long, hi long, shard int, slot long")
     window = Window.partitionBy("__turn", "__arc").orderBy("__order", "doc_id", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, 0)
