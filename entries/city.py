@@ -19,6 +19,8 @@ RES = "https://city.example#"
 NAMESPACES = {
     "res": RES, "bigg": "http://bigg-project.eu/ld/ontology#", "rdf": "http://www.w3.org/1999/02/22-rdf-syntax-ns#", "saref": "https://saref.etsi.org/core/",
     "agri": "https://saref.etsi.org/saref4agri/", "syst": "https://saref.etsi.org/saref4syst/", "bldg": "https://saref.etsi.org/saref4bldg/",
+    "geosp": "http://www.opengis.net/ont/geosparql#", "geo": "http://www.w3.org/2003/01/geo/wgs84_pos#", "gn": "http://www.geonames.org/ontology#",
+    "city": "https://saref.etsi.org/saref4city/", "vcard": "http://www.w3.org/2006/vcard/ns#", "old": "http://bigg-project.eu/ontology#",
     "ssn": "http://www.w3.org/ns/ssn/", "qudt": "http://qudt.org/schema/qudt/", "unit": "https://qudt.org/vocab/unit/", "lit": "",
 }
 
@@ -168,11 +170,6 @@ def harmonise_annual_building_triples(t):
     return _annual(t).triples
 
 
-def _counted(triples: DataFrame) -> DataFrame:
-    name = F.substring_index(F.substring_index("p", "#", -1), "/", -1)
-    return triples.groupBy(name.alias("predicate"), "o_kind").agg(F.count(F.lit(1)).alias("triples"))
-
-
 @query("harmonise_address_matching", """
     select p_partkey as meter, case when p_size <> 7 then p_partkey::varchar end as place,
            case when p_size <> 7 then 'street ' || p_name || ' ' || (p_partkey * 7919 % 100003 + 1) end as match from part where p_size <> 5""")
@@ -350,15 +347,25 @@ def harmonise_weather_triples(t):
     return _weather(t).triples
 
 
-@query("harmonise_urban_climate", """
-    with r as (select count(*) as n from supplier)
-    select p as predicate, k as o_kind, n * times as triples from r, (values
-      ('type', 'iri', 5), ('lat', 'literal', 1), ('long', 'literal', 1), ('hasSubSystem', 'iri', 1), ('makesMeasurement', 'iri', 1),
-      ('measuresProperty', 'iri', 1), ('hash', 'literal', 1), ('relatesToProperty', 'iri', 1), ('isMeasuredIn', 'iri', 1)) v(p, k, times)""")
+@query("harmonise_urban_climate", stated("""
+    select s_acctbal::varchar || '-' || s_suppkey as k, s_acctbal::varchar as lat, s_suppkey::varchar as lon, sha256(s_suppkey || '-weather') as h from supplier""", """
+    res:System-WeatherStation-{k} rdf:type agri:WeatherStation
+    res:System-WeatherStation-{k} rdf:type syst:System
+    res:System-WeatherStation-{k} bigg:lat lit:{lat}
+    res:System-WeatherStation-{k} bigg:long lit:{lon}
+    res:System-WeatherStation-{k} syst:hasSubSystem res:Device-AirTemperature-{k}
+    res:Device-AirTemperature-{k} rdf:type saref:Device
+    res:Device-AirTemperature-{k} rdf:type syst:System
+    res:Device-AirTemperature-{k} saref:makesMeasurement res:Measurement-{h}
+    res:Device-AirTemperature-{k} saref:measuresProperty bigg:DryBulbTemperature
+    res:Measurement-{h} rdf:type saref:Measurement
+    res:Measurement-{h} bigg:hash lit:{h}
+    res:Measurement-{h} saref:isMeasuredIn qudt:K
+    res:Measurement-{h} saref:relatesToProperty bigg:DryBulbTemperature"""))
 def harmonise_urban_climate(t):
     stations = t.supplier.select(F.col("s_acctbal").alias("latitude"), F.col("s_suppkey").alias("longitude"),
                                  device_hash(F.col("s_suppkey"), "-weather").alias("weatherId"))
-    return _counted(sources.urban_climate(stations).triples)
+    return sources.urban_climate(stations).triples
 
 
 @query("harmonise_tourism", f"""
@@ -406,8 +413,11 @@ def _building_features(t) -> DataFrame:
 
 
 _PLACED_SQL = """
-    b as (select c_custkey, c_mktsegment, c_custkey * 37 % 499 + 0.5 as x, c_custkey * 91 % 599 + 0.5 as y from customer),
-    inside as (select * from b where y < 500.3),
+    b as (select *, c_custkey * 37 % 499 + 0.5 as x, c_custkey * 91 % 599 + 0.5 as y, c_custkey * 37 % 499 as x0, c_custkey * 91 % 599 as y0 from customer),
+    inside as (
+        select *, c_custkey || '_part1' as id, x::double || ' ' || y::double as xy, c_acctbal::varchar as floors,
+               '[[' || x0 || '.25,' || y0 || '.25],[' || x0 || '.75,' || y0 || '.25],[' || x0 || '.75,' || y0 || '.75],[' || x0 || '.25,' || y0 || '.75],[' || x0 || '.25,' || y0 || '.25]]' as ring
+        from b where y < 500.3),
     placed as (select *, (floor(x / 100) + 5 * floor(y / 100))::bigint as zone from inside)"""
 
 
@@ -415,29 +425,54 @@ def _taxonomy(t, codes: list[tuple[str, str]]) -> DataFrame:
     return t.spark.createDataFrame(codes, "SOURCE string, TAXONOMY string")
 
 
+_BUILDING_FACTS = """
+    res:Building-{c_custkey} rdf:type bldg:Building
+    res:Building-{c_custkey} old:startState lit:2010
+    res:Building-{c_custkey} old:state lit:Functional
+    res:Building-{c_custkey} old:startConstruction lit:1960
+    res:Building-{c_custkey} old:endConstruction lit:1961
+    res:Building-{c_custkey} old:cadasterDetailedUrl lit:http://{c_custkey}
+    res:Building-{c_custkey} old:cadastralId lit:{c_custkey}
+    res:Building-{c_custkey} old:buildingUnits lit:{c_nationkey}
+    res:Building-{c_custkey} old:dwellings lit:2
+    res:Building-{c_custkey} geosp:hasArea res:Measurement-{c_custkey}-GrossFloorArea
+    res:Building-{c_custkey} geosp:hasArea res:Measurement-{c_custkey}-BuiltUpLandArea
+    res:Building-{c_custkey} geosp:hasGeometry res:Point-{c_custkey}
+    res:Building-{c_custkey} geosp:hasGeometry res:Polygon-{c_custkey}
+    res:Point-{c_custkey} rdf:type geo:Point
+    res:Point-{c_custkey} geosp:asGeoJSON lit:{xy}
+    res:Polygon-{c_custkey} rdf:type geosp:Geometry
+    res:Polygon-{c_custkey} geosp:asGeoJSON lit:{ring}
+    res:Measurement-{c_custkey}-GrossFloorArea rdf:type saref:Measurement
+    res:Measurement-{c_custkey}-GrossFloorArea saref:hasValue lit:{floors}
+    res:Measurement-{c_custkey}-GrossFloorArea saref:isMeasuredIn unit:M2
+    res:Measurement-{c_custkey}-GrossFloorArea saref:relatesToProperty old:GrossFloorArea
+    res:Measurement-{c_custkey}-BuiltUpLandArea rdf:type saref:Measurement
+    res:Measurement-{c_custkey}-BuiltUpLandArea saref:hasValue lit:0.25
+    res:Measurement-{c_custkey}-BuiltUpLandArea saref:isMeasuredIn unit:M2
+    res:Measurement-{c_custkey}-BuiltUpLandArea saref:relatesToProperty old:BuiltUpLandArea"""
+_ZONE_FACTS = """
+    res:PostalCodes-{zone} rdf:type gn:PostalCode
+    res:PostalCodes-{zone} geosp:sfContains res:Building-{c_custkey}
+    res:CensusTract-{zone} rdf:type gn:parentADM5
+    res:CensusTract-{zone} geosp:sfContains res:Building-{c_custkey}
+    res:Neighbourhood-{zone} rdf:type city:Neighbourhood
+    res:Neighbourhood-{zone} geosp:sfContains res:Building-{c_custkey}"""
+
+
 @query("harmonise_buildings", f"""
     with {_PLACED_SQL}
-    select z || zone as s, 'sfContains' as p, '{RES}Building-' || c_custkey as o
-    from placed, (values ('{RES}Neighbourhood-'), ('{RES}CensusTract-'), ('{RES}PostalCodes-')) v(z) where zone < 24
-    union all select '{RES}Building-' || c_custkey, 'state', 'Functional' from inside
-    union all select '{RES}Building-' || c_custkey, 'mainUse', 'Home' from inside where c_mktsegment = 'HOUSEHOLD'
-    union all select '{RES}Measurement-' || c_custkey || '-BuiltUpLandArea', 'relatesToProperty', 'http://bigg-project.eu/ontology#BuiltUpLandArea' from inside
-    union all select '{RES}Measurement-' || c_custkey || '-GrossFloorArea', 'relatesToProperty', 'http://bigg-project.eu/ontology#GrossFloorArea' from inside
-    union all select '{RES}Measurement-' || c_custkey || '-BuiltUpLandArea', 'hasValue', '0.25' from inside
-    union all select '{RES}Measurement-' || c_custkey || '-GrossFloorArea', 'hasValue', c_acctbal::varchar from inside join customer using (c_custkey)
-    union all select '{RES}Point-' || c_custkey, 'asGeoJSON', x::double || ' ' || y::double from inside""")
+    {stated('select * from inside', _BUILDING_FACTS)}
+    union all {stated('select * from placed where zone < 24', _ZONE_FACTS)}
+    union all {stated("select * from inside where c_mktsegment = 'HOUSEHOLD'", 'res:Building-{c_custkey} old:mainUse lit:Home')}""")
 def harmonise_buildings(t):
     features = _building_features(t)
     household = F.col("properties.currentUse") == "HOUSEHOLD"
-    made = sources.buildings(
+    return sources.buildings(
         [features.where(household), features.where(~household)], _city_area(t), _named_zones(t), _square_zones(t, "n_nationkey", "MUNDISSEC"),
         _square_zones(t, "n_nationkey", "CODPOS"), {
             "conditionOfConstruction": _taxonomy(t, [("functional", "Functional")]), "mainUse": _taxonomy(t, [("HOUSEHOLD", "Home")]),
-            "officialAreaReference": _taxonomy(t, [("grossFloorArea", "GrossFloorArea")])}, 50.0)
-    name = F.substring_index(F.substring_index("p", "#", -1), "/", -1)
-    wanted = name.isin("sfContains", "state", "mainUse", "relatesToProperty", "hasValue") | (
-        (name == "asGeoJSON") & F.col("s").startswith(f"{RES}Point"))
-    return made.triples.where(wanted).select("s", name.alias("p"), "o")
+            "officialAreaReference": _taxonomy(t, [("grossFloorArea", "GrossFloorArea")])}, 50.0).triples
 
 
 def _city_area(t) -> DataFrame:
@@ -451,30 +486,39 @@ def _named_zones(t) -> DataFrame:
     return zones.withColumn("nom_barri", F.concat(F.lit("zone "), "codi_barri"))
 
 
-@query("harmonise_building_spaces", f"""
-    with {_PLACED_SQL}, s as (select *, c_custkey || '_part1' as id from inside)
-    select '{RES}Building-' || c_custkey as s, 'hasSpace' as p, '{RES}InspireBuildingSpace-' || id as o from s
-    union all select '{RES}InspireBuildingSpace-' || id, 'cadastralLocalId', id from s
-    union all select '{RES}InspireBuildingSpace-' || id, 'numberOfFloorsAboveGround', '3' from s
-    union all select '{RES}InspireBuildingSpace-' || id, 'numberOfFloorsBelowGround', '1' from s
-    union all select '{RES}InspireBuildingSpace-' || id, 'hasArea', '{RES}Measurement-' || id || '-BuiltUpLandArea' from s
-    union all select '{RES}InspireBuildingSpace-' || id, 'hasGeometry', '{RES}' || unnest(['Point-', 'Polygon-']) || id from s
-    union all select '{RES}Measurement-' || id || '-BuiltUpLandArea', 'hasValue', '0.25' from s""")
+@query("harmonise_building_spaces", f"with {_PLACED_SQL} {stated('select * from inside', """
+    res:Building-{c_custkey} rdf:type bldg:Building
+    res:Building-{c_custkey} bldg:hasSpace res:InspireBuildingSpace-{id}
+    res:InspireBuildingSpace-{id} rdf:type old:InspireBuildingSpace
+    res:InspireBuildingSpace-{id} old:cadastralLocalId lit:{id}
+    res:InspireBuildingSpace-{id} old:numberOfFloorsAboveGround lit:3
+    res:InspireBuildingSpace-{id} old:numberOfFloorsBelowGround lit:1
+    res:InspireBuildingSpace-{id} geosp:hasArea res:Measurement-{id}-BuiltUpLandArea
+    res:InspireBuildingSpace-{id} geosp:hasGeometry res:Point-{id}
+    res:InspireBuildingSpace-{id} geosp:hasGeometry res:Polygon-{id}
+    res:Point-{id} rdf:type geo:Point
+    res:Point-{id} geosp:asGeoJSON lit:{xy}
+    res:Polygon-{id} rdf:type geosp:Geometry
+    res:Polygon-{id} geosp:asGeoJSON lit:{ring}
+    res:Measurement-{id}-BuiltUpLandArea rdf:type saref:Measurement
+    res:Measurement-{id}-BuiltUpLandArea saref:hasValue lit:0.25
+    res:Measurement-{id}-BuiltUpLandArea saref:isMeasuredIn unit:M2
+    res:Measurement-{id}-BuiltUpLandArea saref:relatesToProperty old:BuiltUpLandArea""")}")
 def harmonise_building_spaces(t):
-    made = sources.building_spaces([_building_features(t)], _city_area(t), 50.0)
-    name = F.substring_index(F.substring_index("p", "#", -1), "/", -1)
-    return made.triples.where(~name.isin("type", "isMeasuredIn", "relatesToProperty", "asGeoJSON")).select("s", name.alias("p"), "o")
-
-
-@query("harmonise_addresses", f"""
-    with {_PLACED_SQL}, a as (select c_custkey, c_nationkey, x, y from inside join customer using (c_custkey) where c_nationkey <> 3 and y < 500)
-    select '{RES}Building-' || c_custkey as s, 'hasAddress' as p, '{RES}Address-' || c_custkey as o from a
-    union all select '{RES}Address-' || c_custkey, 'addressId', c_custkey::varchar from a
-    union all select '{RES}Address-' || c_custkey, 'specification', 'Entrance' from a
-    union all select '{RES}Address-' || c_custkey, 'streetNumber', '12' from a
-    union all select '{RES}Address-' || c_custkey, 'streetName', 'NATION_' || c_nationkey from a
-    union all select '{RES}Address-' || c_custkey, 'hasGeo', '{RES}Point-P' || c_custkey from a
-    union all select '{RES}Point-P' || c_custkey, 'asGeoJSON', x::double || ' ' || y::double from a""")
+    return sources.building_spaces([_building_features(t)], _city_area(t), 50.0).triples
+
+
+@query("harmonise_addresses", f"with {_PLACED_SQL} {stated('select * from inside where c_nationkey <> 3 and y < 500', """
+    res:Building-{c_custkey} rdf:type bldg:Building
+    res:Building-{c_custkey} vcard:hasAddress res:Address-{c_custkey}
+    res:Address-{c_custkey} rdf:type vcard:Address
+    res:Address-{c_custkey} bigg:addressId lit:{c_custkey}
+    res:Address-{c_custkey} bigg:specification lit:Entrance
+    res:Address-{c_custkey} bigg:streetNumber lit:12
+    res:Address-{c_custkey} bigg:streetName lit:NATION_{c_nationkey}
+    res:Address-{c_custkey} vcard:hasGeo res:Point-P{c_custkey}
+    res:Point-P{c_custkey} rdf:type geo:Point
+    res:Point-P{c_custkey} geosp:asGeoJSON lit:{xy}""")}")
 def harmonise_addresses(t):
     x, y = (F.col("c_custkey") * 37 % 499 + 0.5), (F.col("c_custkey") * 91 % 599 + 0.5)
     features = t.customer.select(
@@ -484,9 +528,7 @@ def harmonise_addresses(t):
         F.struct(F.lit("Point").alias("type"), F.to_json(F.array(x, y)).alias("coordinates")).alias("geometry"))
     streets = t.nation.where("n_nationkey <> 3").select(
         F.concat(F.lit("ES.SDGC.TN.08.900."), "n_nationkey").alias("gml_id"), F.col("n_name").alias("text"))
-    made = sources.addresses([features], _city_area(t), streets, _taxonomy(t, [("Entrance", "Entrance")]), 50.0)
-    name = F.substring_index(F.substring_index("p", "#", -1), "/", -1)
-    return made.triples.where(name != "type").select("s", name.alias("p"), "o")
+    return sources.addresses([features], _city_area(t), streets, _taxonomy(t, [("Entrance", "Entrance")]), 50.0).triples
 
 
 @query("harmonise_boundaries", f"""

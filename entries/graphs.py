@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from entries.registry import query
 from urbanweave.operators import graph, mapping
 from urbanweave.plans.mappings import document, shape
+from urbanweave.session import scratch_path
+from urbanweave.sources import graph_store
 
 _EDGES_SQL = """
     edges as (
@@ -72,7 +74,9 @@ _SUPPLY = """
 @query("link_contracts", f"""
     with {_SUPPLY}, hit as (select point, c_mktsegment from e join nation on n_nationkey = c_nationkey where n_regionkey = 1 and utility = 'power')
     select point as src, 'contracted' as rel, point || '_tariff' as dst from hit where c_mktsegment <> 'MACHINERY'
-    union all select point || '_tariff', 'tariff', 't#default' from hit""")
+    union all select point || '_tariff', 'tariff', 't#default' from hit
+    union all select point || '_tariff', unnest(['label', 'contractName', 'contractStartDate']),
+                     unnest(['ContractedTariff', 'electricdefault', '2000-01-01T00:00:00.000+0100']) from hit""")
 def link_contracts(t):
     def link(df, a, rel, b):
         return df.select(a.alias("src"), F.lit(rel).alias("rel"), b.alias("dst"))
@@ -89,30 +93,38 @@ def link_contracts(t):
     )
     names = {k: k for k in ("sub", "manages", "space", "point", "utility", "contracted", "tariff")}
     top = t.region.where("r_regionkey = 1").select(F.concat(F.lit("r#"), "r_regionkey").alias("root"))
-    return graph.link_contracts(edges, top, "power", "electricdefault", "t#default", names)[1]
+    nodes, new = graph.link_contracts(edges, top, "power", "electricdefault", "t#default", names)
+    return new.unionByName(_listed(nodes))
+
+
+def _listed(nodes: DataFrame) -> DataFrame:
+    """Labels and values of nodes as rows ``(src, rel, dst)``."""
+    labels = nodes.select(F.col("uri").alias("src"), F.lit("label").alias("rel"), F.explode("labels").alias("dst"))
+    values = nodes.select("uri", F.explode("props").alias("rel", "values")).select(F.col("uri").alias("src"), "rel", F.explode("values").alias("dst"))
+    return labels.unionByName(values)
 
 
 @query("expand_generic_entities", """
-    with d as (select 'https://org#D' || c_custkey as uri, c_name as name, c_custkey as id from customer), ns as (select 'https://org#' as ns)
-    select src, rel, dst from (
-      select unnest([uri, ns || 'ORGANIZATION-FE' || id, ns || 'BUILDING-FE' || id, ns || 'LOCATION-FE' || id, ns || 'BUILDING-FE' || id,
-                     ns || 'BUILDINGSPACE-FE' || id, ns || 'AREA-GrossFloorArea-generic-FE' || id, ns || 'BUILDINGSPACE-FE' || id]) as src,
-             unnest(['hasSubOrganization', 'managesBuilding', 'hasLocationInfo', 'hasAddressCity', 'hasSpace', 'hasArea',
-                     'hasAreaUnitOfMeasurement', 'isAssociatedWithElement']) as rel,
-             unnest([ns || 'ORGANIZATION-FE' || id, ns || 'BUILDING-FE' || id, ns || 'LOCATION-FE' || id, 'geo#1', ns || 'BUILDINGSPACE-FE' || id,
-                     ns || 'AREA-GrossFloorArea-generic-FE' || id, 'unit#M2', ns || 'ELEMENT-FE' || id]) as dst from d, ns)
+    with d as (select 'https://org#D' || c_custkey as uri, nullif(c_name, 'Customer#000000007') as name, c_custkey as id from customer), ns as (select 'https://org#' as ns),
+    n as (select uri, name, id, ns || 'ORGANIZATION-FE' || id as org, ns || 'BUILDING-FE' || id as building, ns || 'LOCATION-FE' || id as place, ns || 'BUILDINGSPACE-FE' || id as space,
+                 ns || 'AREA-GrossFloorArea-generic-FE' || id as area, ns || 'ELEMENT-FE' || id as element from d, ns)
+    select src, rel, dst, selected from (
+      select unnest([uri, org, building, place, building, space, area, space]) as src,
+             unnest(['hasSubOrganization', 'managesBuilding', 'hasLocationInfo', 'hasAddressCity', 'hasSpace', 'hasArea', 'hasAreaUnitOfMeasurement', 'isAssociatedWithElement']) as rel,
+             unnest([org, building, place, 'geo#1', space, area, 'unit#M2', element]) as dst, unnest([false, false, false, true, false, true, false, false]) as selected from n)
     union all
-    select unnest([ns || 'ORGANIZATION-FE' || id, ns || 'BUILDING-FE' || id, ns || 'BUILDINGSPACE-FE' || id,
-                   ns || 'AREA-GrossFloorArea-generic-FE' || id, ns || 'ELEMENT-FE' || id, ns || 'ELEMENT-FE' || id, ns || 'LOCATION-FE' || id]),
-           unnest(['Organization organizationName', 'Building buildingName', 'BuildingSpace buildingSpaceName', 'Area areaValue',
-                   'BuildingElement', 'BuildingConstructionElement', 'LocationInfo addressPostalCode']),
-           unnest(['Generic(' || name || ')', 'Generic(' || name || ')', 'Building', '0', null, null, '0000']) from d, ns""")
+    select src, rel, dst, null from (
+      select unnest([org, org, org, org, building, building, building, building, space, space, space, area, area, area, element, element, element, place, place, place, place, place]) as src,
+             unnest(['label', 'organizationName', 'organizationDivisionType', 'generic', 'label', 'buildingIDFromOrganization', 'buildingName', 'generic', 'label', 'buildingSpaceName', 'generic',
+                     'label', 'areaValue', 'generic', 'label', 'label', 'generic', 'label', 'addressPostalCode', 'addressStreetName', 'addressStreetNumber', 'generic']) as rel,
+             unnest(['Organization', 'Generic(' || name || ')', 'Building', '1', 'Building', 'FE' || id, 'Generic(' || name || ')', '1', 'BuildingSpace', 'Building', '1',
+                     'Area', '0', '1', 'BuildingElement', 'BuildingConstructionElement', '1', 'LocationInfo', '0000', 'generic', '0', '1']) as dst from n)
+    where dst is not null""")
 def expand_generic_entities(t):
-    departments = t.customer.select(F.concat(F.lit("https://org#D"), "c_custkey").alias("uri"), "c_name", "c_custkey")
+    departments = t.customer.select(F.concat(F.lit("https://org#D"), "c_custkey").alias("uri"), F.nullif("c_name", F.lit("Customer#000000007")).alias("c_name"), "c_custkey")
     nodes, edges = graph.expand_generic_entities(departments, "uri", "c_name", "c_custkey", "https://org#",
                                                  {"city": "geo#1", "unit": "unit#M2"})
-    return edges.unionByName(nodes.select(
-        F.col("uri").alias("src"), F.concat_ws(" ", "label", "property").alias("rel"), F.col("value").alias("dst")))
+    return edges.unionByName(_listed(nodes), allowMissingColumns=True)
 
 
 RES, CORE = "https://city.example#", "https://saref.etsi.org/core/"
@@ -244,11 +256,29 @@ def merge_nodes(t):
         F.array_join(F.col("props")[f"{CORE}name"], " | ").alias("name"))
 
 
-@query("triples_to_graph", f"""
-    with {_CITY_SQL}
-    select p as rel, count(*) as n from triples where o_kind = 'iri' and p <> '{TYPE}' group by 1
-    union all select 'nodes', count(distinct s) from triples""")
+_GRAPH_SQL = f"""
+    select s as src, p as rel, o as dst from triples where o_kind = 'iri' and p <> '{TYPE}'
+    union all select s, 'label', o from triples where p = '{TYPE}'
+    union all select s, p, o from triples where p = 'http://www.geonames.org/ontology#officialName'
+    union all select s, p, max(o) from triples where o_kind = 'literal' and p <> 'http://www.geonames.org/ontology#officialName' group by s, p"""
+
+
+@query("triples_to_graph", f"with {_CITY_SQL} {_GRAPH_SQL}")
 def triples_to_graph(t):
     nodes, edges = graph.triples_to_graph(_city(t))
-    return edges.groupBy("rel").agg(F.count(F.lit(1)).alias("n")).unionByName(
-        nodes.agg(F.count(F.lit(1)).alias("n")).select(F.lit("nodes").alias("rel"), "n"))
+    return edges.unionByName(_listed(nodes))
+
+
+@query("load_graph", f"""
+    with {_CITY_SQL.replace('also ', 'later ')} {_GRAPH_SQL}
+    union all select '{RES}Nation-' || n_nationkey, 'http://www.geonames.org/ontology#officialName', 'also ' || n_name from nation
+    union all select 'versions', v, n from (values ('first', '1'), ('again', '1'), ('second', '2')) x(v, n)""")
+def load_graph(t):
+    """Two sources in one stored graph, the first of them twice: lists are united, single values are those of the last load."""
+    root = scratch_path(t.spark, "graph")
+    first = _city(t)
+    second = mapping.apply_mapping({"suppliers": t.supplier.limit(0), "nations": t.nation.withColumn("alias", F.concat(F.lit("later "), "n_name"))}, document(_CITY_MAPS))
+    loads = [(name, str(graph_store.load_graph(source, root))) for name, source in (("first", first), ("again", first), ("second", second))]
+    nodes, edges = graph_store.read_graph(t.spark, root)
+    versions = t.spark.createDataFrame([("versions", *load) for load in loads], "src string, rel string, dst string")
+    return edges.unionByName(_listed(nodes)).unionByName(versions)

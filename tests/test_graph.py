@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from urbanweave.operators import graph, mapping
 from urbanweave.plans import mappings as M
+from urbanweave.sources import graph_store
 
 
 def edges(spark, items):
@@ -35,7 +36,27 @@ def test_generic_entities(spark):
     deps = spark.createDataFrame([("d#1", "Dep", 7)], "uri string, name string, id int")
     nodes, links = graph.expand_generic_entities(deps, "uri", "name", "id", "https://o#", {"city": "c", "province": "p", "unit": "u", "area_type": "t", "use_type": "x"})
     assert links.count() == 11 and nodes.select("uri").distinct().count() == 6
-    assert {(r.label, r.value) for r in nodes.collect()} >= {("Organization", "Generic(Dep)"), ("Building", "Generic(Dep)"), ("LocationInfo", "0000")}
+    assert {r.rel for r in links.collect() if r.selected} == {"hasAddressCity", "hasAddressProvince", "hasArea", "hasBuildingSpaceUseType"}
+    made = {r.uri: (r.labels, {k: v[0] for k, v in r.props.items()}) for r in nodes.collect()}
+    assert made["https://o#ORGANIZATION-FE7"] == (["Organization"], {"organizationName": "Generic(Dep)", "organizationDivisionType": "Building", "generic": "1"})
+    assert made["https://o#BUILDING-FE7"] == (["Building"], {"buildingIDFromOrganization": "FE7", "buildingName": "Generic(Dep)", "generic": "1"})
+    assert made["https://o#LOCATION-FE7"][1] == {"addressPostalCode": "0000", "addressStreetName": "generic", "addressStreetNumber": "0", "generic": "1"}
+    assert made["https://o#ELEMENT-FE7"] == (["BuildingElement", "BuildingConstructionElement"], {"generic": "1"})
+
+
+def test_stored_graph(spark, tmp_path):
+    kinds = "s string, p string, o string, o_kind string, language string"
+    first = [("u", graph.RDF_TYPE, "A", "iri", None), ("u", "name", "x", "literal", None), ("u", graph.LIST_PREDICATES[2], "l", "literal", "en"), ("u", "to", "v", "iri", None)]
+    second = [("u", graph.RDF_TYPE, "B", "iri", None), ("u", "name", "y", "literal", "ca"), ("u", graph.LIST_PREDICATES[2], "l", "literal", "ca"), ("u", "to", "w", "iri", None),
+              ("_:b", "name", "n", "literal", None)]
+    load = lambda rows: graph_store.load_graph(spark.createDataFrame(rows, kinds), str(tmp_path))
+    assert [load(first), load(first), load(second), load(second), load(first[1:2]), load([])] == [1, 1, 2, 2, 3, 3]
+    nodes, edges = graph_store.read_graph(spark, str(tmp_path))
+    got = {r.uri: (sorted(r.labels), {k: sorted(v) for k, v in r.props.items()}) for r in nodes.collect()}
+    assert got == {"u": (["A", "B"], {"name": ["x"], graph.LIST_PREDICATES[2]: ["l@ca", "l@en"]}), "_:b": ([], {"name": ["n"]})}
+    assert sorted(r.dst for r in edges.collect()) == ["v", "w"]
+    before = graph_store.read_graph(spark, str(tmp_path), version=2)[0].where("uri = 'u'").first()
+    assert before.props["name"] == ["y@ca"]
 
 
 def test_template_rules(spark):

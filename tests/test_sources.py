@@ -132,7 +132,10 @@ def test_stream_equals_batch_and_survives_replay(spark, tmp_path):
     again = router.read_upserted(spark, f"{tmp_path}/table", schema, ["k"], ["n"])
     assert {r.k: r.n for r in again.collect()} == first | {"0": 101}
     assert spark.read.parquet(f"{tmp_path}/table").count() > 5
+    planned = router.read_upserted(spark, f"{tmp_path}/table", schema, ["k"])
     table = router.compact_upserted(spark, f"{tmp_path}/table", schema, ["k"], ["n"])
+    assert {r.k: r.n for r in planned.collect()} == first | {"0": 101}  # its files are still there
+    assert router.clean_upserted(spark, table, 3600) == [] and router.clean_upserted(spark, table, -10)
     assert spark.read.parquet(table).count() == 5
     newer = spark.range(200, 201).select("id", F.lit("s").alias("source"), F.lit("3").alias("v"))
     envelopes(spark, newer).select(F.col("message").alias("value")).coalesce(1).write.mode("append").text(f"{tmp_path}/in")
@@ -153,6 +156,36 @@ def test_two_streams_share_a_table(spark, tmp_path):
     assert {r.k: r.n for r in router.read_upserted(spark, f"{tmp_path}/table", schema, ["k"]).collect()} == {"a": 1, "b": 5, "c": 3}
 
 
+def test_versions_order_the_writes_of_streams(spark, tmp_path, monkeypatch):
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType())])
+    table = f"{tmp_path}/table"
+    log = router._log(spark, table)
+
+    def put(name, *rows):
+        folder = f"{table}/stream_id={name}/batch_id=0"
+        spark.createDataFrame(rows, schema).write.parquet(folder)
+        log.commit(log.snapshot(), {folder: {"stream": name, "batch": 0}})
+
+    read = lambda version=None: {r.k: r.n for r in router.read_upserted(spark, table, schema, ["k"], version=version).collect()}
+    assert router.read_upserted(spark, table, schema, ["k"]).count() == 0
+    put("z", ("a", 1), ("b", 1))
+    put("a", ("a", 2))
+    versions = router._versions
+
+    def meanwhile(*given):  # a batch and another compaction are published while this one reads
+        monkeypatch.setattr(router, "_versions", versions)
+        rows = versions(*given)
+        put("m", ("b", 9))
+        router.compact_upserted(spark, table, schema, ["k"])
+        return rows
+
+    monkeypatch.setattr(router, "_versions", meanwhile)
+    router.compact_upserted(spark, table, schema, ["k"])
+    assert read() == {"a": 2, "b": 9} and read(1) == {"a": 1, "b": 1} and read(2) == {"a": 2, "b": 1}
+    assert len(log.snapshot().folders) == 1
+    assert router._published(log.snapshot(), "", "m", 0) and not router._published(log.snapshot(), "", "m", 1)
+
+
 def test_dual_layout_appends_only_new_rows(spark, tmp_path):
     rows = spark.createDataFrame([(1, "d", 10, 20, True, 1.0)], "bucket int, device string, start long, end long, isReal boolean, value double")
     store.write_dual_layout(rows, str(tmp_path), "p", "PT1H", "u")

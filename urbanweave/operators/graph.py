@@ -91,7 +91,7 @@ def merge_if_absent(targets: DataFrame, edges: DataFrame, rel: str, make: Column
 
 
 def link_contracts(edges: DataFrame, organisation: DataFrame, utility: str, contract: str, tariff: str,
-                   vocabulary: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+                   vocabulary: dict[str, str], start: str = "2000-01-01T00:00:00.000+0100") -> tuple[DataFrame, DataFrame]:
     """Tariff contracts for every supply point of a utility below an organisation: (nodes, new edges).
 
     ``vocabulary`` names the relations ``sub, manages, space, point, utility, contracted, tariff``.
@@ -105,60 +105,61 @@ def link_contracts(edges: DataFrame, organisation: DataFrame, utility: str, cont
     contracts = points.select(F.concat("uri", F.lit("_tariff")).alias("uri"))
     to_tariff = merge_if_absent(contracts, edges, vocabulary["tariff"], F.lit(tariff))
     nodes = contracts.select("uri", F.array(F.lit("ContractedTariff")).alias("labels"),
-                             F.create_map(F.lit("contractName"), F.array(F.lit(contract))).alias("props"))
+                             F.create_map(F.lit("contractName"), F.array(F.lit(contract)), F.lit("contractStartDate"), F.array(F.lit(start))).alias("props"))
     return nodes, to_contract.unionByName(to_tariff)
 
 
-# What a generic building under a department consists of: name, labels, URI stem, name property.
+# What a generic building under a department consists of: labels, URI stem, properties besides the mark ``generic``.
 GENERIC_NODES = {
-    "organisation": (("Organization",), "ORGANIZATION-FE", ("organizationName", "Generic({name})")),
-    "building": (("Building",), "BUILDING-FE", ("buildingName", "Generic({name})")),
-    "space": (("BuildingSpace",), "BUILDINGSPACE-FE", ("buildingSpaceName", "Building")),
-    "area": (("Area",), "AREA-GrossFloorArea-generic-FE", ("areaValue", "0")),
-    "element": (("BuildingElement", "BuildingConstructionElement"), "ELEMENT-FE", None),
-    "location": (("LocationInfo",), "LOCATION-FE", ("addressPostalCode", "0000")),
+    "organisation": (("Organization",), "ORGANIZATION-FE", {"organizationName": "Generic({name})", "organizationDivisionType": "Building"}),
+    "building": (("Building",), "BUILDING-FE", {"buildingIDFromOrganization": "FE{number}", "buildingName": "Generic({name})"}),
+    "space": (("BuildingSpace",), "BUILDINGSPACE-FE", {"buildingSpaceName": "Building"}),
+    "area": (("Area",), "AREA-GrossFloorArea-generic-FE", {"areaValue": "0"}),
+    "element": (("BuildingElement", "BuildingConstructionElement"), "ELEMENT-FE", {}),
+    "location": (("LocationInfo",), "LOCATION-FE", {"addressPostalCode": "0000", "addressStreetName": "generic", "addressStreetNumber": "0"}),
 }
-# Edges between them; "department" is the starting node, other ends are given by the caller.
+# Edges between them, and whether they are marked ``selected``; "department" is the starting node, other ends are given by the caller.
 GENERIC_EDGES = (
-    ("department", "hasSubOrganization", "organisation"),
-    ("organisation", "managesBuilding", "building"),
-    ("building", "hasLocationInfo", "location"),
-    ("location", "hasAddressCity", "city"),
-    ("location", "hasAddressProvince", "province"),
-    ("building", "hasSpace", "space"),
-    ("space", "hasArea", "area"),
-    ("area", "hasAreaUnitOfMeasurement", "unit"),
-    ("area", "hasAreaType", "area_type"),
-    ("space", "isAssociatedWithElement", "element"),
-    ("space", "hasBuildingSpaceUseType", "use_type"),
+    ("department", "hasSubOrganization", "organisation", False),
+    ("organisation", "managesBuilding", "building", False),
+    ("building", "hasLocationInfo", "location", False),
+    ("location", "hasAddressCity", "city", True),
+    ("location", "hasAddressProvince", "province", True),
+    ("building", "hasSpace", "space", False),
+    ("space", "hasArea", "area", True),
+    ("area", "hasAreaUnitOfMeasurement", "unit", False),
+    ("area", "hasAreaType", "area_type", False),
+    ("space", "isAssociatedWithElement", "element", False),
+    ("space", "hasBuildingSpaceUseType", "use_type", True),
 )
 
 
 def expand_generic_entities(departments: DataFrame, uri: str, name: str, number: str, namespace: str,
                             ends: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Generic building of each department: ``nodes(uri, label, property, value)`` and ``edges(src, rel, dst)``.
+    """Generic building of each department: ``nodes(uri, labels, props)`` and ``edges(src, rel, dst, selected)``.
 
-    ``ends`` gives the URIs of ``city, province, unit, area_type, use_type``; edges to a missing end are left out.
+    ``ends`` gives the URIs of ``city, province, unit, area_type, use_type``; edges to a missing end are left out. Properties are
+    texts; a department without name has generic nodes without names.
     """
-    made = {
-        key: F.concat(F.lit(namespace + stem), F.col(number).cast("string"))
-        for key, (_, stem, _) in GENERIC_NODES.items()
-    }
+    made = {key: F.concat(F.lit(namespace + stem), F.col(number).cast("string")) for key, (_, stem, _) in GENERIC_NODES.items()}
+    filled = {"{name}": F.col(name), "{number}": F.col(number).cast("string")}
+
+    def text(form: str) -> Column:
+        for mark, column in filled.items():
+            head, found, tail = form.partition(mark)
+            if found:
+                return F.concat(F.lit(head), column, F.lit(tail))
+        return F.lit(form)
+
     node_rows = []
-    for key, (labels, _, prop) in GENERIC_NODES.items():
-        text = F.lit(None).cast("string")
-        if prop:
-            head, brace, tail = prop[1].partition("{name}")
-            text = F.concat(F.lit(head), F.col(name), F.lit(tail)) if brace else F.lit(prop[1])
-        for label in labels:
-            node_rows.append(F.struct(
-                made[key].alias("uri"), F.lit(label).alias("label"),
-                F.lit(prop[0] if prop else None).cast("string").alias("property"), text.alias("value"),
-            ))
+    for key, (labels, _, properties) in GENERIC_NODES.items():
+        entries = [F.struct(F.lit(p).alias("key"), F.array(text(form)).alias("value")) for p, form in {**properties, "generic": "1"}.items()]
+        props = F.map_from_entries(F.filter(F.array(*entries), lambda e: F.element_at(e["value"], 1).isNotNull()))
+        node_rows.append(F.struct(made[key].alias("uri"), F.array(*[F.lit(x) for x in labels]).alias("labels"), props.alias("props")))
     at = {"department": F.col(uri), **made, **{key: F.lit(value) for key, value in ends.items()}}
     edge_rows = [
-        F.struct(at[a].alias("src"), F.lit(rel).alias("rel"), at[b].alias("dst"))
-        for a, rel, b in GENERIC_EDGES if b in at
+        F.struct(at[a].alias("src"), F.lit(rel).alias("rel"), at[b].alias("dst"), F.lit(selected).alias("selected"))
+        for a, rel, b, selected in GENERIC_EDGES if b in at
     ]
     nodes = departments.select(F.inline(F.array(*node_rows)))
     return nodes, departments.select(F.inline(F.array(*edge_rows)))
