@@ -1,5 +1,6 @@
 import glob
 import json
+import random
 from datetime import date, datetime
 
 import pandas as pd
@@ -44,6 +45,37 @@ def test_feature_collections_and_lines(spark, tmp_path):
         assert [json.loads(r.geometry.coordinates)[0][1] for r in got] == [[1, 0], [2, 0]]
 
 
+def test_large_collections_are_split(spark, tmp_path):
+    rnd = random.Random(5)
+    odd = ['{"a', 'x}', '\\', '"', '\\"}', 'é{}"', '}{', '', 'type":"Feature"', '\\\\']
+    made = []
+    for k in range(300):
+        ring = [[rnd.random(), k], [k, 1]] * rnd.choice([1, 2, 60])
+        properties = {"id": k, "name": rnd.choice(odd) * rnd.randint(0, 9), "more": {"deep": [{"x": "}"}]}}
+        body = {"type": "Feature", "properties": properties, "geometry": {"type": "Polygon", "coordinates": [ring]}}
+        made.append(dict(rnd.sample(list(body.items()), 3)))
+    whole = {"type": "FeatureCollection", "name": 'a "quoted" {name', "crs": {"type": "name", "properties": {"name": "x"}}, "features": made}
+    (tmp_path / "all").mkdir()
+    (tmp_path / "all" / "one.json").write_text(json.dumps(whole, ensure_ascii=False))
+    (tmp_path / "all" / "two.json").write_text(json.dumps({**whole, "features": made[:7]}, indent=1))
+    (tmp_path / "all" / "none.json").write_text('{"type": "FeatureCollection", "features": []}\n')
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())])
+    feature = T.StructType([T.StructField("type", T.StringType()), T.StructField("properties", schema),
+                            T.StructField("geometry", T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())]))])
+    plain = spark.read.schema(T.StructType([T.StructField("features", T.ArrayType(feature))])).option("multiLine", True).json(f"{tmp_path}/all").select(
+        F.explode("features").alias("f")).select("f.properties", "f.geometry")
+    listed = lambda df: sorted((r.properties.id, r.properties.name, r.geometry.type, str(json.loads(r.geometry.coordinates))) for r in df.collect())
+    want = listed(plain)
+    assert len(want) == 307
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for size in ("2000", "1000000"):  # splits shorter than some features, and longer
+        for key in before:
+            spark.conf.set(key, size)
+        assert listed(files.scan_geojson(spark, f"{tmp_path}/all", schema)) == want
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
 # ---------------------------------------------------------------- stores
 
 def test_dual_layout_prunes_buckets_and_is_sorted(spark, tmp_path):

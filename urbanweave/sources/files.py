@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from urbanweave.functions.geometry import parse_parts, parse_point
 from urbanweave.operators.reshape import quoted, union_by_name
+from urbanweave.session import cut_lineage
 
 
 def scan_delimited(spark: SparkSession, path: str, names: Sequence[str], sep: str = "\t",
@@ -65,10 +67,11 @@ def _as_path(uri: str) -> str:
 
 
 def scan_geojson(spark: SparkSession, path: str, properties: T.StructType, lines: bool = False) -> DataFrame:
-    """One row per feature: ``properties`` (struct), ``geometry(type, coordinates)`` with coordinates as JSON text.
+    """One row per feature: ``properties`` (struct), ``geometry(type, coordinates)`` with coordinates as JSON text, without blanks
+    unless read by lines.
 
-    ``lines=True`` reads newline-delimited features, which split over tasks; a FeatureCollection is one
-    JSON value and is read by one task per file.
+    ``lines=True`` reads newline-delimited features. Else files are FeatureCollections, and a large one is read by many tasks: see
+    :func:`split_features`. Objects of a collection that aren't of type ``Feature`` are passed over.
     """
     feature = T.StructType([
         T.StructField("type", T.StringType()),
@@ -77,13 +80,129 @@ def scan_geojson(spark: SparkSession, path: str, properties: T.StructType, lines
             T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType()),
         ])),
     ])
-    reader = spark.read.option("recursiveFileLookup", True)
     if lines:
-        return reader.schema(feature).json(path).select("properties", "geometry")
-    whole = T.StructType([T.StructField("features", T.ArrayType(feature))])
-    return reader.schema(whole).option("multiLine", True).json(path).select(
-        F.explode("features").alias("feature")
-    ).select("feature.properties", "feature.geometry")
+        return spark.read.option("recursiveFileLookup", True).schema(feature).json(path).select("properties", "geometry")
+    parsed = split_features(spark, path).select(F.from_json("feature", feature).alias("f")).where("f.type = 'Feature'")
+    return parsed.select("f.properties", "f.geometry")
+
+
+#: What matters to the nesting of JSON: strings, one that isn't closed yet, and braces; and the rest of a string.
+_JSON_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*(?:"|\Z)|[{}]', re.S)
+_JSON_REST = re.compile(r'(?:[^"\\]|\\.)*"', re.S)
+#: Parts of a feature: all of it, its beginning, its end, and what lies between.
+_WHOLE, _HEAD, _TAIL, _MIDDLE = range(4)
+
+
+class _Objects:
+    """Objects of the second level in a stretch of JSON text that begins inside a string or not, at some depth."""
+
+    def __init__(self, inside: bool, depth: int):
+        self.inside, self.depth, self.text, self.at = inside, depth, "", 0
+        self.begin: int | None = 0 if depth > 1 else None
+        self.opened = False  # here, not before
+
+    def feed(self, more: str) -> Iterator[tuple[int, str]]:
+        self.text += more
+        if self.inside:
+            rest = _JSON_REST.match(self.text, self.at)
+            if not rest:
+                return
+            self.inside, self.at = False, rest.end()
+        end = len(self.text)
+        for token in _JSON_TOKEN.finditer(self.text, self.at):
+            mark = token.group()
+            if mark == "{":
+                self.depth += 1
+                if self.depth == 2:
+                    self.begin, self.opened = token.start(), True
+            elif mark == "}":
+                self.depth -= 1
+                if self.depth == 1 and self.begin is not None:
+                    yield _WHOLE if self.opened else _TAIL, self.text[self.begin:token.end()]
+                    self.begin = None
+            elif len(mark) == 1 or mark[-1] != '"' or _open_string(mark):
+                end = token.start()
+                break
+        self.at = end
+        kept = end if self.begin is None else self.begin
+        self.text, self.at = self.text[kept:], self.at - kept
+        if self.begin is not None:
+            self.begin = 0
+
+    def rest(self) -> Iterator[tuple[int, str]]:
+        if self.begin is not None:
+            yield _HEAD if self.opened else _MIDDLE, self.text
+
+
+def _open_string(mark: str) -> bool:
+    """Whether the last quote of a string is an escaped one."""
+    body = mark[1:-1]
+    return (len(body) - len(body.rstrip("\\"))) % 2 == 1
+
+
+def split_features(spark: SparkSession, path: str) -> DataFrame:
+    """``feature``: the JSON text of every object at the second level of the files below ``path``, each file one object.
+
+    Files are read as pieces that end with a closing brace, so Spark splits them by size. Whether a split begins inside a string, and how
+    deep, follows from the quotes and braces of the splits before: a first pass counts them for both cases, running sums give
+    each split its beginning, and a second pass cuts the objects out. An object that lies across splits is put together from its parts.
+    """
+    pieces = spark.read.option("recursiveFileLookup", True).option("lineSep", "}").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, str]]:
+        """Text of consecutive pieces of one split, a batch at a time."""
+        for batch in batches:
+            keys = list(zip(*[c.to_pylist() for c in batch.columns[1:]], strict=True))
+            values, lo = batch.column(0).to_pylist(), 0
+            for hi in range(1, len(keys) + 1):
+                if hi == len(keys) or keys[hi] != keys[lo]:
+                    yield keys[lo], "}".join([*values[lo:hi], ""])
+                    lo = hi
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple, list[int]] = {}
+        for key, text in stretches(batches):
+            own = found.setdefault(key, [0, 0, 0])
+            parts = re.sub(r"\\.", "", text, flags=re.S).split('"')
+            for odd in (0, 1):  # a part is outside if the quotes before it are even, or else odd
+                outside = "".join(parts[(own[0] + odd) % 2::2])
+                own[1 + odd] += outside.count("{") - outside.count("}")
+            own[0] += len(parts) - 1
+        rows = [(*key, *own) for key, own in found.items()]
+        names = ["file", "start", "quotes", "outside", "inside"]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string() if k == 0 else pa.int64()) for k in range(5)], names=names)
+
+    counted = pieces.mapInArrow(count, "file string, start long, quotes long, outside long, inside long").groupBy("file", "start").agg(
+        *[F.sum(c).alias(c) for c in ("quotes", "outside", "inside")])  # one row a split
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    begun = counted.withColumn("in_string", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1)
+    begun = begun.withColumn("depth", F.coalesce(F.sum(F.when(F.col("in_string"), F.col("inside")).otherwise(F.col("outside"))).over(before), F.lit(0)))
+    begun = cut_lineage(begun.select(F.col("file").alias("of"), F.col("start").alias("at"), "in_string", "depth"))
+    placed = pieces.join(F.broadcast(begun), (F.col("file") == F.col("of")) & (F.col("start") == F.col("at"))).select("value", "file", "start", "in_string", "depth")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, objects = None, None
+
+        def made(rows: list[tuple[int, str]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([key[0]] * len(rows), pa.string()), pa.array([key[1]] * len(rows), pa.int64()),
+                                               pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.string())], names=["file", "start", "part", "text"])
+
+        for own, text in stretches(batches):
+            if own != key:
+                if objects:
+                    yield made(list(objects.rest()))
+                key, objects = own, _Objects(own[2], own[3])
+            yield made(list(objects.feed(text)))
+        if objects:
+            yield made(list(objects.rest()))
+
+    cut_out = cut_lineage(placed.mapInArrow(cut, "file string, start long, part int, text string"))
+    order = Window.partitionBy("file").orderBy("start", F.col("part") == _HEAD).rowsBetween(Window.unboundedPreceding, 0)
+    head = F.last(F.when(F.col("part") == _HEAD, F.col("start")), ignorenulls=True).over(order)
+    torn = cut_out.where(F.col("part") != _WHOLE).withColumn("head", head).groupBy("file", "head").agg(  # two rows a split at most
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "text"))), lambda x: x["text"]), "").alias("feature"))
+    return cut_out.where(F.col("part") == _WHOLE).select(F.col("text").alias("feature")).unionByName(torn.select("feature"))
 
 
 def with_shapes(features: DataFrame) -> DataFrame:
