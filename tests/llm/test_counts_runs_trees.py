@@ -61,7 +61,8 @@ def test_prefix_counts(spark, docs, library, part):
         for d, t in rows:
             fit = max(n for n in range(len(t or "") + 1) if len(whole[t][n]) <= budget)
             best.setdefault(str(d), []).append((fit, len(whole[t][fit])))
-        named = prefix_counts.longest_prefixes(counts, budget).join(prefix_counts.totals(counts), "row").collect()
+        named = prefix_counts.longest_prefixes(counts, budget).collect()
+        assert sorted((str(r.doc), r.n_bytes, r.n_chars, r.n_tokens) for r in named) == got
         assert sorted((str(r.doc), r.fit_chars, r.fit_tokens) for r in named) == sorted((d, *x) for d, many in best.items() for x in many)
     places = spark.createDataFrame([(1, 0), (1, 7), (1, 8), (1, 10**9), (5, 3), (16, 14), (4, -1), (99, 5)], "doc long, n_chars long")
     text = dict(r for r in rows if r[0] != 2)

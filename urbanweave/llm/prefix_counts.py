@@ -37,7 +37,7 @@ from urbanweave.llm.shared import saved
 PART = 1 << 16
 
 #: Distinct segments kept from one piece of texts to the next, the longest one kept in bytes, and pairs of tokens looked up.
-KEPT, KEPT_LENGTH, PAIRS = 1 << 18, 48, 1 << 20
+KEPT, KEPT_LENGTH, PAIRS = 1 << 18, 48, 1 << 19
 
 _NEVER = float("inf")
 
@@ -228,9 +228,8 @@ def totals(counts: DataFrame) -> DataFrame:
 
 
 def longest_prefixes(counts: DataFrame, budget: int) -> DataFrame:
-    """``(row, fit_chars, fit_tokens)``: the longest prefix of each text with at most ``budget`` tokens, in code points.
-
-    Steps are only read of parts where some prefixes are within the budget and others aren't.
+    """``(row, doc, n_bytes, n_chars, n_tokens, fit_chars, fit_tokens)``: what :func:`totals` says, and the longest prefix of each text with at
+    most ``budget`` tokens, in code points. One pass over the stored table, whose steps count only where a part has prefixes within the budget and others.
     """
     begin = F.struct(F.col("before").alias("tokens"), F.col("first").alias("at"), F.col("first").alias("fit"), F.col("before").alias("best"))
 
@@ -243,8 +242,10 @@ def longest_prefixes(counts: DataFrame, budget: int) -> DataFrame:
     read = F.aggregate("steps", begin, onward, lambda s: F.struct(s["fit"].alias("fit_chars"), s["best"].alias("fit_tokens")))
     end = F.struct((F.col("first") + F.col("size")).alias("fit_chars"), F.col("after").alias("fit_tokens"))
     found = F.when(F.col("after") <= budget, end).otherwise(read)
-    own = counts.where((F.col("least") <= budget) | (F.col("part") == 0)).select("row", found.alias("fit"))
-    return own.groupBy("row").agg(F.max("fit").alias("fit")).select("row", "fit.fit_chars", "fit.fit_tokens")
+    whole = F.struct("doc", "n_bytes", (F.col("first") + F.col("size")).alias("n_chars"), F.col("after").alias("n_tokens"))
+    fits = F.when((F.col("least") <= budget) | (F.col("part") == 0), found)
+    own = counts.select("row", "part", whole.alias("whole"), fits.alias("fit")).groupBy("row").agg(F.max("fit").alias("fit"), F.max_by("whole", "part").alias("whole"))
+    return own.select("row", "whole.*", "fit.fit_chars", "fit.fit_tokens")
 
 
 def tokens_before(counts: DataFrame, places: DataFrame) -> DataFrame:

@@ -242,7 +242,7 @@ def periodic_query(read):
 def token_count_query(read):
     counts = prefix_counts.prefix_counts(read("documents"), tokenizer_file("piece_bpe_32k.model"))
     limit = 4096
-    return prefix_counts.totals(counts).join(prefix_counts.longest_prefixes(counts, limit), "row").select(
+    return prefix_counts.longest_prefixes(counts, limit).select(
         F.col("doc").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "n_chars", "fit_chars", "fit_tokens")
 
 
