@@ -1,6 +1,6 @@
 """The sources end to end: raw tables in, triples and harmonised series out.
 
-Plans are lazy, but for the fuzzy match and for measured cadastre features: those are checkpointed in the
+Plans are lazy, but for the fuzzy match and for measured cadastre features: those are written to the
 shared folder, since points and shapes are both made from them. Where triples and series are both taken from
 a large raw input, write or persist the cleaned frame first.
 """
