@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,3 +118,23 @@ def test_latest_value_of_a_node_wins(spark):
     triples = spark.createDataFrame(rows, "s string, p string, o string, o_kind string, load int")
     assert graph.merge_nodes(triples, [], "load").first().props == {"p": ["1"], "q": ["x"]}
     assert graph.merge_nodes(triples, []).first().props == {"p": ["9"], "q": ["x"]}
+
+
+def test_components_of_chains_hubs_and_rings(spark):
+    rng = random.Random(3)
+    pairs = [(i, i + 1) for i in range(300)] + [(1000, 1001 + i) for i in range(200)] + [(2000 + i, 2000 + (i + 1) % 50) for i in range(50)]
+    pairs += [(3000 + rng.randrange(200), 3000 + rng.randrange(200)) for _ in range(90)] + [(5000, 5000), (None, 7), (7, 8), (8, 7)]
+    rng.shuffle(pairs)
+    label = {n: n for p in pairs if None not in p and p[0] != p[1] for n in p}
+    for _ in label:
+        before = dict(label)
+        for a, b in pairs:
+            if a in label and b in label:
+                label[a] = label[b] = min(label[a], label[b])
+        if before == label:
+            break
+    got = {r.node: r.component for r in graph.connected_components(spark.createDataFrame(pairs, "a long, b long"), "a", "b").collect()}
+    assert set(got) == set(label)
+    assert len({(got[n], label[n]) for n in label}) == len(set(label.values())) == len(set(got.values()))
+    none = graph.connected_components(spark.createDataFrame([(1, 1)], "a long, b long"), "a", "b")
+    assert none.count() == 0 and none.columns == ["node", "component"]

@@ -223,13 +223,15 @@ def greedy(left, right, threshold):
     return {k: v for k, v in total.items() if v}
 
 
-def test_one_to_one_is_greedy_and_uses_each_row_once(spark):
+@pytest.mark.parametrize("together", [10**6, 40, 3])
+def test_one_to_one_is_greedy_and_uses_each_row_once(spark, together):
+    """All pairs in one task, components in tasks of their own, and giant ones cut by rounds."""
     stem = "avinguda de la mare de deu de montserrat numero "
     left = [stem + str(i) for i in (1, 2, 3, 11, 12, 12, 12, 40)] + ["hot"] * 150 + words(80, 31, 10, 60)
     right = [stem + str(i) for i in (1, 11, 12, 12, 21, 41, 400)] + ["hot"] * 100 + words(80, 31, 10, 60)[::2] + [w + "e" for w in words(80, 31, 10, 60)[::3]]
     meters = spark.createDataFrame(list(enumerate(left)), "m int, text string")
     places = spark.createDataFrame(list(enumerate(right)), "p int, address string")
-    got = fuzzy.match_one_to_one(meters, places, "m", "text", "p", "address", shards=5).collect()
+    got = fuzzy.match_one_to_one(meters, places, "m", "text", "p", "address", shards=5, together=together).collect()
     assert len({r.m for r in got}) == len(got) == len({r.p for r in got})
     from collections import Counter
     assert Counter((left[r.m], right[r.p]) for r in got) == Counter(greedy(left, right, 97.0))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -155,3 +156,23 @@ def near_in_chunk(block: pd.Series, texts: pd.Series, least: pd.Series) -> pd.Se
             found += [{"text": text, "best": offered[k], "score": s} for k, s in zip(near.tolist(), scores.tolist()) if s >= threshold]
         rows.append(found)
     return pd.Series(rows, index=block.index)
+
+
+#: What :func:`take_in_order` returns of a pair that was taken.
+TAKEN = "left_text string, right_text string, score double, take long, left_used long, right_used long"
+
+
+def take_in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Greedy pairs of rows sorted by ``component`` and then best first; only the texts of one component are held at a time."""
+    component, left_used, right_used = None, {}, {}
+    for batch in batches:
+        taken = []
+        for row in batch.itertuples(index=False):
+            if row.component != component:
+                component, left_used, right_used = row.component, {}, {}
+            left, right = left_used.get(row.left_text, 0), right_used.get(row.right_text, 0)
+            take = min(row.left_free - left, row.right_free - right)
+            if take > 0:
+                taken.append((row.left_text, row.right_text, row.score, take, row.left_used + left, row.right_used + right))
+                left_used[row.left_text], right_used[row.right_text] = left + take, right + take
+        yield pd.DataFrame(taken, columns=["left_text", "right_text", "score", "take", "left_used", "right_used"])

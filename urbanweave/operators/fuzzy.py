@@ -12,8 +12,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanweave.functions.similarity import best_in_chunk, indel_ratio, near_in_chunk
+from urbanweave.functions.similarity import TAKEN, best_in_chunk, indel_ratio, near_in_chunk, take_in_order
 from urbanweave.operators.dedup import first_per_key, number_within
+from urbanweave.operators.graph import connected_components
 from urbanweave.session import cut_lineage, settle
 
 _PAD = "\u0001"
@@ -217,13 +218,18 @@ def fuzzy_best_match(left: DataFrame, right: DataFrame, left_on: str, right_on:
     return found.select(F.col("left_text").alias(left_on), F.col("right_text").alias(out), F.col("score").alias(score))
 
 
+#: A component of at most so many pairs is settled by one task.
+TOGETHER = 1_000_000
+
+
 def match_one_to_one(left: DataFrame, right: DataFrame, left_id: str, left_text: str, right_id: str,
-                     right_text: str, threshold: float = 97.0, shards: int = 1024) -> DataFrame:
+                     right_text: str, threshold: float = 97.0, shards: int = 1024, together: int = TOGETHER) -> DataFrame:
     """Pair rows one to one by text similarity: ``(left_id, right_id, score)``.
 
     Pairs of at least ``threshold`` are taken greedily, best score first, then left text, then right text.
-    Equal texts are paired first. Then each round settles all pairs that are best for both sides; a chain of texts that all prefer the next one
-    takes a round per link. Texts carry their number of rows, so equal rows are paired by number instead of
+    Equal texts are paired first. The other pairs fall into connected components that don't touch each other: one of at most ``together``
+    pairs is sorted and settled by one task, which holds one component at a time. A larger one is cut by rounds that take all pairs
+    that are best for both sides, until its parts fit. Texts carry their number of rows, so equal rows are paired by number instead of
     forming all combinations.
     """
     a = left.select(F.col(left_id).alias("__lid"), F.col(left_text).alias("left_text")).dropna()
@@ -235,34 +241,29 @@ def match_one_to_one(left: DataFrame, right: DataFrame, left_id: str, left_text:
     # Only equal texts score 100, so they are the first pairs in any case; the search is for what they leave.
     equal = cut_lineage(left_free.join(right_free, F.col("left_text") == F.col("right_text")).withColumn("score", F.lit(100.0))
                         .withColumn("take", F.least("left_free", "right_free")))
-    rounds: list[DataFrame] = [equal.select("left_text", "right_text", "score", "take", "left_used", "right_used")]
-    left_free, right_free = cut_lineage(_use(left_free, equal, "left")), cut_lineage(_use(right_free, equal, "right"))
-    pairs = cut_lineage(similar_pairs(
-        left_free.where("left_free > 0").select(F.col("left_text").alias("text")),
-        right_free.where("right_free > 0").select(F.col("right_text").alias("text")), threshold,
-    ))
-    while not pairs.isEmpty():
-        live = (
-            pairs.join(left_free.where("left_free > 0"), "left_text")
-            .join(right_free.where("right_free > 0"), "right_text")
-        )
-        by_left = first_per_key(live, ["left_text"], [F.col("score").desc(), F.col("right_text").asc()])
-        best = first_per_key(live, ["right_text"], [F.col("score").desc(), F.col("left_text").asc()])
-        taken = cut_lineage(
-            by_left.join(best.select("left_text", "right_text"), ["left_text", "right_text"])
-            .withColumn("take", F.least("left_free", "right_free"))
-        )
-        rounds.append(taken.select("left_text", "right_text", "score", "take", "left_used", "right_used"))
-        if taken.isEmpty():
+    parts: list[DataFrame] = [equal.select("left_text", "right_text", "score", "take", "left_used", "right_used")]
+    left_free, right_free = (
+        cut_lineage(_use(free, equal, side).where(f"{side}_free > 0")) for free, side in ((left_free, "left"), (right_free, "right")))
+    live = cut_lineage(similar_pairs(
+        left_free.select(F.col("left_text").alias("text")), right_free.select(F.col("right_text").alias("text")), threshold,
+    ).join(left_free, "left_text").join(right_free, "right_text"))
+    while count := live.count():
+        if count <= together:  # all components fit in one task
+            parts.append(cut_lineage(_settled(live.withColumn("component", F.lit(0).cast("long")).repartition(1))))
             break
-        left_free = cut_lineage(_use(left_free, taken, "left"))
-        right_free = cut_lineage(_use(right_free, taken, "right"))
-        pairs = cut_lineage(
-            pairs.join(left_free.where("left_free > 0"), "left_text", "left_semi")
-            .join(right_free.where("right_free > 0"), "right_text", "left_semi")
-        )
-    agreed = rounds[0]
-    for later in rounds[1:]:
+        # Two texts of one hash at most unite two components, which changes no pair.
+        ends = live.select(F.xxhash64(F.lit("left"), "left_text").alias("node"), F.xxhash64(F.lit("right"), "right_text").alias("other"))
+        named = live.withColumn("node", F.xxhash64(F.lit("left"), "left_text")).join(connected_components(ends, "node", "other"), "node").drop("node")
+        sizes = named.groupBy("component").agg(F.count(F.lit(1)).alias("__pairs"))
+        giant = settle(sizes.where(F.col("__pairs") > together).select("component"))
+        parts.append(cut_lineage(_settled(named.join(giant, "component", "left_anti").repartition("component"))))
+        live = cut_lineage(named.join(giant, "component", "left_semi").drop("component"))
+        if live.isEmpty():
+            break
+        taken, live = _mutual_round(live)
+        parts.append(taken)
+    agreed = parts[0]
+    for later in parts[1:]:
         agreed = agreed.unionByName(later)
     numbered_left = number_within(a, ["left_text"], ["__lid"], "left_no",
                                   F.pmod(F.xxhash64("__lid"), F.lit(shards)), shards)
@@ -279,12 +280,27 @@ def match_one_to_one(left: DataFrame, right: DataFrame, left_id: str, left_text:
     )
 
 
+def _settled(named: DataFrame) -> DataFrame:
+    """Greedy pairs of whole components, each of which lies in one partition."""
+    columns = ["component", "left_text", "right_text", "score", "left_free", "left_used", "right_free", "right_used"]
+    return named.select(*columns).sortWithinPartitions("component", F.col("score").desc(), "left_text", "right_text").mapInPandas(
+        take_in_order, TAKEN)
+
+
+def _mutual_round(live: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All pairs that are best for both of their texts, and the pairs that are open after them."""
+    by_left = first_per_key(live, ["left_text"], [F.col("score").desc(), F.col("right_text").asc()])
+    best = first_per_key(live, ["right_text"], [F.col("score").desc(), F.col("left_text").asc()])
+    taken = cut_lineage(by_left.join(best.select("left_text", "right_text"), ["left_text", "right_text"])
+                        .withColumn("take", F.least("left_free", "right_free")))
+    open_pairs = _use(_use(live, taken, "left"), taken, "right")
+    return (taken.select("left_text", "right_text", "score", "take", "left_used", "right_used"),
+            cut_lineage(open_pairs.where("left_free > 0 and right_free > 0").select(*live.columns)))
+
+
 def _use(free: DataFrame, taken: DataFrame, side: str) -> DataFrame:
     """Subtract what a round took; each text takes part in at most one pair per round."""
     text, left_over, used = f"{side}_text", f"{side}_free", f"{side}_used"
     spent = taken.select(text, "take")
-    return free.join(spent, text, "left").select(
-        text,
-        (F.col(left_over) - F.coalesce("take", F.lit(0))).alias(left_over),
-        (F.col(used) + F.coalesce("take", F.lit(0))).alias(used),
-    )
+    return free.join(spent, text, "left").withColumns({
+        left_over: F.col(left_over) - F.coalesce("take", F.lit(0)), used: F.col(used) + F.coalesce("take", F.lit(0))}).drop("take")

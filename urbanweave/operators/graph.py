@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanweave.operators.dedup import first_per_key
-from urbanweave.session import scratch_path
+from urbanweave.session import cut_lineage, scratch_path
 
 # Predicates whose values stay lists on a node, and the type predicate.
 RDF_TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
@@ -75,6 +75,31 @@ def graph_reach(edges: DataFrame, seeds: DataFrame, rel: str | None = None, incl
     return reached.where(F.col("depth") > 0)
 
 
+def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
+    """``(node, component)`` of every node of a link between two different nodes; the component is one of its nodes.
+
+    Each round gives every node the leader of its neighbourhood by an order that is drawn anew, and contracts the links to links between
+    leaders, so nodes fall by a constant factor a round (in expectation) whatever their shape, long chains included. Leaders are minima
+    that combine map-side; a hub is one row of the map it is joined with.
+    """
+    linked = cut_lineage(links.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).distinct())
+    steps: list[DataFrame] = []
+    while not steps or not linked.isEmpty():
+        place = lambda name: F.struct(F.xxhash64(name, F.lit(len(steps))).alias("drawn"), F.col(name).alias("node"))
+        least = linked.unionByName(linked.select(F.col("v").alias("u"), F.col("u").alias("v"))).groupBy("u").agg(F.min(place("v")).alias("near"))
+        leaders = cut_lineage(least.select(F.col("u").alias("node"), F.least("near", place("u"))["node"].alias("component")))
+        steps.append(leaders)
+        first, second = (leaders.select(F.col("node").alias(end), F.col("component").alias(f"{end}_leader")) for end in "uv")
+        met = linked.join(first, "u").join(second, "v").where("u_leader <> v_leader")
+        linked = cut_lineage(met.select(F.least("u_leader", "v_leader").alias("u"), F.greatest("u_leader", "v_leader").alias("v")).distinct())
+    found = steps.pop()
+    while steps:  # a leader that the next round doesn't know had no neighbour left
+        later = found.select(F.col("node").alias("__leader"), F.col("component").alias("__last"))
+        found = steps.pop().join(later, F.col("component") == F.col("__leader"), "left").select(
+            "node", F.coalesce("__last", "component").alias("component"))
+    return found
+
+
 def _ddl(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
