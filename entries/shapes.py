@@ -179,6 +179,12 @@ def fuzzy_topk(t):
     return fuzzy.fuzzy_topk(_perturbed(t).distinct(), t.part, "a", "p_name", 80.0, 3)
 
 
+@query("fuzzy_topk_weighted")
+def fuzzy_topk_weighted(t):
+    """The composite score has no SQL; tests compare it with a plain version."""
+    return fuzzy.fuzzy_topk(_perturbed(t).distinct(), t.part, "a", "p_name", 90.0, 3, scorer="weighted")
+
+
 @query("match_one_to_one", """
     select c_custkey as meter, o_custkey as place, round(200.0 * 18 / 37, 6) as score from customer
     join (select distinct o_custkey from orders) on c_custkey = o_custkey where c_custkey % 5 > 0

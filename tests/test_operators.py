@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from urbanweave.functions.similarity import ratios
+from urbanweave.functions.similarity import ratios, weighted_ratio
 from urbanweave.operators import aggregate, dedup, fuzzy, lookups
 from urbanweave.session import settle
 
@@ -289,3 +289,73 @@ def test_top_matches_below_the_gram_filter(spark):
     right = spark.createDataFrame([("abcxyz",), ("abcdxx",), ("q",)], "b string")
     got = {r.a: r.matches for r in fuzzy.fuzzy_topk(left, right, "a", "b", 60.0, 2).collect()}
     assert got == {"abcdef": "abcdxx", "xyz": "abcxyz", "": ""}
+
+
+# ---------------------------------------------------------------- the composite score
+
+
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+def plain(a, b):
+    return 200.0 * lcs(a, b) / (len(a) + len(b)) if a or b else 100.0
+
+
+def composite(a, b):
+    """The score once more, letter by letter and window by window."""
+    def partial(x, y):
+        if not x:
+            return 0.0 if y else 100.0
+        return max(plain(x, y[i:j]) for i in range(len(y)) for j in range(i + 1, len(y) + 1)
+                   if j - i == len(x) or (j - i < len(x) and (i == 0 or j == len(y))))
+
+    def both_ways(x, y):
+        return max(partial(x, y), partial(y, x)) if len(x) == len(y) else partial(*sorted((x, y), key=len))
+
+    if not a or not b:
+        return 0.0
+    u, v = sorted(set(a.split())), sorted(set(b.split()))
+    sort_a, sort_b = " ".join(sorted(a.split())), " ".join(sorted(b.split()))
+    same, only_u, only_v = [w for w in u if w in v], [w for w in u if w not in v], [w for w in v if w not in u]
+    parts = [plain(a, b)]
+    unequal = max(len(a), len(b)) / min(len(a), len(b))
+    if unequal < 1.5:
+        if u or v:
+            parts.append(0.95 * plain(sort_a, sort_b))
+        if u and v:
+            if same and (not only_u or not only_v):
+                parts.append(95.0)
+            x, y, z = " ".join(same), " ".join(same + only_u), " ".join(same + only_v)
+            parts += [0.95 * plain(y, z)] + ([0.95 * plain(x, y), 0.95 * plain(x, z)] if same else [])
+    else:
+        scale = 0.9 if unequal <= 8 else 0.6
+        parts.append(scale * both_ways(a, b))
+        if u and v:
+            parts.append(scale * 0.95 * (100.0 if same else max(both_ways(sort_a, sort_b), both_ways(" ".join(u), " ".join(v)))))
+    return max(parts)
+
+
+@pytest.mark.parametrize("a, b, score", [
+    ("this is a test", "this is a new test!!!", 85.5), ("this is a word", "THIS IS A WORD", 21.428571), ("", "a", 0.0), ("", "", 0.0),
+    ("fuzzy was a bear", "fuzzy fuzzy was a bear", 95.0), ("wuzzy fuzzy was a bear", "fuzzy wuzzy was a bear", 95.0), ("calle", "calle", 100.0)])
+def test_weighted_ratio_of_known_pairs(a, b, score):
+    assert weighted_ratio(a, b) == pytest.approx(score, abs=1e-5) and composite(a, b) == pytest.approx(score, abs=1e-5)
+
+
+@pytest.mark.parametrize("threshold", [90.0, 60.0])
+def test_topk_with_the_composite_score(spark, threshold):
+    left = words(25, 41) + ["carrer gran de gracia", "gracia", "gran  carrer de gracia", "plaça", " "]
+    right = words(40, 41) + ["carrer gran", "gran de gracia carrer", "carrer de la plaça de gracia", "plaça nova", "  ", "gracia gracia"]
+    got = {r.a: r.matches for r in fuzzy.fuzzy_topk(
+        texts(spark, left, "a"), texts(spark, right, "b"), "a", "b", threshold, 3, scorer="weighted").collect()}
+    for a in left:
+        scores = {b: composite(a, b) for b in right}
+        best = sorted((b for b in right if scores[b] >= threshold - 1e-9), key=lambda b: (-round(scores[b], 9), b))[:3]
+        assert got[a] == ", ".join(best)

@@ -67,6 +67,21 @@ def indel_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(ratios(left.tolist(), right.tolist()), index=left.index)
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def numbered_grams(texts: pd.Series, width: pd.Series) -> pd.Series:
+    """Grams of each padded text, each with the number of its occurrence in the text."""
+    rows = []
+    for text, size in zip(texts, width):
+        pad, times, grams = "\u0001" * (size - 1), {}, []
+        padded = pad + text + pad
+        for i in range(len(padded) - size + 1):
+            gram = padded[i:i + size]
+            times[gram] = times.get(gram, 0) + 1
+            grams.append(gram + str(times[gram]))
+        rows.append(grams)
+    return pd.Series(rows, index=texts.index)
+
+
 class Offered:
     """Texts encoded once for many comparisons: characters, lengths, and how often each character occurs."""
 
@@ -85,6 +100,13 @@ class Offered:
         common = np.minimum(self.counts[:, at[known]], times[known]).sum(axis=1)
         return self._score(common, len(text), slice(None))
 
+    def reach(self, text: np.ndarray) -> np.ndarray:
+        """No ratio of ``text`` with any window of a text, or the other way round, is above these: common characters again."""
+        total = self.lengths + len(text)
+        common = np.rint(self.bounds(text) * total / 200.0)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return np.where(common > 0, 200.0 * common / (np.minimum(self.lengths, len(text)) + common), np.where(total > 0, 0.0, 100.0))
+
     def scores(self, text: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """Exact scores with the texts at ``rows``."""
         codes = self.codes[rows]
@@ -158,6 +180,91 @@ def near_in_chunk(block: pd.Series, texts: pd.Series, least: pd.Series) -> pd.Se
     return pd.Series(rows, index=block.index)
 
 
+def _words(text: str) -> tuple[str, str, set[str]]:
+    """Words in order, distinct words in order, and the set of them."""
+    words = text.split()
+    return " ".join(sorted(words)), " ".join(sorted(set(words))), set(words)
+
+
+def partial_ratio(a: str, b: str) -> float:
+    """Best ratio of the shorter text with a window of its length in the longer one, or with less at an end."""
+    short, long = sorted((a, b), key=len)
+    if not short:
+        return 0.0 if long else 100.0
+    if short in long:
+        return 100.0
+    size, best = len(short), 0.0
+    for one, other in ((short, long), (long, short))[: 2 if len(a) == len(b) else 1]:
+        windows = sorted({other[max(0, i):i + size] for i in range(1 - size, len(other))})
+        best = max(best, float(ratios([one] * len(windows), windows).max()))
+    return best
+
+
+def word_set_ratio(a: set[str], b: set[str]) -> float:
+    """Best ratio among common words, common words with the rest of one side, and with the rest of the other."""
+    if not a or not b:
+        return 0.0
+    common, rest_a, rest_b = " ".join(sorted(a & b)), " ".join(sorted(a - b)), " ".join(sorted(b - a))
+    if common and not (rest_a and rest_b):
+        return 100.0
+    whole_a, whole_b = (f"{common} {rest}" if common else rest for rest in (rest_a, rest_b))
+    pairs = [(whole_a, whole_b)] + ([(common, whole_a), (common, whole_b)] if common else [])
+    return float(ratios(*map(list, zip(*pairs))).max())
+
+
+# Fixed values of the weighted score: weights of word scores and of partial scores, partial scores of very unequal texts, and the
+# quotients of lengths from which partial scores take part and beyond which texts are very unequal.
+WORDS, PARTIAL, UNEQUAL, PARTIAL_FROM, UNEQUAL_BEYOND = 0.95, 0.9, 0.6, 1.5, 8.0
+
+
+def weighted_ratio(a: str, b: str) -> float:
+    """The usual composite of plain, partial, word-sorted and word-set ratios, 0 to 100; texts are taken as they are. 0 if one is empty."""
+    if not a or not b:
+        return 0.0
+    plain = float(ratios([a], [b])[0])
+    (sorted_a, _, set_a), (sorted_b, _, set_b) = _words(a), _words(b)
+    quotient = max(len(a), len(b)) / min(len(a), len(b))
+    if quotient < PARTIAL_FROM:
+        return max(plain, WORDS * max(float(ratios([sorted_a], [sorted_b])[0]) if set_a or set_b else 0.0, word_set_ratio(set_a, set_b)))
+    weight = PARTIAL if quotient <= UNEQUAL_BEYOND else UNEQUAL
+    words = 0.0
+    if set_a and set_b:
+        words = 100.0 if set_a & set_b else max(
+            partial_ratio(sorted_a, sorted_b), partial_ratio(" ".join(sorted(set_a)), " ".join(sorted(set_b))))
+    return max(plain, weight * partial_ratio(a, b), WORDS * weight * words)
+
+
+@F.pandas_udf(_BEST)
+def weighted_in_chunk(block: pd.Series, texts: pd.Series, least: pd.Series) -> pd.Series:
+    """All pairs of a block and a chunk whose weighted score is at least ``least``.
+
+    Common characters bound each part of the score of two texts without a common word; only pairs within it, or with a common word,
+    are scored.
+    """
+    rows = []
+    for wanted, offered, threshold in zip(block, texts, least):
+        offered, found = list(offered), []
+        forms = [_words(text) for text in offered]
+        encoded = [Offered(list(column)) for column in (offered, [f[0] for f in forms], [f[1] for f in forms])]
+        holders: dict[str, list[int]] = {}
+        for place, form in enumerate(forms):
+            for word in form[2]:
+                holders.setdefault(word, []).append(place)
+        for text in wanted:
+            form = _words(text)
+            near = np.zeros(len(offered), dtype=bool)
+            for side, known in zip((text, form[0], form[1]), encoded):
+                near |= known.reach(_letters(side)) >= threshold
+            for word in form[2]:
+                near[holders.get(word, [])] = True
+            for k in np.flatnonzero(near).tolist():
+                score = weighted_ratio(text, offered[k])
+                if score >= threshold:
+                    found.append({"text": text, "best": offered[k], "score": score})
+        rows.append(found)
+    return pd.Series(rows, index=block.index)
+
+
 #: What :func:`take_in_order` returns of a pair that was taken.
 TAKEN = "left_text string, right_text string, score double, take long, left_used long, right_used long"
 

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanweave.functions.similarity import TAKEN, best_in_chunk, indel_ratio, near_in_chunk, take_in_order
+from urbanweave.functions.similarity import TAKEN, best_in_chunk, indel_ratio, near_in_chunk, numbered_grams, take_in_order, weighted_in_chunk
 from urbanweave.operators.dedup import first_per_key, number_within
 from urbanweave.operators.graph import connected_components
 from urbanweave.session import cut_lineage, settle
@@ -44,15 +44,7 @@ def _max_edits_column(length: Column, threshold: float) -> Column:
 
 def _grams(texts: DataFrame, width: int) -> DataFrame:
     """One row per (text, gram, occurrence); the occurrence makes repeated grams distinct."""
-    padded = F.concat(F.lit(_PAD * (width - 1)), F.col("text"), F.lit(_PAD * (width - 1)))
-    return (
-        texts.select("text", F.posexplode(F.transform(
-            F.sequence(F.lit(1), F.length("text") + (width - 1)), lambda i: padded.substr(i, F.lit(width))
-        )).alias("pos", "gram"))
-        .groupBy("text", "gram").agg(F.count(F.lit(1)).alias("times"))
-        .select("text", F.explode(F.transform(F.sequence(F.lit(1), F.col("times").cast("int")),
-                                              lambda k: F.concat(F.col("gram"), k.cast("string")))).alias("gram"))
-    )
+    return texts.select("text", F.explode(numbered_grams("text", F.lit(width))).alias("gram"))
 
 
 def _two_gram_keys(threshold: float, width: int) -> bool:
@@ -126,6 +118,17 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
     return equal.unionByName(scored.where(F.col("score") >= F.lit(threshold - _EPS)))
 
 
+def weighted_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """All pairs ``(left_text, right_text, score)`` of distinct texts whose weighted score is at least ``threshold``.
+
+    A short text inside a long one, or one common word, can reach a high score, so no gram is sure to be shared: blocks of texts meet
+    chunks of texts, and only pairs within a bound or with a common word are scored.
+    """
+    met = _blocks(left, right.select(F.col("text").alias("right_text"), F.struct("text").alias("__rank")))
+    return met.select(F.explode(weighted_in_chunk("block_texts", "texts", F.lit(threshold - _EPS))).alias("hit")).select(
+        F.col("hit.text").alias("left_text"), F.col("hit.best").alias("right_text"), "hit.score")
+
+
 #: Copies of each chunk of the offered side, so that a small choice is still compared by many tasks.
 SPREAD = 64
 
@@ -163,15 +166,17 @@ def _distinct_texts(df: DataFrame, column: str) -> DataFrame:
 
 
 def fuzzy_topk(left: DataFrame, right: DataFrame, left_on: str, right_on: str, threshold: float = 90.0,
-               limit: int = 1, order: str | None = None, out: str = "matches") -> DataFrame:
+               limit: int = 1, order: str | None = None, out: str = "matches", scorer: str = "ratio") -> DataFrame:
     """Rows of ``left`` with the ``limit`` best right texts of at least ``threshold``, joined by ``', '``.
 
-    Ties go to the lower ``order`` column of ``right`` (its text by default). No match gives ``''``.
+    Ties go to the lower ``order`` column of ``right`` (its text by default). No match gives ``''``. ``scorer`` is ``ratio`` or
+    ``weighted``, the composite of plain, partial and word ratios.
     """
+    search = {"ratio": similar_pairs, "weighted": weighted_pairs}[scorer]
     ranks = right.where(F.col(right_on).isNotNull()).groupBy(F.col(right_on).alias("right_text")).agg(
         F.min(order or right_on).alias("__order")
     )
-    pairs = similar_pairs(_distinct_texts(left, left_on), ranks.select(F.col("right_text").alias("text")), threshold)
+    pairs = search(_distinct_texts(left, left_on), ranks.select(F.col("right_text").alias("text")), threshold)
     best = first_per_key(
         pairs.join(ranks, "right_text"), ["left_text"],
         [F.col("score").desc(), F.col("__order").asc(), F.col("right_text").asc()], limit,
