@@ -138,3 +138,43 @@ def test_components_of_chains_hubs_and_rings(spark):
     assert len({(got[n], label[n]) for n in label}) == len(set(label.values())) == len(set(got.values()))
     none = graph.connected_components(spark.createDataFrame([(1, 1)], "a long, b long"), "a", "b")
     assert none.count() == 0 and none.columns == ["node", "component"]
+
+
+def walked(pairs, seeds):
+    """Least number of edges, one or more, from each seed."""
+    ways, found = {}, {}
+    for a, b in pairs:
+        ways.setdefault(a, set()).add(b)
+    for seed in seeds:
+        front, depth = {seed}, 0
+        while front:
+            depth += 1
+            front = {b for a in front for b in ways.get(a, ()) if (seed, b) not in found}
+            found.update({(seed, b): depth for b in front})
+    return found
+
+
+def test_reach_over_long_chains_forks_and_rings(spark):
+    rng = random.Random(8)
+    pairs = [(f"c{i}", f"c{i + 1}") for i in range(120)] + [("c60", "d0")] + [(f"d{i}", f"d{i + 1}") for i in range(40)] + [("d40", "c100"), ("d3", "c90")]
+    pairs += [(f"r{i}", f"r{(i + 1) % 30}") for i in range(30)] + [("c20", "r0"), ("s", "s"), ("s", "c0")]
+    pairs += [(f"x{rng.randrange(60)}", f"x{rng.randrange(60)}") for _ in range(75)] + pairs[:5]
+    seeds = ["c0", "c50", "r7", "s", "x1", "x2", "nowhere"]
+    table = spark.createDataFrame([(a, "sub", b) for a, b in pairs] + [("c0", "sub", None)], "src string, rel string, dst string")
+    roots = spark.createDataFrame([(s,) for s in seeds], "root string")
+    want = walked(pairs, seeds)
+    assert {(r.root, r.node): r.depth for r in graph.graph_reach(table, roots, "sub").collect()} == want
+    rows = graph.graph_reach(table, roots, "sub", True).collect()
+    assert {(r.root, r.node): r.depth for r in rows} == {**want, **{(s, s): 0 for s in seeds}} and len(rows) == len({(r.root, r.node) for r in rows})
+
+
+def test_jobs_of_a_chain_grow_with_the_logarithm(spark):
+    jobs, context = {}, spark.sparkContext
+    for length in (100, 500):
+        table = spark.createDataFrame([(i, "sub", i + 1) for i in range(length)], "src long, rel string, dst long")
+        context.setJobGroup(f"chain {length}", "")
+        got = graph.graph_reach(table, spark.createDataFrame([(0,)], "root long"), "sub").collect()
+        jobs[length] = len(context.statusTracker().getJobIdsForGroup(f"chain {length}"))
+        assert sorted((r.node, r.depth) for r in got) == [(i, i) for i in range(1, length + 1)]
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[500] < 2 * jobs[100] and jobs[500] < 500

@@ -41,11 +41,16 @@ def namespace_of(uri: Column) -> Column:
     return F.substring_index(uri, "#", 1)
 
 
+#: Rounds that follow one edge each; what is still open then may be a long chain and takes jumps.
+SINGLE_STEPS = 8
+
+
 def graph_reach(edges: DataFrame, seeds: DataFrame, rel: str | None = None, include_seeds: bool = False) -> DataFrame:
     """``(root, node, depth)`` of all nodes reached from each seed over one or more edges; cycles are safe.
 
     ``seeds`` has one column. Each round follows the new nodes only and is written to the shared folder,
-    so a lost executor costs at most one round.
+    so a lost executor costs at most one round. Paths of more than :data:`SINGLE_STEPS` edges go on by jumps over stretches without a
+    fork, so their rounds follow the forks on a path and not its length.
     """
     spark = edges.sparkSession
     links = (edges if rel is None else edges.where(F.col("rel") == rel)).select(
@@ -55,24 +60,65 @@ def graph_reach(edges: DataFrame, seeds: DataFrame, rel: str | None = None, incl
     start = seeds.select(root.alias("root"), root.alias("node")).where(root.isNotNull()).distinct()
     folder = scratch_path(spark, "reach")
     start.withColumn("depth", F.lit(0)).write.parquet(f"{folder}/round=0")
-    depth = 0
-    while True:
-        read = spark.read.schema(f"root {_ddl(start, 'root')}, node {_ddl(start, 'node')}, depth int")
+    read = spark.read.schema(f"root {_ddl(start, 'root')}, node {_ddl(start, 'node')}, depth int")
+    depth, open_ends = 0, True
+    while open_ends and depth < SINGLE_STEPS:
         frontier = read.parquet(f"{folder}/round={depth}").select("root", "node")
-        if frontier.isEmpty():
-            break
-        seen = read.parquet(*[f"{folder}/round={k}" for k in range(0 if depth else 1, depth + 1)]) if depth else None
         hop = frontier.join(links, F.col("node") == F.col("__src")).select("root", F.col("__dst").alias("node")).distinct()
-        if seen is not None:
-            # A seed counts as reached only if an edge leads back to it, so round 0 is not in the way.
-            known = seen.where(F.col("depth") > 0).select("root", "node")
+        if depth:  # a seed counts as reached only if an edge leads back to it, so round 0 is not in the way
+            known = read.parquet(*[f"{folder}/round={k}" for k in range(1, depth + 1)]).select("root", "node")
             hop = hop.join(known, ["root", "node"], "left_anti")
         depth += 1
         hop.withColumn("depth", F.lit(depth)).write.parquet(f"{folder}/round={depth}")
-    reached = read.parquet(*[f"{folder}/round={k}" for k in range(depth + 1)])
+        open_ends = not read.parquet(f"{folder}/round={depth}").isEmpty()
+    reached = read.parquet(*[f"{folder}/round={k}" for k in range(1, depth + 1)])
+    if open_ends:
+        reached = _reach_on(reached, read.parquet(f"{folder}/round={depth}"), cut_lineage(links.distinct()))
     if include_seeds:
-        return first_per_key(reached, ["root", "node"], [F.col("depth").asc()])
-    return reached.where(F.col("depth") > 0)
+        return start.withColumn("depth", F.lit(0)).unionByName(
+            reached.join(start, ["root", "node"], "left_anti"))
+    return reached
+
+
+def _jumps(links: DataFrame) -> list[DataFrame]:
+    """Maps ``(__src, __dst)`` over 1, 2, 4, .. edges from nodes with one way out, as long as there are such stretches.
+
+    A map has at most one row a node. Rings never end, so no jump is longer than there are nodes with one way out.
+    """
+    one_way = links.groupBy("__src").agg(F.count(F.lit(1)).alias("__ways"), F.min("__dst").alias("__dst")).where("__ways = 1")
+    maps = [cut_lineage(one_way.where("__src <> __dst").select("__src", "__dst"))]
+    most = maps[0].count()
+    while 2 ** len(maps) <= most:
+        on = maps[-1].select(F.col("__src").alias("__mid"), F.col("__dst").alias("__end"))
+        further = cut_lineage(maps[-1].join(on, F.col("__dst") == F.col("__mid")).select("__src", F.col("__end").alias("__dst")))
+        if further.isEmpty():
+            break
+        maps.append(further)
+    return maps
+
+
+def _reach_on(best: DataFrame, front: DataFrame, links: DataFrame) -> DataFrame:
+    """The closure of ``best`` from its open ends ``front``, least depth first or corrected later.
+
+    A round takes the open ends along their stretches, longest jumps first, and then one edge on from everything it met. Pairs whose
+    depth became less are open again, unless the round has been on from them at that depth.
+    """
+    maps = _jumps(links)
+
+    def followed(rows: DataFrame, ways: DataFrame, steps: int) -> DataFrame:
+        return rows.join(ways, F.col("node") == F.col("__src")).select("root", F.col("__dst").alias("node"), (F.col("depth") + steps).alias("depth"))
+
+    while not front.isEmpty():
+        met = front
+        for level in reversed(range(len(maps))):
+            met = cut_lineage(met.unionByName(followed(met, maps[level], 2 ** level)).groupBy("root", "node").agg(F.min("depth").alias("depth")))
+        seen = met.withColumn("open", F.lit(0)).unionByName(followed(met, links, 1).withColumn("open", F.lit(1)))
+        least = seen.groupBy("root", "node").agg(F.min(F.struct("depth", "open")).alias("least")).select("root", "node", "least.*")
+        known = best.select("root", "node", F.col("depth").alias("__known"))
+        better = cut_lineage(least.join(known, ["root", "node"], "left").where("__known is null or depth < __known").drop("__known"))
+        best = cut_lineage(best.unionByName(better.drop("open")).groupBy("root", "node").agg(F.min("depth").alias("depth")))
+        front = better.where("open = 1").drop("open")
+    return best
 
 
 def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
