@@ -1,6 +1,6 @@
 """Graph queries and mappings to triples."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from entries.registry import query
@@ -45,6 +45,19 @@ def graph_reach(t):
     return graph.graph_reach(_edges(t), t.region.select(F.concat(F.lit("r#"), "r_regionkey").alias("root")))
 
 
+@query("graph_reach_chain", """
+    select first_value(o_orderkey) over w as root, o_orderkey as node, cast(row_number() over w - 1 as integer) as depth from orders
+    where o_orderkey is not null and o_custkey is not null window w as (partition by o_custkey order by o_orderkey)
+    qualify row_number() over w > 1""")
+def graph_reach_chain(t):
+    """Each order leads to the next one of its customer: chains of very different lengths."""
+    by_customer = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    orders = t.orders.where("o_orderkey is not null and o_custkey is not null").select(
+        F.col("o_orderkey").alias("src"), F.lit("next").alias("rel"), F.lead("o_orderkey").over(by_customer).alias("dst"),
+        F.lag("o_orderkey").over(by_customer).alias("before"))
+    return graph.graph_reach(orders.drop("before"), orders.where("before is null").select("src"), "next")
+
+
 @query("graph_reach_cycle", """
     with recursive e as (select c_custkey as src, c_custkey - c_custkey % 10 + (c_custkey * 7 + 3) % 10 as dst from customer),
     reach(root, node) as (select src, dst from e union select root, dst from reach join e on src = node)
