@@ -256,6 +256,45 @@ def test_passages_of_short_lines(spark, docs, nothing):
     assert passages.repeated_runs(nothing).count() == 0 and passages.repeated_runs(docs).count() > 0
 
 
+def test_passages_inside_lines(spark, docs, nothing):
+    shared, other = [f"w{k}" for k in range(60)], [f"v{k}" for k in range(49)]
+    texts = [(1, "one begins " + " ".join(shared) + " and ends so"), (2, "Other words,\nthen " + "\n".join(shared[:30]).upper() + ", " + "; ".join(shared[30:]) + " é tail"),
+             (3, " ".join(other) + " a"), (4, "b " + " ".join(other) + " c"), (5, "x " + " ".join(["same"] * 130)), (6, None), (7, "\n"), (None, " ".join(shared)),
+             (8, "c " + " ".join(shared[:55]) + " d " + " ".join(shared[3:53]))]
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    found = passages.repeated_passages(rows).collect()
+    # before: lines and runs of lines alone, which none of these is
+    assert passages.repeated_runs(rows).count() == 0
+    assert {(r.doc_id, r.word, r.n_words, r.kept_doc_id, r.kept_word) for r in found} == {
+        (2, 3, 60, 1, 2), (5, 51, 80, 5, 1), (8, 1, 55, 1, 2), (8, 57, 50, 1, 5)}
+    span = next(r for r in found if r.doc_id == 2)
+    cut = dict(texts)[2].encode()[span.start:span.end].decode()
+    assert cut.startswith("W0\nW1") and cut.endswith("w58; w59")
+    assert {r.doc_id: r.text for r in passages.remove_units(rows, passages.repeated_passages(rows)).collect()}[2] == "Other words,\nthen  é tail"
+    assert passages.repeated_passages(nothing).count() == 0
+
+
+@pytest.mark.parametrize("least", [1, 2, 7, 12])
+def test_passages_by_brute_force(spark, least):
+    draw = np.random.default_rng(least)
+    texts = {d: [str(x) for x in draw.integers(0, 3 if d % 4 else 2, int(draw.integers(0, 60)))] for d in range(60)}
+    first, units = {}, []
+    for d, words in sorted(texts.items()):
+        for lo in range(len(words) - least + 1):
+            kept = first.setdefault(tuple(words[lo:lo + least]), (d, lo))
+            if d > kept[0] or lo >= kept[1] + least:
+                units.append((d, lo, kept))
+    want = []
+    for d, lo, kept in units:
+        if want and want[-1][0] == d and lo <= want[-1][2]:
+            want[-1][2] = lo + least
+        else:
+            want.append([d, lo, lo + least, *kept])
+    rows = spark.createDataFrame([(d, " ".join(words)) for d, words in texts.items()], "doc_id long, text string")
+    found = passages.repeated_passages(rows, min_words=least).collect()
+    assert sorted([r.doc_id, r.word, r.word + r.n_words, r.kept_doc_id, r.kept_word] for r in found) == want
+
+
 def test_packing(spark, docs, nothing):
     path = queries.tokenizer_file("word_bpe_49k.json")
     got = packing.pack(docs, path, ids=True).collect()
