@@ -256,6 +256,19 @@ def test_passages_of_short_lines(spark, docs, nothing):
     assert passages.repeated_runs(nothing).count() == 0 and passages.repeated_runs(docs).count() > 0
 
 
+def test_quality_sums_take_one_python_worker(spark, docs):
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 15)], "doc_id long, quality int")
+    sums = quality.label_sums(docs, labels)
+    # before: a second worker in each task added up what the first had measured
+    assert sums._jdf.queryExecution().sparkPlan().toString().count("MapInArrow") == 1
+    got, width = {r[0]: r[1:] for r in sums.collect()}, len(quality.STATISTICS)
+    x = {d: np.array([r.x for r in quality.document_statistics(docs).where((F.col("doc") % 2 == d) & F.col("doc").between(1, 14)).collect()]) for d in (0, 1)}
+    for k in (0, 1):
+        squares = x[k].T @ x[k]
+        assert got[k][0] == len(x[k]) and np.allclose(got[k][1:1 + width], x[k].sum(axis=0))
+        assert np.allclose(got[k][1 + width:], squares[np.triu_indices(width)])
+
+
 def test_passages_inside_lines(spark, docs, nothing):
     shared, other = [f"w{k}" for k in range(60)], [f"v{k}" for k in range(49)]
     texts = [(1, "one begins " + " ".join(shared) + " and ends so"), (2, "Other words,\nthen " + "\n".join(shared[:30]).upper() + ", " + "; ".join(shared[30:]) + " é tail"),

@@ -138,32 +138,33 @@ def document_statistics(docs: DataFrame, doc: str = "doc_id", text: str = "text"
     return known.mapInArrow(measure, "doc long, x array<double>")
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column] | None = None, doc: str = "doc_id", text: str = "text",
-        label_doc: str = "doc_id", label: str = "quality") -> Discriminant:
-    """Learn from all labelled rows, or from those whose id meets ``learn``."""
+_PAIRS = [(i, j) for i in range(len(STATISTICS)) for j in range(i, len(STATISTICS))]
+
+
+def label_sums(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column] | None = None, doc: str = "doc_id", text: str = "text",
+               label_doc: str = "doc_id", label: str = "quality") -> DataFrame:
+    """For each label the number of rows, the sums of the statistics, and those of the products of each pair of them.
+
+    Spark adds them up: a second Python worker in each task would take as much memory again.
+    """
     known = labels.where(F.col(label).isin(0, 1)).select(F.col(label_doc).cast("long").alias("label_doc"), F.col(label).cast("int").alias("label"))
     if learn is not None:
         known = known.where(learn(F.col("label_doc")))
-    met = document_statistics(docs, doc, text).join(known, F.col("doc") == F.col("label_doc")).select("label", "x")
+    met = document_statistics(docs, doc, text).join(known, F.col("doc") == F.col("label_doc"))
+    sums = [f"sum(x[{i}])" for i in range(len(STATISTICS))] + [f"sum(x[{i}] * x[{j}])" for i, j in _PAIRS]
+    return met.groupBy("label").agg(F.count(F.lit(1)), *map(F.expr, sums))
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = len(STATISTICS)
-        total = np.zeros((2, 1 + width + width * width))
-        for batch in batches:
-            if batch.num_rows:
-                label = batch.column(0).to_numpy()
-                x = batch.column(1).flatten().to_numpy().reshape(-1, width)
-                for k in (0, 1):
-                    own = x[label == k]
-                    total[k] += np.concatenate([[len(own)], own.sum(axis=0), (own.T @ own).ravel()])
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size, dtype=np.int32)), pa.array(total.ravel())], names=["at", "value"])
 
+def fit(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column] | None = None, doc: str = "doc_id", text: str = "text",
+        label_doc: str = "doc_id", label: str = "quality") -> Discriminant:
+    """Learn from all labelled rows, or from those whose id meets ``learn``."""
     width = len(STATISTICS)
-    total = np.zeros(2 * (1 + width + width * width))
-    for at, value in met.mapInArrow(add, "at int, value double").groupBy("at").agg(F.sum("value")).collect():  # one row per entry of the sums
-        total[at] = value
-    total = total.reshape(2, -1)
-    return discriminant(total[:, 0], total[:, 1:1 + width], total[:, 1 + width:].reshape(2, width, width))
+    counts, sums, squares = np.zeros(2), np.zeros((2, width)), np.zeros((2, width, width))
+    for k, n, *values in label_sums(docs, labels, learn, doc, text, label_doc, label).collect():  # two rows
+        counts[k], sums[k] = n, values[:width]
+        for (i, j), value in zip(_PAIRS, values[width:], strict=True):
+            squares[k, i, j] = squares[k, j, i] = value
+    return discriminant(counts, sums, squares)
 
 
 def score(docs: DataFrame, model: Discriminant, keep: Sequence[str], text: str = "text", name: str = "score") -> DataFrame:
