@@ -256,6 +256,39 @@ def test_passages_of_short_lines(spark, docs, nothing):
     assert passages.repeated_runs(nothing).count() == 0 and passages.repeated_runs(docs).count() > 0
 
 
+def test_language_model_by_plain_steps():
+    """What is looked up once, sorted or copied by rows equals the plain way; before, each of these was done token by token."""
+    draw = np.random.default_rng(5)
+    sizes = language_model.Sizes.of(3_000)
+    model = language_model.Parameters.start(np.log(np.full(sizes.outputs, 1 / sizes.outputs)), sizes)
+    first = np.array([0, 0, 1, 1, 3, 6, 7, 40, 40])
+    inputs = draw.integers(0, sizes.inputs - 1, (40, 2))
+    plain = np.full((40, language_model.CONTEXT, 2), sizes.inputs - 1)
+    for t in range(40):
+        for k in range(language_model.CONTEXT):
+            if t - k - 1 >= first[np.searchsorted(first, t, side="right") - 1]:
+                plain[t, k] = inputs[t - k - 1]
+    context = language_model.contexts(inputs, first, sizes)
+    assert (context == plain).all()
+    assert np.allclose(model.predicted_along(inputs, first), model.predicted(context), atol=1e-5)
+    assert model.predicted_along(inputs[:2], np.array([0, 2])).shape == (2, language_model.WIDTH) and not len(model.predicted_along(inputs[:0], np.array([0])))
+    raw = np.frombuffer(("Ab é " * 9).encode(), np.uint8)
+    flat = kernels.Flat(raw, np.array([0, len(raw)]))
+    start = np.repeat(np.arange(len(raw) - 3), 4)
+    end = start + np.tile(np.arange(4), len(raw) - 3)
+    assert (flat.short_span_hash(start, end, 3, 3) == flat.span_hash(start, end, 3)).all()
+    for rows in (5, 70_000):
+        at, values = draw.integers(0, rows, 600), draw.normal(size=(200, 16)).astype(np.float32)
+        at[:100] = draw.integers(0, 2, 100)
+        seen, times, sums = language_model._scatter(at, values, rows)
+        want = np.zeros((rows, 16))
+        np.add.at(want, at, np.tile(values, (3, 1)))
+        assert (seen == np.unique(at)).all() and (times == np.bincount(at)[seen]).all() and np.allclose(sums, want[seen], atol=1e-4)
+    table = np.zeros((6, 16), np.float32)
+    language_model._put(table, np.array([4, 1]), values[:2])
+    assert (table[[4, 1]] == values[:2]).all() and not table[[0, 2, 3, 5]].any()
+
+
 def test_quality_sums_take_one_python_worker(spark, docs):
     labels = spark.createDataFrame([(k, k % 2) for k in range(1, 15)], "doc_id long, quality int")
     sums = quality.label_sums(docs, labels)

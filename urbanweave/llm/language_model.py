@@ -52,6 +52,8 @@ RISE = 60
 #: first number, then less by as much as there are more, and the last at least.
 WARM_UP, FEW, LEAST = 400_000, 4_000_000, 100_000
 KNOWN = 1 << 20
+#: Rows with up to so many gradients in a step have them added one by one.
+FEW_ROWS = 4
 #: Floats in one averaged block of parameters.
 BLOCK = 2048
 
@@ -66,7 +68,7 @@ def token_hashes(flat: Flat) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     hashes = np.full(first[-1], _END, np.uint64)
     suffix = np.full(first[-1], _END, np.uint64)
     hashes[place] = words.hashes()
-    suffix[place] = flat.span_hash(np.maximum(words.start, words.end - 3), words.end, 3)
+    suffix[place] = flat.short_span_hash(np.maximum(words.start, words.end - 3), words.end, 3, 3)
     return hashes, suffix, first
 
 
@@ -150,40 +152,63 @@ class Parameters:
     def inputs_of(self, context: np.ndarray) -> np.ndarray:
         """Sum of the input vectors of the token at each place."""
         rows = context.reshape(len(context), CONTEXT, -1)
-        own = self.inputs[rows[:, :, 0]]
+        own = self.inputs.take(rows[:, :, 0], axis=0)
         for j in range(1, rows.shape[2]):
-            own += self.inputs[rows[:, :, j]]
+            own += self.inputs.take(rows[:, :, j], axis=0)
         return own
 
     def predicted(self, context: np.ndarray) -> np.ndarray:
         return np.einsum("nkw,kw->nw", self.inputs_of(context), self.places)
 
+    def predicted_along(self, inputs: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """What :func:`contexts` and :meth:`predicted` give for all tokens of a piece; the vector of a token is looked up once for all its places."""
+        own = self.inputs.take(inputs[:, 0], axis=0)
+        for j in range(1, inputs.shape[1]):
+            own += self.inputs.take(inputs[:, j], axis=0)
+        out, last, before = np.zeros_like(own), np.empty_like(own), self.inputs[-1] * np.float32(inputs.shape[1])
+        for k in range(CONTEXT):
+            last[k + 1:] = own[:max(len(own) - k - 1, 0)]
+            for j in range(k + 1):  # the first tokens of a text come after the start
+                at = first[:-1] + j
+                last[at[at < first[1:]]] = before
+            last *= self.places[k]
+            out += last
+        return out
+
     def log_softmax_at(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log probability of each target output after its context, normalised over all outputs."""
+        return self.log_softmax(self.predicted(context), target)
+
+    def log_softmax(self, predicted: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Natural log probability of each target output where such vectors are predicted, normalised over all outputs."""
         out, size = np.empty(len(target)), self.sizes
+        outputs, members, groups = size.outputs, size.members, size.groups
         for lo in range(0, len(target), 64 * BATCH):
-            own = target[lo:lo + 64 * BATCH]
-            vectors, group = self.predicted(context[lo:lo + 64 * BATCH]), own // size.members
-            logs = self._among(vectors, group, size.outputs, size.outputs + size.groups)
-            order = np.argsort(group, kind="stable")
-            edges = np.searchsorted(group[order], np.arange(size.groups + 1))
+            group = target[lo:lo + 64 * BATCH] // members
+            order = np.argsort(group.astype(np.uint16 if groups <= 1 << 16 else np.uint32), kind="stable")
+            vectors, own, group = predicted[lo:lo + 64 * BATCH].take(order, axis=0), target[lo:lo + 64 * BATCH][order], group[order]
+            lengths = np.einsum("ij,ij->i", vectors, vectors)
+            vectors = np.concatenate([vectors, np.ones((len(vectors), 1), np.float32)], axis=1)  # for the biases
+            logs = self._among(vectors, lengths, group, outputs, outputs + groups)
+            edges = np.searchsorted(group, np.arange(groups + 1))
             for g in np.flatnonzero(np.diff(edges)):
-                rows, first = order[edges[g]:edges[g + 1]], g * size.members
-                logs[rows] += self._among(vectors[rows], own[rows] - first, first, min(first + size.members, size.outputs))
-            out[lo:lo + 64 * BATCH] = logs
+                of, first = slice(edges[g], edges[g + 1]), g * members
+                logs[of] += self._among(vectors[of], lengths[of], own[of] - first, first, min(first + members, outputs))
+            out[lo + order] = logs
         return out
 
-    def _among(self, vectors: np.ndarray, target: np.ndarray, first: int, last: int) -> np.ndarray:
-        """Log softmax over the rows ``first:last`` of outputs, at ``target``."""
+    def _among(self, vectors: np.ndarray, lengths: np.ndarray, target: np.ndarray, first: int, last: int) -> np.ndarray:
+        """Log softmax over the rows ``first:last`` of outputs, at ``target``. The vectors end in a 1, ``lengths`` are their squares without it."""
         out, outputs, bias = np.empty(len(target)), self.outputs[first:last], self.bias[first:last]
         across = np.ones(last - first, np.float32)
         longest, highest = np.sqrt((outputs ** 2).sum(axis=1).max()), np.abs(bias).max()
+        outputs = np.concatenate([outputs, bias[:, None]], axis=1).T
+        at = np.arange(min(len(target), BATCH)) * (last - first)
         for lo in range(0, len(target), BATCH):
             part = vectors[lo:lo + BATCH]
-            scores = part @ outputs.T
-            scores += bias
-            own = scores[np.arange(len(scores)), target[lo:lo + BATCH]].astype(float)
-            if np.sqrt(np.einsum("ij,ij->i", part, part).max()) * longest + highest < 60:  # no exponential overflows or vanishes
+            scores = part @ outputs
+            own = scores.ravel().take(at[:len(part)] + target[lo:lo + BATCH]).astype(float)
+            if np.sqrt(lengths[lo:lo + BATCH].max()) * longest + highest < 60:  # no exponential overflows or vanishes
                 np.exp(scores, out=scores)
                 out[lo:lo + BATCH] = own - np.log(scores @ across)
             else:
@@ -205,9 +230,9 @@ class Vocabulary:
     known: np.ndarray  # sorted hashes of frequent tokens
     known_log: np.ndarray  # log10(count + 0.5) of each
 
-    def ids(self, hashes: np.ndarray, suffix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The two input numbers and the output number of tokens."""
-        distinct, place = np.unique(hashes, return_inverse=True)
+    def ids(self, hashes: np.ndarray, suffix: np.ndarray, coded: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The two input numbers and the output number of tokens; ``coded`` are their distinct hashes, and the place of each there."""
+        distinct, place = coded or _coded(hashes)
         hit, at = (x[place] for x in _found(self.head, distinct))
         if hit.any():
             at = np.where(hit, self.rank[at], 0)
@@ -217,6 +242,15 @@ class Vocabulary:
         return np.stack([own, last], axis=1), np.where(hit, at, size.head + size.class_of(hashes, suffix))
 
 
+def _coded(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and the place of each value there."""
+    coded = pa.array(hashes).dictionary_encode()
+    values, place = coded.dictionary.to_numpy(), np.empty(len(coded.dictionary), np.int64)
+    order = np.argsort(values)
+    place[order] = np.arange(len(order))
+    return values[order], place.take(coded.indices.to_numpy())
+
+
 def _found(ordered: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which values are in an ordered array, and where."""
     if not len(ordered):
@@ -227,11 +261,12 @@ def _found(ordered: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def contexts(inputs: np.ndarray, first: np.ndarray, sizes: Sizes) -> np.ndarray:
     """Input numbers of the last tokens before each token of the same text; a start token where there is none."""
-    out = np.full((len(inputs), CONTEXT, inputs.shape[1]), sizes.inputs - 1, np.int64)
-    since = np.arange(len(inputs)) - np.repeat(first[:-1], np.diff(first))
+    out = np.empty((len(inputs), CONTEXT, inputs.shape[1]), np.int64)
     for k in range(CONTEXT):
-        has = since > k
-        out[has, k] = inputs[np.flatnonzero(has) - k - 1]
+        out[k + 1:, k] = inputs[:max(len(inputs) - k - 1, 0)]
+        for j in range(k + 1):
+            at = first[:-1] + j
+            out[at[at < first[1:]], k] = sizes.inputs - 1
     return out
 
 
@@ -251,7 +286,7 @@ class Trainer:
         """Steps over all tokens of a piece in random order."""
         mixed = self.draw.permutation(len(target))
         for lo in range(0, len(mixed), STEP):
-            self.step(context[mixed[lo:lo + STEP]], target[mixed[lo:lo + STEP]])
+            self.step(context.take(mixed[lo:lo + STEP], axis=0), target[mixed[lo:lo + STEP]])
 
     def step(self, context: np.ndarray, target: np.ndarray) -> None:
         m, n = self.model, len(target)
@@ -264,11 +299,15 @@ class Trainer:
         for (first, edges, log_noise), own_row in zip(self.levels, (target, target // m.sizes.members), strict=True):
             noise_row = np.minimum(np.searchsorted(edges, self.draw.random(NOISE) * edges[-1]), len(edges) - 1)
             at, other_at = first + own_row, first + noise_row
-            own = np.einsum("ij,ij->i", vectors, m.outputs[at]) + m.bias[at] - log_noise[own_row]
-            other = vectors @ m.outputs[other_at].T + (m.bias[other_at] - log_noise[noise_row])
+            data, others = m.outputs.take(at, axis=0), m.outputs[other_at]
+            own = np.einsum("ij,ij->i", vectors, data) + m.bias.take(at) - log_noise.take(own_row)
+            other = vectors @ others.T
+            other += m.bias[other_at] - log_noise[noise_row]
             up = 1 / (1 + np.exp(np.clip(own, -30, 30)))  # how far the data is from being told from noise
-            down = 1 / (1 + np.exp(np.clip(-other, -30, 30)))
-            back += up[:, None] * m.outputs[at] - down @ m.outputs[other_at]
+            down = _logistic(other)
+            data *= up[:, None]
+            back += data
+            back -= down @ others
             rows += [at, other_at]
             pulls += [up[:, None] * vectors, -(down.T @ vectors)]
             lifts += [up, -down.sum(axis=0)]
@@ -282,14 +321,20 @@ class Trainer:
         self.met["outputs"][seen] += times
         self._move("outputs", seen, outputs, n, rate)
         self._move("bias", seen, np.bincount(np.concatenate(rows), weights=lift, minlength=len(m.bias))[seen], n, rate)
-        self._move("places", slice(None), places, n, rate)
-
-    def _move(self, name: str, rows: np.ndarray | slice, gradient: np.ndarray, n: int, rate: float) -> None:
-        """An AdaGrad step of the rows that have a gradient."""
-        gradient = (gradient / n).astype(np.float32)
-        steps = self.steps[name][rows] + gradient * gradient
-        self.steps[name][rows] = steps
-        getattr(self.model, name)[rows] += rate * gradient / np.sqrt(steps)
+        self._move("places", None, places, n, rate)
+
+    def _move(self, name: str, rows: np.ndarray | None, gradient: np.ndarray, n: int, rate: float) -> None:
+        """An AdaGrad step of the rows that have a gradient, or of all."""
+        values, steps = getattr(self.model, name), self.steps[name]
+        gradient = (gradient / n).astype(np.float32, copy=False)
+        size = gradient * gradient
+        size += steps if rows is None else steps.take(rows, axis=0)
+        _put(steps, rows, size)
+        np.sqrt(size, out=size)
+        np.divide(gradient, size, out=gradient)
+        gradient *= np.float32(rate)
+        gradient += values if rows is None else values.take(rows, axis=0)
+        _put(values, rows, gradient)
 
     def weights(self) -> list[np.ndarray]:
         """How much each row of the parameters counts in an average: as often as it was met, and a little if never."""
@@ -315,12 +360,44 @@ def _average(sums: np.ndarray, sizes: Sizes) -> Parameters:
     return Parameters(*parts, sizes)
 
 
+def _put(table: np.ndarray, rows: np.ndarray | None, values: np.ndarray) -> None:
+    """``table[rows] = values``, each row copied at once, or the whole table."""
+    if rows is None:
+        table[:] = values
+    elif table.ndim == 1:
+        table[rows] = values
+    else:
+        row = np.dtype((np.void, table.strides[0]))
+        table.view(row)[:, 0][rows] = values.view(row)[:, 0]
+
+
 def _scatter(at: np.ndarray, values: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct numbers in ``at``, how often each occurs, and the sums of the rows of ``values``, taken round and round, by them."""
-    order = np.argsort(at.astype(np.uint16 if rows <= 1 << 16 else np.uint32), kind="stable")
-    ordered = at[order]
+    narrow = at.astype(np.uint16 if rows <= 1 << 16 else np.uint32)
+    order = np.argsort(narrow, kind="stable")
+    ordered = narrow[order]
     head = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    return ordered[head], np.diff(np.append(head, len(at))), np.add.reduceat(values[order % len(values)], head, axis=0)
+    times = np.diff(np.append(head, len(at)))
+    if len(at) > len(values):
+        order %= len(values)
+    sums = values.take(order[head], axis=0)
+    for k in range(1, FEW_ROWS):  # most occur a few times: whole rows are added then
+        more = np.flatnonzero((times > k) & (times <= FEW_ROWS))
+        _put(sums, more, sums.take(more, axis=0) + values.take(order[head[more] + k], axis=0))
+    often = times > FEW_ROWS
+    if often.any():
+        long = times[often]
+        _put(sums, often, np.add.reduceat(values.take(order[np.repeat(often, times)], axis=0), np.cumsum(long) - long, axis=0))
+    return ordered[head].astype(np.int64), times, sums
+
+
+def _logistic(x: np.ndarray) -> np.ndarray:
+    """``1 / (1 + exp(-x))`` in place, of values cut to 30."""
+    np.clip(x, -30, 30, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def token_counts(docs: DataFrame, text: str, keep: int = 1 << 21) -> DataFrame:
@@ -331,8 +408,10 @@ def token_counts(docs: DataFrame, text: str, keep: int = 1 << 21) -> DataFrame:
         for batch in batches:
             for _, flat in pieces(batch.column(0)):
                 hashes, suffix, _ = token_hashes(flat)
-                values, at, times = np.unique(hashes, return_index=True, return_counts=True)
-                held.append((values, suffix[at], times))
+                values, place = _coded(hashes)
+                ending = np.empty(len(values), np.uint64)
+                ending[place] = suffix  # equal tokens have equal ones
+                held.append((values, ending, np.bincount(place, minlength=len(values))))
                 size += len(values)
                 if size > 2 * keep:
                     held = [_merged(held)]
@@ -472,28 +551,31 @@ def score_texts(docs: DataFrame, learn: Column, doc: str = "doc_id", text: str =
         for batch in batches:
             for at, flat in pieces(batch.column(2)):
                 hashes, suffix, first = token_hashes(flat)
-                inputs, outputs = words.ids(hashes, suffix)
-                logs = model.log_softmax_at(contexts(inputs, first, words.sizes), outputs) / np.log(10)
+                values, place = _coded(hashes)
+                inputs, outputs = words.ids(hashes, suffix, (values, place))
+                logs = model.log_softmax(model.predicted_along(inputs, first), outputs) / np.log(10)
                 rare = outputs >= words.sizes.head
                 logs[rare] -= words.class_base[outputs[rare] - words.sizes.head]
-                values, place = np.unique(hashes, return_inverse=True)
                 near = np.minimum(np.searchsorted(words.known, values), max(len(words.known) - 1, 0))
                 known = words.known[near] == values if len(words.known) else np.zeros(len(values), bool)
                 own = np.where(known, words.known_log[near], 0.0)[place] if len(words.known) else np.zeros(len(place))
                 known = known[place]
                 left = np.flatnonzero(~known)
                 owner = np.searchsorted(first, left, side="right") - 1
-                n = len(flat)
+                order = np.lexsort((hashes[left], owner))
+                owner, late = owner[order], hashes[left[order]]
+                head = np.flatnonzero(np.concatenate([np.ones(min(len(late), 1), bool), (late[1:] != late[:-1]) | (owner[1:] != owner[:-1])]))
+                n, distinct = len(flat), np.bincount(owner[head], minlength=len(flat))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row + np.arange(n)), *[batch.column(k).slice(at, n) for k in range(2)], pa.array(np.diff(first)), pa.array(_by_text(known, first).astype(np.int64)),
-                     pa.array(_by_text(own, first)), pa.array(_by_text(logs + np.where(rare, own, 0.0), first)), lists(signed(hashes[left]), np.bincount(owner, minlength=n))],
-                    names=["row", "doc_id", "learned", "n_tokens", "n_known", "logs", "score", "left"])
+                     pa.array(_by_text(own, first)), pa.array(_by_text(logs + np.where(rare, own, 0.0), first)), lists(signed(late[head]), distinct), lists(np.diff(np.append(head, len(late))), distinct)],
+                    names=["row", "doc_id", "learned", "n_tokens", "n_known", "logs", "score", "left", "n_left"])
                 row += n
 
-    schema = "row long, doc_id long, learned boolean, n_tokens long, n_known long, logs double, score double, left array<long>"
+    schema = "row long, doc_id long, learned boolean, n_tokens long, n_known long, logs double, score double, left array<long>, n_left array<long>"
     source = docs.select(F.col(doc).cast("long").alias("doc_id"), F.coalesce(learn, F.lit(False)).alias("learned"), F.col(text).cast("string").alias("text"))
     scored = saved(source.mapInArrow(measure, schema), "scored")
-    tokens = scored.select("row", F.explode("left").alias("left")).groupBy("row", "left").agg(F.count(F.lit(1)).alias("n"))
+    tokens = scored.select("row", F.inline(F.arrays_zip(F.col("left"), F.col("n_left").alias("n"))))
     met = tokens.join(counts.select("token", "times"), F.col("left") == F.col("token"), "left")
     late = met.groupBy(F.col("row").alias("of")).agg(F.sum(F.when(F.col("times").isNotNull(), F.col("n")).otherwise(0)).alias("more"),
                                                      F.sum(F.col("n") * F.log10(F.coalesce("times", F.lit(0)) + 0.5)).alias("more_logs"))
