@@ -478,18 +478,18 @@ def _rounds(docs: DataFrame, text: str, words: Vocabulary, model: Parameters, li
         task = TaskContext.get().partitionId()
         trainer = Trainer(Parameters.of(start, words.sizes), words.noise, task)
         held, size = [], 0
-        for batch in batches:
-            for _, flat in pieces(batch.column(0)):
+        for batch in batches:  # to the end also in a warm-up: a worker that leaves rows unread is not used again
+            for _, flat in pieces(batch.column(0)) if limit is None or size < limit else ():
                 hashes, suffix, first = token_hashes(flat)
                 inputs, outputs = words.ids(hashes, suffix)
                 context = contexts(inputs, first, words.sizes)
                 if limit is None:
                     trainer.read(context, outputs)
-                elif size < limit:
-                    held.append((context[:limit - size], outputs[:limit - size]))
-                    size += len(held[-1][1])
-            if limit and size >= limit:
-                break
+                    continue
+                held.append((context[:limit - size], outputs[:limit - size]))
+                size += len(held[-1][1])
+                if size >= limit:
+                    break
         if size:  # a small share is read again until the warm-up is as long as any other
             context, outputs = (np.concatenate(x) for x in zip(*held, strict=True))
             again = np.arange(limit) % size
