@@ -2,16 +2,20 @@
 
 import itertools
 import random
+import re
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from urbanweave.llm import covertree, decontamination, jaccard, kernels, language_model, lines, packing, passages, quality, queries, sharding, tokens, warc
 from urbanweave.llm.components import components
 from urbanweave.llm.shared import frequent, saved
-from urbanweave.session import scratch_path
+from urbanweave.session import scratch_path, shared_folder
 
 WORDS = [f"w{k}é" if k % 7 == 0 else f"word{k}" for k in range(400)]
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, n_words long, found string, score double, shard int, slot long, hash string, lost string, "
@@ -341,6 +345,58 @@ def test_passages_by_brute_force(spark, least):
     assert sorted([r.doc_id, r.word, r.word + r.n_words, r.kept_doc_id, r.kept_word] for r in found) == want
 
 
+def test_passages_write_stretches_not_words(spark):
+    def rows_written():
+        return sum(pq.read_metadata(path).num_rows for path in Path(urlparse(shared_folder(spark)).path).rglob("*.parquet"))
+
+    shared = " ".join(f"w{k}" for k in range(3000))
+    rows = spark.createDataFrame([(k, f"own{k} {shared} end{k}") for k in range(50)], "doc_id long, text string")
+    before = rows_written()
+    found = passages.repeated_passages(rows).collect()
+    assert {(r.doc_id, r.word, r.n_words, r.kept_doc_id, r.kept_word) for r in found} == {(k, 1, 3000, 0, 1) for k in range(1, 50)}
+    # before: a row for each of the 50 * 2951 units
+    assert 0 < rows_written() - before < 50_000
+
+
+def test_passages_cut_inside_stretches(spark):
+    """Copies with edits have stretches that are equal in part; offsets are those of each copy's own text."""
+    draw = np.random.default_rng(3)
+    base = [[f"b{k}x{j}" for j in range(int(draw.integers(20, 150)))] for k in range(5)]
+    texts = []
+    for d in range(70):
+        words = [w for k in draw.integers(0, 5, 3) for w in base[k][int(draw.integers(0, 12)):]]
+        for at in draw.integers(0, len(words), int(draw.integers(0, 6))):
+            words[at] = str(draw.integers(0, 3))
+        texts.append((d, "é, ".join(words) if d % 3 else "\n".join(words).upper()))
+    texts += [(1000, None), (1001, "short")]
+    least, first, want = 20, {}, {}
+    for d, text in texts:
+        words = [m for m in re.finditer(r"[a-z0-9é]+", (text or "").lower())]
+        for lo in range(len(words) - least + 1):
+            kept = first.setdefault(tuple(m[0] for m in words[lo:lo + least]), (d, lo))
+            if d > kept[0] or lo >= kept[1] + least:
+                if (own := want.setdefault(d, [])) and lo <= own[-1][1]:
+                    own[-1][1] = lo + least
+                else:
+                    own.append([lo, lo + least, *kept])
+        place = [(len(text[:m.start()].encode()), len(text[:m.end()].encode())) for m in words]
+        want[d] = [(lo, place[lo][0], place[hi - 1][1], hi - lo, kept, at) for lo, hi, kept, at in want.get(d, [])]
+    rows = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    stretches = passages.passage_stretches(rows, min_words=least)
+    assert stretches.where("several").count() and stretches.where("not several").count()
+    found = passages.repeated_passages(rows, min_words=least).collect()
+    assert sorted(tuple(r) for r in found) == sorted((d, *span) for d, spans in want.items() for span in spans)
+
+
+def test_passages_of_rows_with_one_id(spark):
+    """A stretch is taken from the row that holds it."""
+    words = [f"w{k}" for k in range(60)]
+    rows = spark.createDataFrame([(1, "short"), (1, " ".join(words)), (1, " ".join(f"v{k}" for k in range(80))), (2, "a b " + " ".join(words)), (3, "c " + " ".join(words[4:])),
+                                  (3, "d " * 9)], "doc_id long, text string")
+    found = {tuple(r) for r in passages.repeated_passages(rows).collect()}
+    assert found == {(2, 2, 4, 4 + len(" ".join(words)), 60, 1, 0), (3, 1, 2, 2 + len(" ".join(words[4:])), 56, 1, 4)}
+
+
 def test_packing(spark, docs, nothing):
     path = queries.tokenizer_file("word_bpe_49k.json")
     got = packing.pack(docs, path, ids=True).collect()
