@@ -123,6 +123,29 @@ def test_one_far_station_changes_nothing(spark):
     assert results[1] < 1.5 * results[0] < 500 * 15
 
 
+def test_many_stations_and_points_of_one_file(spark, monkeypatch, tmp_path):
+    """Beyond the most leaves a leaf has parts, each point looks at a few bounds, and points of one small file are dealt to many tasks."""
+    draw = np.random.default_rng(8)
+    city = np.concatenate([draw.normal(0, 1, (2500, 2)), draw.integers(-40, 40, (1500, 2)) / 4.0])
+    asked = np.concatenate([draw.normal(0, 1, (300, 2)), draw.integers(-40, 40, (300, 2)) / 8.0, [[1e7, -1e7], [0.0, 1e300]]])
+    spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(asked.tolist())], "id int, x double, y double").coalesce(1).write.parquet(f"{tmp_path}/points")
+    p, s = spark.read.parquet(f"{tmp_path}/points"), spark.createDataFrame([(f"s{k:04d}", a, b) for k, (a, b) in enumerate(city.tolist())], "name string, x double, y double")
+    monkeypatch.setattr(spatial, "LEAVES", 16)
+    leaves = spatial.station_leaves(s.select(F.col("name").alias("__name"), F.col("x").alias("__s0"), F.col("y").alias("__s1"), F.lit(0.0).alias("__s2")), 8)
+    assert leaves.agg(F.max(F.size("stations"))).first()[0] <= 8
+    bounds = spatial._Bounds.of(leaves)
+    assert len(bounds.leaf) <= 16 + 4  # each range of the sort begins a leaf
+    dealt = spatial._near_leaves(p.select(F.col("id").alias("__point"), F.col("x").alias("__p0"), F.col("y").alias("__p1"), F.lit(0.0).alias("__p2")), bounds)
+    assert dealt.select(F.spark_partition_id()).distinct().count() > 1
+    d2 = (asked[:, None, 0] - city[:, 0]) ** 2 + (asked[:, None, 1] - city[:, 1]) ** 2
+    got = {r.id: (r.name, r.distance) for r in spatial.nearest_station(p, s, "id", ["x", "y"], "name", ["x", "y"], "plane", 8).collect()}
+    assert got == {k: (f"s{i:04d}", math.sqrt(d2[k, i])) for k, i in enumerate(d2.argmin(axis=1).tolist())}
+    at = np.column_stack([asked, np.zeros(len(asked))])
+    whole = bounds.near(at)
+    monkeypatch.setattr(spatial, "PAIRS", 40)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, bounds.near(at)))
+
+
 def test_zone_of_many_edges_over_many_cells(spark):
     rnd, n = random.Random(4), 5000
     ring = [[1000 + (900 + 60 * math.sin(37 * a) + rnd.uniform(-3, 3)) * math.cos(a), 1000 + (900 + 60 * math.sin(37 * a)) * math.sin(a)]
