@@ -100,12 +100,13 @@ def write_dual_layout(t):
     select l.layout, count(*) as n, count(distinct device) as devices, min(start) as first, max(start) as last, round(sum(value), 2) as value
     from s, (values ('online'), ('batch')) l(layout) group by 1, event_id % 3""")
 def write_dual_layout_append(t):
-    """Three loads into one store: each layout has every row once."""
+    """Three loads into one store: each layout has every row once. A user can have several events within a second, so their ids belong to the key."""
     root = scratch_path(t.spark, "store")
     for lot in range(3):
         part = t.events.where(F.col("event_id") % 3 == lot)
-        rows = store.series_rows(part, device_hash(F.col("user_id"), "-Electricity"), F.col("ts"), "PT1H", F.col("value"), extra=[F.lit(lot).alias("lot")])
-        paths = store.write_dual_layout(rows, root, "EnergyConsumptionGridElectricity", "PT1H", "city", mode="append")
+        rows = store.series_rows(part, device_hash(F.col("user_id"), "-Electricity"), F.col("ts"), "PT1H", F.col("value"),
+                                 extra=[F.lit(lot).alias("lot"), F.col("event_id")])
+        paths = store.write_dual_layout(rows, root, "EnergyConsumptionGridElectricity", "PT1H", "city", mode="append", key=(*store.KEY, "event_id"))
     read = [store.read_series(t.spark, path).withColumn("layout", F.lit(layout)) for layout, path in paths.items()]
     return read[0].unionByName(read[1]).groupBy("layout", "lot").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("device").alias("devices"), F.min("start").alias("first"), F.max("start").alias("last"),

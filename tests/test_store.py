@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from entries import QUERIES
 from urbanweave.session import scratch_path
 from urbanweave.sources import store
 from urbanweave.sources.snapshots import CommitConflict, SnapshotLog
@@ -46,6 +47,30 @@ def test_a_backfill_overwrites_its_keys(spark, tmp_path):
     assert store.read_series(spark, paths["online"], [2]).count() == 0
 
 
+def test_events_of_one_second_are_told_apart_by_a_longer_key(spark, tmp_path):
+    def put(rows, mode):
+        made = load(spark, [(d, t, v) for d, t, v, _ in rows]).withColumn("event", F.col("value").cast("long") % 10)
+        assert [r.event for r in made.collect()] == [e for *_, e in rows]
+        return store.write_dual_layout(made, str(tmp_path), "p", "PT1H", "u", mode=mode, key=(*store.KEY, "event"))
+
+    put([("a", 10, 1, 1), ("a", 10, 2, 2)], "append")
+    paths = put([("a", 10, 3, 3), ("b", 10, 1, 1)], "append")
+    assert stored(spark, paths) == [("a", 10, 1), ("a", 10, 2), ("a", 10, 3), ("b", 10, 1)]
+    with pytest.raises(ValueError):
+        put([("a", 10, 12, 2)], "append")
+    put([("a", 10, 12, 2), ("a", 10, 22, 2), ("c", 10, 4, 4)], "merge")
+    assert stored(spark, paths) == [("a", 10, 1), ("a", 10, 3), ("a", 10, 22), ("b", 10, 1), ("c", 10, 4)]
+
+
+def test_append_query_keeps_events_of_one_second(spark, tmp_path):
+    """Events of two loads that share user and second."""
+    at = "timestamp '2024-01-03 10:00:00.25'"
+    spark.sql(f"select * from values (0L, {at}, 7L, 1.0D), (1L, {at} + interval 100 milliseconds, 7L, 2.0D), (2L, {at}, 8L, 4.0D) as e(event_id, ts, user_id, value)").write.parquet(
+        f"{tmp_path}/events.parquet")
+    got = QUERIES["write_dual_layout_append"](spark, str(tmp_path)).collect()
+    assert sorted((r.layout, r.n, r.devices, r.value) for r in got) == [(layout, 1, 1, v) for layout in ("batch", "online") for v in (1.0, 2.0, 4.0)]
+
+
 def test_rows_without_device_or_start_are_keys_too(spark, tmp_path):
     rows = spark.createDataFrame([(None, "a", None, None, True, 1.0), (1, None, 5, 6, True, 2.0)], SCHEMA)
     for factor in (1, 10):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,12 +64,13 @@ def _ranges(rows: DataFrame) -> list[dict]:
 
 
 def write_dual_layout(rows: DataFrame, root: str, prop: str, freq: str, user: str, partitions: int | None = None,
-                      mode: str = "errorifexists", order: Sequence[str] = ()) -> dict[str, str]:
+                      mode: str = "errorifexists", order: Sequence[str] = (), key: Sequence[str] = KEY) -> dict[str, str]:
     """Write the rows twice and return the path per layout; read them with :func:`read_series`.
 
     Modes: ``errorifexists`` for a new series; ``merge`` puts rows by key, as the original store does: of equal ``(device, start)`` in
     the load the last by ``order`` (then the highest) stays, and it overwrites what is stored; ``append`` adds rows without a
-    look at each other but fails if a key is stored already.
+    look at each other but fails if a key is stored already. ``key`` names more columns if ``(device, start)`` doesn't tell rows apart, such as
+    an event's id where a device sends several readings within a second; all loads of a series should name the same.
 
     Each layout is partitioned by load and bucket. Rows are spread by range of (bucket, leading keys) and sorted, so that
     file statistics skip what a query does not ask for, and a bucket or device that holds most rows is
@@ -85,9 +88,9 @@ def write_dual_layout(rows: DataFrame, root: str, prop: str, freq: str, user: st
         raise ValueError(f"mode {mode!r}")
     staged = scratch_path(spark, "staged-series")
     if mode == "merge":
-        rest = F.struct(*[F.col(c) for c in (*order, *[c for c in rows.columns if c not in (*KEY, *order)])])
-        newest = rows.groupBy(*KEY).agg(F.max(rest).alias("__rest"))
-        rows = newest.select(*[F.col(c) if c in KEY else F.col(f"__rest.{c}").alias(c) for c in rows.columns])
+        rest = F.struct(*[F.col(c) for c in (*order, *[c for c in rows.columns if c not in (*key, *order)])])
+        newest = rows.groupBy(*key).agg(F.max(rest).alias("__rest"))
+        rows = newest.select(*[F.col(c) if c in key else F.col(f"__rest.{c}").alias(c) for c in rows.columns])
     rows.write.parquet(staged)
     rows = spark.read.schema(rows.schema).parquet(staged)
     made = {r["bucket"]: r for r in _ranges(rows)}
@@ -95,7 +98,7 @@ def write_dual_layout(rows: DataFrame, root: str, prop: str, freq: str, user: st
         base = log.snapshot()
         if mode == "errorifexists" and base.version:
             raise FileExistsError(f"{paths['online']} has rows; merge or append to it")
-        touched = _touched(rows, paths["batch"], base.folders, made) if base.folders else []
+        touched = _touched(rows, paths["batch"], base.folders, made, key) if base.folders else []
         if touched and mode == "append":
             raise ValueError(f"{len(touched)} stored cells hold keys of the rows to append")
         load, added = f"l{uuid.uuid4().hex}", {}
@@ -103,7 +106,7 @@ def write_dual_layout(rows: DataFrame, root: str, prop: str, freq: str, user: st
             whole = rows
             if touched:
                 kept = _read_cells(spark, paths[layout], touched).drop("load")
-                whole = kept.join(_keys(rows), _same_key(), "left_anti").unionByName(rows, allowMissingColumns=True)
+                whole = kept.join(_keys(rows, key), _same_key(key), "left_anti").unionByName(rows, allowMissingColumns=True)
             columns = ["bucket", *keys]
             ranged = whole.repartitionByRange(partitions, *columns) if partitions else whole.repartitionByRange(*columns)
             ranged.sortWithinPartitions(*columns).write.partitionBy("bucket").parquet(f"{paths[layout]}/load={load}")
@@ -119,12 +122,12 @@ def write_dual_layout(rows: DataFrame, root: str, prop: str, freq: str, user: st
     return paths
 
 
-def _keys(rows: DataFrame) -> DataFrame:
-    return rows.select(*[F.col(c).alias(f"__{c}") for c in KEY])
+def _keys(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    return rows.select(*[F.col(c).alias(f"__{c}") for c in key])
 
 
-def _same_key() -> Column:
-    return F.col(KEY[0]).eqNullSafe(F.col(f"__{KEY[0]}")) & F.col(KEY[1]).eqNullSafe(F.col(f"__{KEY[1]}"))
+def _same_key(key: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key])
 
 
 def _meets(facts: dict, made: dict) -> bool:
@@ -135,13 +138,13 @@ def _meets(facts: dict, made: dict) -> bool:
     return None in (new["first"], facts["first"]) or (facts["first"] <= new["last"] and new["first"] <= facts["last"])
 
 
-def _touched(rows: DataFrame, path: str, folders: dict[str, dict], made: dict) -> list[tuple[str, int]]:
+def _touched(rows: DataFrame, path: str, folders: dict[str, dict], made: dict, key: Sequence[str]) -> list[tuple[str, int]]:
     """Stored cells with a key of the new rows."""
     near = [(f["load"], f["bucket"]) for f in folders.values() if f["layout"] == "batch" and _meets(f, made)]
     if not near:
         return []
-    stored = _read_cells(rows.sparkSession, path, near).select("load", "bucket", *KEY)
-    found = stored.join(_keys(rows), _same_key(), "left_semi").select("load", "bucket").distinct()
+    stored = _read_cells(rows.sparkSession, path, near).select("load", "bucket", *key)
+    found = stored.join(_keys(rows, key), _same_key(key), "left_semi").select("load", "bucket").distinct()
     return [(r[0], r[1]) for r in found.collect()]  # at most one row a cell
 
 
