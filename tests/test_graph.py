@@ -3,8 +3,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from urbanweave.functions import text
 from urbanweave.operators import graph, mapping
 from urbanweave.plans import mappings as M
+from urbanweave.plans import sources
 from urbanweave.sources import graph_store
 
 
@@ -178,3 +180,31 @@ def test_jobs_of_a_chain_grow_with_the_logarithm(spark):
         assert sorted((r.node, r.depth) for r in got) == [(i, i) for i in range(1, length + 1)]
     context.setLocalProperty("spark.jobGroup.id", None)
     assert jobs[500] < 2 * jobs[100] and jobs[500] < 500
+
+
+@pytest.mark.parametrize("encode", [None, True, False])
+def test_triples_of_a_key_and_its_digests_are_not_shuffled(spark, encode):
+    """Keys whose IRIs are equal state their common triples once; equal results to the way that compares triples."""
+    keys = ["a b", "a%20b", "a%20b", "ab", "a\x01b", "x", "x", None, "c<d", "c%3Cd", "", " ", "e f", "e f", "g\x02"]
+    df, digest = spark.createDataFrame([(k,) for k in keys], "reference string"), text.device_hash(F.col("reference"), "-ndvi")
+    whole = mapping.apply_mapping({"ndvi": df.withColumn("ndviId", digest)}, M.vegetation_mapping(), encode).collect()
+    keyed = mapping.apply_mapping({"ndvi": df}, M.vegetation_mapping(), encode, key="reference", digests={"ndviId": digest})
+    got = keyed.collect()
+    assert len(got) == len(set(got)) and set(got) == set(whole) and keyed.columns == ["s", "p", "o", "o_kind"]
+    assert "hashpartitioning(s#" not in keyed._jdf.queryExecution().executedPlan().toString()
+    plain = mapping.apply_mapping({"ndvi": df.where("reference in ('x', 'ab')")}, M.vegetation_mapping(), encode, key="reference", digests={"ndviId": digest})
+    assert plain.count() == 30
+    triples = sources.vegetation(df.selectExpr("reference", "1.0D as `HISTO_0.2`")).triples
+    assert "hashpartitioning(s#" not in triples._jdf.queryExecution().executedPlan().toString()
+    if encode is None:
+        assert sorted(triples.collect()) == sorted(whole)
+
+
+def test_rules_that_may_state_one_triple_are_compared(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("b-c",), ("c",)], "k string").withColumn("h", text.device_hash(F.col("k"), "-x"))
+    digests = {"h": text.device_hash(F.col("k"), "-x")}
+    for rules in ([("res:$(k)", "res:p", "res:One"), ("res:$(k)", "res:p", "res:$(k)")], [("res:b-$(k)", "res:p", "res:One"), ("res:$(k)", "res:p", "res:One")],
+                  [("res:$(k)$(k)", "res:p", "res:One")], [("res:all", "res:p", "res:One")], [("res:$(h)", "res:p", "$(k)"), ("res:all", "res:p", "$(k)"), ("res:$(k)", "res:q", "res:$(h)")]):
+        maps = {str(i): M.shape("rows", s, (p, o)) for i, (s, p, o) in enumerate(rules)}
+        got = mapping.apply_mapping({"rows": df}, M.document(maps), key="k", digests=digests).collect()
+        assert len(got) == len(set(got)) and set(got) == set(mapping.apply_mapping({"rows": df}, M.document(maps)).collect())
