@@ -1,5 +1,8 @@
 import math
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -123,6 +126,25 @@ def test_one_far_station_changes_nothing(spark):
     assert results[1] < 1.5 * results[0] < 500 * 15
 
 
+YOUNG = """
+from urbanweave.session import build_session
+spark = build_session("young", "local[1]", spark_sql_shuffle_partitions="1", spark_ui_enabled="false", spark_ui_showConsoleProgress="false")
+from __spark_entry__ import queries
+print("rows", queries()["harmonise_addresses"](spark, "/root/testdata/sf0.001").count())
+"""
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test tables are not here")
+def test_first_query_of_a_session_joins_points_and_zones():
+    """Columns of a young session have low numbers, which the lambdas of the join condition must not hold."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-B", "-c", YOUNG], cwd=root, capture_output=True, text=True, timeout=600)
+    assert "rows " in done.stdout, done.stderr[-2000:]
+    for text in (G.inside("z", "px", "py"), G.odd_crossings("z", "px", "py", "pr", "pl")):
+        body = text.split("->", 1)[1]
+        assert not any(column in body for column in ("px", "py", "pr", "pl"))
+
+
 def test_many_stations_and_points_of_one_file(spark, monkeypatch, tmp_path):
     """Beyond the most leaves a leaf has parts, each point looks at a few bounds, and points of one small file are dealt to many tasks."""
     draw = np.random.default_rng(8)
