@@ -237,6 +237,26 @@ def test_one_to_one_is_greedy_and_uses_each_row_once(spark, together):
     assert Counter((left[r.m], right[r.p]) for r in got) == Counter(greedy(left, right, 97.0))
 
 
+@pytest.mark.parametrize("threshold", [97.0, 90.0, 80.0])
+def test_texts_one_character_apart_meet_without_grams(spark, monkeypatch, threshold):
+    """Runs of one character, other alphabets, and lengths about the bounds of one and two edits; then numbered names, whose grams are all common."""
+    rnd = random.Random(2)
+    stems = ["".join(rnd.choice("aab\u00e9\U0001f600") for _ in range(n)) for n in (1, 2, 3, 5, 9, 10, 16, 17, 18, 19, 32, 33, 34, 35) for _ in range(3)] + ["aaaa", "aaaaa", "a" * 17, "a" * 18]
+    near = [t[:k] + t[k + 1:] for t in stems for k in (0, len(t) // 2, len(t) - 1)] + [t[:k] + rnd.choice("ab") + t[k:] for t in stems for k in (0, len(t) // 2, len(t))]
+    left, right = sorted({*stems, *near[::2]}), sorted({*stems[::2], *near[1::2]})
+    frame = lambda texts: spark.createDataFrame([(t,) for t in texts], "text string")
+    got = fuzzy.similar_pairs(frame(left), frame(right), threshold).collect()
+    want = {k: v for k, v in all_scores(left, right).items() if v >= threshold - 1e-9}
+    assert len(got) == len(want) and {(r.left_text, r.right_text): round(r.score, 9) for r in got} == {k: round(v, 9) for k, v in want.items()}
+    if threshold == 97.0:
+        cut, whole = [], fuzzy._grams
+        monkeypatch.setattr(fuzzy, "_grams", lambda texts, width: cut.append(texts) or whole(texts, width))
+        names = [f"Customer#{k:09d}" for k in range(3000)]
+        pairs = fuzzy.similar_pairs(frame([n + "." for n in names]), frame(names), threshold).collect()
+        assert {(r.left_text, r.right_text) for r in pairs} == {(n + ".", n) for n in names} and len(pairs) == 3000
+        assert [c.count() for c in cut] == [0, 0]
+
+
 def test_one_to_one_keeps_a_good_pair_rather_than_the_best_total(spark):
     """Unlike an optimal assignment over all pairs, a pair above the threshold is never given up."""
     meters = spark.createDataFrame([(1, "abcdefghijklmnopqrstuvwxyzabcdefghij")], "m int, text string")

@@ -2,7 +2,7 @@
 
 Candidates come from an equi-join on the rarest q-grams of each text (prefix filtering): two texts that
 reach the threshold must share one of them, so no pair is lost and common grams never become a join key
-while rarer ones are left. Everything runs on distinct texts; copies of a text cost nothing.
+while rarer ones are left. Texts so short that only one edit is allowed meet by what is left without a character. Everything runs on distinct texts; copies of a text cost nothing.
 """
 
 from __future__ import annotations
@@ -93,7 +93,8 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
         met = _blocks(left, right.select(F.col("text").alias("right_text"), F.struct("text").alias("__rank")))
         return met.select(F.explode(near_in_chunk("block_texts", "texts", F.lit(threshold - _EPS))).alias("hit")).select(
             F.col("hit.text").alias("left_text"), F.col("hit.best").alias("right_text"), "hit.score")
-    long_enough = _max_edits_column(F.length("text"), threshold) >= 1
+    single = _one_deletion(left, right, threshold)
+    long_enough = _max_edits_column(F.length("text"), threshold) >= 2
     left_grams = _grams(left.where(long_enough), width)
     right_grams = _grams(right.where(long_enough), width)
     frequency = settle(left_grams.select("gram").unionByName(right_grams.select("gram")).groupBy("gram").agg(
@@ -111,11 +112,32 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
         F.levenshtein("left_text", "right_text") <= allowed
     )
     candidates = (
-        a.join(b.hint("merge"), "key").where((F.col("left_text") != F.col("right_text")) & (gap <= allowed) & near)
+        a.join(b.hint("merge"), "key").where((F.col("left_text") != F.col("right_text")) & (allowed >= 2) & (gap <= allowed) & near)
         .select("left_text", "right_text").distinct()
     )
     scored = candidates.withColumn("score", indel_ratio("left_text", "right_text"))
-    return equal.unionByName(scored.where(F.col("score") >= F.lit(threshold - _EPS)))
+    return equal.unionByName(single).unionByName(scored.where(F.col("score") >= F.lit(threshold - _EPS)))
+
+
+def _one_deletion(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``(left_text, right_text, score)`` of lengths that allow just one insertion or deletion.
+
+    The shorter text is the longer one without a character, so they meet by the hash of that: one key for each character of a text, however many
+    texts share its grams. Texts are cut only if the other side has texts of that length.
+    """
+    lengths = [sorted(r[0] for r in side.select(F.length("text")).distinct().collect()) for side in (left, right)]  # few, whatever the rows
+
+    def found(longer: DataFrame, shorter: DataFrame, of_longer: list[int], of_shorter: list[int]) -> DataFrame:
+        kept = [n for n in of_shorter if n + 1 in of_longer and math.floor((2 * n + 1) * (1 - threshold / 100.0) + _EPS) == 1]
+        without = "concat(substring(long, 1, at - 1), substring(long, at + 1))"
+        # Deleting any character of a run of equal ones gives the same text: the first of the run stands for it.
+        cut = longer.where(F.length("text").isin([n + 1 for n in kept])).select(F.col("text").alias("long"), F.explode(F.sequence(F.lit(1), F.length("text"))).alias("at")).where(
+            "at = 1 or substring(long, at, 1) <> substring(long, at - 1, 1)").selectExpr("long", "at", f"xxhash64({without}) as key")
+        whole = shorter.where(F.length("text").isin(kept)).selectExpr("text as short", "xxhash64(text) as own")
+        return cut.join(whole.hint("merge"), F.expr(f"key = own and {without} = short")).selectExpr("long", "short", "200.0D * length(short) / (length(long) + length(short)) as score")
+
+    return found(left, right, *lengths).select(F.col("long").alias("left_text"), F.col("short").alias("right_text"), "score").unionByName(
+        found(right, left, *lengths[::-1]).select(F.col("short").alias("left_text"), F.col("long").alias("right_text"), "score"))
 
 
 def weighted_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
@@ -232,17 +254,17 @@ def match_one_to_one(left: DataFrame, right: DataFrame, left_id: str, left_text:
     """Pair rows one to one by text similarity: ``(left_id, right_id, score)``.
 
     Pairs of at least ``threshold`` are taken greedily, best score first, then left text, then right text.
-    Equal texts are paired first. The other pairs fall into connected components that don't touch each other: one of at most ``together``
-    pairs is sorted and settled by one task, which holds one component at a time. A larger one is cut by rounds that take all pairs
-    that are best for both sides, until its parts fit. Texts carry their number of rows, so equal rows are paired by number instead of
+    Equal texts are paired first. Of more than ``together`` other pairs a round takes all that are best for both sides, and another one if
+    that halves them. The pairs left fall into connected components that don't touch each other: one of at most ``together``
+    pairs is sorted and settled by one task, which holds one component at a time. A larger one is cut by more rounds, until its parts fit. Texts carry their number of rows, so equal rows are paired by number instead of
     forming all combinations.
     """
     a = left.select(F.col(left_id).alias("__lid"), F.col(left_text).alias("left_text")).dropna()
     b = right.select(F.col(right_id).alias("__rid"), F.col(right_text).alias("right_text")).dropna()
-    left_free = cut_lineage(a.groupBy("left_text").agg(F.count(F.lit(1)).alias("left_free")))
-    right_free = cut_lineage(b.groupBy("right_text").agg(F.count(F.lit(1)).alias("right_free")))
-    left_free = left_free.withColumn("left_used", F.lit(0).cast("long"))
-    right_free = right_free.withColumn("right_used", F.lit(0).cast("long"))
+    left_all = cut_lineage(a.groupBy("left_text").agg(F.count(F.lit(1)).alias("left_free"), F.min("__lid").alias("__lid")))
+    right_all = cut_lineage(b.groupBy("right_text").agg(F.count(F.lit(1)).alias("right_free"), F.min("__rid").alias("__rid")))
+    left_free = left_all.drop("__lid").withColumn("left_used", F.lit(0).cast("long"))
+    right_free = right_all.drop("__rid").withColumn("right_used", F.lit(0).cast("long"))
     # Only equal texts score 100, so they are the first pairs in any case; the search is for what they leave.
     equal = cut_lineage(left_free.join(right_free, F.col("left_text") == F.col("right_text")).withColumn("score", F.lit(100.0))
                         .withColumn("take", F.least("left_free", "right_free")))
@@ -256,6 +278,10 @@ def match_one_to_one(left: DataFrame, right: DataFrame, left_id: str, left_text:
         if count <= together:  # all components fit in one task
             parts.append(cut_lineage(_settled(live.withColumn("component", F.lit(0).cast("long")).repartition(1))))
             break
+        taken, live = _mutual_round(live)
+        parts.append(taken)
+        if live.count() <= max(together, count // 2):
+            continue
         # Two texts of one hash at most unite two components, which changes no pair.
         ends = live.select(F.xxhash64(F.lit("left"), "left_text").alias("node"), F.xxhash64(F.lit("right"), "right_text").alias("other"))
         named = live.withColumn("node", F.xxhash64(F.lit("left"), "left_text")).join(connected_components(ends, "node", "other"), "node").drop("node")
@@ -263,17 +289,11 @@ def match_one_to_one(left: DataFrame, right: DataFrame, left_id: str, left_text:
         giant = settle(sizes.where(F.col("__pairs") > together).select("component"))
         parts.append(cut_lineage(_settled(named.join(giant, "component", "left_anti").repartition("component"))))
         live = cut_lineage(named.join(giant, "component", "left_semi").drop("component"))
-        if live.isEmpty():
-            break
-        taken, live = _mutual_round(live)
-        parts.append(taken)
     agreed = parts[0]
     for later in parts[1:]:
         agreed = agreed.unionByName(later)
-    numbered_left = number_within(a, ["left_text"], ["__lid"], "left_no",
-                                  F.pmod(F.xxhash64("__lid"), F.lit(shards)), shards)
-    numbered_right = number_within(b, ["right_text"], ["__rid"], "right_no",
-                                   F.pmod(F.xxhash64("__rid"), F.lit(shards)), shards)
+    numbered_left = _numbered(a, left_all, "left", "__lid", shards)
+    numbered_right = _numbered(b, right_all, "right", "__rid", shards)
     # A pair of texts owns a run of numbers on each side; the k-th row of one run meets the k-th of the other.
     place = F.col("left_no") - F.col("left_used")
     seated = (
@@ -285,6 +305,17 @@ def match_one_to_one(left: DataFrame, right: DataFrame, left_id: str, left_text:
     )
 
 
+def _numbered(rows: DataFrame, texts: DataFrame, side: str, row_id: str, shards: int) -> DataFrame:
+    """Rows with their number within their text. A text of one row has it beside its count, so only rows of repeated texts are numbered."""
+    text, free = f"{side}_text", f"{side}_free"
+    ones = texts.where(F.col(free) == 1).select(row_id, text, F.lit(1).cast("long").alias(f"{side}_no"))
+    repeated = settle(texts.where(F.col(free) > 1).select(F.col(text).alias("__repeated")))
+    if repeated.isEmpty():
+        return ones
+    many = rows.join(repeated, F.col(text) == F.col("__repeated"), "left_semi")
+    return ones.unionByName(number_within(many, [text], [row_id], f"{side}_no", F.pmod(F.xxhash64(row_id), F.lit(shards)), shards))
+
+
 def _settled(named: DataFrame) -> DataFrame:
     """Greedy pairs of whole components, each of which lies in one partition."""
     columns = ["component", "left_text", "right_text", "score", "left_free", "left_used", "right_free", "right_used"]
